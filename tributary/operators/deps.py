@@ -62,27 +62,35 @@ def peel(edges: DataFrame, nodes: DataFrame | None = None,
          max_rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(levels ``node, level``, remaining ``node``).
 
-    ``edges`` is used as a set.  A self loop keeps its node unpeeled (it is a
-    cycle).  ``max_rounds`` only bounds a runaway loop and raises; it never
-    truncates a result silently."""
+    Kahn's algorithm a level at a time with in-degree counters: the edge set
+    is written once; each round only reads the edges leaving the newly
+    peeled nodes, counts them per target (map-side combined, so a hot
+    target costs one row per task) and rewrites the node table.  A self loop
+    keeps its node unpeeled (it is a cycle).  ``max_rounds`` only bounds a
+    runaway loop and raises; it never truncates a result silently."""
     e = cut(edges.select("src", "dst").distinct())
     n = nodes.select("node").distinct() if nodes is not None else step_nodes(None, e)
-    remaining = cut(n)
-    levels = []
+    indeg = e.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_in"))
+    state = cut(n.join(indeg, "node", "left").select(
+        "node", F.coalesce("_in", F.lit(0)).alias("indeg"), F.lit(None).cast("int").alias("level")))
     level = 0
     while True:
-        targets = e.select(F.col("dst").alias("node")).distinct()
-        ready = cut(remaining.join(targets, "node", "left_anti"))
+        ready = state.where((F.col("indeg") == 0) & F.col("level").isNull()).select("node")
         if ready.isEmpty():
             break
-        levels.append(ready.withColumn("level", F.lit(level)))
-        remaining = cut(remaining.join(ready, "node", "left_anti"))
-        e = cut(e.join(ready.select(F.col("node").alias("src")), "src", "left_anti"))
+        dec = (e.join(ready.withColumnRenamed("node", "src"), "src", "left_semi")
+               .groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_dec")))
+        is_ready = (F.col("indeg") == 0) & F.col("level").isNull()
+        state = cut(state.join(dec, "node", "left").select(
+            "node",
+            (F.col("indeg") - F.coalesce("_dec", F.lit(0))).alias("indeg"),
+            F.when(is_ready, F.lit(level)).otherwise(F.col("level")).alias("level")))
         level += 1
         if max_rounds is not None and level > max_rounds:
             raise CycleError(f"more than {max_rounds} levels")
-    empty = remaining.limit(0).withColumn("level", F.lit(0))
-    return union_all(levels, empty), remaining
+    levels = state.where(F.col("level").isNotNull()).select("node", "level")
+    remaining = state.where(F.col("level").isNull()).select("node")
+    return levels, remaining
 
 
 def topological_levels(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:

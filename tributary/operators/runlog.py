@@ -194,20 +194,27 @@ class RunLog:
     def _changes_path(self) -> str:
         return f"{self.path}/changes"
 
-    def save(self, run_id: str, **cols) -> None:
+    def _row(self, run_id: str, cols: dict) -> dict:
         self._seq = max(self._seq + 1, int(dt.datetime.now().timestamp() * 1e6))
         row = {n: None for n, _ in LOG_COLUMNS}
         row.update(cols)
         row["run_id"] = run_id
         row["seq"] = self._seq
-        self.spark.createDataFrame([row], CHANGE_SCHEMA).write.mode("append").parquet(self._changes_path())
+        return row
+
+    def save(self, run_id: str, *more: dict, **cols) -> None:
+        """Append one change (plus optional further changes) in one write."""
+        rows = [self._row(run_id, cols)] + [self._row(run_id, m) for m in more]
+        self.spark.createDataFrame(rows, CHANGE_SCHEMA).write.mode("append").parquet(self._changes_path())
 
     def create(self, step: str, params: dict, partition_value: str | None = None,
-               run_suffix: str | None = None) -> str:
+               run_suffix: str | None = None, start: bool = False) -> str:
+        """New run row; ``start=True`` also records RUNNING in the same write."""
         run_id = f"{step}{X.RUN_ID_SEPARATOR}{run_suffix or uuid.uuid4()}"
         now = dt.datetime.now()
         ttl = _add_years(now, self.ttl_years)
-        self.save(run_id, job_name=self.job_name or step, step_name=step, start_ts=now,
+        more = [{"status": "RUNNING", "last_updated_at": now}] if start else []
+        self.save(run_id, *more, job_name=self.job_name or step, step_name=step, start_ts=now,
                   partition_value=partition_value, params=json.dumps(params, default=str, sort_keys=True),
                   ttl=ttl, created_by=self.created_by, created_at=now, last_updated_at=now)
         return run_id

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +65,7 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
     if run_log is not None:
         run_id = run_log.create(step, dict(params or {}, source=source, target=target,
                                            partition_value=pv), partition_value=pv,
-                                run_suffix=run_suffix)
-        run_log.start(run_id)
+                                run_suffix=run_suffix, start=True)
     try:
         df = L.read_partition(spark, locations, source, pv, schema, fmt)
         if transform is not None:
@@ -113,3 +113,20 @@ def ingest_partitions(spark: SparkSession, locations: dict, source: str, target:
         if err is not None and (policy == "fail" or isinstance(err, InvalidSourceError)):
             break
     return spark.createDataFrame(rows, OUTCOME_SCHEMA)
+
+
+def land_partitions(spark: SparkSession, locations: dict, source: str, target: str,
+                    values: list[str], schema: T.StructType, fmt: str = "parquet",
+                    concurrent_jobs: int = 4) -> list[dict]:
+    """Copy many partitions whose sink folders can't be written by one
+    ``partitionBy`` job (e.g. ``<pv>-snowflake`` landing folders).
+
+    Each partition is its own Spark job; up to ``concurrent_jobs`` jobs are
+    submitted at once from driver threads so small partitions don't leave
+    the cluster idle.  Spark schedules the tasks; threads only wait."""
+    def one(pv: str) -> dict:
+        df = L.read_partition(spark, locations, source, pv, schema, fmt)
+        return {"partition_value": pv, **observed_write(df.drop(L.PV), L.partition_path(locations, target, pv), fmt)}
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        return list(pool.map(one, values))
