@@ -219,6 +219,22 @@ class RunLog:
                   ttl=ttl, created_by=self.created_by, created_at=now, last_updated_at=now)
         return run_id
 
+    def create_many(self, steps: list[tuple[str, dict]], partition_value: str | None = None,
+                    status: str | None = "QUEUED") -> dict[str, str]:
+        """One new run per step, all in one write (e.g. QUEUED at job start)."""
+        now = dt.datetime.now()
+        ids, rows = {}, []
+        for step, params in steps:
+            run_id = f"{step}{X.RUN_ID_SEPARATOR}{uuid.uuid4()}"
+            ids[step] = run_id
+            rows.append(self._row(run_id, dict(
+                job_name=self.job_name or step, step_name=step, status=status, start_ts=now,
+                partition_value=partition_value, params=json.dumps(params, default=str, sort_keys=True),
+                ttl=_add_years(now, self.ttl_years), created_by=self.created_by, created_at=now,
+                last_updated_at=now)))
+        self.spark.createDataFrame(rows, CHANGE_SCHEMA).write.mode("append").parquet(self._changes_path())
+        return ids
+
     def start(self, run_id: str) -> None:
         self.save(run_id, status="RUNNING", last_updated_at=dt.datetime.now())
 

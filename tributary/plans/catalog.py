@@ -442,3 +442,33 @@ QUERIES = {
     "observed_write": q_observed_write,
     "ingest_outcomes": q_ingest_outcomes,
 }
+
+
+# ============================================================ job runs ====
+
+def q_job_run(spark, sf):
+    """The sample two-step job: transport lands a day as CSV, process reads
+    the CSV landing and writes it to a directory location."""
+    from tributary.plans.jobs import run_job
+    src = FX.days_location(spark, sf)
+    config = {
+        "name": "test job",
+        "locations": dict(src,
+                          working_folder={"type": "snowflake_landing_zone",
+                                          "directory_path": work_dir(spark, "job-landing")},
+                          processed={"type": "directory", "directory_path": work_dir(spark, "job-out")}),
+        "steps": {
+            "transport": {"uses": "copy",
+                          "params": {"source": "days", "target": "working_folder",
+                                     "target_file_format": "csv"}},
+            "process": {"depends_on": "transport", "uses": "copy",
+                        "params": {"source": "working_folder", "target": "processed",
+                                   "source_file_format": "csv"}},
+        },
+        "log_path": work_dir(spark, "job-log"),
+    }
+    out = run_job(spark, config, DAY, FX.DAYS_SCHEMA, policy="fail")
+    return out.select("step", "level", "status", "n_rows", "exit_code")
+
+
+QUERIES["job_run"] = q_job_run

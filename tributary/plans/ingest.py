@@ -43,6 +43,8 @@ def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     observed = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     t0 = time.perf_counter()
     w = observed.write.format(fmt).mode(mode)
+    if fmt == "csv":  # same convention as the readers: a header row
+        w = w.option("header", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -56,13 +58,15 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
                    schema: T.StructType, fmt: str = "parquet", target_fmt: str | None = None,
                    transform: Callable[[DataFrame], DataFrame] | None = None,
                    run_log: RunLog | None = None, step: str = "transport",
-                   params: dict | None = None, run_suffix: str | None = None) -> dict:
+                   params: dict | None = None, run_suffix: str | None = None,
+                   run_id: str | None = None) -> dict:
     """Source partition -> optional transform -> sink partition.
 
     Returns ``{status, n_rows, target_path, error, run_id}``; raises nothing
     except through the caller's policy (the error object is in ``error``)."""
-    run_id = None
-    if run_log is not None:
+    if run_log is not None and run_id is not None:
+        run_log.start(run_id)
+    elif run_log is not None:
         run_id = run_log.create(step, dict(params or {}, source=source, target=target,
                                            partition_value=pv), partition_value=pv,
                                 run_suffix=run_suffix, start=True)

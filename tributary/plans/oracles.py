@@ -219,3 +219,8 @@ ORACLES: dict[str, str] = {
                n AS n_rows, CAST(CASE WHEN n IS NULL THEN 2 ELSE 0 END AS INTEGER) AS exit_code
         FROM j WHERE seq <= (SELECT s FROM stop)""",
 }
+
+ORACLES["job_run"] = f"""
+    SELECT step, CAST(level AS INTEGER) AS level, 'SUCCESS' AS status, n AS n_rows, CAST(0 AS INTEGER) AS exit_code
+    FROM (SELECT count(*) AS n FROM events WHERE {DAY_OF} = '{Q.DAY}') c,
+         (VALUES ('transport', 0), ('process', 1)) s(step, level)"""
