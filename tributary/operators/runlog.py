@@ -263,3 +263,31 @@ def _add_years(ts: dt.datetime, years: int) -> dt.datetime:
 
 def union_changes(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def rotate(spark: SparkSession, changes: DataFrame, history_path: str, current_path: str,
+           order: Column | None = None, closed=("SUCCESS", "FAILED", "SKIPPED", "BLOCKED")) -> dict:
+    """Move finished runs from the current log to the history.
+
+    Finished runs (folded status in ``closed``) are appended to the history
+    table; the change rows of the still-open runs are written as a *new*
+    current version at ``current_path`` (never over the folder being read).
+    Returns the run counts moved and kept."""
+    order = F.col("seq") if order is None else order
+    status = changes.groupBy("run_id").agg(latest("status", order))
+    cur = cut_to(status, current_path + "_status")
+    done = cur.where(F.col("status").isin(*closed)).select("run_id")
+    open_ = cur.where(~F.col("status").isin(*closed) | F.col("status").isNull()).select("run_id")
+    cols = [c for c in changes.columns]
+    (fold_changes(changes.join(done, "run_id", "left_semi"), "run_id", order,
+                  [c for c in cols if c not in ("run_id", "seq")])
+     .write.mode("append").parquet(history_path))
+    changes.join(open_, "run_id", "left_semi").write.mode("overwrite").parquet(current_path)
+    return {"moved": done.count(), "kept": open_.count()}
+
+
+def cut_to(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back (a lineage cut that is also
+    a readable table)."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -472,3 +472,88 @@ def q_job_run(spark, sf):
 
 
 QUERIES["job_run"] = q_job_run
+
+
+# ================================================ stated intent (S1-S7) ====
+
+LINEITEM_CONTRACT = {
+    "l_orderkey": {"type": "bigint", "nullable": False},
+    "l_quantity": {"type": "double", "min": 1.0, "max": 50.0},
+    "l_discount": {"min": 0.0, "max": 0.1},
+    "l_tax": {"type": "decimal(12,2)"},
+    "l_returnflag": {"values": ["A", "N", "R"]},
+    "l_linestatus": {"values": ["O"]},
+    "l_shipdate": {"nullable": False},
+    "l_comment": {"nullable": True},
+}
+LINEITEM_RULES = [
+    ("qty_positive", "l_quantity > 0"),
+    ("discount_range", "l_discount BETWEEN 0 AND 0.1"),
+    ("flag_domain", "l_returnflag IN ('A', 'N', 'R')"),
+    ("tax_not_above_discount", "l_tax <= l_discount"),
+]
+ORDERS_RAW_SQL = """
+SELECT CAST(o_orderkey AS STRING) AS o_orderkey,
+       CASE WHEN o_orderstatus = 'P' THEN 'C' ELSE '' END || CAST(o_custkey AS STRING) AS o_custkey,
+       CAST(o_totalprice AS STRING) AS o_totalprice,
+       o_orderpriority
+FROM {orders}
+"""
+
+
+def q_schema_contract(spark, sf):
+    from tributary.operators.quality import check_contract
+    return check_contract(FX.table(spark, sf, "lineitem"), LINEITEM_CONTRACT)
+
+
+def q_validation_rules(spark, sf):
+    from tributary.operators.quality import check_rules
+    return check_rules(FX.table(spark, sf, "lineitem"), LINEITEM_RULES)
+
+
+def q_normalize_rejects(spark, sf):
+    from tributary.operators.quality import normalize, reject_counts
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()),
+                           T.StructField("o_custkey", T.LongType()),
+                           T.StructField("o_totalprice", T.DoubleType()),
+                           T.StructField("o_orderpriority", T.IntegerType())])
+    return reject_counts(normalize(FX.run_sql(spark, sf, ORDERS_RAW_SQL), schema))
+
+
+def q_incremental_load(spark, sf):
+    from tributary.streaming.incremental import incremental_load
+    staging, target, ckpt = (work_dir(spark, n) for n in ("inc-src", "inc-out", "inc-ckpt"))
+    days = FX.days(spark, sf)
+    rows = []
+    for run, wave in enumerate([F.col("partition_value") <= DAY, F.col("partition_value") > DAY], start=1):
+        days.where(wave).drop("partition_value").write.mode("append").parquet(staging)
+        got = incremental_load(spark, staging, target, ckpt, FX.DAYS_SCHEMA)
+        total = spark.read.parquet(target).count()
+        rows.append((run, got["rows"], total))
+    return spark.createDataFrame(rows, "run INT, n_new LONG, n_total LONG")
+
+
+def q_run_log_rotate(spark, sf):
+    ch = FX.changes(spark, sf)
+    base = work_dir(spark, "rotate")
+    out = D.rotate(spark, ch, f"{base}/history", f"{base}/current", order=_order())
+    hist = spark.read.parquet(f"{base}/history").select("run_id").distinct().count()
+    cur = spark.read.parquet(f"{base}/current").select("run_id").distinct().count()
+    return spark.createDataFrame([("history", hist, out["moved"]), ("current", cur, out["kept"])],
+                                 "log STRING, n_runs LONG, n_reported LONG")
+
+
+def q_blocked_steps(spark, sf):
+    failed = FX.table(spark, sf, "supplier").where(F.col("s_acctbal") < 0).select(
+        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("node"))
+    return E.blocked_by_failures(E.accepted_edges(FX.entity_edges(spark, sf)), failed)
+
+
+QUERIES.update({
+    "schema_contract": q_schema_contract,
+    "validation_rules": q_validation_rules,
+    "normalize_rejects": q_normalize_rejects,
+    "incremental_load": q_incremental_load,
+    "run_log_rotate": q_run_log_rotate,
+    "blocked_steps": q_blocked_steps,
+})

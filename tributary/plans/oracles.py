@@ -224,3 +224,68 @@ ORACLES["job_run"] = f"""
     SELECT step, CAST(level AS INTEGER) AS level, 'SUCCESS' AS status, n AS n_rows, CAST(0 AS INTEGER) AS exit_code
     FROM (SELECT count(*) AS n FROM events WHERE {DAY_OF} = '{Q.DAY}') c,
          (VALUES ('transport', 0), ('process', 1)) s(step, level)"""
+
+
+def _contract_sql() -> str:
+    types = {"l_orderkey": "bigint", "l_quantity": "double", "l_tax": "double"}
+    parts = []
+    for col, rules in Q.LINEITEM_CONTRACT.items():
+        if col not in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                       "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"):
+            parts.append(f"SELECT '{col}' AS \"column\", 'missing' AS rule, count(*) AS n_violations FROM lineitem")
+            continue
+        checks = []
+        if "type" in rules:
+            checks.append(("type", "TRUE" if types.get(col) != rules["type"] else "FALSE"))
+        if rules.get("nullable") is False:
+            checks.append(("not_null", f"{col} IS NULL"))
+        if "min" in rules:
+            checks.append(("min", f"{col} < CAST({rules['min']} AS DOUBLE)"))
+        if "max" in rules:
+            checks.append(("max", f"{col} > CAST({rules['max']} AS DOUBLE)"))
+        if "values" in rules:
+            vals = ", ".join(f"'{v}'" for v in rules["values"])
+            checks.append(("values", f"{col} IS NOT NULL AND {col} NOT IN ({vals})"))
+        for rule, cond in checks:
+            parts.append(f"SELECT '{col}' AS \"column\", '{rule}' AS rule, "
+                         f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS n_violations FROM lineitem")
+    return "\nUNION ALL ".join(parts)
+
+
+def _rules_sql() -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS rule, CAST(sum(CASE WHEN ({c}) THEN 1 ELSE 0 END) AS BIGINT) AS n_pass, "
+        f"CAST(sum(CASE WHEN NOT ({c}) THEN 1 ELSE 0 END) AS BIGINT) AS n_fail, "
+        f"CAST(sum(CASE WHEN ({c}) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unknown FROM lineitem"
+        for name, c in Q.LINEITEM_RULES)
+
+
+_FOLD_STATUS = f"""SELECT run_id, arg_max(status, (ts, event_id)) FILTER (WHERE status IS NOT NULL) AS status
+                   FROM ({CHANGES}) c GROUP BY run_id"""
+
+ORACLES.update({
+    "schema_contract": _contract_sql(),
+    "validation_rules": _rules_sql(),
+    "normalize_rejects": """
+        SELECT 'o_orderpriority' AS "column", count(*) AS n_rejected FROM orders
+        UNION ALL
+        SELECT 'o_custkey' AS "column", count(*) AS n_rejected FROM orders WHERE o_orderstatus = 'P'
+        HAVING count(*) > 0""",
+    "incremental_load": f"""
+        SELECT CAST(1 AS INTEGER) AS run, count(*) FILTER (WHERE {DAY_OF} <= '{Q.DAY}') AS n_new,
+               count(*) FILTER (WHERE {DAY_OF} <= '{Q.DAY}') AS n_total FROM events
+        UNION ALL
+        SELECT CAST(2 AS INTEGER), count(*) FILTER (WHERE {DAY_OF} > '{Q.DAY}'), count(*) FROM events""",
+    "run_log_rotate": f"""
+        SELECT 'history' AS log, count(*) AS n_runs, count(*) AS n_reported
+        FROM ({_FOLD_STATUS}) s WHERE status IN ('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED')
+        UNION ALL
+        SELECT 'current', count(*), count(*)
+        FROM ({_FOLD_STATUS}) s WHERE status IS NULL OR status NOT IN ('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED')""",
+    "blocked_steps": f"""
+        WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({ENTITY}) x WHERE src <> dst),
+        f AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS node FROM supplier WHERE s_acctbal < 0),
+        r(node) AS (SELECT e.dst FROM e JOIN f ON e.src = f.node
+                    UNION SELECT e.dst FROM r JOIN e ON e.src = r.node)
+        SELECT node FROM r WHERE node NOT IN (SELECT node FROM f)""",
+})
