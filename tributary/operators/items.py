@@ -143,9 +143,10 @@ def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "pat
     Distinct paths are resolved once (a hot path costs one row), one left
     join per depth on ``(parent_id, name)``; requests get their id back by an
     equi-join on the path (AQE splits a skewed path key)."""
-    folders = (items.where(F.col("type") == "folder")
-               .select(F.col("parent_id").alias("_parent"), F.col("name").alias("_name"),
-                       F.col("id").alias("_fid")))
+    # Folders are read once per depth: materialise them once.
+    folders = cut(items.where(F.col("type") == "folder")
+                  .select(F.col("parent_id").alias("_parent"), F.col("name").alias("_name"),
+                          F.col("id").alias("_fid")))
     paths = (requests.select(F.col(path).alias("_path")).where(F.col("_path").isNotNull()).distinct()
              .withColumn("_segs", F.split("_path", "/"))
              .withColumn("_depth", F.size("_segs"))
@@ -172,6 +173,7 @@ def walk_tree(items: DataFrame, start, max_depth: int = 10_000) -> DataFrame:
     per level between the item table and the current folders; each level is
     checkpointed.  A cycle in a damaged table raises CycleError."""
     cols = [c for c in items.columns]
+    items = cut(items)  # scanned once per level: materialise the input once
     if isinstance(start, str):
         starts = items.sparkSession.createDataFrame([(start, "")], "_sid STRING, _spath STRING")
     else:
