@@ -77,6 +77,18 @@ def test_paged_listing_follows_every_link(spark, tmp_base):
     assert (top.type, top.mimeType, top.path, top.fullpath) == ("folder", "", "", "Top")
 
 
+def test_paged_listing_data_source(spark, tmp_base):
+    items = _tree(spark, 40)
+    pages = B.item_pages(items, page_size=16)
+    C.write_files(pages.select(F.concat("page_key", F.lit(".json")).alias("n"),
+                               F.encode("body", "UTF-8").alias("c")), tmp_base, "n", "c")
+    spark.dataSource.register(P.PagedListingSource)
+    got = (spark.read.format("paged_listing").option("store", tmp_base)
+           .option("links", "F1=F1-0,root=root-0").load())
+    assert got.where("error IS NULL").count() == 4      # 3 pages for F1, 1 for root
+    assert B.item_rows(got).count() == 41
+
+
 def test_missing_page_becomes_error_row(spark, tmp_base):
     starts = spark.createDataFrame([("F9", "nope-0")], "folder_id STRING, link STRING")
     got = P.follow_pages(starts, P.FilePageStore(tmp_base)).collect()

@@ -40,6 +40,22 @@ class FilePageStore:
             return fh.read().decode("utf-8")
 
 
+def _chain(get_page, folder, link, max_pages):
+    """Pages of one folder: (folder, page_no, link, body, error) tuples."""
+    n = 0
+    while link and n < max_pages:
+        try:
+            body = get_page(link)
+            nxt = json.loads(body).get(NEXT_LINK)
+            yield (folder, n, link, body, None)
+        except Exception as e:
+            yield (folder, n, link, None, f"{type(e).__name__}: {e}")
+            return
+        link, n = nxt, n + 1
+    if link and n >= max_pages:
+        yield (folder, n, link, None, f"more than {max_pages} pages")
+
+
 def follow_pages(starts: DataFrame, get_page, folder_col: str = "folder_id",
                  link_col: str = "link", partitions: int | None = None,
                  max_pages: int = 1_000_000) -> DataFrame:
@@ -50,21 +66,70 @@ def follow_pages(starts: DataFrame, get_page, folder_col: str = "folder_id",
         for pdf in batches:
             rows = []
             for folder, link in zip(pdf[folder_col], pdf[link_col]):
-                n = 0
-                while link and n < max_pages:
-                    try:
-                        body = get_page(link)
-                        nxt = json.loads(body).get(NEXT_LINK)
-                        rows.append((folder, n, link, body, None))
-                    except Exception as e:
-                        rows.append((folder, n, link, None, f"{type(e).__name__}: {e}"))
-                        break
-                    link, n = nxt, n + 1
-                if link and n >= max_pages:
-                    rows.append((folder, n, link, None, f"more than {max_pages} pages"))
+                rows.extend(_chain(get_page, folder, link, max_pages))
             yield pd.DataFrame(rows, columns=PAGE_ROW.fieldNames()).astype({"page_no": "int64"})
 
     src = starts.select(folder_col, link_col)
     if partitions:
         src = src.repartition(partitions)
     return src.mapInPandas(run, PAGE_ROW)
+
+
+# ------------------------------------------------------------------------
+# The same listing as a Python data source:
+#   spark.dataSource.register(PagedListingSource)
+#   spark.read.format("paged_listing").option("store", dir)
+#        .option("links", "F1=F1-0,F2=F2-0").load()
+# One input partition per start link.  ``get_page`` may instead name an
+# importable callable (``"package.module:function"``).  For very many
+# folders prefer ``follow_pages`` over a DataFrame of start links.
+# ------------------------------------------------------------------------
+
+try:
+    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+except ImportError:  # pragma: no cover
+    DataSource = None
+
+
+def _resolve_getter(options: dict):
+    if options.get("get_page"):
+        import importlib
+        mod, _, attr = options["get_page"].partition(":")
+        return getattr(importlib.import_module(mod), attr)
+    return FilePageStore(options["store"])
+
+
+if DataSource is not None:
+
+    class _LinkPartition(InputPartition):
+        def __init__(self, folder: str, link: str):
+            super().__init__((folder, link))
+            self.folder, self.link = folder, link
+
+    class _PagedListingReader(DataSourceReader):
+        def __init__(self, options: dict):
+            self.options = dict(options)
+
+        def partitions(self):
+            out = []
+            for part in (self.options.get("links") or "").split(","):
+                if part.strip():
+                    folder, _, link = part.strip().partition("=")
+                    out.append(_LinkPartition(folder, link or folder))
+            return out
+
+        def read(self, partition):
+            get_page = _resolve_getter(self.options)
+            max_pages = int(self.options.get("max_pages", "1000000"))
+            yield from _chain(get_page, partition.folder, partition.link, max_pages)
+
+    class PagedListingSource(DataSource):
+        @classmethod
+        def name(cls):
+            return "paged_listing"
+
+        def schema(self):
+            return PAGE_ROW
+
+        def reader(self, schema):
+            return _PagedListingReader(self.options)
