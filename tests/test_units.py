@@ -365,3 +365,16 @@ def test_messages_malformed_and_no_recipients(spark, tmp_base):
     assert got[2].error is not None                      # bad date: row kept, reason given
     long = rows(C.recipients_long(m.where("id = 1")), "id", "pos", "recipient")
     assert long == [(1, None, None)]
+
+
+def test_normalize_matches_try_cast(spark):
+    from tributary.operators.quality import normalize
+    vals = ["1.0", " 7 ", "+3", "-4", "1e3", "0x10", "１２", "12.5", "\t8\n", "99999999999",
+            "", " ", "1_000", "007", "3.", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "k INT, s STRING")
+    schema = T.StructType([T.StructField("s", T.IntegerType())])
+    got = {r.k: (r.s, r._rejected) for r in normalize(df.withColumnRenamed("s", "s"), schema, key="k").collect()}
+    want = {r.k: r.v for r in df.selectExpr("k", "try_cast(s AS INT) v").collect()}
+    assert {k: v[0] for k, v in got.items()} == want
+    assert got[15] == (None, [])             # NULL in, NULL out, not a reject
+    assert got[4] == (None, ["s"])           # present but not convertible

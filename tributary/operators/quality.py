@@ -63,6 +63,21 @@ def check_rules(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return agg.select(F.inline(F.array(*rows)))
 
 
+# Strings that could be integers: a superset of what Spark's string -> integral
+# cast accepts (it trims characters <= U+0020 and allows a sign and a zero
+# fraction).  Values outside it go straight to NULL, skipping the costly
+# failure path of the cast itself; values inside are cast as usual.
+_INTEGRAL_GUARD = r"^[\x00-\x20]*[+-]?[0-9]+(\.[0-9]*)?[\x00-\x20]*$"
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _try_cast(src: Column, source_type: T.DataType, target: T.DataType) -> Column:
+    cast = src.try_cast(target)
+    if isinstance(source_type, T.StringType) and isinstance(target, _INTEGRAL):
+        return F.when(src.rlike(_INTEGRAL_GUARD), cast)
+    return cast
+
+
 def normalize(df: DataFrame, schema: T.StructType, key: str | None = None) -> DataFrame:
     """S3: cast every column of ``schema`` with ``try_cast``; a value that
     was present but does not convert becomes NULL and its column name goes
@@ -70,7 +85,7 @@ def normalize(df: DataFrame, schema: T.StructType, key: str | None = None) -> Da
     out, bad = [], []
     for f in schema.fields:
         src = F.col(f.name)
-        cast = src.try_cast(f.dataType)
+        cast = _try_cast(src, df.schema[f.name].dataType, f.dataType)
         out.append(cast.alias(f.name))
         bad.append(F.when(src.isNotNull() & cast.isNull(), F.lit(f.name)))
     keep = [F.col(key)] if key and key not in schema.fieldNames() else []
