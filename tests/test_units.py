@@ -197,6 +197,11 @@ def test_run_log_lifecycle_and_defaults(spark, tmp_base):
     assert cur[b].status == "FAILED" and cur[b].error_message == "boom"
     assert cur[a].ttl.year == cur[a].start_ts.year + 1 and cur[a].job_name == "job"
     assert a.startswith("transport#$")
+    before = rows(log.current())
+    log.compact()
+    assert rows(log.current()) == before and log.changes().count() == 2
+    log.save(a, status="SKIPPED")
+    assert {r.run_id: r.status for r in log.current().collect()}[a] == "SKIPPED"
     name = "t_defaults_test"
     D.create_log_table(spark, name, tmp_base + "/table")
     D.create_log_table(spark, name, tmp_base + "/table")     # IF NOT EXISTS

@@ -69,10 +69,15 @@ def peel(edges: DataFrame, nodes: DataFrame | None = None,
     keeps its node unpeeled (it is a cycle).  ``max_rounds`` only bounds a
     runaway loop and raises; it never truncates a result silently."""
     e = cut(edges.select("src", "dst").distinct())
-    n = nodes.select("node").distinct() if nodes is not None else step_nodes(None, e)
-    indeg = e.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_in"))
-    state = cut(n.join(indeg, "node", "left").select(
-        "node", F.coalesce("_in", F.lit(0)).alias("indeg"), F.lit(None).cast("int").alias("level")))
+    # Nodes and in-degrees in one aggregation: each edge adds 0 to its
+    # source and 1 to its target.
+    ends = e.select(F.explode(F.array(
+        F.struct(F.col("src").alias("node"), F.lit(0).alias("d")),
+        F.struct(F.col("dst").alias("node"), F.lit(1).alias("d")))).alias("x")).select("x.*")
+    if nodes is not None:
+        ends = ends.unionByName(nodes.select("node", F.lit(0).alias("d")))
+    state = cut(ends.groupBy("node").agg(
+        F.sum("d").cast("long").alias("indeg"), F.lit(None).cast("int").alias("level")))
     level = 0
     while True:
         ready = state.where((F.col("indeg") == 0) & F.col("level").isNull()).select("node")

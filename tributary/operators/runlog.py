@@ -189,10 +189,39 @@ class RunLog:
         self.spark, self.path, self.job_name = spark, path.rstrip("/"), job_name
         self.ttl_years, self.created_by = ttl_years, created_by
         self._seq = 0
-        self._version = 0
+
+    # The live change folder is named in a small pointer file, so that a
+    # compaction can write a new folder and switch to it atomically enough
+    # for a single writer, without touching the folder being read.
+    def _pointer(self):
+        from tributary.sources.messages import _fs
+        fs, base = _fs(self.path)
+        return fs, f"{base}/CURRENT"
 
     def _changes_path(self) -> str:
-        return f"{self.path}/changes"
+        fs, ptr = self._pointer()
+        try:
+            with fs.open_input_stream(ptr) as fh:
+                name = fh.read().decode("utf-8").strip()
+        except (FileNotFoundError, OSError):
+            name = "changes"
+        return f"{self.path}/{name}"
+
+    def compact(self) -> str:
+        """Fold the change rows into one row per run, written as a new
+        version; later saves append to it.  Returns the new folder."""
+        current = self._changes_path()
+        version = current.rsplit("/", 1)[-1]
+        n = int(version.split("-v")[-1]) + 1 if "-v" in version else 1
+        target = f"{self.path}/changes-v{n}"
+        folded = self.current().withColumn("seq", F.lit(self._seq).cast("long"))
+        self.spark.read.schema(CHANGE_SCHEMA).parquet(current)  # fail early if unreadable
+        folded.select(*CHANGE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(target)
+        fs, ptr = self._pointer()
+        fs.create_dir(ptr.rsplit("/", 1)[0], recursive=True)
+        with fs.open_output_stream(ptr) as fh:
+            fh.write(f"changes-v{n}".encode("utf-8"))
+        return target
 
     def _row(self, run_id: str, cols: dict) -> dict:
         self._seq = max(self._seq + 1, int(dt.datetime.now().timestamp() * 1e6))
