@@ -383,3 +383,17 @@ def test_normalize_matches_try_cast(spark):
     assert {k: v[0] for k, v in got.items()} == want
     assert got[15] == (None, [])             # NULL in, NULL out, not a reject
     assert got[4] == (None, ["s"])           # present but not convertible
+
+
+def test_present_partitions_keeps_values_exact(spark, tmp_base):
+    locs = {"d": {"type": "directory", "directory_path": tmp_base + "/h"},
+            "p": {"type": "directory", "directory_path": tmp_base + "/p", "layout": "plain"}}
+    odd = ["a/b:c+d 2", "50%=x", "007", "2023-04-31"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(odd)], "a LONG, partition_value STRING")
+    L.write_partitions(df, locs, "d")
+    assert sorted(r[0] for r in L.present_partitions(spark, locs, "d").collect()) == sorted(odd)
+    for pv in ["007", "2023-04-31"]:
+        L.write_partition(df.where(F.col("partition_value") == pv), locs, "p", pv)
+    assert sorted(r[0] for r in L.present_partitions(spark, locs, "p").collect()) == ["007", "2023-04-31"]
+    req = L.requested_values(spark, ["007", "008"])
+    assert [r[0] for r in L.missing_partitions(spark, locs, "p", req).collect()] == ["008"]

@@ -166,18 +166,34 @@ def read_partitions(spark: SparkSession, locations: dict, name: str,
     return spark.read.format(fmt).schema(with_partition(schema)).load(_base(cfg))
 
 
+def _unescape_folder(c: Column) -> Column:
+    """Undo Spark's escaping of partition folder names (``%XX``; '+' is
+    never escaped, so protect it from URL decoding)."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def present_partitions(spark: SparkSession, locations: dict, name: str,
                        fmt: str = "parquet") -> DataFrame:
-    """Partition values present in a directory location (one row each)."""
+    """Partition values present in a directory location (one row each).
+
+    Built from the file listing only (``binaryFile`` without its content
+    column opens no file), so it costs a listing, not a read of every
+    footer; the value comes from the folder name, never type-inferred."""
     cfg = get_config(locations, name)
-    only_pv = T.StructType([T.StructField(PV, T.StringType(), True)])
+    base = _base(cfg)
     try:
-        df = spark.read.format(fmt).schema(only_pv).load(_base(cfg))
+        files = spark.read.format("binaryFile").load(base if cfg.get("layout", "hive") == "hive"
+                                                     else f"{base}/*")
     except AnalysisException as e:
         if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-            return spark.createDataFrame([], only_pv)
+            return spark.createDataFrame([], f"{PV} STRING")
         raise
-    return df.select(PV).distinct()
+    if cfg.get("layout", "hive") == "hive":
+        folder = F.regexp_extract("path", f"/{PV}=([^/]+)/[^/]*$", 1)
+    else:
+        folder = F.element_at(F.split("path", "/"), -2)
+    return (files.select(_unescape_folder(folder).alias(PV)).where(F.col(PV) != "")
+            .distinct())
 
 
 def missing_partitions(spark: SparkSession, locations: dict, name: str,
