@@ -73,7 +73,10 @@ def item_pages(items: DataFrame, page_size: int = 200) -> DataFrame:
     page_nos = counts.select("parent_id", "n_pages",
                              F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_pages") - 1))
                              .alias("page_no"))
-    key = lambda no: F.concat(F.col("parent_id"), F.lit("-"), no.cast("string"))
+
+    def key(no):
+        return F.concat(F.col("parent_id"), F.lit("-"), no.cast("string"))
+
     return (page_nos.join(grouped, ["parent_id", "page_no"], "left")
             .select(key(F.col("page_no")).alias("page_key"), "parent_id", "page_no",
                     F.to_json(F.struct(
