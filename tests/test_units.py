@@ -397,3 +397,25 @@ def test_present_partitions_keeps_values_exact(spark, tmp_base):
     assert sorted(r[0] for r in L.present_partitions(spark, locs, "p").collect()) == ["007", "2023-04-31"]
     req = L.requested_values(spark, ["007", "008"])
     assert [r[0] for r in L.missing_partitions(spark, locs, "p", req).collect()] == ["008"]
+
+
+def test_one_outcome_per_partition_and_concurrency_agrees(spark, tmp_base):
+    src = FX.days_location(spark, SF_SMALL)
+    locs = dict(src, out={"type": "snowflake_landing_zone", "directory_path": tmp_base})
+    vals = [f"2024-01-{d:02d}" for d in range(1, 11)]
+    seq = I.ingest_partitions(spark, locs, "days", "out", vals, FX.DAYS_SCHEMA, "continue")
+    par = I.ingest_partitions(spark, locs, "days", "out", vals, FX.DAYS_SCHEMA, "continue", concurrent_jobs=4)
+    a = rows(seq, "seq", "partition_value", "status", "n_rows")
+    assert a == rows(par, "seq", "partition_value", "status", "n_rows")
+    assert [r[1] for r in a] == vals and all(r[2] == "SUCCESS" for r in a)
+    counts = dict(rows(FX.days(spark, SF_SMALL).groupBy("partition_value").count()))
+    assert all(r[3] == counts[r[1]] for r in a)
+
+
+def test_item_pages_stay_bounded_for_a_hot_folder(spark):
+    # one folder holding a large share of all items: pages stay near page_size
+    items = _tree(spark, 3000)
+    sizes = (B.item_pages(items, page_size=100)
+             .select(F.size(F.from_json("body", B.PAGE_SCHEMA)["value"]).alias("n")))
+    r = sizes.agg(F.max("n"), F.sum("n"), F.count(F.lit(1))).first()
+    assert r[1] == 3001 and r[2] == 31 and r[0] <= 160

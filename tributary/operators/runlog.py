@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 import uuid
 from functools import reduce
 
@@ -189,6 +190,7 @@ class RunLog:
         self.spark, self.path, self.job_name = spark, path.rstrip("/"), job_name
         self.ttl_years, self.created_by = ttl_years, created_by
         self._seq = 0
+        self._lock = threading.Lock()  # jobs of one run may log from several threads
 
     # The live change folder is named in a small pointer file, so that a
     # compaction can write a new folder and switch to it atomically enough
@@ -224,11 +226,13 @@ class RunLog:
         return target
 
     def _row(self, run_id: str, cols: dict) -> dict:
-        self._seq = max(self._seq + 1, int(dt.datetime.now().timestamp() * 1e6))
+        with self._lock:
+            self._seq = max(self._seq + 1, int(dt.datetime.now().timestamp() * 1e6))
+            seq = self._seq
         row = {n: None for n, _ in LOG_COLUMNS}
         row.update(cols)
         row["run_id"] = run_id
-        row["seq"] = self._seq
+        row["seq"] = seq
         return row
 
     def save(self, run_id: str, *more: dict, **cols) -> None:

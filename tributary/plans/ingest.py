@@ -90,32 +90,47 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
 def ingest_partitions(spark: SparkSession, locations: dict, source: str, target: str,
                       values: list[str], schema: T.StructType, policy: str = "fail",
                       fmt: str = "parquet", transform=None, run_log: RunLog | None = None,
-                      step: str = "transport") -> DataFrame:
+                      step: str = "transport", concurrent_jobs: int = 1) -> DataFrame:
     """one outcome row per partition value attempted, in order.
 
-    Missing partitions are found first in one job (A3 set form), so a run
-    that would stop on a missing source stops before copying anything past
-    it; copies then run one job per partition."""
+    Missing partitions are found first in one job (A3 set form), so the run
+    knows where a missing source will stop it before copying anything.
+    Under ``continue`` the copies before that point are independent and may
+    run as ``concurrent_jobs`` concurrent Spark jobs; under ``fail`` they
+    run one after another and stop at the first error."""
     if policy not in ("fail", "continue"):
         raise ValueError("policy must be 'fail' or 'continue'")
     req = L.requested_values(spark, values)
     missing = {r[0] for r in L.missing_partitions(spark, locations, source, req, fmt).collect()}
-    rows = []
-    for i, pv in enumerate(values):
-        if pv in missing:
-            err = InvalidSourceError(f"Directory '{L.partition_path(locations, source, pv)}' does not exist.")
-            if run_log is not None:
-                rid = run_log.create(step, {"source": source, "target": target}, partition_value=pv)
-                run_log.failed(rid, str(err))
-            rows.append((i, pv, "FAILED", None, exit_code_of(err), str(err), None))
-            break
+    stop_at = next((i for i, pv in enumerate(values) if pv in missing), len(values))
+
+    def attempt(item):
+        i, pv = item
         out = copy_partition(spark, locations, source, target, pv, schema, fmt,
                              transform=transform, run_log=run_log, step=step)
         err = out["error"]
-        rows.append((i, pv, out["status"], out["n_rows"], exit_code_of(err),
-                     None if err is None else f"{type(err).__name__}: {err}", out["target_path"]))
-        if err is not None and (policy == "fail" or isinstance(err, InvalidSourceError)):
-            break
+        return err, (i, pv, out["status"], out["n_rows"], exit_code_of(err),
+                     None if err is None else f"{type(err).__name__}: {err}", out["target_path"])
+
+    rows = []
+    todo = list(enumerate(values[:stop_at]))
+    if policy == "continue" and concurrent_jobs > 1:
+        with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
+            rows = [row for _, row in pool.map(attempt, todo)]
+    else:
+        for item in todo:
+            err, row = attempt(item)
+            rows.append(row)
+            if err is not None and policy == "fail":
+                break
+    stopped_early = len(rows) < stop_at
+    if stop_at < len(values) and not stopped_early:
+        pv = values[stop_at]
+        err = InvalidSourceError(f"Directory '{L.partition_path(locations, source, pv)}' does not exist.")
+        if run_log is not None:
+            rid = run_log.create(step, {"source": source, "target": target}, partition_value=pv)
+            run_log.failed(rid, str(err))
+        rows.append((stop_at, pv, "FAILED", None, exit_code_of(err), str(err), None))
     return spark.createDataFrame(rows, OUTCOME_SCHEMA)
 
 

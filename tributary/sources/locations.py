@@ -253,3 +253,16 @@ def requested_values(spark: SparkSession, values: Iterable[str]) -> DataFrame:
 
 def partition_col(pv: str) -> Column:
     return F.lit(str(pv)).alias(PV)
+
+
+# Entry points named after the reference's client factory.
+
+def get_source(spark: SparkSession, locations: dict, name: str, partition_value: str,
+               schema: T.StructType, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
+    """The source partition of a named location as a DataFrame."""
+    return read_partition(spark, locations, name, partition_value, schema, fmt, options)
+
+
+def get_sink(locations: dict, name: str, partition_value: str) -> str:
+    """The sink folder of a named location for one partition (created by the write)."""
+    return partition_path(locations, name, partition_value)
