@@ -15,6 +15,7 @@ import threading
 import uuid
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -217,8 +218,7 @@ class RunLog:
         n = int(version.split("-v")[-1]) + 1 if "-v" in version else 1
         target = f"{self.path}/changes-v{n}"
         folded = self.current().withColumn("seq", F.lit(self._seq).cast("long"))
-        self.spark.read.schema(CHANGE_SCHEMA).parquet(current)  # fail early if unreadable
-        folded.select(*CHANGE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(target)
+        folded.select(*CHANGE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{target}/0-compacted")
         fs, ptr = self._pointer()
         fs.create_dir(ptr.rsplit("/", 1)[0], recursive=True)
         with fs.open_output_stream(ptr) as fh:
@@ -235,10 +235,17 @@ class RunLog:
         row["seq"] = seq
         return row
 
+    def _append(self, rows: list[dict]) -> None:
+        """Each append is its own folder: concurrent writers (threads of one
+        run, or several drivers) never share a commit area."""
+        import pandas as pd
+        folder = f"{self._changes_path()}/{rows[0]['seq']:020d}-{uuid.uuid4().hex[:8]}"
+        pdf = pd.DataFrame(rows, columns=CHANGE_SCHEMA.fieldNames()).astype({"seq": "int64"})
+        self.spark.createDataFrame(pdf, CHANGE_SCHEMA).coalesce(1).write.mode("error").parquet(folder)
+
     def save(self, run_id: str, *more: dict, **cols) -> None:
         """Append one change (plus optional further changes) in one write."""
-        rows = [self._row(run_id, cols)] + [self._row(run_id, m) for m in more]
-        self.spark.createDataFrame(rows, CHANGE_SCHEMA).write.mode("append").parquet(self._changes_path())
+        self._append([self._row(run_id, cols)] + [self._row(run_id, m) for m in more])
 
     def create(self, step: str, params: dict, partition_value: str | None = None,
                run_suffix: str | None = None, start: bool = False) -> str:
@@ -265,7 +272,7 @@ class RunLog:
                 partition_value=partition_value, params=json.dumps(params, default=str, sort_keys=True),
                 ttl=_add_years(now, self.ttl_years), created_by=self.created_by, created_at=now,
                 last_updated_at=now)))
-        self.spark.createDataFrame(rows, CHANGE_SCHEMA).write.mode("append").parquet(self._changes_path())
+        self._append(rows)
         return ids
 
     def start(self, run_id: str) -> None:
@@ -280,7 +287,12 @@ class RunLog:
         self.save(run_id, status="FAILED", error_message=error_message, end_ts=now, last_updated_at=now)
 
     def changes(self) -> DataFrame:
-        return self.spark.read.schema(CHANGE_SCHEMA).parquet(self._changes_path())
+        try:
+            return self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self._changes_path()}/*")
+        except AnalysisException as e:
+            if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
+                return self.spark.createDataFrame([], CHANGE_SCHEMA)
+            raise
 
     def current(self) -> DataFrame:
         return fold_changes(self.changes(), "run_id", F.col("seq"),
