@@ -67,7 +67,10 @@ def write_files(df: DataFrame, out_dir: str, name_col: str, content_col: str) ->
 def render_messages(rows: DataFrame) -> DataFrame:
     """RFC 822 text for rows ``id, sender, to1, to2, cc1, epoch, body``
     (JVM-side string building)."""
-    date = F.date_format(F.timestamp_seconds("epoch"), "dd MMM yyyy HH:mm:ss")
+    # Wall-clock UTC without the session time zone: epoch + seconds on a
+    # zone-less timestamp.
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("epoch"))
+    date = F.date_format(utc, "dd MMM yyyy HH:mm:ss")
     header = F.concat_ws(
         "\r\n",
         F.concat(F.lit("From: "), "sender"),
