@@ -419,3 +419,41 @@ def test_item_pages_stay_bounded_for_a_hot_folder(spark):
              .select(F.size(F.from_json("body", B.PAGE_SCHEMA)["value"]).alias("n")))
     r = sizes.agg(F.max("n"), F.sum("n"), F.count(F.lit(1))).first()
     assert r[1] == 3001 and r[2] == 31 and r[0] <= 160
+
+
+def test_job_runs_block_skip_and_cycles(spark, tmp_base):
+    from tributary.plans.jobs import job_exit_code, run_job
+    src = FX.days_location(spark, SF_SMALL)
+    locs = dict(src, a={"type": "directory", "directory_path": tmp_base + "/a"},
+                b={"type": "directory", "directory_path": tmp_base + "/b"})
+    ddl = "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING"
+    cfg = {"name": "j", "locations": locs, "log_path": tmp_base + "/log", "steps": {
+        "load": {"uses": "copy", "params": {"source": "days", "target": "a", "schema": ddl}},
+        "broken": {"uses": "no_such_action", "depends_on": "load",
+                   "params": {"source": "a", "target": "b", "schema": ddl}},
+        "after_broken": {"uses": "copy", "depends_on": ["broken"],
+                         "params": {"source": "b", "target": "a", "schema": ddl}},
+        "side": {"uses": "copy", "depends_on": "load",
+                 "params": {"source": "a", "target": "b", "schema": ddl}},
+    }}
+    out = {r.step: (r.level, r.status, r.exit_code) for r in
+           run_job(spark, cfg, "2024-01-02", policy="continue").collect()}
+    assert out["load"] == (0, "SUCCESS", 0)
+    assert out["broken"][1:] == ("FAILED", 4)
+    assert out["side"][1] == "SUCCESS" and out["after_broken"][1] == "BLOCKED"
+    fail = run_job(spark, cfg, "2024-01-03", policy="fail")
+    statuses = {r.step: r.status for r in fail.collect()}
+    assert statuses["broken"] == "FAILED" and statuses["after_broken"] in ("SKIPPED", "BLOCKED")
+    assert job_exit_code(fail).first()[0] == 4
+    cyc = {"locations": locs, "steps": {"x": {"depends_on": "y"}, "y": {"depends_on": "x"}}}
+    with pytest.raises(CycleError):
+        run_job(spark, cyc, "2024-01-02")
+
+
+def test_empty_source_is_skipped(spark, tmp_base):
+    locs = {"s": {"type": "directory", "directory_path": tmp_base + "/s"},
+            "t": {"type": "directory", "directory_path": tmp_base + "/t"}}
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    L.write_partition(spark.createDataFrame([], schema), locs, "s", "p1")
+    out = I.copy_partition(spark, locs, "s", "t", "p1", schema, skip_empty=True)
+    assert out["status"] == "SKIPPED" and out["n_rows"] == 0

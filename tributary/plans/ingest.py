@@ -59,7 +59,7 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
                    transform: Callable[[DataFrame], DataFrame] | None = None,
                    run_log: RunLog | None = None, step: str = "transport",
                    params: dict | None = None, run_suffix: str | None = None,
-                   run_id: str | None = None) -> dict:
+                   run_id: str | None = None, skip_empty: bool = False) -> dict:
     """Source partition -> optional transform -> sink partition.
 
     Returns ``{status, n_rows, target_path, error, run_id}``; raises nothing
@@ -72,6 +72,11 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
                                 run_suffix=run_suffix, start=True)
     try:
         df = L.read_partition(spark, locations, source, pv, schema, fmt)
+        if skip_empty and df.isEmpty():  # reads at most one row
+            if run_log is not None:
+                run_log.save(run_id, status="SKIPPED", error_message="empty source partition")
+            return {"status": "SKIPPED", "n_rows": 0, "target_path": None, "error": None,
+                    "run_id": run_id}
         if transform is not None:
             df = df.transform(transform)
         path = L.partition_path(locations, target, pv)

@@ -71,12 +71,15 @@ def step_order(spark: SparkSession, config: dict) -> list[tuple[int, str]]:
     return sorted((int(r.level), r.node) for r in levels.collect())
 
 
-def run_job(spark: SparkSession, config: dict, partition_value: str, schema,
+def run_job(spark: SparkSession, config: dict, partition_value: str, schema=None,
             policy: str = "fail", run_log: RunLog | None = None,
             concurrent_jobs: int = 1) -> DataFrame:
     """Run every step for one partition value; one outcome row per step.
 
-    ``schema`` is one StructType for all sources or a dict step -> StructType."""
+    ``schema`` is one StructType for all sources or a dict step -> StructType;
+    a step's ``params.schema`` (DDL text) takes precedence.  A step with
+    ``params.skip_empty`` is SKIPPED (not failed) when its source partition
+    has no rows."""
     order = step_order(spark, config)
     steps = config["steps"]
     parents = {n: ([c["depends_on"]] if isinstance(c.get("depends_on"), str)
@@ -98,12 +101,16 @@ def run_job(spark: SparkSession, config: dict, partition_value: str, schema,
             return (name, level, "FAILED", None, exit_code_of(e), str(e), partition_value), e
         src_fmt = params.get("source_file_format", "parquet")
         tgt_fmt = params.get("target_file_format", "parquet")
-        sch = schema[name] if isinstance(schema, dict) else schema
+        if params.get("schema"):  # DDL text in the step config
+            sch = spark.createDataFrame([], params["schema"]).schema
+        else:
+            sch = schema[name] if isinstance(schema, dict) else schema
         extra = params.get("transform_params") or {}
         out = copy_partition(spark, config["locations"], params["source"], params["target"],
                              partition_value, sch, fmt=src_fmt, target_fmt=tgt_fmt,
                              transform=(lambda df: transform(df, **extra)), run_log=log, step=name,
-                             params=params, run_id=queued.get(name))
+                             params=params, run_id=queued.get(name),
+                             skip_empty=bool(params.get("skip_empty", False)))
         err = out["error"]
         return ((name, level, out["status"], out["n_rows"], exit_code_of(err),
                  None if err is None else f"{type(err).__name__}: {err}", partition_value), err)
