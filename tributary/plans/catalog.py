@@ -474,6 +474,43 @@ def q_job_run(spark, sf):
 QUERIES["job_run"] = q_job_run
 
 
+@R.register("reject_error_events")
+def _reject_error_events(df: DataFrame) -> DataFrame:
+    """A check step: the partition fails when it holds any error event."""
+    # A filter predicate is always evaluated (a dropped column would be pruned).
+    ok = F.when(F.col("event_type") == "error",
+                F.raise_error(F.lit("error events present")).cast("boolean")).otherwise(F.lit(True))
+    return df.where(ok)
+
+
+def q_job_run_blocked(spark, sf):
+    """Four steps under the ``continue`` policy: a check fails, the step
+    after it is BLOCKED, an independent branch still succeeds."""
+    from tributary.plans.jobs import run_job
+    src = FX.days_location(spark, sf)
+    folder = lambda n: {"type": "directory", "directory_path": work_dir(spark, n)}
+    config = {
+        "name": "checked job",
+        "locations": dict(src, staged=folder("jb-staged"), checked=folder("jb-checked"),
+                          published=folder("jb-published"), side=folder("jb-side")),
+        "steps": {
+            "load": {"uses": "copy", "params": {"source": "days", "target": "staged"}},
+            "check": {"uses": "reject_error_events", "depends_on": "load",
+                      "params": {"source": "staged", "target": "checked"}},
+            "publish": {"uses": "copy", "depends_on": "check",
+                        "params": {"source": "checked", "target": "published"}},
+            "side": {"uses": "copy", "depends_on": "load",
+                     "params": {"source": "staged", "target": "side"}},
+        },
+        "log_path": work_dir(spark, "jb-log"),
+    }
+    out = run_job(spark, config, DAY, FX.DAYS_SCHEMA, policy="continue")
+    return out.select("step", "level", "status", "n_rows", "exit_code")
+
+
+QUERIES["job_run_blocked"] = q_job_run_blocked
+
+
 # ================================================ stated intent (S1-S7) ====
 
 LINEITEM_CONTRACT = {

@@ -119,7 +119,7 @@ JOIN {nation} cn ON c_nationkey = cn.n_nationkey
 # TRADE kept for the cycle check: flows to a higher nation key, plus every
 # flow inside region 2 (those nations depend on each other -> cycles).
 TRADE_CYCLIC_SQL = """
-SELECT src, dst FROM ({trade}) t
+SELECT src, dst FROM {trade}
 WHERE src_key < dst_key OR (src_region = 2 AND dst_region = 2)
 """
 
@@ -180,8 +180,7 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trade_cyclic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_sql(spark, sf_dir, TRADE_CYCLIC_SQL.replace("({trade})", "{trade}"),
-                   trade=trade(spark, sf_dir))
+    return run_sql(spark, sf_dir, TRADE_CYCLIC_SQL, trade=trade(spark, sf_dir))
 
 
 def resolve_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +196,7 @@ def mail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duck_trade_cyclic() -> str:
-    return TRADE_CYCLIC_SQL.replace("{trade}", duck(TRADE_SQL))
+    return TRADE_CYCLIC_SQL.replace("{trade}", "(" + duck(TRADE_SQL) + ") t")
 
 
 # --------------------------------------------------------------------------

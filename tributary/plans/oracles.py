@@ -220,6 +220,17 @@ ORACLES: dict[str, str] = {
         FROM j WHERE seq <= (SELECT s FROM stop)""",
 }
 
+ORACLES["job_run_blocked"] = f"""
+    WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS n_err
+               FROM events WHERE {DAY_OF} = '{Q.DAY}')
+    SELECT 'load' AS step, CAST(0 AS INTEGER) AS level, 'SUCCESS' AS status, n AS n_rows,
+           CAST(0 AS INTEGER) AS exit_code FROM c
+    UNION ALL SELECT 'side', 1, 'SUCCESS', n, 0 FROM c
+    UNION ALL SELECT 'check', 1, CASE WHEN n_err > 0 THEN 'FAILED' ELSE 'SUCCESS' END,
+                     CASE WHEN n_err > 0 THEN NULL ELSE n END, CASE WHEN n_err > 0 THEN 1 ELSE 0 END FROM c
+    UNION ALL SELECT 'publish', 2, CASE WHEN n_err > 0 THEN 'BLOCKED' ELSE 'SUCCESS' END,
+                     CASE WHEN n_err > 0 THEN NULL ELSE n END, CASE WHEN n_err > 0 THEN NULL ELSE 0 END FROM c"""
+
 ORACLES["job_run"] = f"""
     SELECT step, CAST(level AS INTEGER) AS level, 'SUCCESS' AS status, n AS n_rows, CAST(0 AS INTEGER) AS exit_code
     FROM (SELECT count(*) AS n FROM events WHERE {DAY_OF} = '{Q.DAY}') c,
