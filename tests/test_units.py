@@ -457,3 +457,22 @@ def test_empty_source_is_skipped(spark, tmp_base):
     L.write_partition(spark.createDataFrame([], schema), locs, "s", "p1")
     out = I.copy_partition(spark, locs, "s", "t", "p1", schema, skip_empty=True)
     assert out["status"] == "SKIPPED" and out["n_rows"] == 0
+
+
+def test_download_manifest_to_folder(spark, tmp_base):
+    items = FX.items(spark, SF_SMALL)
+    root = local_path(tmp_base)
+    manifest = B.download_manifest(items, root, "EUROPE")
+
+    def fetcher(url):
+        if not url:
+            return 404, "no download url", None
+        return 200, "OK", url.encode()
+
+    out = B7.fetch_to_folder(manifest, fetcher, "uri", "target_path").collect()
+    ok = [r for r in out if r.status == 200]
+    assert ok and len(ok) + sum(r.status == 404 for r in out) == len(out)
+    sample = ok[0]
+    with open(sample.target_path, "rb") as fh:
+        assert fh.read() == sample.uri.encode()
+    assert sample.target_path.startswith(root + "/EUROPE/")

@@ -77,3 +77,47 @@ def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | Non
 
     src = manifest.repartition(partitions) if partitions else manifest
     return src.mapInPandas(run, schema)
+
+
+def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
+                    partitions: int | None = None) -> DataFrame:
+    """Download each file straight to its ``target_col`` path (e.g. from
+    ``items.download_manifest``) from the executors; outcome rows carry
+    ``status, reason, length`` but no bodies, so file size never becomes
+    row size.  Writes go to the target path itself (a retried task rewrites
+    the same file), through any filesystem pyarrow can open."""
+    fields = [f for f in OUTCOME_FIELDS if f.name != "content"]
+    schema = T.StructType(list(manifest.schema.fields) + fields)
+    cols = manifest.columns
+
+    def run(batches):
+        from tributary.sources.messages import _fs
+        fs_cache = {}
+        for pdf in batches:
+            status, reason, length = [], [], []
+            for url, target in zip(pdf[url_col], pdf[target_col]):
+                try:
+                    s, r, body = fetcher(url)
+                    n = None
+                    if s == 200 and body is not None:
+                        root = target.rsplit("/", 1)[0] or "/"
+                        if root not in fs_cache:
+                            fs_cache[root] = _fs(root)
+                        fs, base = fs_cache[root]
+                        fs.create_dir(base, recursive=True)
+                        with fs.open_output_stream(f"{base}/{target.rsplit('/', 1)[-1]}") as fh:
+                            fh.write(bytes(body))
+                        n = len(body)
+                except Exception as e:
+                    s, r, n = -1, f"{type(e).__name__}: {e}", None
+                status.append(s)
+                reason.append(r)
+                length.append(n)
+            out = pdf[cols].copy()
+            out["status"] = pd.array(status, dtype="Int32")
+            out["reason"] = reason
+            out["length"] = pd.array(length, dtype="Int64")
+            yield out
+
+    src = manifest.repartition(partitions) if partitions else manifest
+    return src.mapInPandas(run, schema)
