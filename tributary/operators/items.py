@@ -168,21 +168,27 @@ def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "pat
 
 # ----------------------------------------------------------------- walk ----
 
-def walk_tree(items: DataFrame, start, max_depth: int = 10_000) -> DataFrame:
+def walk_tree(items: DataFrame, start, max_depth: int = 10_000,
+              carry: list[str] | None = None) -> DataFrame:
     """Every item under the start folder(s), with ``level`` (0 for the
     start folder's children) and ``walk_path`` (names from the start).
 
-    ``start`` is a folder id or a DataFrame with an ``id`` column.  One join
-    per level between the item table and the current folders; each level is
-    checkpointed.  A cycle in a damaged table raises CycleError."""
-    cols = [c for c in items.columns]
-    items = cut(items)  # scanned once per level: materialise the input once
+    ``start`` is a folder id or a DataFrame with an ``id`` column.  The item
+    table is narrowed to ``id, parent_id, name, type`` plus the ``carry``
+    columns (default: all) and materialised once, since every level scans
+    it; then one join per level between it and the current folders, each
+    level checkpointed.  A cycle in a damaged table raises CycleError."""
+    base = ["id", "parent_id", "name", "type"]
+    extra = [c for c in (items.columns if carry is None else carry) if c not in base]
+    cols = base + extra
+    table = cut(items.select(*cols))
+    spark = items.sparkSession
     if isinstance(start, str):
-        starts = items.sparkSession.createDataFrame([(start, "")], "_sid STRING, _spath STRING")
+        starts = spark.createDataFrame([(start, "")], "_sid STRING, _spath STRING")
     else:
         starts = start.select(F.col("id").alias("_sid"), F.lit("").alias("_spath"))
-    first = items.join(starts, items["parent_id"] == starts["_sid"]).select(
-        *[items[c] for c in cols], F.lit(0).alias("level"),
+    first = table.join(starts, table["parent_id"] == starts["_sid"]).select(
+        *[table[c] for c in cols], F.lit(0).alias("level"),
         F.when(F.col("_spath") == "", F.col("name"))
          .otherwise(F.concat(F.col("_spath"), F.lit("/"), F.col("name"))).alias("walk_path"))
     frontier = cut(first)
@@ -196,8 +202,8 @@ def walk_tree(items: DataFrame, start, max_depth: int = 10_000) -> DataFrame:
             raise CycleError(f"item tree deeper than {max_depth} levels; a cycle is likely")
         folders = frontier.where(F.col("type") == "folder").select(
             F.col("id").alias("_pid"), F.col("level").alias("_plevel"), F.col("walk_path").alias("_ppath"))
-        nxt = items.join(folders, items["parent_id"] == folders["_pid"]).select(
-            *[items[c] for c in cols], (F.col("_plevel") + 1).alias("level"),
+        nxt = table.join(folders, table["parent_id"] == folders["_pid"]).select(
+            *[table[c] for c in cols], (F.col("_plevel") + 1).alias("level"),
             F.concat(F.col("_ppath"), F.lit("/"), F.col("name")).alias("walk_path"))
         frontier = cut(nxt)
     return union_all(levels, empty)
@@ -233,7 +239,7 @@ def download_manifest(items: DataFrame, local_root: str, start_path: str = "root
     else:
         req = spark.createDataFrame([(start_path,)], "path STRING")
         start = resolve_folder_paths(items, req).select(F.col("folder_id").alias("id")).where("id IS NOT NULL")
-    walked = walk_tree(items, start)
+    walked = walk_tree(items, start, carry=["pp", "dl"])
     files = walked.where(F.col("type") == "file")
     rel = F.ltrim(X.path_after_root(F.col("pp")))
     rel = F.regexp_replace(rel, "^/+", "")

@@ -173,7 +173,7 @@ def q_folder_resolve(spark, sf):
 
 
 def q_tree_walk(spark, sf):
-    return B.walk_tree(_items(spark, sf), "root").select(
+    return B.walk_tree(_items(spark, sf), "root", carry=[]).select(
         "id", "parent_id", "name", "type", "level", "walk_path")
 
 
