@@ -1,8 +1,9 @@
-"""Registered queries (one per operator key) and their DuckDB oracles.
+"""Registered queries, one per operator key (their DuckDB oracles are in
+``oracles``).
 
 Every query reads the driver tables (or files Spark writes from them) in
-full; derived inputs come from ``fixtures``.  Oracles are plain SQL over the
-same tables.  Column names and types agree between the two sides.
+full; derived inputs come from ``fixtures``.  Column names and types agree
+with the oracle of the same key.
 """
 
 from __future__ import annotations

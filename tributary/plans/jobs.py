@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.errors import (ActionNotFound, CycleError, InvalidSourceError,
-                              exit_code_of)
+from tributary.errors import (ActionNotFound, CycleError, InvalidConfigError,
+                              InvalidSourceError, exit_code_of)
 from tributary.functions import registry as R
 from tributary.operators import deps as E
 from tributary.operators.runlog import RunLog
@@ -97,7 +97,11 @@ def run_job(spark: SparkSession, config: dict, partition_value: str, schema=None
         params = dict(ctx.get("params") or {})
         try:
             transform = R.get(ctx.get("uses") or "copy")
-        except ActionNotFound as e:
+            if not params.get("source") or not params.get("target"):
+                raise InvalidConfigError(f"step '{name}' needs params.source and params.target")
+        except (ActionNotFound, InvalidConfigError) as e:
+            if log is not None and name in queued:
+                log.failed(queued[name], str(e))
             return (name, level, "FAILED", None, exit_code_of(e), str(e), partition_value), e
         src_fmt = params.get("source_file_format", "parquet")
         tgt_fmt = params.get("target_file_format", "parquet")
@@ -139,6 +143,6 @@ def run_job(spark: SparkSession, config: dict, partition_value: str, schema=None
 
 
 def job_exit_code(outcomes: DataFrame) -> DataFrame:
-    """Exit code of the whole run: the first failing step's code, else 0."""
+    """Exit code of the whole run: the highest code among failed steps, else 0."""
     return outcomes.agg(F.coalesce(F.max(F.when(F.col("status") == "FAILED", F.col("exit_code"))),
                                    F.lit(0)).alias("exit_code"))
