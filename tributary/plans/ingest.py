@@ -126,8 +126,8 @@ def ingest_partitions(spark: SparkSession, locations: dict, source: str, target:
         for item in todo:
             err, row = attempt(item)
             rows.append(row)
-            if err is not None and policy == "fail":
-                break
+            if err is not None and (policy == "fail" or isinstance(err, InvalidSourceError)):
+                break  # a source that vanished after the check also stops the run
     stopped_early = len(rows) < stop_at
     if stop_at < len(values) and not stopped_early:
         pv = values[stop_at]
