@@ -53,8 +53,10 @@ def item_pages(items: DataFrame, page_size: int = 200) -> DataFrame:
     is ever collected into one row or one sort: each page holds about
     ``page_size`` items.  Empty pages still exist, keeping every chain whole.
     """
-    counts = (items.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("n_pages", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(page_size)))))
+    # One row per folder, used twice below: materialise it so the items are
+    # scanned twice (count, then assign), not three times.
+    counts = cut(items.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"))
+                 .withColumn("n_pages", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(page_size)))))
     entry = F.struct(
         F.col("id").alias("id"),
         F.col("name").alias("name"),
