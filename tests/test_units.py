@@ -62,6 +62,7 @@ def test_paged_listing_follows_every_link(spark, tmp_base):
     items = _tree(spark, 70)
     pages = B.item_pages(items, page_size=32)
     assert pages.where("parent_id = 'F1'").count() == 3          # ceil(70 / 32)
+    assert pages.count() == 4                                       # + one root page
     C.write_files(pages.select(F.concat("page_key", F.lit(".json")).alias("n"),
                                F.encode("body", "UTF-8").alias("c")), tmp_base, "n", "c")
     starts = spark.createDataFrame([("F1", "F1-0"), ("root", "root-0")], "folder_id STRING, link STRING")
@@ -476,3 +477,20 @@ def test_download_manifest_to_folder(spark, tmp_base):
     with open(sample.target_path, "rb") as fh:
         assert fh.read() == sample.uri.encode()
     assert sample.target_path.startswith(root + "/EUROPE/")
+
+
+def test_walk_remote_lists_levels_and_reports_errors(spark, tmp_base):
+    items = spark.createDataFrame([
+        ("A", "root", "A", "folder", "/d/root:", None, None),
+        ("B", "A", "B", "folder", "/d/root:/A", None, None),
+        ("Z", "A", "Z", "folder", "/d/root:/A", None, None),
+        ("f", "B", "f.txt", "file", "/d/root:/A/B", "text/plain", "https://dl/f")],
+        "id STRING, parent_id STRING, name STRING, type STRING, pp STRING, mime STRING, dl STRING")
+    pages = B.item_pages(items, page_size=1)
+    C.write_files(pages.select(F.concat("page_key", F.lit(".json")).alias("n"),
+                               F.encode("body", "UTF-8").alias("c")), tmp_base, "n", "c")
+    found, errors = B.walk_remote(spark, P.FilePageStore(tmp_base), ["root"], link_suffix="-0")
+    got = rows(found, "parent_id", "id", "level", "fullpath")
+    assert got == [("A", "B", 1, "/A/B"), ("A", "Z", 1, "/A/Z"), ("B", "f", 2, "/A/B/f.txt"),
+                   ("root", "A", 0, "A")]
+    assert errors.count() == 0          # the empty folder Z answers with an empty page

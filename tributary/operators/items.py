@@ -55,7 +55,12 @@ def item_pages(items: DataFrame, page_size: int = 200) -> DataFrame:
     """
     # One row per folder, used twice below: materialise it so the items are
     # scanned twice (count, then assign), not three times.
-    counts = cut(items.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"))
+    # Every folder gets at least one (possibly empty) page, as the service
+    # answers an empty folder with an empty listing.
+    children = items.groupBy("parent_id").agg(F.count(F.lit(1)).alias("n"))
+    folders = items.where(F.col("type") == "folder").select(
+        F.col("id").alias("parent_id"), F.lit(0).cast("long").alias("n"))
+    counts = cut(children.unionByName(folders).groupBy("parent_id").agg(F.sum("n").alias("n"))
                  .withColumn("n_pages", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(page_size)))))
     entry = F.struct(
         F.col("id").alias("id"),
@@ -99,11 +104,16 @@ def drive_list(pages: DataFrame, body: str = "body") -> DataFrame:
     return _page_items(pages, body, DRIVE_PAGE_SCHEMA).select("it.id", "it.name")
 
 
-def item_rows(pages: DataFrame, body: str = "body") -> DataFrame:
-    """The 8 item columns of every entry of every page."""
-    it = _page_items(pages, body, PAGE_SCHEMA)
+def item_rows(pages: DataFrame, body: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """The 8 item columns of every entry of every page (plus the
+    page columns named in ``keep``)."""
+    keep = list(keep or [])
+    parsed = pages.select(*keep, F.from_json(F.col(body), PAGE_SCHEMA).alias("p"))
+    it = parsed.select(*keep, F.explode(F.coalesce(
+        F.col("p.value"), F.array().cast(PAGE_SCHEMA["value"].dataType))).alias("it"))
     path = X.path_after_root(F.col("it.parentReference.path"))
     return it.select(
+        *keep,
         F.col("it.id").alias("id"),
         F.col("it.name").alias("name"),
         F.when(F.col("it.folder").isNotNull(), "folder").otherwise("file").alias("type"),
@@ -249,3 +259,40 @@ def download_manifest(items: DataFrame, local_root: str, start_path: str = "root
     return files.select("id", "name",
                         F.concat(folder, F.lit("/"), F.col("name")).alias("target_path"),
                         F.coalesce(F.col("dl"), F.lit("")).alias("uri"))
+
+
+def walk_remote(spark, get_page, start_ids: list[str], link_prefix: str = "",
+                link_suffix: str = "", max_depth: int = 10_000,
+                partitions: int | None = None):
+    """B6 + B10 against the remote service itself: list the start folders
+    page by page, then every sub-folder found, level by level.
+
+    Each level is one distributed fetch (``pages.follow_pages`` over the
+    level's folders, first link ``prefix + id + suffix``), parsed in the JVM
+    and checkpointed; its folders become the next frontier.  Returns
+    ``(items, errors)``: items carry ``parent_id`` (the folder listed) and
+    ``level``; errors are the pages that could not be fetched."""
+    from tributary.sources.pages import follow_pages
+
+    frontier = spark.createDataFrame([(i,) for i in start_ids], "folder_id STRING")
+    items_out, errors_out = [], []
+    level = 0
+    while not frontier.isEmpty():
+        if level > max_depth:
+            raise CycleError(f"remote tree deeper than {max_depth} levels; a cycle is likely")
+        starts = frontier.select("folder_id", F.concat(F.lit(link_prefix), F.col("folder_id"),
+                                                       F.lit(link_suffix)).alias("link"))
+        pages = cut(follow_pages(starts, get_page, partitions=partitions))
+        errors_out.append(pages.where(F.col("error").isNotNull()))
+        rows = cut(item_rows(pages.where(F.col("error").isNull()), keep=["folder_id"])
+                   .withColumnRenamed("folder_id", "parent_id")
+                   .withColumn("level", F.lit(level)))
+        items_out.append(rows)
+        frontier = rows.where(F.col("type") == "folder").select(F.col("id").alias("folder_id"))
+        level += 1
+    empty_items = item_rows(spark.createDataFrame([], "folder_id STRING, body STRING"),
+                            keep=["folder_id"]).withColumnRenamed("folder_id", "parent_id") \
+        .withColumn("level", F.lit(0))
+    errors = union_all(errors_out, spark.createDataFrame([], "folder_id STRING, page_no LONG, "
+                                                             "link STRING, body STRING, error STRING"))
+    return union_all(items_out, empty_items), errors

@@ -202,6 +202,14 @@ def q_paged_source(spark, sf):
     return B.item_rows(pages.where(F.col("error").isNull()))
 
 
+def q_remote_walk(spark, sf):
+    """The whole remote tree listed from ``root`` through the paged service,
+    level by level (the re-aimed recursive download listing)."""
+    store = FX.page_store(spark, sf, PAGE_SIZE)
+    found, _ = B.walk_remote(spark, P.FilePageStore(store), ["root"], link_suffix="-0")
+    return found.select("parent_id", "id", "name", "type", "level", "fullpath")
+
+
 # ========================================================= C: messages ====
 
 def _messages(spark, sf):
@@ -418,6 +426,7 @@ QUERIES = {
     "fetch_by_id": q_fetch_by_id,
     "download_manifest": q_download_manifest,
     "paged_source": q_paged_source,
+    "remote_walk": q_remote_walk,
     "message_table": q_message_table,
     "message_sender": q_message_sender,
     "message_recipients": q_message_recipients,

@@ -97,6 +97,14 @@ ORACLES: dict[str, str] = {
         SELECT id, name, type, CASE WHEN type = 'file' AND mime IS NOT NULL THEN mime ELSE '' END AS "mimeType",
                coalesce(dl, '') AS uri, {PATH} AS path, {FULLPATH} AS fullpath, name AS filename
         FROM ({ITEMS}) i""",
+    "remote_walk": f"""
+        WITH RECURSIVE it AS ({ITEMS}),
+        w(parent_id, id, name, type, pp, level) AS (
+            SELECT parent_id, id, name, type, pp, 0 FROM it WHERE parent_id = 'root'
+            UNION ALL
+            SELECT it.parent_id, it.id, it.name, it.type, it.pp, w.level + 1
+            FROM it JOIN w ON it.parent_id = w.id WHERE w.type = 'folder')
+        SELECT parent_id, id, name, type, CAST(level AS INTEGER) AS level, {FULLPATH} AS fullpath FROM w""",
     # ---- C
     "message_table": f"""
         SELECT id, sender, 2 AS n_recipients, CASE WHEN cc1 IS NULL THEN 0 ELSE 1 END AS n_cc,
