@@ -494,3 +494,27 @@ def test_walk_remote_lists_levels_and_reports_errors(spark, tmp_base):
     assert got == [("A", "B", 1, "/A/B"), ("A", "Z", 1, "/A/Z"), ("B", "f", 2, "/A/B/f.txt"),
                    ("root", "A", 0, "A")]
     assert errors.count() == 0          # the empty folder Z answers with an empty page
+
+
+def test_command_line_runs_a_yaml_job(spark, tmp_base):
+    from tributary.__main__ import main
+    src = FX.days_location(spark, SF_SMALL)["days"]["directory_path"]
+    cfg = local_path(tmp_base) + "/job.yaml"
+    os.makedirs(local_path(tmp_base), exist_ok=True)
+    with open(cfg, "w") as fh:
+        fh.write(f"""
+name: test job
+log_path: {tmp_base}/log
+locations:
+  source_folder: {{type: directory, directory_path: "{src}"}}
+  working_folder: {{type: snowflake_landing_zone, directory_path: "{tmp_base}/land"}}
+steps:
+  transport:
+    uses: copy
+    params:
+      source: source_folder
+      target: working_folder
+      schema: "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING"
+""")
+    assert main([cfg, "2024-01-05"]) == 0
+    assert main([cfg, "2024-02-30"]) == 2      # missing source partition
