@@ -34,9 +34,15 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "tributary", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "tributary", extra: dict | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
+    """A session for local runs and tests.  In local mode the driver JVM is
+    the whole cluster, so give it a real heap (``driver_memory``); on a
+    cluster, spark-submit sizes the driver and executors instead."""
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
