@@ -203,6 +203,9 @@ def test_run_log_lifecycle_and_defaults(spark, tmp_base):
     assert rows(log.current()) == before and log.changes().count() == 2
     log.save(a, status="SKIPPED")
     assert {r.run_id: r.status for r in log.current().collect()}[a] == "SKIPPED"
+    far = (dt.datetime.now() + dt.timedelta(days=800)).strftime("%Y-%m-%d %H:%M:%S")
+    log.compact(as_of=far)                        # every TTL (1 year) has passed by then
+    assert log.current().count() == 0
     name = "t_defaults_test"
     D.create_log_table(spark, name, tmp_base + "/table")
     D.create_log_table(spark, name, tmp_base + "/table")     # IF NOT EXISTS
@@ -323,6 +326,9 @@ def test_success_logged_only_after_write(spark, tmp_base):
     assert out["status"] == "FAILED"
     cur = log.current().first()
     assert cur.status == "FAILED" and "kaput" in cur.error_message
+    ok = I.copy_partition(spark, locs, "days", "out", "2024-01-03", FX.DAYS_SCHEMA, run_log=log)
+    done = log.current().where(F.col("run_id") == ok["run_id"]).first()
+    assert done.status == "SUCCESS" and done.log_path == ok["target_path"]
 
 
 # --------------------------------------------------------- row maps ----

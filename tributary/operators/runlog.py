@@ -210,14 +210,18 @@ class RunLog:
             name = "changes"
         return f"{self.path}/{name}"
 
-    def compact(self) -> str:
+    def compact(self, as_of: str | None = None) -> str:
         """Fold the change rows into one row per run, written as a new
-        version; later saves append to it.  Returns the new folder."""
+        version; later saves append to it.  With ``as_of``, runs whose TTL
+        has passed are purged.  Returns the new folder."""
         current = self._changes_path()
         version = current.rsplit("/", 1)[-1]
         n = int(version.split("-v")[-1]) + 1 if "-v" in version else 1
         target = f"{self.path}/changes-v{n}"
-        folded = self.current().withColumn("seq", F.lit(self._seq).cast("long"))
+        folded = self.current()
+        if as_of is not None:
+            folded = folded.where(F.col("ttl").isNull() | (F.col("ttl") > F.lit(as_of).cast("timestamp_ntz")))
+        folded = folded.withColumn("seq", F.lit(self._seq).cast("long"))
         folded.select(*CHANGE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{target}/0-compacted")
         fs, ptr = self._pointer()
         fs.create_dir(ptr.rsplit("/", 1)[0], recursive=True)
@@ -278,9 +282,9 @@ class RunLog:
     def start(self, run_id: str) -> None:
         self.save(run_id, status="RUNNING", last_updated_at=dt.datetime.now())
 
-    def success(self, run_id: str) -> None:
+    def success(self, run_id: str, log_path: str | None = None) -> None:
         now = dt.datetime.now()
-        self.save(run_id, status="SUCCESS", end_ts=now, last_updated_at=now)
+        self.save(run_id, status="SUCCESS", end_ts=now, last_updated_at=now, log_path=log_path)
 
     def failed(self, run_id: str, error_message: str = "Error") -> None:
         now = dt.datetime.now()

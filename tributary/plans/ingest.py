@@ -82,7 +82,7 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
         path = L.partition_path(locations, target, pv)
         stats = observed_write(df.drop(L.PV), path, fmt=target_fmt or fmt)
         if run_log is not None:
-            run_log.success(run_id)
+            run_log.success(run_id, log_path=path)   # where this run's output went
         return {"status": "SUCCESS", "n_rows": int(stats["n_rows"]), "target_path": path,
                 "error": None, "run_id": run_id}
     except Exception as e:  # recorded, then handed to the policy
