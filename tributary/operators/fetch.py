@@ -91,7 +91,7 @@ def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
     cols = manifest.columns
 
     def run(batches):
-        from tributary.sources.messages import _fs
+        from tributary.session import filesystem
         fs_cache = {}
         for pdf in batches:
             status, reason, length = [], [], []
@@ -102,7 +102,7 @@ def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
                     if s == 200 and body is not None:
                         root = target.rsplit("/", 1)[0] or "/"
                         if root not in fs_cache:
-                            fs_cache[root] = _fs(root)
+                            fs_cache[root] = filesystem(root)
                         fs, base = fs_cache[root]
                         fs.create_dir(base, recursive=True)
                         with fs.open_output_stream(f"{base}/{target.rsplit('/', 1)[-1]}") as fh:

@@ -197,8 +197,8 @@ class RunLog:
     # compaction can write a new folder and switch to it atomically enough
     # for a single writer, without touching the folder being read.
     def _pointer(self):
-        from tributary.sources.messages import _fs
-        fs, base = _fs(self.path)
+        from tributary.session import filesystem
+        fs, base = filesystem(self.path)
         return fs, f"{base}/CURRENT"
 
     def _changes_path(self) -> str:

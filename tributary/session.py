@@ -96,3 +96,16 @@ def ensure_local_dir(uri: str) -> str:
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
     return uri
+
+
+def filesystem(uri: str):
+    """(pyarrow filesystem, path) for a folder URI -- for the few places
+    where Python code in a task reads or writes files itself (one file per
+    row, paged-listing stores, the run-log pointer).  Local paths and
+    ``file:`` URIs work everywhere; other schemes as pyarrow supports them."""
+    import pyarrow.fs as pafs
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        uri = "file://" + uri
+    return pafs.FileSystem.from_uri(uri)

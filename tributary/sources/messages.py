@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.session import filesystem
+
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("email", T.StringType()),
@@ -29,15 +31,6 @@ MESSAGE_SCHEMA = T.StructType([
 ])
 
 
-def _fs(uri: str):
-    import pyarrow.fs as pafs
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        uri = "file://" + uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 def write_files(df: DataFrame, out_dir: str, name_col: str, content_col: str) -> tuple[int, int]:
     """Write each row's bytes to ``out_dir/<name>`` from the executors.
 
@@ -45,7 +38,7 @@ def write_files(df: DataFrame, out_dir: str, name_col: str, content_col: str) ->
     (idempotent).  Returns (files, bytes); only two numbers reach the driver."""
 
     def write(batches):
-        fs, base = _fs(out_dir)
+        fs, base = filesystem(out_dir)
         fs.create_dir(base, recursive=True)
         for pdf in batches:
             sizes = []
@@ -56,7 +49,7 @@ def write_files(df: DataFrame, out_dir: str, name_col: str, content_col: str) ->
                 sizes.append(len(data))
             yield pd.DataFrame({"n": [len(sizes)], "bytes": [sum(sizes)]})
 
-    fs, base = _fs(out_dir)
+    fs, base = filesystem(out_dir)
     fs.create_dir(base, recursive=True)
     row = (df.select(name_col, content_col)
              .mapInPandas(write, "n long, bytes long")

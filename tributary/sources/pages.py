@@ -34,8 +34,8 @@ class FilePageStore:
         self.root = root
 
     def __call__(self, link: str) -> str:
-        from tributary.sources.messages import _fs
-        fs, base = _fs(self.root)
+        from tributary.session import filesystem
+        fs, base = filesystem(self.root)
         with fs.open_input_stream(f"{base}/{link}.json") as fh:
             return fh.read().decode("utf-8")
 
