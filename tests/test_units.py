@@ -524,3 +524,10 @@ steps:
 """)
     assert main([cfg, "2024-01-05"]) == 0
     assert main([cfg, "2024-02-30"]) == 2      # missing source partition
+
+
+def test_vet_requests_per_request(spark):
+    req = spark.createDataFrame([(3, "a", "b"), (1, "a", "b"), (2, "c", "c"), (4, "b", "c"), (5, "a", "b")],
+                                "k INT, src STRING, dst STRING")
+    got = rows(E.vet_requests(req, "k"), "k", "verdict")
+    assert got == [(1, "ok"), (2, "self_loop"), (3, "duplicate"), (4, "ok"), (5, "duplicate")]

@@ -52,6 +52,21 @@ def vet_edges(requests: DataFrame, src: str = "src", dst: str = "dst") -> DataFr
     )
 
 
+def vet_requests(requests: DataFrame, order: str, src: str = "src", dst: str = "dst") -> DataFrame:
+    """E2 per request: ``verdict`` is ``self_loop``, ``ok`` for the first
+    request of an edge (smallest ``order``; it must be unique) or
+    ``duplicate``.  The first request per edge comes from an aggregate that
+    is joined back -- no window, so a hot edge is never sorted in one task
+    (AQE splits the skewed side of the join)."""
+    first = requests.groupBy(F.col(src).alias("_s"), F.col(dst).alias("_d")).agg(
+        F.min(order).alias("_first"))
+    j = requests.join(first, (requests[src] == first["_s"]) & (requests[dst] == first["_d"]))
+    return j.select(
+        *[requests[c] for c in requests.columns],
+        F.when(F.col(src) == F.col(dst), "self_loop")
+         .when(F.col(order) == F.col("_first"), "ok").otherwise("duplicate").alias("verdict"))
+
+
 def accepted_edges(requests: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """The edge set after vetting: distinct, no self loops."""
     return (requests.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
