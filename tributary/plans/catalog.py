@@ -236,10 +236,14 @@ def q_message_recipients(spark, sf):
 def q_run_log_defaults(spark, sf):
     import uuid
     name = f"tributary_run_log_{uuid.uuid4().hex[:10]}"
-    D.create_log_table(spark, name, work_dir(spark, "logtable"))
+    location = work_dir(spark, "logtable")
+    D.create_log_table(spark, name, location)
     D.insert_run_ids(spark, name, FX.changes(spark, sf).select("run_id").distinct())
-    return spark.table(name).select("run_id", "created_by",
-                                    F.col("created_at").isNotNull().alias("has_created_at"))
+    # The table is external (explicit LOCATION): read its files, then drop the
+    # catalog entry so repeated runs leave nothing behind in the metastore.
+    rows = spark.read.schema(D.LOG_SCHEMA).parquet(location)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return rows.select("run_id", "created_by", F.col("created_at").isNotNull().alias("has_created_at"))
 
 
 RUN_ID_REQUESTS_SQL = """
