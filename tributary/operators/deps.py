@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.errors import CycleError
-from tributary.operators.frontier import cut, union_all
+from tributary.operators.frontier import cut, cut_counting, union_all
 
 
 def step_edges(steps: DataFrame, name: str = "name", depends_on: str = "depends_on") -> DataFrame:
@@ -91,20 +91,19 @@ def peel(edges: DataFrame, nodes: DataFrame | None = None,
         F.struct(F.col("dst").alias("node"), F.lit(1).alias("d")))).alias("x")).select("x.*")
     if nodes is not None:
         ends = ends.unionByName(nodes.select("node", F.lit(0).alias("d")))
-    state = cut(ends.groupBy("node").agg(
-        F.sum("d").cast("long").alias("indeg"), F.lit(None).cast("int").alias("level")))
+    is_ready = (F.col("indeg") == 0) & F.col("level").isNull()
+    # Each cut also counts the nodes ready for the next round (same job).
+    state, n_ready = cut_counting(ends.groupBy("node").agg(
+        F.sum("d").cast("long").alias("indeg"), F.lit(None).cast("int").alias("level")), is_ready)
     level = 0
-    while True:
-        ready = state.where((F.col("indeg") == 0) & F.col("level").isNull()).select("node")
-        if ready.isEmpty():
-            break
+    while n_ready > 0:
+        ready = state.where(is_ready).select("node")
         dec = (e.join(ready.withColumnRenamed("node", "src"), "src", "left_semi")
                .groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_dec")))
-        is_ready = (F.col("indeg") == 0) & F.col("level").isNull()
-        state = cut(state.join(dec, "node", "left").select(
+        state, n_ready = cut_counting(state.join(dec, "node", "left").select(
             "node",
             (F.col("indeg") - F.coalesce("_dec", F.lit(0))).alias("indeg"),
-            F.when(is_ready, F.lit(level)).otherwise(F.col("level")).alias("level")))
+            F.when(is_ready, F.lit(level)).otherwise(F.col("level")).alias("level")), is_ready)
         level += 1
         if max_rounds is not None and level > max_rounds:
             raise CycleError(f"more than {max_rounds} levels")
@@ -147,11 +146,10 @@ def blocked_by_failures(edges: DataFrame, failed: DataFrame) -> DataFrame:
     seen = frontier
     out = []
     while True:
-        nxt = (e.join(frontier.select(F.col("node").alias("src")), "src")
-               .select(F.col("dst").alias("node")).distinct()
-               .join(seen, "node", "left_anti"))
-        nxt = cut(nxt)
-        if nxt.isEmpty():
+        nxt, n = cut_counting(e.join(frontier.select(F.col("node").alias("src")), "src")
+                              .select(F.col("dst").alias("node")).distinct()
+                              .join(seen, "node", "left_anti"))
+        if n == 0:
             break
         out.append(nxt)
         seen = cut(seen.unionByName(nxt))

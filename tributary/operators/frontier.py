@@ -8,9 +8,11 @@ emptiness check per level reaches the driver.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tributary.session import ensure_checkpoint_dir
 
@@ -21,6 +23,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_counting(df: DataFrame, condition: Column | None = None) -> tuple[DataFrame, int]:
+    """``cut`` plus the number of rows matching ``condition`` (all rows when
+    None), counted by the same job through an observed metric -- so a loop
+    needs no separate emptiness job per level."""
+    obs = Observation(f"cut-{uuid.uuid4().hex[:8]}")
+    flag = F.lit(True) if condition is None else condition
+    observed = df.observe(obs, F.sum(F.when(flag, 1).otherwise(0)).alias("n"))
+    out = cut(observed)
+    return out, int(obs.get.get("n") or 0)
+
+
 def union_all(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
     if not parts:
         return empty

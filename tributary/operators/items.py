@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tributary.errors import CycleError
 from tributary.functions import exprs as X
-from tributary.operators.frontier import cut, union_all
+from tributary.operators.frontier import cut, cut_counting, union_all
 
 # Field names of the remote listing format.
 DOWNLOAD_URL = "@microsoft.graph.downloadUrl"
@@ -203,11 +203,11 @@ def walk_tree(items: DataFrame, start, max_depth: int = 10_000,
         *[table[c] for c in cols], F.lit(0).alias("level"),
         F.when(F.col("_spath") == "", F.col("name"))
          .otherwise(F.concat(F.col("_spath"), F.lit("/"), F.col("name"))).alias("walk_path"))
-    frontier = cut(first)
+    frontier, n = cut_counting(first)
     empty = frontier.limit(0)
     levels = []
     depth = 0
-    while not frontier.isEmpty():
+    while n > 0:
         levels.append(frontier)
         depth += 1
         if depth > max_depth:
@@ -217,7 +217,7 @@ def walk_tree(items: DataFrame, start, max_depth: int = 10_000,
         nxt = table.join(folders, table["parent_id"] == folders["_pid"]).select(
             *[table[c] for c in cols], (F.col("_plevel") + 1).alias("level"),
             F.concat(F.col("_ppath"), F.lit("/"), F.col("name")).alias("walk_path"))
-        frontier = cut(nxt)
+        frontier, n = cut_counting(nxt)
     return union_all(levels, empty)
 
 
@@ -275,18 +275,20 @@ def walk_remote(spark, get_page, start_ids: list[str], link_prefix: str = "",
     from tributary.sources.pages import follow_pages
 
     frontier = spark.createDataFrame([(i,) for i in start_ids], "folder_id STRING")
+    n_folders = len(start_ids)
     items_out, errors_out = [], []
     level = 0
-    while not frontier.isEmpty():
+    while n_folders > 0:
         if level > max_depth:
             raise CycleError(f"remote tree deeper than {max_depth} levels; a cycle is likely")
         starts = frontier.select("folder_id", F.concat(F.lit(link_prefix), F.col("folder_id"),
                                                        F.lit(link_suffix)).alias("link"))
         pages = cut(follow_pages(starts, get_page, partitions=partitions))
         errors_out.append(pages.where(F.col("error").isNotNull()))
-        rows = cut(item_rows(pages.where(F.col("error").isNull()), keep=["folder_id"])
-                   .withColumnRenamed("folder_id", "parent_id")
-                   .withColumn("level", F.lit(level)))
+        rows, n_folders = cut_counting(
+            item_rows(pages.where(F.col("error").isNull()), keep=["folder_id"])
+            .withColumnRenamed("folder_id", "parent_id").withColumn("level", F.lit(level)),
+            F.col("type") == "folder")
         items_out.append(rows)
         frontier = rows.where(F.col("type") == "folder").select(F.col("id").alias("folder_id"))
         level += 1
