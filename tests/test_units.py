@@ -198,6 +198,9 @@ def test_run_log_lifecycle_and_defaults(spark, tmp_base):
     assert cur[b].status == "FAILED" and cur[b].error_message == "boom"
     assert cur[a].ttl.year == cur[a].start_ts.year + 1 and cur[a].job_name == "job"
     assert a.startswith("transport#$")
+    rep = log.report().first()
+    assert (rep.job_name, rep.n_runs, rep.n_failed, rep.exit_code) == ("job", 2, 1, 1)
+    assert len(rep.duration.split(":")) == 3
     before = rows(log.current())
     log.compact()
     assert rows(log.current()) == before and log.changes().count() == 2

@@ -290,6 +290,11 @@ class RunLog:
         now = dt.datetime.now()
         self.save(run_id, status="FAILED", error_message=error_message, end_ts=now, last_updated_at=now)
 
+    def report(self, group: str = "job_name") -> DataFrame:
+        """The job report (D9) from the log: per job, first start, last end,
+        run counts, exit code and duration."""
+        return job_summary(self.current(), group, start="start_ts", end="end_ts")
+
     def changes(self) -> DataFrame:
         try:
             return self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self._changes_path()}/*")
