@@ -534,3 +534,13 @@ def test_vet_requests_per_request(spark):
                                 "k INT, src STRING, dst STRING")
     got = rows(E.vet_requests(req, "k"), "k", "verdict")
     assert got == [(1, "ok"), (2, "self_loop"), (3, "duplicate"), (4, "ok"), (5, "duplicate")]
+
+
+def test_looping_next_links_end_with_an_error(spark):
+    def get_page(link):
+        nxt = {"p0": "p1", "p1": "p0"}[link]
+        return '{"value": [], "@odata.nextLink": "%s"}' % nxt
+
+    starts = spark.createDataFrame([("F", "p0")], "folder_id STRING, link STRING")
+    got = P.follow_pages(starts, get_page).orderBy("page_no").collect()
+    assert [r.page_no for r in got] == [0, 1, 2] and got[-1].error.startswith("next link repeats")

@@ -40,10 +40,22 @@ class FilePageStore:
             return fh.read().decode("utf-8")
 
 
-def _chain(get_page, folder, link, max_pages):
-    """Pages of one folder: (folder, page_no, link, body, error) tuples."""
-    n = 0
-    while link and n < max_pages:
+def _chain(get_page, folder, link, max_pages=None):
+    """Pages of one folder: (folder, page_no, link, body, error) tuples.
+
+    A next link seen before in the same chain is a loop in the service's
+    answers: the chain ends with an error row instead of running forever.
+    ``max_pages`` (off by default) is an optional guard that also ends with
+    an error row, never silently."""
+    n, seen = 0, set()
+    while link:
+        if link in seen:
+            yield (folder, n, link, None, "next link repeats: the listing loops")
+            return
+        if max_pages is not None and n >= max_pages:
+            yield (folder, n, link, None, f"more than {max_pages} pages")
+            return
+        seen.add(link)
         try:
             body = get_page(link)
             nxt = json.loads(body).get(NEXT_LINK)
@@ -52,13 +64,11 @@ def _chain(get_page, folder, link, max_pages):
             yield (folder, n, link, None, f"{type(e).__name__}: {e}")
             return
         link, n = nxt, n + 1
-    if link and n >= max_pages:
-        yield (folder, n, link, None, f"more than {max_pages} pages")
 
 
 def follow_pages(starts: DataFrame, get_page, folder_col: str = "folder_id",
                  link_col: str = "link", partitions: int | None = None,
-                 max_pages: int = 1_000_000) -> DataFrame:
+                 max_pages: int | None = None) -> DataFrame:
     """One row per fetched page.  A failed fetch ends that folder's chain
     with an ``error`` row; other folders continue."""
 
@@ -120,7 +130,7 @@ if DataSource is not None:
 
         def read(self, partition):
             get_page = _resolve_getter(self.options)
-            max_pages = int(self.options.get("max_pages", "1000000"))
+            max_pages = int(self.options["max_pages"]) if self.options.get("max_pages") else None
             yield from _chain(get_page, partition.folder, partition.link, max_pages)
 
     class PagedListingSource(DataSource):
