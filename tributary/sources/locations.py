@@ -29,6 +29,12 @@ from tributary.errors import ClientNotFound, InvalidConfigError, InvalidSourceEr
 
 PV = "partition_value"
 
+# Location type names as job configs spell them, and the
+# folder suffix of a landed partition.
+DIRECTORY = "directory"
+LANDING_ZONE = "snowflake_landing_zone"
+LANDING_SUFFIX = "-snowflake"
+
 PathRule = Callable[[dict, str], str]
 _RULES: dict[str, PathRule] = {}
 
@@ -52,16 +58,16 @@ def _base(cfg: dict) -> str:
     return str(base).rstrip("/")
 
 
-@register_location_type("directory")
+@register_location_type(DIRECTORY)
 def _directory_rule(cfg: dict, pv: str) -> str:
     if cfg.get("layout", "hive") == "plain":
         return f"{_base(cfg)}/{pv}"
     return f"{_base(cfg)}/{PV}={pv}"
 
 
-@register_location_type("snowflake_landing_zone")
+@register_location_type(LANDING_ZONE)
 def _landing_rule(cfg: dict, pv: str) -> str:
-    return f"{_base(cfg)}/{pv}-snowflake"
+    return f"{_base(cfg)}/{pv}{LANDING_SUFFIX}"
 
 
 def location_types() -> list[str]:
@@ -150,7 +156,7 @@ def write_partitions(df: DataFrame, locations: dict, name: str,
     ``rebalance`` lets AQE split a partition value that holds a large share of
     the rows over several tasks instead of funnelling it through one."""
     cfg = get_config(locations, name)
-    if cfg["type"] != "directory" or cfg.get("layout", "hive") != "hive":
+    if cfg["type"] != DIRECTORY or cfg.get("layout", "hive") != "hive":
         raise InvalidConfigError("write_partitions needs a directory location with hive layout")
     (df.hint("rebalance", PV).write.format(fmt).mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(PV).save(_base(cfg)))
@@ -241,10 +247,10 @@ def landed_partitions(spark: SparkSession, locations: dict, name: str,
     """Read back every landed partition of a landing zone by glob, recovering
     the folder name from each row's file path."""
     cfg = get_config(locations, name)
-    df = spark.read.format(fmt).schema(schema).load(f"{_base(cfg)}/*-snowflake")
+    df = spark.read.format(fmt).schema(schema).load(f"{_base(cfg)}/*{LANDING_SUFFIX}")
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return df.withColumn("landing_dir", folder).withColumn(
-        PV, F.regexp_replace(folder, "-snowflake$", ""))
+        PV, F.regexp_replace(folder, f"{LANDING_SUFFIX}$", ""))
 
 
 def requested_values(spark: SparkSession, values: Iterable[str]) -> DataFrame:
