@@ -76,3 +76,12 @@ def test_small_files_are_packed(spark):
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
     packed = C.small_file_scan(files)
     assert packed.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_loops_leave_no_lineage_behind(spark):
+    from tributary.operators import items as B
+    walked = B.walk_tree(FX.items(spark, SF_SMALL), "root", carry=[])
+    p = plan(walked)
+    assert "Join" not in p and "ExistingRDD" in p      # only checkpointed levels
+    levels, remaining = E.peel(E.accepted_edges(FX.entity_edges(spark, SF_SMALL)))
+    assert "Join" not in plan(levels) and "Join" not in plan(remaining)
