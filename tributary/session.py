@@ -108,4 +108,6 @@ def filesystem(uri: str):
         uri = "file://" + uri[len("file:"):]
     if "://" not in uri:
         uri = "file://" + uri
+    if uri.startswith(("s3a://", "s3n://")):  # Hadoop's names for the same store
+        uri = "s3://" + uri.split("://", 1)[1]
     return pafs.FileSystem.from_uri(uri)
