@@ -299,6 +299,10 @@ def test_landing_writes_only_snowflake_folder(spark, tmp_base):
 
 def test_count_files_zero_when_no_match(spark):
     assert L.count_files(spark, SF_SMALL, "csv").first()[0] == 0
+    locs = FX.days_location(spark, SF_SMALL)
+    n = L.count_partition_files(spark, locs, "days", "2024-01-15", "parquet").first()[0]
+    assert n >= 1
+    assert L.list_partition_files(spark, locs, "days", "2024-01-15", "csv").count() == 0
 
 
 # ------------------------------------------------ policy and steps ----

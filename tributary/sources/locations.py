@@ -272,3 +272,15 @@ def get_source(spark: SparkSession, locations: dict, name: str, partition_value:
 def get_sink(locations: dict, name: str, partition_value: str) -> str:
     """The sink folder of a named location for one partition (created by the write)."""
     return partition_path(locations, name, partition_value)
+
+
+def list_partition_files(spark: SparkSession, locations: dict, name: str, partition_value: str,
+                         file_extension: str) -> DataFrame:
+    """Files of one extension in a location's partition folder."""
+    return list_files(spark, partition_path(locations, name, partition_value), file_extension)
+
+
+def count_partition_files(spark: SparkSession, locations: dict, name: str, partition_value: str,
+                          file_extension: str) -> DataFrame:
+    """How many such files (A7); 0 when none match."""
+    return count_files(spark, partition_path(locations, name, partition_value), file_extension)
