@@ -548,3 +548,14 @@ def test_looping_next_links_end_with_an_error(spark):
     starts = spark.createDataFrame([("F", "p0")], "folder_id STRING, link STRING")
     got = P.follow_pages(starts, get_page).orderBy("page_no").collect()
     assert [r.page_no for r in got] == [0, 1, 2] and got[-1].error.startswith("next link repeats")
+
+
+def test_task_retries_leave_exact_outputs(tmp_path):
+    import subprocess
+    import sys as _sys
+    probe = os.path.join(os.path.dirname(__file__), "retry_probe.py")
+    out = subprocess.run([_sys.executable, probe, str(tmp_path)], capture_output=True, text=True,
+                         timeout=300)
+    last = [ln for ln in out.stdout.splitlines() if ln.strip()][-1].split()
+    # 200 files written once each despite failed first attempts; 100 downloads
+    assert last == ["200", "200", "100", str(sum(len(str(i)) for i in range(100))), "100"]
