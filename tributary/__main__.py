@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("partition_value")
     ap.add_argument("--policy", choices=["fail", "continue"], default="fail")
     ap.add_argument("--master", default=None)
-    ap.add_argument("--concurrent-jobs", type=int, default=1)
+    ap.add_argument("--concurrent-jobs", type=int, default=4)
     a = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession

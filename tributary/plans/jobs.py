@@ -73,8 +73,10 @@ def step_order(spark: SparkSession, config: dict) -> list[tuple[int, str]]:
 
 def run_job(spark: SparkSession, config: dict, partition_value: str, schema=None,
             policy: str = "fail", run_log: RunLog | None = None,
-            concurrent_jobs: int = 1) -> DataFrame:
+            concurrent_jobs: int = 4) -> DataFrame:
     """Run every step for one partition value; one outcome row per step.
+    Steps of one level (independent of each other) run as up to
+    ``concurrent_jobs`` concurrent Spark jobs.
 
     ``schema`` is one StructType for all sources or a dict step -> StructType;
     a step's ``params.schema`` (DDL text) takes precedence.  A step with
