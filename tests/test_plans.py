@@ -4,7 +4,6 @@ import contextlib
 import io
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tributary.operators import deps as E
 from tributary.operators import runlog as D

@@ -4,7 +4,6 @@ from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tributary.operators import deps as E
 from tributary.operators import items as B
