@@ -28,6 +28,8 @@ DEFAULT_CONF = {
     # Rows carrying whole documents / file bodies: keep Arrow batches small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Loop checkpoints are only needed while a result refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
