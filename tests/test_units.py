@@ -559,3 +559,16 @@ def test_task_retries_leave_exact_outputs(tmp_path):
     last = [ln for ln in out.stdout.splitlines() if ln.strip()][-1].split()
     # 200 files written once each despite failed first attempts; 100 downloads
     assert last == ["200", "200", "100", str(sum(len(str(i)) for i in range(100))), "100"]
+
+
+
+def test_incremental_load_takes_each_file_once(spark, tmp_base):
+    from tributary.streaming.incremental import incremental_load
+    src, out, ckpt = tmp_base + "/src", tmp_base + "/out", tmp_base + "/ckpt"
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    spark.range(5).toDF("a").write.mode("append").parquet(src)
+    assert incremental_load(spark, src, out, ckpt, schema)["rows"] == 5
+    assert incremental_load(spark, src, out, ckpt, schema)["rows"] == 0     # nothing new
+    spark.range(5, 8).toDF("a").write.mode("append").parquet(src)
+    assert incremental_load(spark, src, out, ckpt, schema)["rows"] == 3
+    assert sorted(r.a for r in spark.read.parquet(out).collect()) == list(range(8))
