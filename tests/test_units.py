@@ -572,3 +572,20 @@ def test_incremental_load_takes_each_file_once(spark, tmp_base):
     spark.range(5, 8).toDF("a").write.mode("append").parquet(src)
     assert incremental_load(spark, src, out, ckpt, schema)["rows"] == 3
     assert sorted(r.a for r in spark.read.parquet(out).collect()) == list(range(8))
+
+
+def test_land_by_rename_matches_per_partition_landing(spark, tmp_base):
+    src = FX.days_location(spark, SF_SMALL)
+    locs = dict(src, a={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/a"},
+                b={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/b"})
+    days = L.read_partitions(spark, src, "days", FX.DAYS_SCHEMA)
+    values = sorted(r[0] for r in L.present_partitions(spark, src, "days").collect())
+    I.land_partitions(spark, locs, "days", "a", values, FX.DAYS_SCHEMA)
+    assert I.land_by_rename(spark, locs, "b", days) == values
+    per = rows(L.landed_partitions(spark, locs, "a", FX.DAYS_SCHEMA).groupBy("landing_dir").count())
+    one = rows(L.landed_partitions(spark, locs, "b", FX.DAYS_SCHEMA).groupBy("landing_dir").count())
+    assert per == one and len(one) == len(values)
+    assert not [d for d in os.listdir(local_path(tmp_base + "/b")) if d.startswith("_staging")]
+    odd = spark.createDataFrame([(1, "a b+c:d")], "x LONG, partition_value STRING")
+    assert I.land_by_rename(spark, locs, "b", odd) == ["a b+c:d"]
+    assert os.path.isdir(local_path(tmp_base + "/b/a b+c:d-snowflake"))

@@ -98,8 +98,7 @@ def q_landing_write(spark, sf):
     src = FX.days_location(spark, sf)
     locs = dict(src, landing={"type": "snowflake_landing_zone",
                               "directory_path": work_dir(spark, "landing")})
-    values = sorted(r[0] for r in L.present_partitions(spark, src, "days").collect())
-    I.land_partitions(spark, locs, "days", "landing", values, FX.DAYS_SCHEMA)
+    I.land_all(spark, locs, "days", "landing", FX.DAYS_SCHEMA)
     return (L.landed_partitions(spark, locs, "landing", FX.DAYS_SCHEMA)
             .groupBy("landing_dir").agg(F.count(F.lit(1)).alias("n")))
 

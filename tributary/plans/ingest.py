@@ -154,3 +154,64 @@ def land_partitions(spark: SparkSession, locations: dict, source: str, target: s
 
     with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
         return list(pool.map(one, values))
+
+
+def land_by_rename(spark: SparkSession, locations: dict, target: str, df: DataFrame,
+                   fmt: str = "parquet") -> list[str]:
+    """Land every partition of ``df`` (with a ``partition_value`` column) in
+    ONE write job, then move each partition folder from a hidden staging
+    folder to its landing folder (``<pv>-snowflake``) -- one rename each.
+
+    Meant for filesystems where a folder rename is a metadata operation
+    (HDFS, local or mounted shared storage); on object stores a rename is a
+    copy, so prefer ``land_partitions``.  An existing landing folder for a
+    partition is replaced.  Returns the partition values landed."""
+    import uuid as _uuid
+    from urllib.parse import unquote
+
+    from tributary.session import filesystem
+
+    cfg = L.get_config(locations, target)
+    base = str(cfg["directory_path"]).rstrip("/")
+    staging = f"{base}/_staging-{_uuid.uuid4().hex[:12]}"   # '_' hides it from readers
+    (df.hint("rebalance", L.PV).write.format(fmt).mode("error")
+       .partitionBy(L.PV).save(staging))
+    fs, root = filesystem(staging)
+    _, base_path = filesystem(base)
+    import pyarrow.fs as pafs
+    landed = []
+    for info in fs.get_file_info(pafs.FileSelector(root)):
+        name = info.path.rsplit("/", 1)[-1]
+        if info.type != pafs.FileType.Directory or not name.startswith(L.PV + "="):
+            continue
+        pv = unquote(name.split("=", 1)[1].replace("+", "%2B"))
+        # the location's path rule, on the same filesystem (values may hold
+        # characters a URI can't)
+        dest = base_path + L.partition_path(locations, target, pv)[len(base):]
+        if fs.get_file_info(dest).type != pafs.FileType.NotFound:
+            fs.delete_dir(dest)
+        fs.create_dir(dest.rsplit("/", 1)[0], recursive=True)
+        fs.move(info.path, dest)
+        landed.append(pv)
+    fs.delete_dir(root)
+    return sorted(landed)
+
+
+RENAME_SCHEMES = ("file:", "hdfs:", "viewfs:", "/")
+
+
+def land_all(spark: SparkSession, locations: dict, source: str, target: str,
+             schema: T.StructType, values: list[str] | None = None, fmt: str = "parquet") -> list[str]:
+    """Land every (or the given) partition of a directory location into a
+    landing zone: one job plus one folder rename per partition where renames
+    are cheap, else one job per partition (run concurrently)."""
+    if values is None:
+        values = sorted(r[0] for r in L.present_partitions(spark, locations, source, fmt).collect())
+    base = str(L.get_config(locations, target)["directory_path"])
+    if base.startswith(RENAME_SCHEMES):
+        df = L.read_partitions(spark, locations, source, schema, fmt)
+        df = df.where(F.col(L.PV).isin(values))
+        land_by_rename(spark, locations, target, df, fmt)
+    else:
+        land_partitions(spark, locations, source, target, values, schema, fmt)
+    return values
