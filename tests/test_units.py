@@ -589,3 +589,30 @@ def test_land_by_rename_matches_per_partition_landing(spark, tmp_base):
     odd = spark.createDataFrame([(1, "a b+c:d")], "x LONG, partition_value STRING")
     assert I.land_by_rename(spark, locs, "b", odd) == ["a b+c:d"]
     assert os.path.isdir(local_path(tmp_base + "/b/a b+c:d-snowflake"))
+
+
+def test_bulk_ingest_matches_the_loop_and_falls_back(spark, tmp_base):
+    src = FX.days_location(spark, SF_SMALL)
+    locs = dict(src, a={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/a"},
+                b={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/b"},
+                h={"type": "directory", "directory_path": tmp_base + "/h"})
+    vals = ["2024-01-28", "2024-01-29", "2024-01-30", "2024-01-31", "2024-02-01"]
+    cols = ("seq", "partition_value", "status", "n_rows", "exit_code")
+    loop = rows(I.ingest_partitions(spark, locs, "days", "a", vals, FX.DAYS_SCHEMA, "continue"), *cols)
+    log = D.RunLog(spark, tmp_base + "/log")
+    bulk = rows(I.ingest_partitions(spark, locs, "days", "b", vals, FX.DAYS_SCHEMA, "continue",
+                                    bulk=True, run_log=log), *cols)
+    hive = rows(I.ingest_partitions(spark, locs, "days", "h", vals, FX.DAYS_SCHEMA, "continue",
+                                    bulk=True), *cols)
+    assert loop == bulk == hive and loop[-1][2:] == ("FAILED", None, 2)
+    assert log.current().where("status = 'SUCCESS'").count() == 3
+
+    def bad_on_29(df):
+        return df.withColumn("x", F.when(F.col("partition_value") == "2024-01-29",
+                                         F.raise_error(F.lit("bad day"))).otherwise(F.lit(1)))
+
+    fb = rows(I.ingest_partitions(spark, locs, "days", "b", vals, FX.DAYS_SCHEMA, "continue",
+                                  transform=bad_on_29, bulk=True), "partition_value", "status")
+    assert fb == [("2024-01-28", "SUCCESS"), ("2024-01-29", "FAILED"), ("2024-01-30", "SUCCESS"),
+                  ("2024-01-31", "FAILED")]
+    assert not [d for d in os.listdir(local_path(tmp_base + "/b")) if d.startswith("_staging")]

@@ -279,6 +279,24 @@ class RunLog:
         self._append(rows)
         return ids
 
+    def finished_many(self, step: str, entries: list[tuple[str, dict, str | None]],
+                      status: str = "SUCCESS") -> list[str]:
+        """Runs that started and ended together (a bulk copy), one per
+        ``(partition_value, params, log_path)``, in one write."""
+        now = dt.datetime.now()
+        ids, rows = [], []
+        for pv, params, log_path in entries:
+            run_id = f"{step}{X.RUN_ID_SEPARATOR}{uuid.uuid4()}"
+            ids.append(run_id)
+            rows.append(self._row(run_id, dict(
+                job_name=self.job_name or step, step_name=step, status=status, start_ts=now,
+                end_ts=now, partition_value=pv, params=json.dumps(params, default=str, sort_keys=True),
+                log_path=log_path, ttl=_add_years(now, self.ttl_years), created_by=self.created_by,
+                created_at=now, last_updated_at=now)))
+        if rows:
+            self._append(rows)
+        return ids
+
     def start(self, run_id: str) -> None:
         self.save(run_id, status="RUNNING", last_updated_at=dt.datetime.now())
 

@@ -403,7 +403,7 @@ def q_ingest_outcomes(spark, sf):
     values = [r[0] for r in L.date_range_values(spark, *RANGE).collect()]
     log = D.RunLog(spark, work_dir(spark, "ingest-log"), job_name="ingest")
     out = I.ingest_partitions(spark, locs, "days", "landing", values, FX.DAYS_SCHEMA,
-                              policy="continue", run_log=log, concurrent_jobs=4)
+                              policy="continue", run_log=log, concurrent_jobs=4, bulk=True)
     return out.select("seq", "partition_value", "status", "n_rows", "exit_code")
 
 

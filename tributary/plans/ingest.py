@@ -92,17 +92,45 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
                 "run_id": run_id}
 
 
+def _bulk_copy(spark: SparkSession, locations: dict, source: str, target: str,
+               values: list[str], schema: T.StructType, fmt: str, transform) -> dict | None:
+    """All partitions in one write job; {pv: rows} or None when the target
+    kind has no all-or-nothing bulk form.  Nothing becomes visible unless the
+    whole job succeeds (dynamic overwrite commits at the end; landings move
+    out of a hidden staging folder only afterwards)."""
+    cfg = L.get_config(locations, target)
+    hive_dir = cfg["type"] == L.DIRECTORY and cfg.get("layout", "hive") == "hive"
+    base = str(cfg["directory_path"])
+    if not (hive_dir or (cfg["type"] == L.LANDING_ZONE and base.startswith(RENAME_SCHEMES))):
+        return None
+    df = L.read_partitions(spark, locations, source, schema, fmt).where(F.col(L.PV).isin(values))
+    if transform is not None:
+        df = df.transform(transform)
+    if hive_dir:
+        L.write_partitions(df, locations, target, fmt)
+        back = L.read_partitions(spark, locations, target, schema, fmt)
+    else:
+        land_by_rename(spark, locations, target, df, fmt)
+        back = L.landed_partitions(spark, locations, target, schema, fmt)
+    counts = back.where(F.col(L.PV).isin(values)).groupBy(L.PV).count().collect()
+    return {r[0]: int(r[1]) for r in counts}
+
+
 def ingest_partitions(spark: SparkSession, locations: dict, source: str, target: str,
                       values: list[str], schema: T.StructType, policy: str = "fail",
                       fmt: str = "parquet", transform=None, run_log: RunLog | None = None,
-                      step: str = "transport", concurrent_jobs: int = 1) -> DataFrame:
+                      step: str = "transport", concurrent_jobs: int = 1,
+                      bulk: bool = False) -> DataFrame:
     """one outcome row per partition value attempted, in order.
 
     Missing partitions are found first in one job (A3 set form), so the run
     knows where a missing source will stop it before copying anything.
-    Under ``continue`` the copies before that point are independent and may
-    run as ``concurrent_jobs`` concurrent Spark jobs; under ``fail`` they
-    run one after another and stop at the first error."""
+    With ``bulk`` the partitions before that point are copied by ONE job
+    (all or nothing); if it fails, the run falls back to the per-partition
+    loop so the policy decides exactly as it would have.  In the loop, under
+    ``continue`` the copies are independent and may run as
+    ``concurrent_jobs`` concurrent Spark jobs; under ``fail`` they run one
+    after another and stop at the first error."""
     if policy not in ("fail", "continue"):
         raise ValueError("policy must be 'fail' or 'continue'")
     req = L.requested_values(spark, values)
@@ -119,7 +147,19 @@ def ingest_partitions(spark: SparkSession, locations: dict, source: str, target:
 
     rows = []
     todo = list(enumerate(values[:stop_at]))
-    if policy == "continue" and concurrent_jobs > 1:
+    counts = None
+    if bulk and todo:
+        try:
+            counts = _bulk_copy(spark, locations, source, target, values[:stop_at], schema, fmt, transform)
+        except Exception:  # some partition failed: let the loop find which, under the policy
+            counts = None
+    if counts is not None:
+        paths = {pv: L.partition_path(locations, target, pv) for _, pv in todo}
+        if run_log is not None:  # one append for the whole bulk copy
+            run_log.finished_many(step, [(pv, {"source": source, "target": target}, paths[pv])
+                                         for _, pv in todo])
+        rows = [(i, pv, "SUCCESS", counts.get(pv, 0), 0, None, paths[pv]) for i, pv in todo]
+    elif policy == "continue" and concurrent_jobs > 1:
         with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
             rows = [row for _, row in pool.map(attempt, todo)]
     else:
@@ -174,9 +214,15 @@ def land_by_rename(spark: SparkSession, locations: dict, target: str, df: DataFr
     cfg = L.get_config(locations, target)
     base = str(cfg["directory_path"]).rstrip("/")
     staging = f"{base}/_staging-{_uuid.uuid4().hex[:12]}"   # '_' hides it from readers
-    (df.hint("rebalance", L.PV).write.format(fmt).mode("error")
-       .partitionBy(L.PV).save(staging))
     fs, root = filesystem(staging)
+    try:
+        (df.hint("rebalance", L.PV).write.format(fmt).mode("error")
+           .partitionBy(L.PV).save(staging))
+    except Exception:
+        import pyarrow.fs as _pafs
+        if fs.get_file_info(root).type != _pafs.FileType.NotFound:
+            fs.delete_dir(root)  # nothing was moved into place; leave no staging behind
+        raise
     _, base_path = filesystem(base)
     import pyarrow.fs as pafs
     landed = []
