@@ -616,3 +616,20 @@ def test_bulk_ingest_matches_the_loop_and_falls_back(spark, tmp_base):
     assert fb == [("2024-01-28", "SUCCESS"), ("2024-01-29", "FAILED"), ("2024-01-30", "SUCCESS"),
                   ("2024-01-31", "FAILED")]
     assert not [d for d in os.listdir(local_path(tmp_base + "/b")) if d.startswith("_staging")]
+
+
+def test_contract_and_rules_edge_cases(spark):
+    from tributary.operators.quality import check_contract, check_rules
+    df = spark.createDataFrame([(1, "ab1", None), (2, "zz", 5.0), (None, None, -1.0)],
+                               "k INT, code STRING, v DOUBLE")
+    got = {(r.column, r.rule): r.n_violations for r in check_contract(df, {
+        "k": {"type": "int", "nullable": False},
+        "code": {"pattern": "^[a-z]{2}[0-9]$", "values": ["ab1", "zz"]},
+        "v": {"type": "bigint", "min": 0.0},
+        "gone": {"nullable": True},
+    }).collect()}
+    assert got == {("k", "type"): 0, ("k", "not_null"): 1, ("code", "values"): 0,
+                   ("code", "pattern"): 1, ("v", "type"): 3, ("v", "min"): 1, ("gone", "missing"): 3}
+    r = {x.rule: (x.n_pass, x.n_fail, x.n_unknown) for x in
+         check_rules(df, [("positive", "v > 0"), ("has_code", "code IS NOT NULL")]).collect()}
+    assert r == {"positive": (1, 1, 1), "has_code": (2, 1, 0)}
