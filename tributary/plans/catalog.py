@@ -342,6 +342,16 @@ def q_edge_vetting(spark, sf):
     return E.vet_edges(FX.trade(spark, sf))
 
 
+def q_edge_requests(spark, sf):
+    """E2 per request: each line item asks for one trade edge; the first
+    request of an edge (by line-item key) is accepted, repeats are
+    duplicates, same-nation requests are self loops."""
+    req = FX.trade(spark, sf).withColumn(
+        "request", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return E.vet_requests(req, "request").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "src", "dst", "verdict")
+
+
 def q_step_levels(spark, sf):
     return E.topological_levels(E.accepted_edges(FX.entity_edges(spark, sf)))
 
@@ -446,6 +456,7 @@ QUERIES = {
     "error_payload": q_error_payload,
     "step_edges": q_step_edges,
     "edge_vetting": q_edge_vetting,
+    "edge_requests": q_edge_requests,
     "step_levels": q_step_levels,
     "cycle_nodes": q_cycle_nodes,
     "step_count": q_step_count,

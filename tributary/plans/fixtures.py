@@ -107,7 +107,8 @@ UNION ALL SELECT 'P' || CAST(l_partkey AS STRING), 'O' || CAST(l_orderkey AS STR
 TRADE_SQL = """
 SELECT 'N' || CAST(s_nationkey AS STRING) AS src, 'N' || CAST(c_nationkey AS STRING) AS dst,
        s_nationkey AS src_key, c_nationkey AS dst_key,
-       sn.n_regionkey AS src_region, cn.n_regionkey AS dst_region
+       sn.n_regionkey AS src_region, cn.n_regionkey AS dst_region,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey
 FROM {lineitem}
 JOIN {orders} ON l_orderkey = o_orderkey
 JOIN {customer} ON o_custkey = c_custkey

@@ -189,6 +189,13 @@ ORACLES: dict[str, str] = {
                CASE WHEN src = dst THEN 'self_loop' ELSE 'ok' END AS verdict,
                CASE WHEN src = dst THEN count(*) ELSE count(*) - 1 END AS n_rejected
         FROM ({TRADE}) t GROUP BY src, dst""",
+    "edge_requests": f"""
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, src, dst,
+               CASE WHEN src = dst THEN 'self_loop'
+                    WHEN row_number() OVER (PARTITION BY src, dst
+                                            ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) = 1
+                    THEN 'ok' ELSE 'duplicate' END AS verdict
+        FROM ({TRADE}) t""",
     "step_levels": f"""
         WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({ENTITY}) x WHERE src <> dst),
         n AS (SELECT src AS node FROM e UNION SELECT dst FROM e),
