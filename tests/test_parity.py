@@ -25,6 +25,11 @@ def _norm(v):
     return str(v)
 
 
+# Spark simple type -> the DuckDB type the oracle must produce.
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+            "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "array<string>": "VARCHAR[]"}
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
@@ -49,6 +54,10 @@ def test_query_matches_oracle(spark, duck, key):
     rel = duck.sql(oracle_sql()[key])
     want = _rows(rel.columns, rel.fetchall())
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert TYPE_MAP.get(t, t) == duck_types[f.name], (f.name, t, duck_types[f.name])
     assert len(got) == len(want)
     assert got == want
 
