@@ -633,3 +633,18 @@ def test_contract_and_rules_edge_cases(spark):
     r = {x.rule: (x.n_pass, x.n_fail, x.n_unknown) for x in
          check_rules(df, [("positive", "v > 0"), ("has_code", "code IS NOT NULL")]).collect()}
     assert r == {"positive": (1, 1, 1), "has_code": (2, 1, 0)}
+
+
+def test_fetch_and_pages_stream_in_chunks(spark):
+    m = spark.createDataFrame([(i, f"ok{i}") for i in range(7)], "id INT, url STRING")
+    got = B7.fetch_with(m.coalesce(1), lambda u: (200, "OK", b"x" * 10), "url", flush_bytes=25).collect()
+    assert sorted(r.id for r in got) == list(range(7)) and all(r.length == 10 for r in got)
+
+    def get_page(link):
+        n = int(link[1:])
+        nxt = f"p{n + 1}" if n < 9 else None
+        return '{"value": []' + (f', "@odata.nextLink": "{nxt}"' if nxt else "") + "}"
+
+    starts = spark.createDataFrame([("F", "p0")], "folder_id STRING, link STRING")
+    pages = P.follow_pages(starts, get_page, flush_pages=3).collect()
+    assert sorted(r.page_no for r in pages) == list(range(10))

@@ -47,7 +47,8 @@ def fetch_from_table(manifest: DataFrame, content: DataFrame, key: str,
     )
 
 
-def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | None = None) -> DataFrame:
+def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | None = None,
+               flush_bytes: int = 64 << 20) -> DataFrame:
     """Outcome per manifest row by calling ``fetcher(url)`` on the executors.
 
     ``partitions`` spreads the manifest over that many tasks first (fetches
@@ -55,10 +56,19 @@ def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | Non
     schema = T.StructType(list(manifest.schema.fields) + OUTCOME_FIELDS)
     cols = manifest.columns
 
+    def emit(pdf, lo, hi, status, reason, length, content):
+        out = pdf[cols].iloc[lo:hi].reset_index(drop=True)
+        out["status"] = pd.array(status, dtype="Int32")
+        out["reason"] = reason
+        out["length"] = pd.array(length, dtype="Int64")
+        out["content"] = content
+        return out
+
     def run(batches):
         for pdf in batches:
             status, reason, length, content = [], [], [], []
-            for url in pdf[url_col]:
+            lo, held = 0, 0
+            for i, url in enumerate(pdf[url_col]):
                 try:
                     s, r, body = fetcher(url)
                     body = bytes(body) if (body is not None and s == 200) else None
@@ -68,12 +78,13 @@ def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | Non
                 reason.append(r)
                 length.append(len(body) if body is not None else None)
                 content.append(body)
-            out = pdf[cols].copy()
-            out["status"] = pd.array(status, dtype="Int32")
-            out["reason"] = reason
-            out["length"] = pd.array(length, dtype="Int64")
-            out["content"] = content
-            yield out
+                held += len(body) if body is not None else 0
+                if held >= flush_bytes:  # bodies leave the worker in bounded chunks
+                    yield emit(pdf, lo, i + 1, status, reason, length, content)
+                    status, reason, length, content = [], [], [], []
+                    lo, held = i + 1, 0
+            if status:
+                yield emit(pdf, lo, len(pdf), status, reason, length, content)
 
     src = manifest.repartition(partitions) if partitions else manifest
     return src.mapInPandas(run, schema)

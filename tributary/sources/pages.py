@@ -68,16 +68,26 @@ def _chain(get_page, folder, link, max_pages=None):
 
 def follow_pages(starts: DataFrame, get_page, folder_col: str = "folder_id",
                  link_col: str = "link", partitions: int | None = None,
-                 max_pages: int | None = None) -> DataFrame:
+                 max_pages: int | None = None, flush_pages: int = 256) -> DataFrame:
     """One row per fetched page.  A failed fetch ends that folder's chain
     with an ``error`` row; other folders continue."""
 
+    def flush(rows):
+        return pd.DataFrame(rows, columns=PAGE_ROW.fieldNames()).astype({"page_no": "int64"})
+
     def run(batches):
+        # Stream pages out in small chunks: one folder may have millions of
+        # pages, and they must never pile up in one worker's memory.
         for pdf in batches:
             rows = []
             for folder, link in zip(pdf[folder_col], pdf[link_col]):
-                rows.extend(_chain(get_page, folder, link, max_pages))
-            yield pd.DataFrame(rows, columns=PAGE_ROW.fieldNames()).astype({"page_no": "int64"})
+                for page in _chain(get_page, folder, link, max_pages):
+                    rows.append(page)
+                    if len(rows) >= flush_pages:
+                        yield flush(rows)
+                        rows = []
+            if rows:
+                yield flush(rows)
 
     src = starts.select(folder_col, link_col)
     if partitions:
