@@ -253,8 +253,7 @@ def download_manifest(items: DataFrame, local_root: str, start_path: str = "root
         start = resolve_folder_paths(items, req).select(F.col("folder_id").alias("id")).where("id IS NOT NULL")
     walked = walk_tree(items, start, carry=["pp", "dl"])
     files = walked.where(F.col("type") == "file")
-    rel = F.ltrim(X.path_after_root(F.col("pp")))
-    rel = F.regexp_replace(rel, "^/+", "")
+    rel = F.regexp_replace(X.path_after_root(F.col("pp")), "^/+", "")  # leading slashes only
     folder = X.join_local(F.lit(local_root), rel)
     return files.select("id", "name",
                         F.concat(folder, F.lit("/"), F.col("name")).alias("target_path"),
