@@ -648,3 +648,18 @@ def test_fetch_and_pages_stream_in_chunks(spark):
     starts = spark.createDataFrame([("F", "p0")], "folder_id STRING, link STRING")
     pages = P.follow_pages(starts, get_page, flush_pages=3).collect()
     assert sorted(r.page_no for r in pages) == list(range(10))
+
+
+def test_salted_joins_equal_plain_joins(spark):
+    items = FX.items(spark, SF_SMALL)
+    hot = spark.createDataFrame([(i, "C1" if i % 3 else f"C{i}") for i in range(300)],
+                                "request_id INT, file_id STRING")      # one id holds 2/3 of the rows
+    cols = ("request_id", "file_id", "target_path", "ok")
+    assert rows(B.fetch_by_id(items, hot, "/d"), *cols) == rows(B.fetch_by_id(items, hot, "/d", salt_buckets=8), *cols)
+    ids = spark.createDataFrame([("step1#$1",)] * 50 + [("nope",)], "run_id STRING")
+    ch = FX.changes(spark, SF_SMALL)
+    assert rows(D.run_counts(ch, ids)) == rows(D.run_counts(ch, ids, salt_buckets=4))
+    req = spark.createDataFrame([(i, "ASIA/CHINA" if i % 2 else "EUROPE/FRANCE") for i in range(40)],
+                                "k INT, path STRING")
+    assert rows(B.resolve_folder_paths(items, req), "k", "folder_id") == \
+        rows(B.resolve_folder_paths(items, req, salt_buckets=5), "k", "folder_id")

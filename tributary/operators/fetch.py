@@ -31,11 +31,13 @@ REASON_NOT_FOUND = "Not Found"
 
 
 def fetch_from_table(manifest: DataFrame, content: DataFrame, key: str,
-                     content_key: str, body: str) -> DataFrame:
+                     content_key: str, body: str, salt_buckets: int = 0) -> DataFrame:
     """Outcome per manifest row: 200 with the body when the content table has
-    the key, else 404."""
+    the key, else 404.  ``salt_buckets`` spreads a hot key (see
+    ``functions.skew``)."""
+    from tributary.functions.skew import salted_join
     c = content.select(F.col(content_key).alias("_ck"), F.col(body).alias("_body"))
-    j = manifest.join(c, manifest[key] == c["_ck"], "left")
+    j = salted_join(manifest, c, None, [(key, "_ck")], salt_buckets, "left")
     found = F.col("_ck").isNotNull()
     data = F.col("_body") if dict(c.dtypes)["_body"] == "binary" else F.encode(F.col("_body"), "UTF-8")
     return j.select(

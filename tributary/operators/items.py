@@ -151,7 +151,7 @@ def item_paths(items: DataFrame, parent_path: str = "pp") -> DataFrame:
 # -------------------------------------------------------------- resolve ----
 
 def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "path",
-                         start_id: str = "root") -> DataFrame:
+                         start_id: str = "root", salt_buckets: int = 0) -> DataFrame:
     """Resolve ``A/B/C`` folder paths to folder ids, segment by segment,
     folders only, case-sensitive; NULL when any segment is missing.
 
@@ -175,7 +175,8 @@ def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "pat
                     .withColumn("_cur", F.when(F.col("_depth") > d, F.col("_fid")).otherwise(F.col("_cur")))
                     .drop("_parent", "_name", "_fid"))
     resolved = paths.select(F.col("_path"), F.col("_cur").alias("folder_id"))
-    return (requests.join(resolved, requests[path] == resolved["_path"], "left").drop("_path"))
+    from tributary.functions.skew import salted_join
+    return salted_join(requests, resolved, None, [(path, "_path")], salt_buckets, "left").drop("_path")
 
 
 # ----------------------------------------------------------------- walk ----
@@ -224,13 +225,15 @@ def walk_tree(items: DataFrame, start, max_depth: int = 10_000,
 # ---------------------------------------------------------------- fetch ----
 
 def fetch_by_id(items: DataFrame, requests: DataFrame, local_root: str,
-                id_col: str = "file_id") -> DataFrame:
+                id_col: str = "file_id", salt_buckets: int = 0) -> DataFrame:
     """Per requested file id, the local folder (root + text after the
     first ``:/`` of the parent path), the target file and ``ok`` -- the id
-    is a known file with a download URL."""
+    is a known file with a download URL.  ``salt_buckets`` spreads a hot id
+    over that many join tasks (see ``functions.skew``)."""
+    from tributary.functions.skew import salted_join
     it = items.select(F.col("id").alias("_iid"), F.col("name").alias("name"),
                       F.col("type").alias("_type"), F.col("pp").alias("_pp"), F.col("dl").alias("uri"))
-    j = requests.join(it, requests[id_col] == it["_iid"], "left")
+    j = salted_join(requests, it, None, [(id_col, "_iid")], salt_buckets, "left")
     sub = X.subfolder(F.col("_pp"))
     folder = F.when(sub != "", F.concat(F.lit(local_root), F.lit("/"), sub)).otherwise(F.lit(local_root))
     return j.select(

@@ -67,11 +67,13 @@ def insert_run_ids(spark: SparkSession, name: str, ids: DataFrame, col: str = "r
 
 # --------------------------------------------------------------- D2/D3 ----
 
-def run_counts(log: DataFrame, ids: DataFrame, col: str = "run_id") -> DataFrame:
+def run_counts(log: DataFrame, ids: DataFrame, col: str = "run_id", salt_buckets: int = 0) -> DataFrame:
     """Rows per requested run id, 0 where absent.  The log is
-    pre-aggregated before the join, so hot ids cost one row."""
+    pre-aggregated before the join, so hot ids cost one row; a hot
+    *requested* id can be salted (see ``functions.skew``)."""
+    from tributary.functions.skew import salted_join
     per_id = log.groupBy(F.col("run_id").alias("_rid")).agg(F.count(F.lit(1)).alias("n"))
-    return (ids.join(per_id, ids[col] == per_id["_rid"], "left")
+    return (salted_join(ids, per_id, None, [(col, "_rid")], salt_buckets, "left")
             .select(*[ids[c] for c in ids.columns], F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
