@@ -663,3 +663,13 @@ def test_salted_joins_equal_plain_joins(spark):
                                 "k INT, path STRING")
     assert rows(B.resolve_folder_paths(items, req), "k", "folder_id") == \
         rows(B.resolve_folder_paths(items, req, salt_buckets=5), "k", "folder_id")
+
+
+def test_readme_quick_start_runs(spark, tmp_base, capsys):
+    import re
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "README.md")).read()
+    code = re.search(r"```python\n(from tributary import build_session.*?)```", readme, re.S).group(1)
+    code = code.replace('"/data/', f'"{tmp_base}/')
+    exec(code, {})
+    out = capsys.readouterr().out.strip().splitlines()[-1].split()
+    assert out[:2] == ["SUCCESS", "1"] and out[2].endswith("/land/2023-04-31-snowflake")
