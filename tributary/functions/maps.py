@@ -15,7 +15,6 @@ import time
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -94,14 +93,3 @@ def flaky(fn, failures_for):
         return fn(*args)
 
     return wrapped
-
-
-def observed_metrics(df: DataFrame, name: str, **metrics):
-    """F4 helper: attach an Observation; metrics are named Column aggregates."""
-    from pyspark.sql import Observation
-    obs = Observation(name)
-    return df.observe(obs, *[c.alias(k) for k, c in metrics.items()]), obs
-
-
-def count_all():
-    return F.count(F.lit(1))

@@ -13,7 +13,6 @@ import datetime as dt
 import json
 import threading
 import uuid
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -335,9 +334,6 @@ def _add_years(ts: dt.datetime, years: int) -> dt.datetime:
         return ts.replace(year=ts.year + years, day=28)
 
 
-def union_changes(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
 
 def rotate(spark: SparkSession, changes: DataFrame, history_path: str, current_path: str,
            order: Column | None = None, closed=("SUCCESS", "FAILED", "SKIPPED", "BLOCKED")) -> dict:

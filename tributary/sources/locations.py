@@ -257,10 +257,6 @@ def requested_values(spark: SparkSession, values: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(str(v),) for v in values], f"{PV} STRING")
 
 
-def partition_col(pv: str) -> Column:
-    return F.lit(str(pv)).alias(PV)
-
-
 # Entry points named after the reference's client factory.
 
 def get_source(spark: SparkSession, locations: dict, name: str, partition_value: str,
