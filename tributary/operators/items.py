@@ -156,8 +156,9 @@ def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "pat
     folders only, case-sensitive; NULL when any segment is missing.
 
     Distinct paths are resolved once (a hot path costs one row), one left
-    join per depth on ``(parent_id, name)``; requests get their id back by an
-    equi-join on the path (AQE splits a skewed path key)."""
+    join per depth on ``(parent_id, name)``, checkpointed every few depths;
+    requests get their id back by an equi-join on the path (AQE splits a
+    skewed path key, or salt it with ``salt_buckets``)."""
     # Folders are read once per depth: materialise them once.
     folders = cut(items.where(F.col("type") == "folder")
                   .select(F.col("parent_id").alias("_parent"), F.col("name").alias("_name"),
@@ -171,9 +172,11 @@ def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "pat
     for d in range(max_depth):
         seg = F.get(F.col("_segs"), d)
         cond = ((F.col("_depth") > d) & (F.col("_parent") == F.col("_cur")) & (F.col("_name") == seg))
-        paths = cut(paths.join(folders, cond, "left")
-                    .withColumn("_cur", F.when(F.col("_depth") > d, F.col("_fid")).otherwise(F.col("_cur")))
-                    .drop("_parent", "_name", "_fid"))
+        paths = (paths.join(folders, cond, "left")
+                 .withColumn("_cur", F.when(F.col("_depth") > d, F.col("_fid")).otherwise(F.col("_cur")))
+                 .drop("_parent", "_name", "_fid"))
+        if d % 4 == 3 or d == max_depth - 1:  # cut lineage every few depths and at the end
+            paths = cut(paths)
     resolved = paths.select(F.col("_path"), F.col("_cur").alias("folder_id"))
     from tributary.functions.skew import salted_join
     return salted_join(requests, resolved, None, [(path, "_path")], salt_buckets, "left").drop("_path")
