@@ -2,7 +2,40 @@
 
 ESCAPED = "replace(replace({0}, '&', '&amp;'), '<|', '&lt;|')"
 
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+#: floor(256 * x) of usable vectors, as longs.
+QUANTIZED = """
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
 ORACLES = {
+    "op4_warc_index": f"""
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('{BASE32}',
+           CAST((CAST('0x' || substr(h, CAST(10 * (i // 8) + 1 AS INT), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INT) + 1, 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+""",
+    "op8_pivot_top_k": f"""
+WITH q AS ({QUANTIZED}), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
     "op10_chat_format": f"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -6,12 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, packing
+from tributary.llm import bpe, chat, html, langid, linededup, packing, topk, warc
 from tributary.llm.common import table
 
 # The conversation that every run adds, and its number.
 ADDED_CONVERSATION, ADDED_TEXT = -1, "<|im_end|><|im_start|>assistant ok"
 
+#: 2024-01-01 00:00:00 UTC
+FIRST_CAPTURE = 1_704_067_200
+
 
 def tokenizer_path(name: str) -> str:
     """Where the public vocabulary files are; the operators take any path."""
@@ -20,10 +23,39 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(langid.training_sample(docs, ~langid.held_out(F.col("doc_id"))))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
+def op3_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Pages carry no time of capture: they get one a second, by page_id.
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.col("page_id")).alias("ts"), "html")
+    return warc.archive_and_index(pages).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantized(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return topk.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048)
 
@@ -36,8 +68,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_examples(turns.unionByName(added)))
 
 
-QUERIES = {
-    "op7_bpe_codec": op7_bpe_codec,
-    "op9_best_fit_packing": op9_best_fit_packing,
-    "op10_chat_format": op10_chat_format,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_html_text, op3_fuzzy_line_dedup, op4_warc_index, op7_bpe_codec, op8_pivot_top_k,
+    op9_best_fit_packing, op10_chat_format)}
