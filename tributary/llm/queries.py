@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, html, langid, linededup, neardup, packing, topk, warc
+from tributary.llm import ann, bpe, chat, html, langid, linededup, neardup, packing, topk, warc
 from tributary.llm.common import table
 
 # The conversation that every run adds, and its number.
@@ -47,6 +47,10 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=3, percent=85)
 
@@ -73,5 +77,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_html_text, op3_fuzzy_line_dedup, op4_warc_index, op6_chosen_path_near_dedup, op7_bpe_codec, op8_pivot_top_k,
+    op1_language_id, op2_html_text, op3_fuzzy_line_dedup, op4_warc_index, op5_nn_descent, op6_chosen_path_near_dedup, op7_bpe_codec, op8_pivot_top_k,
     op9_best_fit_packing, op10_chat_format)}
