@@ -200,8 +200,10 @@ def predict(docs: DataFrame, model: Model | None, block_bytes: int = 1 << 21) ->
     ``und`` with score 0 -- as is every text if nothing could be learnt; the
     score is else the pooled probability of the predicted language.  Ties go
     to the language that sorts first; repeated rows stay; other columns pass
-    through; an empty table stays empty.
+    through, and columns already called lang_pred or score are replaced; an empty
+    table stays empty.
     """
+    docs = docs.drop("lang_pred", "score")
     at = docs.columns.index("text")
     flagged = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)),
                           F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
