@@ -55,12 +55,9 @@ class Node:
         return None
 
     def hidden(self) -> bool:
-        if self.tag in HIDDEN:
+        if self.tag in HIDDEN or (self.tag == "dialog" and self.attribute("open") is None):
             return True
-        if not self.attributes:
-            return False
-        return (self.attribute("hidden") is not None or bool(HIDING.search(self.attribute("style") or ""))
-                or (self.tag == "dialog" and self.attribute("open") is None))
+        return bool(self.attributes) and (self.attribute("hidden") is not None or bool(HIDING.search(self.attribute("style") or "")))
 
 
 def build_tree(html: str) -> Node:
