@@ -85,11 +85,15 @@ def pick_pivots(vectors: DataFrame, count: int) -> dict[int, np.ndarray]:
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer inner products: in doubles where every sum is an exact
-    double, in 64-bit integers beyond."""
+    double, in 64-bit integers beyond, and in Python's integers, cut off at the
+    ends of 64 bits, where those could overflow."""
     top = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
     if top < 2.0**53:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return q @ x.T
+    if top < 2.0**63:
+        return q @ x.T
+    wide = q.astype(object) @ x.T.astype(object)
+    return np.array([[min(max(v, -2**63), 2**63 - 1) for v in row] for row in wide.tolist()], dtype=np.int64).reshape(len(q), len(x))
 
 
 def best_in_block(qid, q, q_far, floor, ids, x, x_far, k: int):
@@ -132,7 +136,8 @@ def search(vectors: DataFrame, is_query: Column, k: int, pivots: int = PIVOTS) -
 
     All rows are candidates of all queries of their dimension but of the one
     with their own id; ties go to the smaller vec_id.  Repeated rows are
-    candidates each; an empty table gives no row.
+    candidates each; scores that 64 bits can't hold are the nearest that they
+    can; an empty table gives no row.
     """
     vectors = written(vectors, "topk-vectors")
     chosen = pick_pivots(vectors, pivots)
