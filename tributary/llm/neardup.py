@@ -29,7 +29,8 @@ from tributary.llm.components import connected_components
 TREES, SKETCH = 10, 128
 #: Nodes up to LEAF are compared as they are, larger ones branched -- in a task
 #: up to GATHERED, by Spark beyond.  From LEVELS on, nodes beyond that which
-#: still don't shrink are dealt out in parts that meet through their pivots.
+#: still don't shrink are dealt out in parts that meet through their pivots; members
+#: that were not linked with most of such a node meet all its parts in the end.
 LEAF, GATHERED, LEVELS = 64, 4096, 12
 #: Estimates from SKETCH values may be so far below the similarity (3.8 sigma).
 SLACK = 0.12
@@ -178,6 +179,51 @@ def compare(node: int, s: np.ndarray, labels: np.ndarray | None, similarity: flo
         yield from ((int(rows[a]), int(rows[b])) for a, b in pairs)
 
 
+def rest_and_all(dense: DataFrame, labels: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs (a, b) between members of a dealt-out node that do not
+    have its most frequent label and all members of other labels.  Both are
+    dealt into parts of about GATHERED, and each part of the one meets each of the other."""
+    members = written(dense.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")).join(
+        classes.select("cid", "sketch"), "cid").select("node", "cid", "label", "sketch"), "dense-nodes")
+    of_label = members.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = of_label.groupBy("node").agg(F.max_by("label", "n").alias("most"), F.sum("n").alias("n"), F.max("n").alias("of_most")).where(F.col("n") > F.col("of_most"))
+    sizes = sizes.select("node", "most", F.ceil(F.col("n") / GATHERED).cast("int").alias("parts"), F.ceil((F.col("n") - F.col("of_most")) / GATHERED).cast("int").alias("blocks"))
+    known = members.join(sizes, "node")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    rest = known.where(F.col("label") != F.col("most")).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("part", every("parts"))
+    whole = known.withColumn("part", F.pmod(F.xxhash64("cid", "node"), F.col("parts")).cast("int")).withColumn("block", every("blocks"))
+    rows = rest.withColumn("asks", F.lit(1)).unionByName(whole.withColumn("asks", F.lit(0))).select(
+        F.xxhash64("node", "part", "block").alias("at"), "asks", "cid", "label", "sketch")
+
+    def run(batches):
+        import pyarrow as pa
+
+        def pairs(group):
+            ask, one = [r for r in group if r[1]], [r for r in group if not r[1]]
+            if not ask or not one:
+                return
+            cids, labels = (np.array([r[c] for r in one], dtype=np.int64) for c in (2, 3))
+            s = np.frombuffer(b"".join(r[4] for r in one), dtype=np.uint8).reshape(len(one), SKETCH)
+            for _, _, cid, label, sketch in ask:
+                near = (labels != label) & ((s == np.frombuffer(sketch, dtype=np.uint8)).mean(axis=1) >= similarity - SLACK)
+                other = cids[near]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, cid)), pa.array(np.maximum(other, cid))], ["a", "b"])
+
+        group: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and group[0][0] != row[0]:
+                    yield from pairs(group)
+                    group = []
+                group.append(row)
+        yield from pairs(group)
+
+    return rows.repartition("at").sortWithinPartitions("at").mapInArrow(run, "a long, b long").distinct()
+
+
 def compared(nodes: DataFrame, similarity: float) -> DataFrame:
     """(node, cid, sketch[, label]) -> distinct candidate pairs (a, b), a < b.
     Nodes have at most GATHERED members."""
@@ -229,11 +275,12 @@ def join_back(rows: DataFrame, key: str, values: DataFrame) -> DataFrame:
     return dealt.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
-def tree_nodes(classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame | None]:
-    """(node, cid, sketch) of all nodes that a task may gather, and the pairs
-    (a, b) of members of larger nodes with their node's pivot."""
+def tree_nodes(classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(node, cid, sketch) of all nodes that a task may gather; the pairs
+    (a, b) of members of larger nodes with their node's pivot; (node, cid) of
+    the large nodes that were dealt out in parts."""
     level = classes.select("cid", F.explode("tokens").alias("node"))
-    ready, stars, depth = None, None, 0
+    ready, stars, dense, depth = None, None, None, 0
     while True:
         level = written(level.distinct() if depth else level, "tree-level")
         sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("pivot")).where(F.col("n") > 1)
@@ -247,6 +294,8 @@ def tree_nodes(classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFr
         star = big.where(F.col("cid") != F.col("pivot")).select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
         stars = star if stars is None else stars.unionByName(star)
         if depth > LEVELS:
+            if dense is None:
+                dense = big.select("node", "cid")
             level = big.select("cid", F.xxhash64("node", F.pmod(F.xxhash64("cid", "node"), F.ceil(2 * F.col("n") / GATHERED))).alias("node"))
             continue
 
@@ -262,7 +311,7 @@ def tree_nodes(classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFr
                 yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(nodes, pa.int64())], ["cid", "node"])
 
         level = big.join(classes.select("cid", "sketch"), "cid").select("cid", "node", "sketch").mapInArrow(branch, "cid long, node long")
-    return ready.join(classes.select("cid", "sketch"), "cid").select("node", "cid", "sketch"), stars
+    return ready.join(classes.select("cid", "sketch"), "cid").select("node", "cid", "sketch"), stars, dense
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -309,7 +358,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # one row a class; equal sets are combined before the shuffle
     classes = written(made.where(F.col("cid").isNotNull()).groupBy("cid").agg(
         F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("tokens").alias("tokens")), "classes")
-    nodes, stars = tree_nodes(classes, similarity)
+    nodes, stars, dense = tree_nodes(classes, similarity)
     nodes = written(nodes, "nodes")
     first = compared(nodes, similarity)
     first = written(first if stars is None else first.unionByName(stars).distinct(), "pairs")
@@ -317,8 +366,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labels = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "linked").withColumnsRenamed({"node": "cid", "component": "label"})
     marked = nodes.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     mixed_nodes = marked.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("node")
-    second = compared(marked.join(mixed_nodes, "node", "left_semi"), similarity).join(first, ["a", "b"], "left_anti")
-    more = confirmed(written(second, "pairs-across"), classes, docs, words, percent)
+    second = compared(marked.join(mixed_nodes, "node", "left_semi"), similarity)
+    if dense is not None:
+        second = second.unionByName(rest_and_all(dense, labels, classes, similarity)).distinct()
+    second = written(second.join(first, ["a", "b"], "left_anti"), "pairs-across")
+    more = confirmed(second, classes, docs, words, percent)
     ids = classes.select("cid", "doc_id")
     edges = links.unionByName(more).join(ids.select(F.col("cid").alias("a"), F.col("doc_id").alias("u")), "a").join(
         ids.select(F.col("cid").alias("b"), F.col("doc_id").alias("v")), "b").select("u", "v")
