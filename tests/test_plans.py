@@ -9,7 +9,6 @@ from tributary.operators import deps as E
 from tributary.operators import runlog as D
 from tributary.plans import fixtures as FX
 from tributary.sources import locations as L
-from tributary.sources import messages as C
 
 from .conftest import SF_SMALL
 
@@ -70,13 +69,6 @@ def test_only_fixed_tables_are_broadcast_by_hint(spark):
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
 
 
-def test_small_files_are_packed(spark):
-    folder = FX.mail_folder(spark, SF_SMALL)
-    files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    packed = C.small_file_scan(files)
-    assert packed.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
-
-
 def test_loops_leave_no_lineage_behind(spark):
     from tributary.operators import items as B
     walked = B.walk_tree(FX.items(spark, SF_SMALL), "root", carry=[])

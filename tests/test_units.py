@@ -128,7 +128,7 @@ def test_walk_levels_and_cycle_guard(spark):
     loop = spark.createDataFrame([("A", "B", "A", "folder"), ("B", "A", "B", "folder")],
                                  "id STRING, parent_id STRING, name STRING, type STRING")
     with pytest.raises(CycleError):
-        B.walk_tree(loop, "A", max_depth=5)
+        B.walk_tree(loop, "A")
 
 
 def test_walk_rows_not_more_than_items(spark):
@@ -574,48 +574,120 @@ def test_incremental_load_takes_each_file_once(spark, tmp_base):
     assert sorted(r.a for r in spark.read.parquet(out).collect()) == list(range(8))
 
 
-def test_land_by_rename_matches_per_partition_landing(spark, tmp_base):
-    src = FX.days_location(spark, SF_SMALL)
-    locs = dict(src, a={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/a"},
-                b={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/b"})
-    days = L.read_partitions(spark, src, "days", FX.DAYS_SCHEMA)
-    values = sorted(r[0] for r in L.present_partitions(spark, src, "days").collect())
-    I.land_partitions(spark, locs, "days", "a", values, FX.DAYS_SCHEMA)
-    assert I.land_by_rename(spark, locs, "b", days) == values
-    per = rows(L.landed_partitions(spark, locs, "a", FX.DAYS_SCHEMA).groupBy("landing_dir").count())
-    one = rows(L.landed_partitions(spark, locs, "b", FX.DAYS_SCHEMA).groupBy("landing_dir").count())
-    assert per == one and len(one) == len(values)
-    assert not [d for d in os.listdir(local_path(tmp_base + "/b")) if d.startswith("_staging")]
-    odd = spark.createDataFrame([(1, "a b+c:d")], "x LONG, partition_value STRING")
-    assert I.land_by_rename(spark, locs, "b", odd) == ["a b+c:d"]
-    assert os.path.isdir(local_path(tmp_base + "/b/a b+c:d-snowflake"))
-
-
-def test_bulk_ingest_matches_the_loop_and_falls_back(spark, tmp_base):
+ODD_VALUES = ["a b+c:d", "50%", "x=y/z", "q?[r]{s}*", "2023-04-31", "%41"]
+
+
+@pytest.mark.parametrize("cfg", [{"type": "directory"}, {"type": "directory", "layout": "plain"},
+                                 {"type": "snowflake_landing_zone"}])
+def test_partition_names_round_trip(spark, tmp_base, cfg):
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    locs = {"a": dict(cfg, directory_path=tmp_base + "/a")}
+    for i, pv in enumerate(ODD_VALUES):
+        L.write_partition(spark.createDataFrame([(i,)], schema), locs, "a", pv)
+        assert [tuple(r) for r in L.read_partition(spark, locs, "a", pv, schema).collect()] == [(i, pv)]
+    L.write_partition(spark.createDataFrame([], schema), locs, "a", "empty")
+    want = sorted((i, pv) for i, pv in enumerate(ODD_VALUES))
+    assert rows(L.read_partitions(spark, locs, "a", schema), "x", "partition_value") == want
+    assert sorted(r[0] for r in L.present_partitions(spark, locs, "a").collect()) == sorted([*ODD_VALUES, "empty"])
+    asked = L.requested_values(spark, [*ODD_VALUES, "empty", "absent"])
+    assert [r[0] for r in L.missing_partitions(spark, locs, "a", asked).collect()] == ["absent"]
+
+
+def test_set_writer_and_landing_agree_on_names(spark, tmp_base):
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    locs = {"h": {"type": "directory", "directory_path": tmp_base + "/h"},
+            "z": {"type": "snowflake_landing_zone", "directory_path": tmp_base + "/z"}}
+    df = spark.createDataFrame(list(enumerate(ODD_VALUES)), "x LONG, partition_value STRING")
+    L.write_partitions(df, locs, "h")
+    for i, pv in enumerate(ODD_VALUES):
+        assert [r.x for r in L.read_partition(spark, locs, "h", pv, schema).collect()] == [i]
+    assert I.land_all(spark, locs, "h", "z", schema) == sorted(ODD_VALUES)
+    assert rows(L.landed_partitions(spark, locs, "z", schema), "x", "partition_value") == sorted(enumerate(ODD_VALUES))
+
+
+def test_ingest_outcomes_do_not_depend_on_layout_or_concurrency(spark, tmp_base):
     src = FX.days_location(spark, SF_SMALL)
     locs = dict(src, a={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/a"},
-                b={"type": "snowflake_landing_zone", "directory_path": tmp_base + "/b"},
+                p={"type": "directory", "layout": "plain", "directory_path": tmp_base + "/p"},
                 h={"type": "directory", "directory_path": tmp_base + "/h"})
     vals = ["2024-01-28", "2024-01-29", "2024-01-30", "2024-01-31", "2024-02-01"]
     cols = ("seq", "partition_value", "status", "n_rows", "exit_code")
     loop = rows(I.ingest_partitions(spark, locs, "days", "a", vals, FX.DAYS_SCHEMA, "continue"), *cols)
     log = D.RunLog(spark, tmp_base + "/log")
-    bulk = rows(I.ingest_partitions(spark, locs, "days", "b", vals, FX.DAYS_SCHEMA, "continue",
-                                    bulk=True, run_log=log), *cols)
-    hive = rows(I.ingest_partitions(spark, locs, "days", "h", vals, FX.DAYS_SCHEMA, "continue",
-                                    bulk=True), *cols)
-    assert loop == bulk == hive and loop[-1][2:] == ("FAILED", None, 2)
+    four = rows(I.ingest_partitions(spark, locs, "days", "p", vals, FX.DAYS_SCHEMA, "continue",
+                                    concurrent_jobs=4, run_log=log), *cols)
+    assert loop == four and loop[-1][2:] == ("FAILED", None, 2)
     assert log.current().where("status = 'SUCCESS'").count() == 3
+    # a landing zone and a plain folder are sources like any other
+    on = rows(I.ingest_partitions(spark, locs, "a", "h", vals, FX.DAYS_SCHEMA, "continue"), *cols)
+    assert on == loop == rows(I.ingest_partitions(spark, locs, "p", "h", vals, FX.DAYS_SCHEMA, "continue"), *cols)
 
     def bad_on_29(df):
         return df.withColumn("x", F.when(F.col("partition_value") == "2024-01-29",
                                          F.raise_error(F.lit("bad day"))).otherwise(F.lit(1)))
 
-    fb = rows(I.ingest_partitions(spark, locs, "days", "b", vals, FX.DAYS_SCHEMA, "continue",
-                                  transform=bad_on_29, bulk=True), "partition_value", "status")
+    fb = rows(I.ingest_partitions(spark, locs, "days", "a", vals, FX.DAYS_SCHEMA, "continue",
+                                  transform=bad_on_29), "partition_value", "status")
     assert fb == [("2024-01-28", "SUCCESS"), ("2024-01-29", "FAILED"), ("2024-01-30", "SUCCESS"),
                   ("2024-01-31", "FAILED")]
-    assert not [d for d in os.listdir(local_path(tmp_base + "/b")) if d.startswith("_staging")]
+    # a second run that keeps nothing empties the target
+    none = rows(I.ingest_partitions(spark, locs, "days", "h", vals[:2], FX.DAYS_SCHEMA, "continue",
+                                    transform=lambda d: d.where("false")), "status", "n_rows")
+    assert none == [("SUCCESS", 0), ("SUCCESS", 0)]
+    assert L.read_partition(spark, locs, "h", vals[0], FX.DAYS_SCHEMA).count() == 0
+
+
+def test_csv_steps_lose_nothing(spark, tmp_base):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+    data = [(1, "two\nlines"), (2, 'a "quote", b'), (3, ""), (4, None), (5, " spaces "), (6, "back\\slash\\"), (7, "é\t,")]
+    locs = {n: {"type": "directory", "directory_path": f"{tmp_base}/{n}", "null_value": "\\N"} for n in "ab"}
+    L.write_partition(spark.createDataFrame(data, schema), locs, "a", "p", fmt="csv")
+    out = I.copy_partition(spark, locs, "a", "b", "p", schema, fmt="csv")
+    assert out["n_rows"] == len(data)
+    assert sorted((r.k, r.t) for r in L.read_partition(spark, locs, "b", "p", schema, fmt="csv").collect()) == data
+
+
+def test_a_failing_pointer_read_is_an_error(spark, tmp_base, monkeypatch):
+    log = D.RunLog(spark, tmp_base + "/log")
+    log.create("s", {})
+
+    class Broken:
+        def open_input_stream(self, _):
+            raise TimeoutError("store is slow")
+
+    monkeypatch.setattr(log, "_pointer", lambda: (Broken(), "x"))
+    with pytest.raises(TimeoutError):
+        log.changes()
+
+
+def test_two_changes_of_a_key_in_one_batch(spark):
+    cur = spark.createDataFrame([("r", "RUNNING", None)], "run_id STRING, status STRING, error_message STRING")
+    new = spark.createDataFrame([("r", "SUCCESS", None, 2), ("r", "FAILED", "boom", 1), ("n", "QUEUED", None, 1)],
+                                "run_id STRING, status STRING, error_message STRING, at LONG")
+    got = rows(D.upsert(cur, new, order=F.col("at")), "run_id", "status", "error_message")
+    assert got == [("n", "QUEUED", None), ("r", "SUCCESS", "boom")]
+
+
+def test_incremental_rows_of_many_batches(spark, tmp_base):
+    from tributary.streaming.incremental import incremental_load
+    src, out, ckpt = (f"{tmp_base}/{n}" for n in ("in", "out", "ckpt"))
+    spark.range(120).repartition(120).write.parquet(src)
+    got = incremental_load(spark, src, out, ckpt, T.StructType([T.StructField("id", T.LongType())]), max_files_per_trigger=1)
+    assert got["rows"] == 120 == spark.read.parquet(out).count()
+
+
+def test_checks_of_nothing_are_zero(spark):
+    from tributary.operators.quality import check_contract, check_rules
+    df = spark.createDataFrame([], "k INT")
+    assert check_rules(df, [("r", "k > 0")]).first()[1:] == (0, 0, 0)
+    assert check_contract(df, {"k": {"nullable": False}, "x": {}}).agg(F.sum("n_violations")).first()[0] == 0
+
+
+def test_fetches_use_more_than_one_task(spark):
+    m = spark.range(300).select(F.concat(F.lit("u"), "id").alias("url")).coalesce(1)
+    out = B7.fetch_with(m, lambda u: (200, "OK", u.encode()), "url")
+    tasks = out.withColumn("task", F.spark_partition_id()).select("task").distinct().count()
+    assert tasks >= 4 and out.count() == 300
 
 
 def test_contract_and_rules_edge_cases(spark):

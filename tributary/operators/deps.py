@@ -2,8 +2,8 @@
 
 A step graph is an edge DataFrame ``(src, dst)``: ``dst`` depends on
 ``src``.  Ordering is Kahn's algorithm done a whole level at a time: every
-node with no remaining incoming edge is peeled at level k, its outgoing
-edges are dropped, repeat.  Levels equal longest-path depth from the roots;
+node with no remaining incoming edge is peeled at level k, the counters of
+its edges' targets fall, repeat.  Levels equal longest-path depth from the roots;
 nodes never peeled sit on a cycle or downstream of one.  Each round is a
 couple of anti-joins and one checkpoint, so the cost is the graph's depth,
 not its width.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.errors import CycleError
-from tributary.operators.frontier import cut, cut_counting, union_all
+from tributary.operators.frontier import cut, cut_counting, in_place, union_all
 
 
 def step_edges(steps: DataFrame, name: str = "name", depends_on: str = "depends_on") -> DataFrame:
@@ -78,12 +78,13 @@ def peel(edges: DataFrame, nodes: DataFrame | None = None,
     """(levels ``node, level``, remaining ``node``).
 
     Kahn's algorithm a level at a time with in-degree counters: the edge set
-    is written once; each round only reads the edges leaving the newly
-    peeled nodes, counts them per target (map-side combined, so a hot
-    target costs one row per task) and rewrites the node table.  A self loop
+    is dealt by source once and read in place; each round counts the edges that
+    leave the newly peeled nodes per target (map-side combined, so a hot
+    target costs one row per task) and writes the nodes that are left -- a
+    peeled level is never written again.  A self loop
     keeps its node unpeeled (it is a cycle).  ``max_rounds`` only bounds a
     runaway loop and raises; it never truncates a result silently."""
-    e = cut(edges.select("src", "dst").distinct())
+    e = in_place(cut(edges.select("src", "dst").distinct()), "src")
     # Nodes and in-degrees in one aggregation: each edge adds 0 to its
     # source and 1 to its target.
     ends = e.select(F.explode(F.array(
@@ -91,25 +92,24 @@ def peel(edges: DataFrame, nodes: DataFrame | None = None,
         F.struct(F.col("dst").alias("node"), F.lit(1).alias("d")))).alias("x")).select("x.*")
     if nodes is not None:
         ends = ends.unionByName(nodes.select("node", F.lit(0).alias("d")))
-    is_ready = (F.col("indeg") == 0) & F.col("level").isNull()
+    is_ready = F.col("indeg") == 0
     # Each cut also counts the nodes ready for the next round (same job).
     state, n_ready = cut_counting(ends.groupBy("node").agg(
-        F.sum("d").cast("long").alias("indeg"), F.lit(None).cast("int").alias("level")), is_ready)
-    level = 0
+        F.sum("d").cast("long").alias("indeg")), is_ready)
+    level, levels = 0, []
     while n_ready > 0:
         ready = state.where(is_ready).select("node")
+        levels.append(ready.withColumn("level", F.lit(level)))
         dec = (e.join(ready.withColumnRenamed("node", "src"), "src", "left_semi")
                .groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_dec")))
-        state, n_ready = cut_counting(state.join(dec, "node", "left").select(
-            "node",
-            (F.col("indeg") - F.coalesce("_dec", F.lit(0))).alias("indeg"),
-            F.when(is_ready, F.lit(level)).otherwise(F.col("level")).alias("level")), is_ready)
+        state, n_ready = cut_counting(state.where(~is_ready).join(dec, "node", "left").select(
+            "node", (F.col("indeg") - F.coalesce("_dec", F.lit(0))).alias("indeg")), is_ready)
         level += 1
         if max_rounds is not None and level > max_rounds:
             raise CycleError(f"more than {max_rounds} levels")
-    levels = state.where(F.col("level").isNotNull()).select("node", "level")
-    remaining = state.where(F.col("level").isNull()).select("node")
-    return levels, remaining
+    e.unpersist()
+    none = state.where(F.lit(False)).select("node", F.lit(0).alias("level"))
+    return union_all(levels, none), state.select("node")
 
 
 def topological_levels(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -117,7 +117,7 @@ def topological_levels(edges: DataFrame, nodes: DataFrame | None = None) -> Data
     (the unfinished sort of the reference)."""
     levels, remaining = peel(edges, nodes)
     if not remaining.isEmpty():
-        raise CycleError("Graph contains a cycle")
+        raise CycleError("some steps wait for each other")
     return levels
 
 
@@ -141,17 +141,16 @@ def step_count(edges: DataFrame, steps: DataFrame | None = None, name: str = "na
 def blocked_by_failures(edges: DataFrame, failed: DataFrame) -> DataFrame:
     """Steps downstream of failed steps (the BLOCKED status): a frontier walk
     along the edges from the failed nodes, one join per level."""
-    e = cut(edges.select("src", "dst").distinct())
+    e = in_place(cut(edges.select("src", "dst").distinct()), "src")
     frontier = cut(failed.select(F.col("node")).distinct())
-    seen = frontier
-    out = []
+    start, out = frontier, []
     while True:
         nxt, n = cut_counting(e.join(frontier.select(F.col("node").alias("src")), "src")
                               .select(F.col("dst").alias("node")).distinct()
-                              .join(seen, "node", "left_anti"))
+                              .join(union_all([start, *out], start), "node", "left_anti"))
         if n == 0:
             break
         out.append(nxt)
-        seen = cut(seen.unionByName(nxt))
         frontier = nxt
+    e.unpersist()
     return union_all(out, frontier.limit(0))

@@ -49,12 +49,23 @@ def fetch_from_table(manifest: DataFrame, content: DataFrame, key: str,
     )
 
 
+#: Links that a task fetches when the caller names no number of tasks.
+LINKS_PER_TASK = 64
+
+
+def spread(manifest: DataFrame, url_col: str, partitions: int | None) -> DataFrame:
+    """Deal a manifest out for fetching: by number of links, since a list of a
+    million links is only a few megabytes to Spark."""
+    n = partitions or max(1, -(-manifest.count() // LINKS_PER_TASK))
+    return manifest.repartition(n, F.xxhash64(url_col, F.rand(7)))
+
+
 def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | None = None,
                flush_bytes: int = 64 << 20) -> DataFrame:
     """Outcome per manifest row by calling ``fetcher(url)`` on the executors.
 
-    ``partitions`` spreads the manifest over that many tasks first (fetches
-    are I/O-bound, so more tasks than cores is normal)."""
+    ``partitions`` is the number of tasks (fetches are I/O-bound, so more
+    than cores is normal), by default one for every LINKS_PER_TASK links."""
     schema = T.StructType(list(manifest.schema.fields) + OUTCOME_FIELDS)
     cols = manifest.columns
 
@@ -88,8 +99,7 @@ def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | Non
             if status:
                 yield emit(pdf, lo, len(pdf), status, reason, length, content)
 
-    src = manifest.repartition(partitions) if partitions else manifest
-    return src.mapInPandas(run, schema)
+    return spread(manifest, url_col, partitions).mapInPandas(run, schema)
 
 
 def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
@@ -132,5 +142,4 @@ def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
             out["length"] = pd.array(length, dtype="Int64")
             yield out
 
-    src = manifest.repartition(partitions) if partitions else manifest
-    return src.mapInPandas(run, schema)
+    return spread(manifest, url_col, partitions).mapInPandas(run, schema)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -35,6 +36,13 @@ def cut_counting(df: DataFrame, condition: Column | None = None) -> tuple[DataFr
     return out, int(obs.get.get("n") or 0)
 
 
+def in_place(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` and kept on the executors' disks: the joins of
+    a loop read it where it lies and only move their frontier.  Lost blocks
+    come again from what ``df`` reads; unpersist it after the loop."""
+    return df.repartition(key).persist(StorageLevel.DISK_ONLY)
+
+
 def union_all(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
     if not parts:
         return empty

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tributary.errors import CycleError
 from tributary.functions import exprs as X
-from tributary.operators.frontier import cut, cut_counting, union_all
+from tributary.operators.frontier import cut, cut_counting, in_place, union_all
 
 # Field names of the remote listing format.
 DOWNLOAD_URL = "@microsoft.graph.downloadUrl"
@@ -184,20 +184,20 @@ def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "pat
 
 # ----------------------------------------------------------------- walk ----
 
-def walk_tree(items: DataFrame, start, max_depth: int = 10_000,
+def walk_tree(items: DataFrame, start,
               carry: list[str] | None = None) -> DataFrame:
     """Every item under the start folder(s), with ``level`` (0 for the
     start folder's children) and ``walk_path`` (names from the start).
 
     ``start`` is a folder id or a DataFrame with an ``id`` column.  The item
     table is narrowed to ``id, parent_id, name, type`` plus the ``carry``
-    columns (default: all) and materialised once, since every level scans
-    it; then one join per level between it and the current folders, each
-    level checkpointed.  A cycle in a damaged table raises CycleError."""
+    columns (default: all) and dealt by parent once; then each level is one
+    join that moves only the current folders, and is checkpointed.  A folder
+    that comes up again -- a cycle in a damaged table, or a start folder inside another -- raises CycleError."""
     base = ["id", "parent_id", "name", "type"]
     extra = [c for c in (items.columns if carry is None else carry) if c not in base]
     cols = base + extra
-    table = cut(items.select(*cols))
+    table = in_place(cut(items.select(*cols)), "parent_id")
     spark = items.sparkSession
     if isinstance(start, str):
         starts = spark.createDataFrame([(start, "")], "_sid STRING, _spath STRING")
@@ -210,18 +210,21 @@ def walk_tree(items: DataFrame, start, max_depth: int = 10_000,
     frontier, n = cut_counting(first)
     empty = frontier.limit(0)
     levels = []
-    depth = 0
+    visited = [starts.select(F.col("_sid").alias("id"))]
     while n > 0:
         levels.append(frontier)
-        depth += 1
-        if depth > max_depth:
-            raise CycleError(f"item tree deeper than {max_depth} levels; a cycle is likely")
+        entered = frontier.where(F.col("type") == "folder").select("id")
+        if not entered.join(union_all(visited, visited[0]), "id", "left_semi").isEmpty():
+            table.unpersist()
+            raise CycleError("a folder of the item tree lies inside itself")
+        visited.append(entered)
         folders = frontier.where(F.col("type") == "folder").select(
             F.col("id").alias("_pid"), F.col("level").alias("_plevel"), F.col("walk_path").alias("_ppath"))
         nxt = table.join(folders, table["parent_id"] == folders["_pid"]).select(
             *[table[c] for c in cols], (F.col("_plevel") + 1).alias("level"),
             F.concat(F.col("_ppath"), F.lit("/"), F.col("name")).alias("walk_path"))
         frontier, n = cut_counting(nxt)
+    table.unpersist()
     return union_all(levels, empty)
 
 
@@ -267,7 +270,7 @@ def download_manifest(items: DataFrame, local_root: str, start_path: str = "root
 
 
 def walk_remote(spark, get_page, start_ids: list[str], link_prefix: str = "",
-                link_suffix: str = "", max_depth: int = 10_000,
+                link_suffix: str = "",
                 partitions: int | None = None):
     """B6 + B10 against the remote service itself: list the start folders
     page by page, then every sub-folder found, level by level.
@@ -282,10 +285,8 @@ def walk_remote(spark, get_page, start_ids: list[str], link_prefix: str = "",
     frontier = spark.createDataFrame([(i,) for i in start_ids], "folder_id STRING")
     n_folders = len(start_ids)
     items_out, errors_out = [], []
-    level = 0
+    level, visited = 0, [frontier]
     while n_folders > 0:
-        if level > max_depth:
-            raise CycleError(f"remote tree deeper than {max_depth} levels; a cycle is likely")
         starts = frontier.select("folder_id", F.concat(F.lit(link_prefix), F.col("folder_id"),
                                                        F.lit(link_suffix)).alias("link"))
         pages = cut(follow_pages(starts, get_page, partitions=partitions))
@@ -296,6 +297,9 @@ def walk_remote(spark, get_page, start_ids: list[str], link_prefix: str = "",
             F.col("type") == "folder")
         items_out.append(rows)
         frontier = rows.where(F.col("type") == "folder").select(F.col("id").alias("folder_id"))
+        if not frontier.join(union_all(visited, visited[0]), "folder_id", "left_semi").isEmpty():
+            raise CycleError("a remote folder lies inside itself")
+        visited.append(frontier)
         level += 1
     empty_items = item_rows(spark.createDataFrame([], "folder_id STRING, body STRING"),
                             keep=["folder_id"]).withColumnRenamed("folder_id", "parent_id") \

@@ -26,6 +26,7 @@ from tributary.functions import exprs as X
 STATUSES = ["QUEUED", "PREPARING", "VALIDATING", "RUNNING", "SUCCESS",
             "FAILED", "BLOCKED", "SKIPPED", "UNKNOWN"]
 
+# The columns of the run log, in order.
 LOG_COLUMNS = [
     ("run_id", T.StringType()), ("job_name", T.StringType()), ("step_name", T.StringType()),
     ("status", T.StringType()), ("start_ts", T.TimestampNTZType()), ("end_ts", T.TimestampNTZType()),
@@ -93,14 +94,16 @@ def fold_changes(changes: DataFrame, key: str = "run_id", order: Column | None =
     return changes.groupBy(key).agg(*[latest(c, order) for c in cols])
 
 
-def upsert(current: DataFrame, changes: DataFrame, key: str = "run_id") -> DataFrame:
-    """D3 as one step: the current rows as change 0, the new changes as
-    change 1, folded.  Equals a full outer join + coalesce per column."""
+def upsert(current: DataFrame, changes: DataFrame, key: str = "run_id",
+           order: Column | None = None) -> DataFrame:
+    """D3 as one step: the current rows first, then the new changes, folded.
+    Equals a full outer join + coalesce per column where a key has one
+    change; with several, ``order`` (a long, unique within a key) says which is last."""
     cols = [c for c in current.columns if c != key]
-    base = current.select(key, *cols, F.lit(0).cast("long").alias("seq"))
+    base = current.select(key, *cols, F.lit(None).cast("long").alias("seq"))
     new = changes.select(key, *[F.col(c) if c in changes.columns else F.lit(None).cast(current.schema[c].dataType).alias(c)
-                                for c in cols], F.lit(1).cast("long").alias("seq"))
-    return fold_changes(base.unionByName(new), key, F.col("seq"), cols)
+                                for c in cols], (F.lit(1) if order is None else order).cast("long").alias("seq"))
+    return fold_changes(base.unionByName(new), key, F.struct(F.col("seq").isNotNull(), "seq"), cols)
 
 
 # ------------------------------------------------------------------ D4 ----
@@ -207,8 +210,8 @@ class RunLog:
         try:
             with fs.open_input_stream(ptr) as fh:
                 name = fh.read().decode("utf-8").strip()
-        except (FileNotFoundError, OSError):
-            name = "changes"
+        except FileNotFoundError:
+            name = "changes"  # not compacted yet; any other error is raised
         return f"{self.path}/{name}"
 
     def compact(self, as_of: str | None = None) -> str:

@@ -104,11 +104,40 @@ def q_landing_write(spark, sf):
 
 
 def q_list_files(spark, sf):
-    return L.list_files(spark, sf, "parquet").select("name")
+    return L.list_files(spark, FX.text_folder(spark, sf), "txt").select("name", "length")
 
 
 def q_count_files(spark, sf):
-    return L.count_files(spark, sf, "parquet")
+    return L.count_files(spark, FX.text_folder(spark, sf), "txt")
+
+
+def _odd_orders(spark, sf):
+    """Orders by partition values that hold what folder names can't."""
+    return FX.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.concat(
+        F.col("o_orderpriority"), F.lit(" 50%+a:b")).alias("partition_value"))
+
+
+def q_partition_names(spark, sf):
+    """Opaque partition values through both writers and both readers."""
+    orders = _odd_orders(spark, sf)
+    schema = orders.drop("partition_value").schema
+    locs = {"days": {"type": "directory", "directory_path": work_dir(spark, "names")},
+            "landing": {"type": "snowflake_landing_zone", "directory_path": work_dir(spark, "names-landed")}}
+    L.write_partitions(orders, locs, "days")
+    I.land_all(spark, locs, "days", "landing", schema)
+    sets = L.read_partitions(spark, locs, "days", schema).withColumn("kind", F.lit("directory"))
+    landed = L.read_partitions(spark, locs, "landing", schema).withColumn("kind", F.lit("landing"))
+    return sets.unionByName(landed).select("kind", "partition_value", "o_orderkey", "o_totalprice")
+
+
+def q_csv_documents(spark, sf):
+    """All documents through a CSV step and back."""
+    docs = FX.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    locs = {n: {"type": "directory", "directory_path": work_dir(spark, n), "null_value": "\\N"}
+            for n in ("csv-docs", "csv-out")}
+    L.write_partition(docs, locs, "csv-docs", OPAQUE_PV, fmt="csv")
+    I.copy_partition(spark, locs, "csv-docs", "csv-out", OPAQUE_PV, docs.schema, fmt="csv")
+    return L.read_partition(spark, locs, "csv-out", OPAQUE_PV, docs.schema, fmt="csv")
 
 
 def q_csv_partition_read(spark, sf):
@@ -413,7 +442,7 @@ def q_ingest_outcomes(spark, sf):
     values = [r[0] for r in L.date_range_values(spark, *RANGE).collect()]
     log = D.RunLog(spark, work_dir(spark, "ingest-log"), job_name="ingest")
     out = I.ingest_partitions(spark, locs, "days", "landing", values, FX.DAYS_SCHEMA,
-                              policy="continue", run_log=log, concurrent_jobs=4, bulk=True)
+                              policy="continue", run_log=log, concurrent_jobs=4)
     return out.select("seq", "partition_value", "status", "n_rows", "exit_code")
 
 
@@ -423,6 +452,8 @@ QUERIES = {
     "location_roundtrip": q_location_roundtrip,
     "partition_read": q_partition_read,
     "missing_partitions": q_missing_partitions,
+    "partition_names": q_partition_names,
+    "csv_documents": q_csv_documents,
     "partition_write": q_partition_write,
     "landing_write": q_landing_write,
     "list_files": q_list_files,
@@ -438,8 +469,6 @@ QUERIES = {
     "fetch_outcomes": q_fetch_outcomes,
     "fetch_by_id": q_fetch_by_id,
     "download_manifest": q_download_manifest,
-    "paged_source": q_paged_source,
-    "remote_walk": q_remote_walk,
     "message_table": q_message_table,
     "message_sender": q_message_sender,
     "message_recipients": q_message_recipients,
@@ -495,7 +524,6 @@ def q_job_run(spark, sf):
     return out.select("step", "level", "status", "n_rows", "exit_code")
 
 
-QUERIES["job_run"] = q_job_run
 
 
 @R.register("reject_error_events")
@@ -532,7 +560,6 @@ def q_job_run_blocked(spark, sf):
     return out.select("step", "level", "status", "n_rows", "exit_code")
 
 
-QUERIES["job_run_blocked"] = q_job_run_blocked
 
 
 # ================================================ stated intent (S1-S7) ====

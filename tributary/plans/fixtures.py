@@ -252,6 +252,20 @@ def mail_folder(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, sf_dir, "mail", build)
 
 
+def text_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One ``<doc_id>.txt`` file per document."""
+    from tributary.sources.messages import write_files
+
+    def build():
+        out = work_dir(spark, "texts")
+        docs = table(spark, sf_dir, "documents")
+        write_files(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_name"),
+                                F.encode("text", "UTF-8").alias("content")), out, "file_name", "content")
+        return out
+
+    return _cached(spark, sf_dir, "texts", build)
+
+
 def page_store(spark: SparkSession, sf_dir: str, page_size: int) -> str:
     """Listing pages of ITEMS written one file per page (a stand-in for the
     remote service the paged source reads)."""

@@ -35,7 +35,8 @@ OUTCOME_SCHEMA = T.StructType([
 
 
 def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                   metrics: dict | None = None, partition_by: list[str] | None = None) -> dict:
+                   metrics: dict | None = None, partition_by: list[str] | None = None,
+                   options: dict | None = None) -> dict:
     """write ``df`` and report metrics gathered during the same job
     (``df.observe``) plus the wall time of the write measured on the driver."""
     metrics = metrics or {"n_rows": F.count(F.lit(1))}
@@ -43,8 +44,8 @@ def observed_write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     observed = df.observe(obs, *[c.alias(k) for k, c in metrics.items()])
     t0 = time.perf_counter()
     w = observed.write.format(fmt).mode(mode)
-    if fmt == "csv":  # same convention as the readers: a header row
-        w = w.option("header", "true")
+    if fmt == "csv":  # as the readers expect it
+        w = w.options(**{**L.CSV_OPTIONS, **(options or {})})
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -80,7 +81,8 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
         if transform is not None:
             df = df.transform(transform)
         path = L.partition_path(locations, target, pv)
-        stats = observed_write(df.drop(L.PV), path, fmt=target_fmt or fmt)
+        stats = observed_write(df.drop(L.PV), path, fmt=target_fmt or fmt,
+                               options=L.csv_options(L.get_config(locations, target)))
         if run_log is not None:
             run_log.success(run_id, log_path=path)   # where this run's output went
         return {"status": "SUCCESS", "n_rows": int(stats["n_rows"]), "target_path": path,
@@ -92,43 +94,17 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
                 "run_id": run_id}
 
 
-def _bulk_copy(spark: SparkSession, locations: dict, source: str, target: str,
-               values: list[str], schema: T.StructType, fmt: str, transform) -> dict | None:
-    """All partitions in one write job; {pv: rows} or None when the target
-    kind has no all-or-nothing bulk form.  Nothing becomes visible unless the
-    whole job succeeds (dynamic overwrite commits at the end; landings move
-    out of a hidden staging folder only afterwards)."""
-    cfg = L.get_config(locations, target)
-    hive_dir = cfg["type"] == L.DIRECTORY and cfg.get("layout", "hive") == "hive"
-    base = str(cfg["directory_path"])
-    if not (hive_dir or (cfg["type"] == L.LANDING_ZONE and base.startswith(RENAME_SCHEMES))):
-        return None
-    df = L.read_partitions(spark, locations, source, schema, fmt).where(F.col(L.PV).isin(values))
-    if transform is not None:
-        df = df.transform(transform)
-    if hive_dir:
-        L.write_partitions(df, locations, target, fmt)
-        back = L.read_partitions(spark, locations, target, schema, fmt)
-    else:
-        land_by_rename(spark, locations, target, df, fmt)
-        back = L.landed_partitions(spark, locations, target, schema, fmt)
-    counts = back.where(F.col(L.PV).isin(values)).groupBy(L.PV).count().collect()
-    return {r[0]: int(r[1]) for r in counts}
-
-
 def ingest_partitions(spark: SparkSession, locations: dict, source: str, target: str,
                       values: list[str], schema: T.StructType, policy: str = "fail",
                       fmt: str = "parquet", transform=None, run_log: RunLog | None = None,
-                      step: str = "transport", concurrent_jobs: int = 1,
-                      bulk: bool = False) -> DataFrame:
+                      step: str = "transport", concurrent_jobs: int = 1) -> DataFrame:
     """one outcome row per partition value attempted, in order.
 
     Missing partitions are found first in one job (A3 set form), so the run
     knows where a missing source will stop it before copying anything.
-    With ``bulk`` the partitions before that point are copied by ONE job
-    (all or nothing); if it fails, the run falls back to the per-partition
-    loop so the policy decides exactly as it would have.  In the loop, under
-    ``continue`` the copies are independent and may run as
+    Every partition is a write of its own, whatever the locations' types and
+    layouts: it replaces the target's folder, also by nothing if the source
+    is empty.  Under ``continue`` the copies are independent and may run as
     ``concurrent_jobs`` concurrent Spark jobs; under ``fail`` they run one
     after another and stop at the first error."""
     if policy not in ("fail", "continue"):
@@ -147,19 +123,7 @@ def ingest_partitions(spark: SparkSession, locations: dict, source: str, target:
 
     rows = []
     todo = list(enumerate(values[:stop_at]))
-    counts = None
-    if bulk and todo:
-        try:
-            counts = _bulk_copy(spark, locations, source, target, values[:stop_at], schema, fmt, transform)
-        except Exception:  # some partition failed: let the loop find which, under the policy
-            counts = None
-    if counts is not None:
-        paths = {pv: L.partition_path(locations, target, pv) for _, pv in todo}
-        if run_log is not None:  # one append for the whole bulk copy
-            run_log.finished_many(step, [(pv, {"source": source, "target": target}, paths[pv])
-                                         for _, pv in todo])
-        rows = [(i, pv, "SUCCESS", counts.get(pv, 0), 0, None, paths[pv]) for i, pv in todo]
-    elif policy == "continue" and concurrent_jobs > 1:
+    if policy == "continue" and concurrent_jobs > 1:
         with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
             rows = [row for _, row in pool.map(attempt, todo)]
     else:
@@ -171,7 +135,7 @@ def ingest_partitions(spark: SparkSession, locations: dict, source: str, target:
     stopped_early = len(rows) < stop_at
     if stop_at < len(values) and not stopped_early:
         pv = values[stop_at]
-        err = InvalidSourceError(f"Directory '{L.partition_path(locations, source, pv)}' does not exist.")
+        err = InvalidSourceError(f"no folder at {L.partition_path(locations, source, pv)}")
         if run_log is not None:
             rid = run_log.create(step, {"source": source, "target": target}, partition_value=pv)
             run_log.failed(rid, str(err))
@@ -196,68 +160,11 @@ def land_partitions(spark: SparkSession, locations: dict, source: str, target: s
         return list(pool.map(one, values))
 
 
-def land_by_rename(spark: SparkSession, locations: dict, target: str, df: DataFrame,
-                   fmt: str = "parquet") -> list[str]:
-    """Land every partition of ``df`` (with a ``partition_value`` column) in
-    ONE write job, then move each partition folder from a hidden staging
-    folder to its landing folder (``<pv>-snowflake``) -- one rename each.
-
-    Meant for filesystems where a folder rename is a metadata operation
-    (HDFS, local or mounted shared storage); on object stores a rename is a
-    copy, so prefer ``land_partitions``.  An existing landing folder for a
-    partition is replaced.  Returns the partition values landed."""
-    import uuid as _uuid
-    from urllib.parse import unquote
-
-    from tributary.session import filesystem
-
-    cfg = L.get_config(locations, target)
-    base = str(cfg["directory_path"]).rstrip("/")
-    staging = f"{base}/_staging-{_uuid.uuid4().hex[:12]}"   # '_' hides it from readers
-    fs, root = filesystem(staging)
-    try:
-        (df.hint("rebalance", L.PV).write.format(fmt).mode("error")
-           .partitionBy(L.PV).save(staging))
-    except Exception:
-        import pyarrow.fs as _pafs
-        if fs.get_file_info(root).type != _pafs.FileType.NotFound:
-            fs.delete_dir(root)  # nothing was moved into place; leave no staging behind
-        raise
-    _, base_path = filesystem(base)
-    import pyarrow.fs as pafs
-    landed = []
-    for info in fs.get_file_info(pafs.FileSelector(root)):
-        name = info.path.rsplit("/", 1)[-1]
-        if info.type != pafs.FileType.Directory or not name.startswith(L.PV + "="):
-            continue
-        pv = unquote(name.split("=", 1)[1].replace("+", "%2B"))
-        # the location's path rule, on the same filesystem (values may hold
-        # characters a URI can't)
-        dest = base_path + L.partition_path(locations, target, pv)[len(base):]
-        if fs.get_file_info(dest).type != pafs.FileType.NotFound:
-            fs.delete_dir(dest)
-        fs.create_dir(dest.rsplit("/", 1)[0], recursive=True)
-        fs.move(info.path, dest)
-        landed.append(pv)
-    fs.delete_dir(root)
-    return sorted(landed)
-
-
-RENAME_SCHEMES = ("file:", "hdfs:", "viewfs:", "/")
-
-
 def land_all(spark: SparkSession, locations: dict, source: str, target: str,
              schema: T.StructType, values: list[str] | None = None, fmt: str = "parquet") -> list[str]:
-    """Land every (or the given) partition of a directory location into a
-    landing zone: one job plus one folder rename per partition where renames
-    are cheap, else one job per partition (run concurrently)."""
+    """Land every (or the given) partition of a location in a landing zone,
+    one write each, on any store."""
     if values is None:
         values = sorted(r[0] for r in L.present_partitions(spark, locations, source, fmt).collect())
-    base = str(L.get_config(locations, target)["directory_path"])
-    if base.startswith(RENAME_SCHEMES):
-        df = L.read_partitions(spark, locations, source, schema, fmt)
-        df = df.where(F.col(L.PV).isin(values))
-        land_by_rename(spark, locations, target, df, fmt)
-    else:
-        land_partitions(spark, locations, source, target, values, schema, fmt)
+    land_partitions(spark, locations, source, target, values, schema, fmt)
     return values

@@ -38,8 +38,12 @@ ORACLES: dict[str, str] = {
                CAST(SUM(CASE WHEN {DAY_OF} <> '{Q.DAY}' OR event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n
         FROM events GROUP BY 1""",
     "landing_write": f"SELECT {DAY_OF} || '-snowflake' AS landing_dir, count(*) AS n FROM events GROUP BY 1",
-    "list_files": "SELECT name FROM (VALUES " + _values(f"('{f}')" for f in FILES) + ") t(name)",
-    "count_files": f"SELECT CAST({len(FILES)} AS BIGINT) AS n_files",
+    "list_files": "SELECT doc_id || '.txt' AS name, CAST(strlen(text) AS BIGINT) AS length FROM documents",
+    "count_files": "SELECT count(*) AS n_files FROM documents",
+    "partition_names": """
+        SELECT kind, o_orderpriority || ' 50%+a:b' AS partition_value, o_orderkey, o_totalprice
+        FROM orders, (VALUES ('directory'), ('landing')) k(kind)""",
+    "csv_documents": f"SELECT doc_id, text, lang, '{Q.OPAQUE_PV}' AS partition_value FROM documents",
     "csv_partition_read": """
         SELECT c_name, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey END AS c_custkey,
                c_nationkey, c_acctbal < 0 AS is_corrupt FROM customer""",
@@ -228,11 +232,11 @@ ORACLES: dict[str, str] = {
         WITH req AS ({RANGE_DAYS}),
         cnt AS (SELECT {DAY_OF} AS pv, count(*) AS n FROM events GROUP BY 1),
         j AS (SELECT req.seq, req.pv, cnt.n FROM req LEFT JOIN cnt ON req.pv = cnt.pv),
-        stop AS (SELECT coalesce(min(seq), 1000000) AS s FROM j WHERE n IS NULL)
+        stop AS (SELECT min(seq) AS s FROM j WHERE n IS NULL)
         SELECT CAST(seq AS INTEGER) AS seq, pv AS partition_value,
                CASE WHEN n IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS status,
                n AS n_rows, CAST(CASE WHEN n IS NULL THEN 2 ELSE 0 END AS INTEGER) AS exit_code
-        FROM j WHERE seq <= (SELECT s FROM stop)""",
+        FROM j, stop WHERE s IS NULL OR seq <= s""",
 }
 
 ORACLES["job_run_blocked"] = f"""

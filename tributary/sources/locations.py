@@ -18,6 +18,7 @@ Built-in types:
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -36,16 +37,36 @@ LANDING_ZONE = "snowflake_landing_zone"
 LANDING_SUFFIX = "-snowflake"
 
 PathRule = Callable[[dict, str], str]
+FolderRule = Callable[[dict, str], "str | None"]
 _RULES: dict[str, PathRule] = {}
+_FOLDERS: dict[str, FolderRule] = {}
 
+# Characters that Spark writes as %XX in partition folder names.
+ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | frozenset(map(chr, range(1, 32)))
 
-def register_location_type(name: str) -> Callable[[PathRule], PathRule]:
-    """Register a path rule for a location type; re-registering replaces it."""
+
+def encode(pv: str) -> str:
+    """A partition value as part of a folder name, as Spark's own writers
+    spell it -- used by every path rule, so all writers and readers agree."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in pv)
+
+
+def decode(name: str) -> str:
+    """The partition value of an encoded name."""
+    return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name)
+
+
+def register_location_type(name: str, folder: FolderRule | None = None) -> Callable[[PathRule], PathRule]:
+    """Register a path rule for a location type; registering a type again
+    replaces its rule.  ``folder`` is the rule's inverse: the partition value of
+    a folder directly under the location's base, None for other folders."""
 
     def inner(rule: PathRule) -> PathRule:
         if name in _RULES:
-            logging.warning("Location type '%s' already exists. Will replace it", name)
+            logging.warning("replacing the path rule of location type %r", name)
         _RULES[name] = rule
+        if folder is not None:
+            _FOLDERS[name] = folder
         return rule
 
     return inner
@@ -58,16 +79,26 @@ def _base(cfg: dict) -> str:
     return str(base).rstrip("/")
 
 
-@register_location_type(DIRECTORY)
+def _hive(cfg: dict) -> bool:
+    return cfg["type"] == DIRECTORY and cfg.get("layout", "hive") != "plain"
+
+
+def _directory_folder(cfg: dict, name: str) -> str | None:
+    if cfg.get("layout", "hive") == "plain":
+        return decode(name)
+    return decode(name.removeprefix(f"{PV}=")) if name.startswith(f"{PV}=") else None
+
+
+@register_location_type(DIRECTORY, _directory_folder)
 def _directory_rule(cfg: dict, pv: str) -> str:
     if cfg.get("layout", "hive") == "plain":
-        return f"{_base(cfg)}/{pv}"
-    return f"{_base(cfg)}/{PV}={pv}"
+        return f"{_base(cfg)}/{encode(pv)}"
+    return f"{_base(cfg)}/{PV}={encode(pv)}"
 
 
-@register_location_type(LANDING_ZONE)
+@register_location_type(LANDING_ZONE, lambda cfg, name: decode(name.removesuffix(LANDING_SUFFIX)) if name.endswith(LANDING_SUFFIX) else None)
 def _landing_rule(cfg: dict, pv: str) -> str:
-    return f"{_base(cfg)}/{pv}{LANDING_SUFFIX}"
+    return f"{_base(cfg)}/{encode(pv)}{LANDING_SUFFIX}"
 
 
 def location_types() -> list[str]:
@@ -77,10 +108,10 @@ def location_types() -> list[str]:
 def get_config(locations: dict, name: str) -> dict:
     """Config of a named location; unknown name -> InvalidConfigError."""
     if name not in locations:
-        raise InvalidConfigError(f"Client config '{name}' does not exist in the registry")
+        raise InvalidConfigError(f"no location is called {name!r}")
     cfg = dict(locations[name])
     if cfg.get("type") not in _RULES:
-        raise ClientNotFound(f"Client '{cfg.get('type')}' does not exist in the registry")
+        raise ClientNotFound(f"no location type is called {cfg.get('type')!r}")
     return cfg
 
 
@@ -96,10 +127,22 @@ def with_partition(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(PV, T.StringType(), True)])
 
 
+#: What is written comes back: quotes are doubled, line feeds stay inside
+#: their field.
+CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "lineSep": "\n",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def csv_options(cfg: dict) -> dict:
+    """Spark reads a quoted empty text as missing, too, unless missing values
+    have a mark of their own: a location's ``null_value``."""
+    return {**CSV_OPTIONS, **({"nullValue": cfg["null_value"]} if "null_value" in cfg else {})}
+
+
 def _reader(spark: SparkSession, fmt: str, schema: T.StructType, options: dict | None):
     r = spark.read.format(fmt).schema(schema)
     if fmt == "csv":
-        r = r.option("header", "true")
+        r = r.options(**CSV_OPTIONS)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r
@@ -113,10 +156,11 @@ def read_partition(spark: SparkSession, locations: dict, name: str, pv: str,
     before any job runs."""
     path = partition_path(locations, name, pv)
     try:
-        df = _reader(spark, fmt, schema, options).load(path)
+        cfg = get_config(locations, name)
+        df = _reader(spark, fmt, schema, {**(csv_options(cfg) if fmt == "csv" else {}), **(options or {})}).load(path)
     except AnalysisException as e:  # PATH_NOT_FOUND
         if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-            raise InvalidSourceError(f"Directory '{path}' does not exist.") from e
+            raise InvalidSourceError(f"no folder at {path}") from e
         raise
     return df.withColumn(PV, F.lit(str(pv)))
 
@@ -140,7 +184,7 @@ def write_partition(df: DataFrame, locations: dict, name: str, pv: str,
     out = df.drop(PV) if PV in df.columns else df
     w = out.write.format(fmt).mode(mode)
     if fmt == "csv":
-        w = w.option("header", "true")
+        w = w.options(**csv_options(get_config(locations, name)))
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.save(path)
@@ -165,41 +209,52 @@ def write_partitions(df: DataFrame, locations: dict, name: str,
 
 def read_partitions(spark: SparkSession, locations: dict, name: str,
                     schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """All partitions of a directory location; filters on ``partition_value``
-    prune folders.  The explicit schema keeps ``partition_value`` a STRING
+    """All partitions of a location.  In the default layout filters on
+    ``partition_value`` prune folders; in the others the value comes from each
+    file's folder.  The explicit schema keeps ``partition_value`` a STRING
     (no type inference of values like ``2023-04-31``)."""
     cfg = get_config(locations, name)
+    if not _hive(cfg):
+        if present_partitions(spark, locations, name).isEmpty():
+            return spark.createDataFrame([], with_partition(schema))
+        suffix = LANDING_SUFFIX if cfg["type"] == LANDING_ZONE else ""
+        df = _reader(spark, fmt, schema, None).load(f"{_base(cfg)}/*{suffix}")
+        return df.withColumn(PV, _folder_value(F.col("_metadata.file_path"), suffix))
     return spark.read.format(fmt).schema(with_partition(schema)).load(_base(cfg))
 
 
-def _unescape_folder(c: Column) -> Column:
-    """Undo Spark's escaping of partition folder names (``%XX``; '+' is
-    never escaped, so protect it from URL decoding)."""
-    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+def _folder_value(path: Column, suffix: str = "") -> Column:
+    """The partition value of the folder a file lies in, from its URI.  ('+'
+    stands for itself in both steps: the URI's own %XX, then the folder
+    name's.)"""
+    def once(c: Column) -> Column:
+        return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+    name = once(F.element_at(F.split(path, "/"), -2))
+    return once(F.substring(name, F.lit(1), F.length(name) - len(suffix)))
+
+
+def folder_names(spark: SparkSession, base: str) -> list[str]:
+    """Names of the folders directly under ``base``, on any store Spark reads
+    (one listing by the driver; none if there is no such folder)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
 def present_partitions(spark: SparkSession, locations: dict, name: str,
                        fmt: str = "parquet") -> DataFrame:
-    """Partition values present in a directory location (one row each).
-
-    Built from the file listing only (``binaryFile`` without its content
-    column opens no file), so it costs a listing, not a read of every
-    footer; the value comes from the folder name, never type-inferred."""
+    """Partition values present in a location of any type with a folder rule
+    (one row each).  Folders decide, also empty ones; nothing is opened."""
     cfg = get_config(locations, name)
-    base = _base(cfg)
-    try:
-        files = spark.read.format("binaryFile").load(base if cfg.get("layout", "hive") == "hive"
-                                                     else f"{base}/*")
-    except AnalysisException as e:
-        if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-            return spark.createDataFrame([], f"{PV} STRING")
-        raise
-    if cfg.get("layout", "hive") == "hive":
-        folder = F.regexp_extract("path", f"/{PV}=([^/]+)/[^/]*$", 1)
-    else:
-        folder = F.element_at(F.split("path", "/"), -2)
-    return (files.select(_unescape_folder(folder).alias(PV)).where(F.col(PV) != "")
-            .distinct())
+    if cfg["type"] not in _FOLDERS:
+        raise InvalidConfigError(f"location type {cfg['type']!r} has no folder rule")
+    values = [_FOLDERS[cfg["type"]](cfg, n) for n in folder_names(spark, _base(cfg))]
+    return spark.createDataFrame([(v,) for v in values if v is not None], f"{PV} STRING")
 
 
 def missing_partitions(spark: SparkSession, locations: dict, name: str,
@@ -227,7 +282,7 @@ def list_files(spark: SparkSession, path: str, file_extension: str) -> DataFrame
               .load(path))
     except AnalysisException as e:
         if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-            raise InvalidSourceError(f"Directory '{path}' does not exist.") from e
+            raise InvalidSourceError(f"no folder at {path}") from e
         raise
     return df.select(
         "path",
@@ -248,9 +303,8 @@ def landed_partitions(spark: SparkSession, locations: dict, name: str,
     the folder name from each row's file path."""
     cfg = get_config(locations, name)
     df = spark.read.format(fmt).schema(schema).load(f"{_base(cfg)}/*{LANDING_SUFFIX}")
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return df.withColumn("landing_dir", folder).withColumn(
-        PV, F.regexp_replace(folder, f"{LANDING_SUFFIX}$", ""))
+    pv = _folder_value(F.col("_metadata.file_path"), LANDING_SUFFIX)
+    return df.withColumn("landing_dir", F.concat(pv, F.lit(LANDING_SUFFIX))).withColumn(PV, pv)
 
 
 def requested_values(spark: SparkSession, values: Iterable[str]) -> DataFrame:

@@ -89,10 +89,9 @@ def follow_pages(starts: DataFrame, get_page, folder_col: str = "folder_id",
             if rows:
                 yield flush(rows)
 
-    src = starts.select(folder_col, link_col)
-    if partitions:
-        src = src.repartition(partitions)
-    return src.mapInPandas(run, PAGE_ROW)
+    from tributary.operators.fetch import spread
+
+    return spread(starts.select(folder_col, link_col), link_col, partitions).mapInPandas(run, PAGE_ROW)
 
 
 # ------------------------------------------------------------------------

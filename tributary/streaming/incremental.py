@@ -9,8 +9,33 @@ output exactly-once even when a run is retried after an executor loss.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
+
+
+class _Progress(StreamingQueryListener):
+    """Rows of every micro-batch of one query (``recentProgress`` only keeps
+    the last ones)."""
+
+    def __init__(self):
+        self.rows: dict[tuple[str, int], int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.rows[(str(p.runId), p.batchId)] = int(p.numInputRows)
+
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.runId))
 
 
 def incremental_load(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
@@ -29,12 +54,19 @@ def incremental_load(spark: SparkSession, source_dir: str, target_dir: str, chec
     stream: DataFrame = r.load(source_dir)
     if transform is not None:
         stream = stream.transform(transform)
+    seen = _Progress()
+    spark.streams.addListener(seen)
     q = (stream.writeStream.format(target_fmt).outputMode("append")
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start(target_dir))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    progress = [p for p in q.recentProgress if p]
-    rows = sum(int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows) for p in progress)
-    return {"batches": len(progress), "rows": rows}
+    try:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        run = str(q.runId)
+        while run not in seen.ended:  # events come after the query's own end
+            time.sleep(0.01)
+    finally:
+        spark.streams.removeListener(seen)
+    rows = [n for (of, _), n in seen.rows.items() if of == run]
+    return {"batches": len(rows), "rows": sum(rows)}
