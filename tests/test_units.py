@@ -350,7 +350,7 @@ def test_guarded_and_retrying_maps(spark):
 
     g = M.guarded_map(df, f, "k", ["k", "t"], T.LongType(), ordered=True)
     assert [(r.idx, r.value) for r in g.collect()] == [(0, 2), (1, 3), (2, 4), (4, 6), (5, 7)]
-    fl = M.flaky(lambda k, t: k, lambda k, t: k % 4)
+    fl = FX.flaky(lambda k, t: k, lambda k, t: k % 4)
     r = {x.idx: (x.ok, x.tries) for x in M.retrying_map(df, fl, "k", ["k", "t"], T.LongType(),
                                                           max_tries=3, delay_seconds=0).collect()}
     assert r == {0: (True, 1), 1: (True, 2), 2: (True, 3), 3: (False, 3), 4: (True, 1), 5: (True, 2)}
@@ -683,6 +683,21 @@ def test_checks_of_nothing_are_zero(spark):
     assert check_contract(df, {"k": {"nullable": False}, "x": {}}).agg(F.sum("n_violations")).first()[0] == 0
 
 
+def test_maps_and_fetches_keep_integers_and_nulls(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, big, "a"), (big + 2, None, "b")], "k LONG, n LONG, u STRING")
+    got = sorted(tuple(r)[:4] for r in M.guarded_map(df, lambda n: -1 if n is None else n + 1, "k", ["n"], T.LongType()).collect())
+    assert got == [(big, True, 1, big + 1), (big + 2, True, 1, -1)]
+    out = sorted((r.k, r.n, r.status, r.content) for r in B7.fetch_with(df, lambda u: (200, "OK", u.encode()), "u").collect())
+    assert out == [(big, big, 200, b"a"), (big + 2, None, 200, b"b")]
+
+
+def test_closed_runs_and_exit_codes_in_the_summary(spark):
+    runs = spark.createDataFrame([("a", "SUCCESS", 0), ("a", "SKIPPED", 0), ("b", "FAILED", 2), ("b", "BLOCKED", 0), ("c", "QUEUED", 0)],
+                                 "step_name STRING, status STRING, code INT").withColumn("start", F.timestamp_seconds(F.lit(0)).cast("timestamp_ntz")).withColumn("end", F.col("start"))
+    assert rows(D.job_summary(runs, code="code"), "step_name", "exit_code") == [("a", 0), ("b", 2), ("c", -1)]
+
+
 def test_fetches_use_more_than_one_task(spark):
     m = spark.range(300).select(F.concat(F.lit("u"), "id").alias("url")).coalesce(1)
     out = B7.fetch_with(m, lambda u: (200, "OK", u.encode()), "url")

@@ -1,7 +1,7 @@
 """Guarded and retrying row maps (ops F2, F3).
 
 A Python function applied to every row, in Arrow batches on the executors
-(``mapInPandas``).  Failures are data, not task failures: each input row
+(``mapInArrow``, so keys, integers and NULLs arrive as they are).  Failures are data, not task failures: each input row
 gives one outcome row ``idx, ok, tries, value, error``.  The input order is
 carried by the ``idx`` column; a global sort is only done when asked for.
 
@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import time
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def _outcome_schema(idx_type: T.DataType, value_type: T.DataType) -> T.StructType:
@@ -41,10 +41,15 @@ def retrying_map(df: DataFrame, fn, idx: str, inputs: list[str], value_type: T.D
     schema = _outcome_schema(df.schema[idx].dataType, value_type)
     cols = list(dict.fromkeys([idx] + list(inputs)))
 
+    value_kind = to_arrow_type(value_type)
+
     def run(batches):
-        for pdf in batches:
+        import pyarrow as pa
+
+        for batch in batches:
+            column = dict(zip(batch.schema.names, batch.columns))
             out_ok, out_tries, out_val, out_err = [], [], [], []
-            for row in zip(*(pdf[c] for c in inputs)):
+            for row in zip(*(column[c].to_pylist() for c in inputs)):  # exact integers, None for NULL
                 tries, ok, val, err = 0, False, None, None
                 while tries < max_tries:
                     tries += 1
@@ -59,11 +64,12 @@ def retrying_map(df: DataFrame, fn, idx: str, inputs: list[str], value_type: T.D
                 out_tries.append(tries)
                 out_val.append(val if ok else None)
                 out_err.append(err)
-            yield pd.DataFrame({"idx": pdf[idx], "ok": out_ok,
-                                "tries": pd.array(out_tries, dtype="Int32"),
-                                "value": pd.Series(out_val, dtype="object"), "error": out_err})
+            yield pa.RecordBatch.from_arrays(
+                [column[idx], pa.array(out_ok, pa.bool_()), pa.array(out_tries, pa.int32()),
+                 pa.array(out_val, value_kind), pa.array(out_err, pa.string())],
+                ["idx", "ok", "tries", "value", "error"])
 
-    return df.select(*cols).mapInPandas(run, schema)
+    return df.select(*cols).mapInArrow(run, schema)
 
 
 def guarded_map(df: DataFrame, fn, idx: str, inputs: list[str], value_type: T.DataType,
@@ -77,19 +83,3 @@ def guarded_map(df: DataFrame, fn, idx: str, inputs: list[str], value_type: T.Da
     if ordered:
         out = out.orderBy("idx")
     return out
-
-
-def flaky(fn, failures_for):
-    """Test helper: wrap ``fn`` so that the first ``failures_for(*args)``
-    calls for the same first argument (the row key) fail.  Call counts live
-    in the task, so a re-run task fails the same way (deterministic)."""
-    calls: dict = {}
-
-    def wrapped(*args):
-        key = args[0]
-        calls[key] = calls.get(key, 0) + 1
-        if calls[key] <= failures_for(*args):
-            raise RuntimeError(f"injected failure {calls[key]}")
-        return fn(*args)
-
-    return wrapped

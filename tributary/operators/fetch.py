@@ -13,10 +13,10 @@ code), ``reason``, ``length`` and ``content``.  Two ways to fetch:
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 OUTCOME_FIELDS = [
     T.StructField("status", T.IntegerType()),
@@ -69,37 +69,34 @@ def fetch_with(manifest: DataFrame, fetcher, url_col: str, partitions: int | Non
     schema = T.StructType(list(manifest.schema.fields) + OUTCOME_FIELDS)
     cols = manifest.columns
 
-    def emit(pdf, lo, hi, status, reason, length, content):
-        out = pdf[cols].iloc[lo:hi].reset_index(drop=True)
-        out["status"] = pd.array(status, dtype="Int32")
-        out["reason"] = reason
-        out["length"] = pd.array(length, dtype="Int64")
-        out["content"] = content
-        return out
+    kinds = [to_arrow_type(f.dataType) for f in OUTCOME_FIELDS]
+    names = [*cols, *(f.name for f in OUTCOME_FIELDS)]
 
     def run(batches):
-        for pdf in batches:
-            status, reason, length, content = [], [], [], []
-            lo, held = 0, 0
-            for i, url in enumerate(pdf[url_col]):
+        import pyarrow as pa
+
+        def emit(batch, lo, hi, outcomes):
+            kept = batch.slice(lo, hi - lo).columns  # the manifest's own columns, as they are
+            return pa.RecordBatch.from_arrays([*kept, *(pa.array(c, k) for c, k in zip(zip(*outcomes), kinds))], names)
+
+        for batch in batches:
+            outcomes, lo, held = [], 0, 0
+            for i, url in enumerate(batch.column(cols.index(url_col)).to_pylist()):
                 try:
                     s, r, body = fetcher(url)
                     body = bytes(body) if (body is not None and s == 200) else None
                 except Exception as e:  # outcome row, never a failed task
                     s, r, body = -1, f"{type(e).__name__}: {e}", None
-                status.append(s)
-                reason.append(r)
-                length.append(len(body) if body is not None else None)
-                content.append(body)
-                held += len(body) if body is not None else 0
+                n = None if body is None else len(body)
+                outcomes.append((s, r, n, body))
+                held += n or 0
                 if held >= flush_bytes:  # bodies leave the worker in bounded chunks
-                    yield emit(pdf, lo, i + 1, status, reason, length, content)
-                    status, reason, length, content = [], [], [], []
-                    lo, held = i + 1, 0
-            if status:
-                yield emit(pdf, lo, len(pdf), status, reason, length, content)
+                    yield emit(batch, lo, i + 1, outcomes)
+                    outcomes, lo, held = [], i + 1, 0
+            if outcomes:
+                yield emit(batch, lo, batch.num_rows, outcomes)
 
-    return spread(manifest, url_col, partitions).mapInPandas(run, schema)
+    return spread(manifest, url_col, partitions).mapInArrow(run, schema)
 
 
 def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
@@ -113,12 +110,16 @@ def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
     schema = T.StructType(list(manifest.schema.fields) + fields)
     cols = manifest.columns
 
+    kinds = [to_arrow_type(f.dataType) for f in fields]
+
     def run(batches):
+        import pyarrow as pa
+
         from tributary.session import filesystem
         fs_cache = {}
-        for pdf in batches:
-            status, reason, length = [], [], []
-            for url, target in zip(pdf[url_col], pdf[target_col]):
+        for batch in batches:
+            outcomes = []
+            for url, target in zip(*(batch.column(cols.index(c)).to_pylist() for c in (url_col, target_col))):
                 try:
                     s, r, body = fetcher(url)
                     n = None
@@ -133,13 +134,9 @@ def fetch_to_folder(manifest: DataFrame, fetcher, url_col: str, target_col: str,
                         n = len(body)
                 except Exception as e:
                     s, r, n = -1, f"{type(e).__name__}: {e}", None
-                status.append(s)
-                reason.append(r)
-                length.append(n)
-            out = pdf[cols].copy()
-            out["status"] = pd.array(status, dtype="Int32")
-            out["reason"] = reason
-            out["length"] = pd.array(length, dtype="Int64")
-            yield out
-
-    return spread(manifest, url_col, partitions).mapInPandas(run, schema)
+                outcomes.append((s, r, n))
+            columns = zip(*outcomes) if outcomes else ([] for _ in fields)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                                             [*cols, *(f.name for f in fields)])
+
+    return spread(manifest, url_col, partitions).mapInArrow(run, schema)

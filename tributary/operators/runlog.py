@@ -23,6 +23,7 @@ from tributary.errors import exit_code_table
 from tributary.functions import exprs as X
 
 # The run statuses, in declaration order.
+CLOSED = ("SUCCESS", "FAILED", "SKIPPED", "BLOCKED")
 STATUSES = ["QUEUED", "PREPARING", "VALIDATING", "RUNNING", "SUCCESS",
             "FAILED", "BLOCKED", "SKIPPED", "UNKNOWN"]
 
@@ -145,21 +146,22 @@ def duration_text(start, end) -> Column:
 
 
 def job_summary(runs: DataFrame, group: str = "step_name", start: str = "start",
-                end: str = "end", status: str = "status") -> DataFrame:
+                end: str = "end", status: str = "status", code: str | None = None) -> DataFrame:
     """Per job (or step): first start, last end, run counts, exit code
-    (1 if any run failed, -1 while any run is unfinished, else 0) and the
-    duration; stamps as ``yyyy-MM-dd HH:mm:ss`` text."""
+    (of the failed runs the largest ``code`` -- D10's, 1 without such a column;
+    -1 while any run is unfinished, else 0) and the duration; stamps as ``yyyy-MM-dd HH:mm:ss`` text."""
     s = F.col(status)
     agg = runs.groupBy(group).agg(
         F.min(start).alias("_start"), F.max(end).alias("_end"),
         F.count(F.lit(1)).alias("n_runs"),
         F.sum(F.when(s == "FAILED", 1).otherwise(0)).cast("long").alias("n_failed"),
-        F.sum(F.when(~s.isin("SUCCESS", "FAILED"), 1).otherwise(0)).cast("long").alias("n_open"),
+        F.sum(F.when(s.isin(*CLOSED), 0).otherwise(1)).cast("long").alias("n_open"),
+        F.max(F.when(s == "FAILED", F.lit(1) if code is None else F.coalesce(F.col(code), F.lit(1)))).alias("_code"),
     )
     return agg.select(
         group, X.ts_text("_start").alias("start_ts"), X.ts_text("_end").alias("end_ts"),
         "n_runs", "n_failed",
-        F.when(F.col("n_failed") > 0, 1).when(F.col("n_open") > 0, -1).otherwise(0).alias("exit_code"),
+        F.when(F.col("n_failed") > 0, F.col("_code")).when(F.col("n_open") > 0, -1).otherwise(0).alias("exit_code"),
         duration_text("_start", "_end").alias("duration"),
     )
 
@@ -302,12 +304,18 @@ class RunLog:
         return ids
 
     def start(self, run_id: str) -> None:
-        self.save(run_id, status="RUNNING", last_updated_at=dt.datetime.now())
+        now = dt.datetime.now()  # a queued run starts now, not when it was queued
+        self.save(run_id, status="RUNNING", start_ts=now, last_updated_at=now)
 
     def success(self, run_id: str, log_path: str | None = None) -> None:
         now = dt.datetime.now()
         self.save(run_id, status="SUCCESS", end_ts=now, last_updated_at=now, log_path=log_path)
 
+    def closed(self, run_id: str, status: str, reason: str) -> None:
+        """A run that ends without having run (SKIPPED, BLOCKED)."""
+        now = dt.datetime.now()
+        self.save(run_id, status=status, error_message=reason, end_ts=now, last_updated_at=now)
+
     def failed(self, run_id: str, error_message: str = "Error") -> None:
         now = dt.datetime.now()
         self.save(run_id, status="FAILED", error_message=error_message, end_ts=now, last_updated_at=now)
@@ -339,7 +347,7 @@ def _add_years(ts: dt.datetime, years: int) -> dt.datetime:
 
 
 def rotate(spark: SparkSession, changes: DataFrame, history_path: str, current_path: str,
-           order: Column | None = None, closed=("SUCCESS", "FAILED", "SKIPPED", "BLOCKED")) -> dict:
+           order: Column | None = None, closed=CLOSED) -> dict:
     """Move finished runs from the current log to the history.
 
     Finished runs (folded status in ``closed``) are appended to the history

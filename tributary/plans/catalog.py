@@ -420,7 +420,7 @@ def q_guarded_map(spark, sf):
 
 def q_retrying_map(spark, sf):
     docs = FX.table(spark, sf, "documents")
-    fn = M.flaky(_count_lines, lambda doc_id, text: doc_id % 5)
+    fn = FX.flaky(_count_lines, lambda doc_id, text: doc_id % 5)
     # The failures are injected, not real, so no back-off between tries.
     out = M.retrying_map(docs, fn, "doc_id", ["doc_id", "text"], T.LongType(),
                          max_tries=3, delay_seconds=0)

@@ -281,3 +281,19 @@ def page_store(spark: SparkSession, sf_dir: str, page_size: int) -> str:
         return out
 
     return _cached(spark, sf_dir, f"pages-{page_size}", build)
+
+
+def flaky(fn, failures_for):
+    """Wrap ``fn`` so that the first ``failures_for(*args)``
+    calls for the same first argument (the row key) fail.  Call counts live
+    in the task, so a re-run task fails the same way (deterministic)."""
+    calls: dict = {}
+
+    def wrapped(*args):
+        key = args[0]
+        calls[key] = calls.get(key, 0) + 1
+        if calls[key] <= failures_for(*args):
+            raise RuntimeError(f"injected failure {calls[key]}")
+        return fn(*args)
+
+    return wrapped

@@ -75,7 +75,7 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
         df = L.read_partition(spark, locations, source, pv, schema, fmt)
         if skip_empty and df.isEmpty():  # reads at most one row
             if run_log is not None:
-                run_log.save(run_id, status="SKIPPED", error_message="empty source partition")
+                run_log.closed(run_id, "SKIPPED", "empty source partition")
             return {"status": "SKIPPED", "n_rows": 0, "target_path": None, "error": None,
                     "run_id": run_id}
         if transform is not None:

@@ -134,7 +134,7 @@ def run_job(spark: SparkSession, config: dict, partition_value: str, schema=None
                 runnable.append(n)
         for n in names:
             if n in outcome and log is not None and n in queued:
-                log.save(queued[n], status=outcome[n][2])
+                log.closed(queued[n], outcome[n][2], "not run")
         with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
             results = list(pool.map(lambda n: run_step(level, n), runnable))
         for row, err in results:

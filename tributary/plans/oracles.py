@@ -166,7 +166,7 @@ ORACLES: dict[str, str] = {
         g AS (
           SELECT step_name, min(s) AS s, max(e) AS e, count(*) AS n_runs,
                  CAST(sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS n_failed,
-                 CAST(sum(CASE WHEN status NOT IN ('SUCCESS', 'FAILED') THEN 1 ELSE 0 END) AS BIGINT) AS n_open
+                 CAST(sum(CASE WHEN status IN ('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED') THEN 0 ELSE 1 END) AS BIGINT) AS n_open
           FROM runs GROUP BY step_name)
         SELECT step_name, strftime(s, '{TS}') AS start_ts, strftime(e, '{TS}') AS end_ts, n_runs, n_failed,
                CASE WHEN n_failed > 0 THEN 1 WHEN n_open > 0 THEN -1 ELSE 0 END AS exit_code,
