@@ -7,9 +7,10 @@ neighbours there, and keeps the best it has seen.  Queries search the finished
 graph greedily: a beam of the best nodes so far, of which those not yet visited
 are visited in the next round -- again a join -- until none is left.
 
-A visited node's row holds its neighbours' vectors in eight bits a component, so
-a visit reads one row; the beam's best are scored again in double precision on
-the original vectors.  Lengths that differ are evened out by one more component
+A visited node's row holds its neighbours' vectors, in eight bits a component of
+what they differ by from the nearest vector of a small codebook, so a visit reads
+one row; the beam's best are scored again in double precision on the original
+vectors.  Lengths that differ are evened out by one more component
 of the stored vectors, so that the largest inner product is the nearest node.
 """
 
@@ -32,9 +33,9 @@ from tributary.llm.topk import usable
 #: and how often nodes are dealt into leaves; rounds of NN-descent.
 NEIGHBOURS, KNOWN_BY, LEAF, DEALS, ROUNDS = 32, 16, 2048, 4, 2
 #: Nodes in a beam, and those of them that are scored exactly.
-BEAM, RESCORED = 200, 64
-#: Vectors that the hyperplanes' medians are taken of.
-SAMPLE = 4000
+BEAM, RESCORED = 200, 100
+#: Vectors that the hyperplanes' medians and the codebook are taken of, and the codebook's size.
+SAMPLE, BOOK = 4000, 256
 
 
 def best(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,10 +95,29 @@ def packed(vectors: DataFrame, longest: float | None) -> DataFrame:
     return vectors.select("node", "embedding").mapInArrow(run, "node long, vec binary")
 
 
-def first_lists(nodes: DataFrame, count: int) -> DataFrame:
+def sampled(nodes: DataFrame) -> np.ndarray:
+    """The vectors with the smallest hashes, at most SAMPLE."""
+    rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec").collect()
+    return np.array([np.frombuffer(r["vec"], dtype=np.float32) for r in rows])
+
+
+def codebook(sample: np.ndarray, rounds: int = 6) -> np.ndarray:
+    """Up to BOOK centers of the sample (k-means)."""
+    book = sample[:BOOK].copy()
+    for _ in range(rounds):
+        own = nearest(sample, book)
+        for c in np.unique(own):
+            book[c] = sample[own == c].mean(axis=0)
+    return book
+
+
+def nearest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
+    return ((book * book).sum(axis=1) - 2 * (x @ book.T)).argmin(axis=1)
+
+
+def first_lists(nodes: DataFrame, count: int, sample: np.ndarray) -> DataFrame:
     """(node, vec) -> (node, ids, sims): the best of all leaves a node was in."""
     depth = max(0, int(np.ceil(np.log2(max(1, count) / (LEAF / 2)))))
-    sample = np.array([np.frombuffer(r["vec"], dtype=np.float32) for r in nodes.orderBy(F.xxhash64("node")).limit(SAMPLE).select("vec").collect()])
     planes = np.random.default_rng(5).normal(size=(DEALS, depth, sample.shape[1])).astype(np.float32)
     medians = np.median(sample @ planes.reshape(-1, sample.shape[1]).T, axis=0).reshape(DEALS, depth) if depth else np.zeros((DEALS, 0))
 
@@ -165,33 +185,36 @@ def edges(lists: DataFrame) -> DataFrame:
     return out.unionByName(known.drop("nth"))
 
 
-def visits(nodes: DataFrame, lists: DataFrame) -> DataFrame:
-    """The graph as visits read it: (node, ids, scales, small): a row for each
-    node with its neighbours' vectors in bytes."""
+def visits(nodes: DataFrame, lists: DataFrame, book: np.ndarray) -> DataFrame:
+    """The graph as visits read it: (node, ids, codes, scales, small): a row for
+    each node with its neighbours' vectors, as centers and differences in bytes."""
     def shrink(batches):
         import pyarrow as pa
 
         for batch in batches:
             raw = batch.column(1).to_pylist()
             x = np.frombuffer(b"".join(raw), dtype=np.float32).reshape(len(raw), -1)
-            scale = np.maximum(np.abs(x).max(axis=1), 1e-30) / 127
-            small = np.rint(x / scale[:, None]).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scale.astype(np.float32)), pa.array([v.tobytes() for v in small], pa.binary())], ["other", "scale", "small"])
+            code = nearest(x, book)
+            rest = x - book[code]
+            scale = np.maximum(np.abs(rest).max(axis=1), 1e-30) / 127
+            small = np.rint(rest / scale[:, None]).astype(np.int8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(code.astype(np.int32)), pa.array(scale.astype(np.float32)), pa.array([v.tobytes() for v in small], pa.binary())],
+                                             ["other", "code", "scale", "small"])
 
     def collect(rows):
         seen = {r[1]: r for r in rows}
-        yield (rows[0][0], np.array(list(seen), dtype=np.int64).tobytes(), np.array([r[2] for r in seen.values()], dtype=np.float32).tobytes(),
-               b"".join(r[3] for r in seen.values()))
+        yield (rows[0][0], np.array(list(seen), dtype=np.int64).tobytes(), np.array([r[2] for r in seen.values()], dtype=np.int32).tobytes(),
+               np.array([r[3] for r in seen.values()], dtype=np.float32).tobytes(), b"".join(r[4] for r in seen.values()))
 
-    vecs = nodes.mapInArrow(shrink, "other long, scale float, small binary")
-    return grouped(edges(lists).select("node", "other").join(vecs, "other").select("node", "other", "scale", "small"), collect,
-                   "node long, ids binary, scales binary, small binary")
+    vecs = nodes.mapInArrow(shrink, "other long, code int, scale float, small binary")
+    return grouped(edges(lists).select("node", "other").join(vecs, "other").select("node", "other", "code", "scale", "small"), collect,
+                   "node long, ids binary, codes binary, scales binary, small binary")
 
 
 STATE = "query long, vec binary, ids binary, sims binary, done binary"
 
 
-def visit(state: DataFrame, graph: DataFrame, width: int) -> DataFrame:
+def visit(state: DataFrame, graph: DataFrame, width: int, book: np.ndarray) -> DataFrame:
     """One round: all nodes in the beams that were not visited yet are, and
     the beams keep the ``width`` best of what they had and what they met."""
     def ask(batches):
@@ -212,9 +235,10 @@ def visit(state: DataFrame, graph: DataFrame, width: int) -> DataFrame:
 
         for batch in batches:
             out = []
-            for query, vec, least, ids, scales, small in zip(*(c.to_pylist() for c in batch.columns)):
+            for query, vec, least, ids, codes, scales, small in zip(*(c.to_pylist() for c in batch.columns)):
                 ids, v = np.frombuffer(ids, dtype=np.int64), np.frombuffer(vec, dtype=np.float32)
                 sims = (np.frombuffer(small, dtype=np.int8).reshape(len(ids), -1).astype(np.float32) @ v) * np.frombuffer(scales, dtype=np.float32)
+                sims += book[np.frombuffer(codes, dtype=np.int32)] @ v
                 near = (sims > least) & (ids != query)
                 if near.any():
                     out.append((query, ids[near].tobytes(), sims[near].tobytes()))
@@ -233,7 +257,7 @@ def visit(state: DataFrame, graph: DataFrame, width: int) -> DataFrame:
         yield own[0], own[1], ids.tobytes(), sims.tobytes(), np.isin(ids, had).tobytes()
 
     asked = state.mapInArrow(ask, "node long, query long, q_vec binary, least double")
-    met = asked.join(graph, "node").select("query", "q_vec", "least", "ids", "scales", "small").mapInArrow(meet, "query long, ids binary, sims binary")
+    met = asked.join(graph, "node").select("query", "q_vec", "least", "ids", "codes", "scales", "small").mapInArrow(meet, "query long, ids binary, sims binary")
     rows = state.unionByName(met.select("query", F.lit(None).cast("binary").alias("vec"), "ids", "sims", F.lit(None).cast("binary").alias("done")))
     return grouped(rows, keep, STATE)
 
@@ -243,13 +267,13 @@ def unvisited() -> Column:
     return F.hex("done").rlike("^(01)*00")
 
 
-def descend(nodes: DataFrame, count: int, rounds: int = ROUNDS) -> DataFrame:
-    """The neighbour lists (node, vec, ids, sims) after NN-descent."""
-    lists = written(first_lists(nodes, count), "ann-lists")
+def descend(nodes: DataFrame, count: int, sample: np.ndarray, book: np.ndarray, rounds: int = ROUNDS) -> DataFrame:
+    """The neighbour lists (node, ids, sims) after NN-descent."""
+    lists = written(first_lists(nodes, count, sample), "ann-lists")
     for _ in range(rounds):
-        graph = visits(nodes, lists)
+        graph = visits(nodes, lists, book)
         state = nodes.join(lists, "node").select(F.col("node").alias("query"), "vec", "ids", "sims", none_done())
-        lists = written(visit(state, graph, NEIGHBOURS).select(F.col("query").alias("node"), "ids", "sims"), "ann-lists")
+        lists = written(visit(state, graph, NEIGHBOURS, book).select(F.col("query").alias("node"), "ids", "sims"), "ann-lists")
     return lists
 
 
@@ -279,7 +303,7 @@ def first_beams(queries: DataFrame, lists: DataFrame, vecs: DataFrame) -> DataFr
     return grouped(met, beam, STATE)
 
 
-def search_graph(beams: DataFrame, graph: DataFrame, keep: int = RESCORED) -> DataFrame:
+def search_graph(beams: DataFrame, graph: DataFrame, book: np.ndarray, keep: int = RESCORED) -> DataFrame:
     """Beams -> (query, node): the ``keep`` best of each after greedy search.
     A round goes over all queries; the last leaves no beam with a node that
     was not visited, which one number a round tells the driver."""
@@ -288,7 +312,7 @@ def search_graph(beams: DataFrame, graph: DataFrame, keep: int = RESCORED) -> Da
     state, open_beams = written(beams, "ann-beams"), 1
     while open_beams:
         seen = Observation(uuid.uuid4().hex)
-        state = written(visit(state, lying, BEAM).observe(seen, F.sum(unvisited().cast("int")).alias("n")), "ann-beams")
+        state = written(visit(state, lying, BEAM, book).observe(seen, F.sum(unvisited().cast("int")).alias("n")), "ann-beams")
         open_beams = seen.get["n"]
     lying.unpersist()
 
@@ -336,12 +360,14 @@ def _search(rows: DataFrame, k: int) -> DataFrame:
                                                F.first("embedding").alias("embedding")), "ann-nodes")
     stats = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(score(F.col("embedding"), F.col("embedding"))).alias("longest")).first()
     vecs = written(packed(nodes, stats["longest"]), "ann-vecs")
-    lists = descend(vecs, stats["n"])
-    graph = written(visits(vecs, lists), "ann-graph")
+    sample = sampled(vecs)
+    book = codebook(sample)
+    lists = descend(vecs, stats["n"], sample, book)
+    graph = written(visits(vecs, lists, book), "ann-graph")
     asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "same")
     ask_nodes = nodes.join(asking.select("same").distinct(), "same", "left_semi").select(F.col("node").alias("query"), "embedding")
     asked = packed(ask_nodes.withColumnRenamed("query", "node"), None).withColumnRenamed("node", "query")
-    found = search_graph(first_beams(asked, lists, vecs), graph)
+    found = search_graph(first_beams(asked, lists, vecs), graph, book)
     top = found.unionByName(ask_nodes.select("query", F.col("query").alias("node")))
     exact = top.join(nodes.select("node", "members", "embedding"), "node").join(
         ask_nodes.select("query", F.col("embedding").alias("asked")), "query").select(
