@@ -32,6 +32,8 @@ from tributary.llm.topk import usable
 #: Neighbours that a node keeps, and how many it is also known by; leaves' size
 #: and how often nodes are dealt into leaves; rounds of NN-descent.
 NEIGHBOURS, KNOWN_BY, LEAF, DEALS, ROUNDS = 32, 16, 2048, 4, 2
+#: Size of the random groups that fill up first lists.
+CHANCE = 256
 #: Nodes in a beam, and those of them that are scored exactly.
 BEAM, RESCORED = 200, 100
 #: Vectors that the hyperplanes' medians and the codebook are taken of, and the codebook's size.
@@ -131,6 +133,9 @@ def first_lists(nodes: DataFrame, count: int, sample: np.ndarray) -> DataFrame:
                 bits = (x @ planes[d].T) > medians[d]
                 leaf = bits @ (1 << np.arange(depth, dtype=np.int64)) if depth else np.zeros(len(x), dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(leaf * DEALS + d, pa.int64()), *batch.columns], ["leaf", "node", "vec"])
+            # one more deal at random: nobody's list is short, no group is cut off
+            chance = (batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - chance % max(1, count // CHANCE), pa.int64()), *batch.columns], ["leaf", "node", "vec"])
 
     def compare(rows):
         ids = np.array([r[1] for r in rows], dtype=np.int64)
@@ -157,7 +162,7 @@ def first_lists(nodes: DataFrame, count: int, sample: np.ndarray) -> DataFrame:
                 yield out(rows[p::parts])
 
     dealt = nodes.mapInArrow(deal, "leaf long, node long, vec binary").repartitionByRange(
-        max(1, DEALS * count // (2 * LEAF)), "leaf", F.xxhash64("node")).sortWithinPartitions("leaf", F.xxhash64("node"))
+        max(1, (DEALS + 1) * count // (2 * LEAF)), "leaf", F.xxhash64("node")).sortWithinPartitions("leaf", F.xxhash64("node"))
     return grouped(dealt.mapInArrow(leaves, "node long, ids binary, sims binary"), merged, "node long, ids binary, sims binary")
 
 
