@@ -19,7 +19,6 @@ RANGE_DAYS = (f"SELECT row_number() OVER (ORDER BY d) - 1 AS seq, strftime(d, '%
               f"FROM range(DATE '{Q.RANGE[0]}', DATE '{Q.RANGE[1]}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)")
 PATH = "split_part(pp, 'root:', 2)"
 FULLPATH = f"CASE WHEN {PATH} <> '' THEN {PATH} || '/' || name ELSE name END"
-FILES = sorted(f"{t}.parquet" for t in FX.TABLES)
 
 
 def _values(rows) -> str:
