@@ -10,7 +10,8 @@ probability of less than one in 10^5.
 
 A compared node hands on a maximum spanning forest of its candidate pairs, not
 all of them.  These are confirmed on the full sets; then the nodes are compared
-again, and every candidate pair whose ends are not yet linked is confirmed too.
+again, and where members may have links with others that they are not yet linked
+with, their full sets are compared within the node, which hands on links alone.
 So no link between components is lost and no group emits all of its pairs.
 """
 
@@ -145,19 +146,40 @@ def forest(s: np.ndarray, least: float) -> list[tuple[int, int]]:
     return out
 
 
-def across(s: np.ndarray, labels: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """All pairs of different labels that agree on at least ``least``."""
-    out = []
-    for i in range(len(s) - 1):
-        others = np.flatnonzero(labels[i + 1:] != labels[i]) + i + 1
-        if len(others):
-            out.extend((i, int(j)) for j in others[(s[others] == s[i]).mean(axis=1) >= least])
-    return out
+def across(s: np.ndarray, labels: np.ndarray, least: float) -> np.ndarray:
+    """Members that agree on at least ``least`` with one of another label."""
+    open_ = np.zeros(len(s), dtype=bool)
+    values, counts = np.unique(labels, return_counts=True)
+    for i in np.flatnonzero(labels != values[counts.argmax()]):
+        near = (labels != labels[i]) & ((s == s[i]).mean(axis=1) >= least)
+        if near.any():
+            open_[i] = True
+            open_ |= near
+    return np.flatnonzero(open_)
+
+
+def links_across(sets: list[np.ndarray], labels: np.ndarray, asks: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """On full sets, links (row numbers) of those that ask with others that
+    do not yet have their label: as few as join all that belong together."""
+    sizes = np.array([len(x) for x in sets])
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    labels, mark = labels.copy(), np.zeros(int(flat.max()) + 1, dtype=np.int64)
+    for i in np.flatnonzero(asks):
+        own = flat[starts[i]:starts[i] + sizes[i]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[flat], starts)
+        mark[own] = 0
+        near = 100 * both >= percent * (sizes[i] + sizes - both)
+        while (left := np.flatnonzero(near & (labels != labels[i]))).size:
+            yield int(i), int(left[0])
+            labels[labels == labels[left[0]]] = labels[i]
 
 
 def compare(node: int, s: np.ndarray, labels: np.ndarray | None, similarity: float) -> Iterator[tuple[int, int]]:
     """Candidate pairs (row numbers) of a node: branched while it is large and
-    its members differ, else compared exhaustively."""
+    its members differ, else compared exhaustively.  With labels: (row, row)
+    of each member that may have a link to one of another label."""
     todo = [(node, np.arange(len(s)))]
     while todo:
         node, rows = todo.pop()
@@ -175,14 +197,17 @@ def compare(node: int, s: np.ndarray, labels: np.ndarray | None, similarity: flo
                         if len(group) > 1:
                             todo.append((child(node, c, token), rows[group]))
                 continue
-        pairs = forest(part, similarity - SLACK) if labels is None else across(part, labels[rows], similarity - SLACK)
-        yield from ((int(rows[a]), int(rows[b])) for a, b in pairs)
+        if labels is None:
+            yield from ((int(rows[a]), int(rows[b])) for a, b in forest(part, similarity - SLACK))
+        else:
+            yield from ((int(r), int(r)) for r in rows[across(part, labels[rows], similarity - SLACK)])
 
 
 def rest_and_all(dense: DataFrame, labels: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Candidate pairs (a, b) between members of a dealt-out node that do not
-    have its most frequent label and all members of other labels.  Both are
-    dealt into parts of about GATHERED, and each part of the one meets each of the other."""
+    """(at, cid, label, asks): members of a dealt-out node that do not have its
+    most frequent label (they ask) and all that may have a link with one.  Both are
+    dealt into parts of about GATHERED, and each part of the one meets each of
+    the other at a place of its own."""
     members = written(dense.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")).join(
         classes.select("cid", "sketch"), "cid").select("node", "cid", "label", "sketch"), "dense-nodes")
     of_label = members.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -201,66 +226,81 @@ def rest_and_all(dense: DataFrame, labels: DataFrame, classes: DataFrame, simila
     def run(batches):
         import pyarrow as pa
 
-        def pairs(group):
+        def met(group):
             ask, one = [r for r in group if r[1]], [r for r in group if not r[1]]
             if not ask or not one:
                 return
-            cids, labels = (np.array([r[c] for r in one], dtype=np.int64) for c in (2, 3))
+            labels = np.array([r[3] for r in one], dtype=np.int64)
             s = np.frombuffer(b"".join(r[4] for r in one), dtype=np.uint8).reshape(len(one), SKETCH)
-            for _, _, cid, label, sketch in ask:
-                near = (labels != label) & ((s == np.frombuffer(sketch, dtype=np.uint8)).mean(axis=1) >= similarity - SLACK)
-                other = cids[near]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, cid)), pa.array(np.maximum(other, cid))], ["a", "b"])
+            open_, out = np.zeros(len(one), dtype=bool), []
+            for r in ask:
+                near = (labels != r[3]) & ((s == np.frombuffer(r[4], dtype=np.uint8)).mean(axis=1) >= similarity - SLACK)
+                if near.any():
+                    open_ |= near
+                    out.append(r)
+            out += [one[i] for i in np.flatnonzero(open_)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int64()) for c in (0, 2, 3, 1)], ["at", "cid", "label", "asks"])
 
         group: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if group and group[0][0] != row[0]:
-                    yield from pairs(group)
+                    yield from met(group)
                     group = []
                 group.append(row)
-        yield from pairs(group)
+        yield from met(group)
 
-    return rows.repartition("at").sortWithinPartitions("at").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("at").sortWithinPartitions("at").mapInArrow(run, "at long, cid long, label long, asks long")
 
 
 def compared(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(node, cid, sketch[, label]) -> distinct candidate pairs (a, b), a < b.
-    Nodes have at most GATHERED members."""
+    """(node, cid, sketch) -> distinct candidate pairs (a, b), a < b.  Nodes
+    have at most GATHERED members.
+
+    With ``label``: (at, cid, label, asks), the members of a node that may have
+    links across labels; all but those of the most frequent label ask.
+    """
     labelled = "label" in nodes.columns
 
     def run(batches):
         import pyarrow as pa
 
-        def pairs(node, members):
+        def found(node, members):
             cids = np.array([m[0] for m in members], dtype=np.int64)
             s = np.frombuffer(b"".join(m[1] for m in members), dtype=np.uint8).reshape(len(members), SKETCH)
-            labels = np.array([m[2] for m in members], dtype=np.int64) if labelled else None
-            for i, j in compare(node, s, labels, similarity):
-                if cids[i] != cids[j]:
-                    yield (int(min(cids[i], cids[j])), int(max(cids[i], cids[j])))
-
-        def found(out):
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+            if not labelled:
+                return {(int(min(cids[i], cids[j])), int(max(cids[i], cids[j]))) for i, j in compare(node, s, None, similarity) if cids[i] != cids[j]}
+            labels = np.array([m[2] for m in members], dtype=np.int64)
+            open_ = sorted({i for i, _ in compare(node, s, labels, similarity)})
+            if not open_:
+                return set()
+            values, counts = np.unique(labels[open_], return_counts=True)
+            most = values[counts.argmax()]
+            return {(node, int(cids[i]), int(labels[i]), int(labels[i] != most)) for i in open_}
+
+        def batch_of(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["at", "cid", "label", "asks"] if labelled else ["a", "b"])
 
         now, members, out = None, [], set()
         for batch in batches:
             for node, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                 if node != now:
                     if len(members) > 1:
-                        out.update(pairs(now, members))
+                        out |= found(now, members)
                     now, members = node, []
                     if len(out) > 10_000:
-                        yield found(list(out))
+                        yield batch_of(out)
                         out = set()
                 members.append(rest)
         if len(members) > 1:
-            out.update(pairs(now, members))
+            out |= found(now, members)
         if out:
-            yield found(list(out))
+            yield batch_of(out)
 
     columns = ["node", "cid", "sketch", *(["label"] if labelled else [])]
-    return nodes.select(*columns).repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long").distinct()
+    dealt = nodes.select(*columns).repartition("node").sortWithinPartitions("node")
+    return dealt.mapInArrow(run, "at long, cid long, label long, asks long") if labelled else dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 # -- trees -------------------------------------------------------------------
@@ -314,10 +354,10 @@ def tree_nodes(classes: DataFrame, similarity: float) -> tuple[DataFrame, DataFr
     return ready.join(classes.select("cid", "sketch"), "cid").select("node", "cid", "sketch"), stars, dense
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of class ids with 100 |A & B| >= percent |A u B|, on
-    full sets, which are made again from the texts of the classes' first documents."""
-    needed = classes.join(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi").select("doc_id").distinct()
+def full_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(cid, items): the full sets of the wanted cids, made again from the
+    texts of the classes' first documents."""
+    needed = classes.join(wanted.select("cid").distinct(), "cid", "left_semi").select("doc_id").distinct()
 
     def sets(batches):
         import pyarrow as pa
@@ -327,7 +367,43 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
             yield pa.RecordBatch.from_arrays([pa.array([class_id(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], ["cid", "items"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id", "left_semi").select("text")
-    full = written(texts.mapInArrow(sets, "cid long, items binary"), "full-sets")
+    return written(texts.mapInArrow(sets, "cid long, items binary"), "full-sets")
+
+
+def confirmed_across(members: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(at, cid, label, asks) -> links (a, b) across labels, on full sets: what
+    meets at one place is compared there, and only links leave it."""
+    members = written(members, "members-across")
+    full = full_sets(members, classes, docs, words)
+
+    def run(batches):
+        import pyarrow as pa
+
+        def found(group):
+            rows = list({r[2]: r for r in group}.values())
+            cids, labels = (np.array([r[c] for r in rows], dtype=np.int64) for c in (2, 3))
+            out = [(int(min(cids[i], cids[j])), int(max(cids[i], cids[j]))) for i, j in links_across(
+                [np.frombuffer(r[4], dtype=np.uint64) for r in rows], labels, np.array([r[1] > 0 for r in rows]), percent)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+        group: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and group[0][0] != row[0]:
+                    yield from found(group)
+                    group = []
+                group.append(row)
+        if group:
+            yield from found(group)
+
+    rows = members.join(full, "cid").select("at", "asks", "cid", "label", "items")
+    return rows.repartition("at").sortWithinPartitions("at", "asks").mapInArrow(run, "a long, b long").distinct()
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) of class ids with 100 |A & B| >= percent |A u B| on full sets."""
+    full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("cid")), classes, docs, words)
 
     def linked(batches):
         import pyarrow as pa
@@ -366,11 +442,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labels = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "linked").withColumnsRenamed({"node": "cid", "component": "label"})
     marked = nodes.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     mixed_nodes = marked.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("node")
-    second = compared(marked.join(mixed_nodes, "node", "left_semi"), similarity)
+    members = compared(marked.join(mixed_nodes, "node", "left_semi"), similarity)
     if dense is not None:
-        second = second.unionByName(rest_and_all(dense, labels, classes, similarity)).distinct()
-    second = written(second.join(first, ["a", "b"], "left_anti"), "pairs-across")
-    more = confirmed(second, classes, docs, words, percent)
+        members = members.unionByName(rest_and_all(dense, labels, classes, similarity))
+    more = confirmed_across(members, classes, docs, words, percent)
     ids = classes.select("cid", "doc_id")
     edges = links.unionByName(more).join(ids.select(F.col("cid").alias("a"), F.col("doc_id").alias("u")), "a").join(
         ids.select(F.col("cid").alias("b"), F.col("doc_id").alias("v")), "b").select("u", "v")
