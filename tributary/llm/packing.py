@@ -33,8 +33,8 @@ NOT_SPACE = tuple("\x1c\x1d\x1e\x1f")
 MARK = "\0"
 #: Marks that often follow a word.
 MARKS = tuple(".,;:!?")
-#: Chunks of text whose ids a worker remembers (two generations of these).
-REMEMBERED = 300_000
+#: Chunks of text, and words, whose ids a worker remembers (two generations of these).
+REMEMBERED, REMEMBERED_WORDS = 400_000, 600_000
 
 
 class Memory:
@@ -71,7 +71,7 @@ class WordIds:
         self.plain = Tokenizer.from_str(json.dumps(spec | {"normalizer": None}))
         (self.mark,) = self.plain.encode(MARK, add_special_tokens=False).ids
         self.marks = {m: self.ids(self.plain, [m])[m] for m in (*MARKS, "")}
-        self.chunk_ids, self.word_ids = Memory(REMEMBERED), Memory(REMEMBERED)
+        self.chunk_ids, self.word_ids = Memory(REMEMBERED), Memory(REMEMBERED_WORDS)
 
     def ids(self, tokenizer, chunks: list[str]) -> dict[str, bytes]:
         """Many chunks go as one text with a separator of one known id between
@@ -104,7 +104,7 @@ class WordIds:
         out.update((c, words[w] + self.marks[m]) for c, w, m in split)
         return out
 
-    def packed(self, texts: list[str], chars: int = 1 << 21) -> Iterator[bytes]:
+    def packed(self, texts: list[str], chars: int = 1 << 22) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         i = 0
         while i < len(texts):
