@@ -11,7 +11,8 @@ from tributary.llm import bpe
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SF = "/root/testdata/sf0.001"
 ODD = ["", " ", "\n", "a", " a", "a ", "\na", "a\n\nb  c", "<|endoftext|>", "x<|endoftext|> y<|endoftext|><|endoftext|>z", "<|endoftext", "é" * 400,
-       "it's we'LL 12 ٣٤ 你好 🤦🏼‍♂️", "\x1c \x85　q", "ab" * 3000, "word. Word, (word)! \"w\"", "\0�"]
+       "it's we'LL 12 ٣٤ 你好 🤦🏼‍♂️", "\x1c \x85　q", "ab" * 3000, "word. Word, (word)! \"w\"", "\0�",
+       "Done. Next\tcell", "Done.  Next\tcell", "a\n\n\nb\tc\td", " Hello\xa0world", "x  y\u3000z", "a\u2028b  c", "tail \xa0x", "a \nb\x1fc", "\xa0a b ", "one two\nthree"]
 
 
 @pytest.fixture(scope="module")

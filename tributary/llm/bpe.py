@@ -150,9 +150,11 @@ class Bpe:
 
     def chunks(self, text: str) -> list[str]:
         """``text`` cut at places where a pre-token always ends: before a
-        lone space or line feed.  Where white space comes in runs, or is of
-        another kind, it is one chunk."""
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1 or any(s in text for s in self.special):
+        lone space or line feed.  Where white space comes in runs, at an end, or is
+        of another kind, it is one chunk."""
+        words, lone = text.split(), text.count(" ") + text.count("\n")
+        # no other white space, and so many words that none of it is in a row or at an end
+        if len(text) - len("".join(words)) != lone or len(words) != lone + 1 or any(s in text for s in self.special):
             return [text]
         first, *rest = text.replace("\n", " \n").split(" ")
         return [first, *(r if r[0] == "\n" else " " + r for r in rest)]
