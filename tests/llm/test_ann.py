@@ -58,3 +58,19 @@ def test_copies_and_odd_vectors(spark):
 def test_empty(spark):
     assert search(spark, []) == {}
     assert search(spark, [(0, None, "x")]) == {}
+
+
+def test_rounds_go_on_until_lists_are_good(spark, monkeypatch):
+    for name, value in {"LEAF": 64, "DEALS": 1, "CHANCE": 16, "NEIGHBOURS": 10, "KNOWN_BY": 10}.items():
+        monkeypatch.setattr(ann, name, value)
+    x = np.random.default_rng(6).normal(size=(4000, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "node long, embedding array<double>")
+    vecs = ann.packed(nodes, None).persist()
+    sample = ann.sampled(vecs)
+    lists = ann.descend(vecs, len(x), sample, ann.codebook(sample)).collect()
+    sims = x @ x.T
+    np.fill_diagonal(sims, -np.inf)
+    want = np.argsort(-sims, axis=1)[:, :10]
+    recall = np.mean([len({*np.frombuffer(r["ids"], dtype=np.int64)} & {*want[r["node"]]}) / 10 for r in lists])
+    assert len(lists) == len(x) and recall >= 0.9

@@ -2,7 +2,7 @@
 
 Equal vectors are one node.  A first neighbour list for each node comes from
 random-hyperplane leaves that are compared exhaustively; NN-descent then improves
-the lists in rounds of Spark joins: every node visits its neighbours, meets their
+the lists in rounds of Spark joins, until hardly any neighbour is new: every node visits its neighbours, meets their
 neighbours there, and keeps the best it has seen.  Queries search the finished
 graph greedily: a beam of the best nodes so far, of which those not yet visited
 are visited in the next round -- again a join -- until none is left.
@@ -30,8 +30,10 @@ from tributary.llm.neardup import join_back
 from tributary.llm.topk import usable
 
 #: Neighbours that a node keeps, and how many it is also known by; leaves' size
-#: and how often nodes are dealt into leaves; rounds of NN-descent.
-NEIGHBOURS, KNOWN_BY, LEAF, DEALS, ROUNDS = 32, 16, 2048, 4, 2
+#: and how often nodes are dealt into leaves.
+NEIGHBOURS, KNOWN_BY, LEAF, DEALS = 32, 16, 2048, 4
+#: Rounds of NN-descent end when no more than this share of all neighbours is new.
+CHANGED = 0.001
 #: Size of the random groups that fill up first lists.
 CHANCE = 256
 #: Nodes in a beam, and those of them that are scored exactly.
@@ -272,16 +274,26 @@ def unvisited() -> Column:
     return F.hex("done").rlike("^(01)*00")
 
 
-def descend(nodes: DataFrame, count: int, sample: np.ndarray, book: np.ndarray, rounds: int = ROUNDS) -> DataFrame:
-    """The neighbour lists (node, ids, sims) after NN-descent."""
-    lists = written(first_lists(nodes, count, sample), "ann-lists")
-    for _ in range(rounds):
+def descend(nodes: DataFrame, count: int, sample: np.ndarray, book: np.ndarray) -> DataFrame:
+    """The neighbour lists (node, ids, sims) after NN-descent.  Each round
+    tells the driver how many neighbours there are and how many are new; lists
+    only get better, so the rounds end."""
+    lists, share = written(first_lists(nodes, count, sample), "ann-lists"), 1.0
+    while share > CHANGED:
+        seen = Observation(uuid.uuid4().hex)
         graph = visits(nodes, lists, book)
         state = nodes.join(lists, "node").select(F.col("node").alias("query"), "vec", "ids", "sims", none_done())
-        lists = written(visit(state, graph, NEIGHBOURS, book).select(F.col("query").alias("node"), "ids", "sims"), "ann-lists")
+        better = visit(state, graph, NEIGHBOURS, book).observe(seen, F.sum(F.length("done")).alias("n"), F.sum(new_ones()).alias("new"))
+        lists = written(better.select(F.col("query").alias("node"), "ids", "sims"), "ann-lists")
+        share = (seen.get["new"] or 0) / (seen.get["n"] or 1)
     return lists
 
 
+def new_ones() -> Column:
+    """How many of a beam's nodes came in this round: its zero bytes."""
+    return F.length("done") - F.length(F.replace(F.hex("done"), F.lit("00"), F.lit(""))) / 2
+
+
 def none_done() -> Column:
     """As many zero bytes as there are ids."""
     return F.unhex(F.repeat(F.lit("00"), (F.length("ids") / 8).cast("int"))).alias("done")
