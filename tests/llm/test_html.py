@@ -13,6 +13,17 @@ def test_hidden_parts():
     assert got == "S\nT\nf\ni"
 
 
+def test_formulas_diagrams_and_choices():
+    got = html.render("<p>If <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1 TeX</annotation></semantics></math> then"
+                      "<svg viewBox='0 0 1 1'><title/><title>t</title><defs><text>d</text></defs><metadata>m</metadata><g>loose<path d='M0'/><text x='1'>Boiler "
+                      "<tspan>A</tspan></text><text display='none'>n</text><text>Pump</text></g><desc>e</desc></svg> end.")
+    assert got == "If x=1 then Boiler A Pump end."
+    assert html.render("<svg><foreignObject><p>in</p></foreignObject></svg><svg><path><p>after</p>") == "in\n\nafter"
+    assert html.render("Size <select><option>S<option selected>M<option>L</select> Colour <select><option disabled>pick<optgroup label=g><option>red"
+                       "<option>blue</optgroup></select> Tags <select multiple><option>a<option label='b2'>b</select><select hidden><option>z</select>") == "Size M Colour red Tags a b2"
+    assert html.render("<desc>c</desc><select></select><svg/>d") == "c d"
+
+
 def test_tables_align():
     got = html.render("<table><caption>Cap</caption><tr><th>Name<th>N<tr><td>long name<td>1<tr><td colspan=2>all across"
                       "<tr><td rowspan=2>two<td>a<tr><td>b</table>")

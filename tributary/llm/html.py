@@ -3,7 +3,8 @@
 A tree is built from the tags (missing end tags are implied, stray ones
 ignored), what a browser would not show is left out, and the rest is rendered:
 blocks on lines of their own with their spacing, lists with bullets or numbers,
-table cells in aligned columns, preformatted text as it is.
+table cells in aligned columns, preformatted text as it is.  Formulas (MathML) and the
+text elements of SVG show their text, a select its chosen option, a list box all of its options.
 """
 
 from __future__ import annotations
@@ -25,7 +26,12 @@ HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)",
 # What the language of web pages says of its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript iframe noembed noframes".split())
-HIDDEN = frozenset("head script style title template noscript iframe noembed noframes object audio video canvas svg math datalist select".split())
+HIDDEN = frozenset("head script style title template noscript iframe noembed noframes object audio video canvas datalist".split())
+#: Elements that are not shown inside svg and math, those whose content is HTML again, and HTML elements that end an open svg or math.
+HIDDEN_IN = {"svg": frozenset("title desc defs metadata symbol clippath mask pattern marker".split()), "math": frozenset("annotation annotation-xml mphantom".split())}
+HTML_AGAIN = frozenset("foreignobject annotation-xml mi mo mn ms mtext".split())
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s "
+                       "small span strong strike sub sup table tt u ul var".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset address hr xmp".split())
 BLOCK = SPACED | frozenset("html body div section article aside header footer main nav form li dt dd details summary figcaption legend "
                            "dialog menu center tr td th thead tbody tfoot caption option search hgroup".split())
@@ -33,7 +39,7 @@ BLOCK = SPACED | frozenset("html body div section article aside header footer ma
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "caption", "colgroup"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "thead": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
-        "tfoot": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
+        "tfoot": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}), "option": ({"option"}, {"select"}), "optgroup": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
 ENDS_PARAGRAPH = BLOCK - {"li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "option", "html", "body", "legend", "summary"} | {"li", "dt", "dd"}
 CELL_BARRIERS = frozenset({"td", "th", "caption", "table"})
 #: Wider cells do not widen their column; tables nested deeper than this are plain blocks.
@@ -45,6 +51,7 @@ class Node:
     tag: str
     attributes: str = ""
     children: list = field(default_factory=list)
+    inside: str = ""  # svg or math
 
     def attribute(self, name: str) -> str | None:
         if name not in self.attributes.lower():
@@ -57,9 +64,41 @@ class Node:
     def hidden(self) -> bool:
         if self.tag in HIDDEN or (self.tag == "dialog" and self.attribute("open") is None):
             return True
+        if self.inside and self.tag in HIDDEN_IN[self.inside]:
+            return True
+        if self.inside == "svg" and ((self.attribute("display") or "").strip() == "none" or (self.attribute("visibility") or "").strip() in ("hidden", "collapse")):
+            return True
         return bool(self.attributes) and (self.attribute("hidden") is not None or bool(HIDING.search(self.attribute("style") or "")))
 
 
+def within(parent: Node) -> str:
+    """Whether children of ``parent`` are svg's, math's or (empty) HTML's."""
+    return parent.tag if parent.tag in HIDDEN_IN else "" if parent.tag in HTML_AGAIN else parent.inside
+
+
+def shown(node: Node) -> list:
+    """What an element shows: its children; of svg the texts, of select the
+    chosen option (the last selected one, else the first that can be chosen)."""
+    if node.tag not in ("svg", "select"):
+        return node.children
+    found, todo = [], list(reversed(node.children))
+    while todo:
+        n = todo.pop()
+        if isinstance(n, str) or n.hidden():
+            continue
+        if n.tag in (("text", "foreignobject") if node.tag == "svg" else ("option",)):
+            found.append(n)
+        else:
+            todo.extend(reversed(n.children))
+    if node.tag == "select":
+        size = (node.attribute("size") or "").strip()
+        if node.attribute("multiple") is None and not (size.isdecimal() and int(size) > 1):
+            chosen = [n for n in found if n.attribute("selected") is not None]
+            found = chosen[-1:] or [n for n in found if n.attribute("disabled") is None][:1]
+        found = [n.attribute("label") or text_of(n) for n in found]
+    return [" ", *(x for n in found for x in (n, " "))]
+
+
 def build_tree(html: str) -> Node:
     root = Node("html")
     stack, at = [root], 0
@@ -92,15 +131,18 @@ def build_tree(html: str) -> Node:
             tag = m[2].lower()
             if tag == "html":
                 continue
+            if tag in BREAKS_OUT:
+                while within(stack[-1]):
+                    stack.pop()
             if stack[-1].tag == "head" and tag in BLOCK:
                 stack.pop()
             if tag in ENDS:
                 close(*ENDS[tag])
             if tag in ENDS_PARAGRAPH:
                 close({"p"}, CELL_BARRIERS | {"li", "dd", "dt"} if tag not in ("li", "dt", "dd") else CELL_BARRIERS | {"ul", "ol", "dl"})
-            node = Node(tag, m[3] or "")
+            node = Node(tag, m[3] or "", inside=within(stack[-1]))
             stack[-1].children.append(node)
-            if tag in VOID:
+            if tag in VOID or (node.inside and node.attributes.endswith("/")):
                 continue
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -262,12 +304,12 @@ def layout(children: list, depth: int = 0) -> list[str]:
                     out.first, out.rest = old[1], old[1]
 
             todo.append(("end", end))
-            shown = n.children
+            inner = n.children
             if n.tag == "details" and n.attribute("open") is None:  # closed: its summary only
-                shown = [c for c in shown if isinstance(c, Node) and c.tag == "summary"][:1]
-            todo.extend(("node", c) for c in reversed(shown))
+                inner = [c for c in inner if isinstance(c, Node) and c.tag == "summary"][:1]
+            todo.extend(("node", c) for c in reversed(inner))
         else:
-            todo.extend(("node", c) for c in reversed(n.children))
+            todo.extend(("node", c) for c in reversed(shown(n)))
     out.end_line()
     return out.done
 
@@ -282,7 +324,7 @@ def text_of(node: Node) -> str:
         elif n.tag == "br":
             parts.append("\n")
         elif not n.hidden():
-            todo.extend(reversed(n.children))
+            todo.extend(reversed(shown(n)))
     return "".join(parts)
 
 
