@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import ann, bpe, chat, html, langid, linededup, neardup, packing, topk, warc
+from tributary.llm import ann, bpe, chat, ctw, html, langid, linededup, neardup, packing, prefixtrie, spelling, topk, warc
 from tributary.llm.common import table
 
 # The conversation that every run adds, and its number.
@@ -76,6 +76,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_examples(turns.unionByName(added)))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("conv_id")
+    turns = prefixtrie.conversation_turns(table(spark, sf_dir, "conversations"))
+    return prefixtrie.trie_nodes(prefixtrie.grafted(turns, c - c % 20, (F.crc32(c.cast("string").cast("binary")) % 4).cast("int")))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_html_text, op3_fuzzy_line_dedup, op4_warc_index, op5_nn_descent, op6_chosen_path_near_dedup, op7_bpe_codec, op8_pivot_top_k,
-    op9_best_fit_packing, op10_chat_format)}
+    op9_best_fit_packing, op10_chat_format, op11_spelling_variants, op12_prefix_trie, op13_lm_scoring)}
