@@ -97,7 +97,7 @@ def tiny(monkeypatch):
     module is sent to tasks by value, so that they see them."""
     from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(ctw)
-    for name, value in (("BLOCK", 300), ("PIECE", 7), ("CHUNK", 50)):
+    for name, value in (("BLOCK", 300), ("PACK", 60), ("PIECE", 7), ("CHUNK", 50), ("ROWS", 30)):
         monkeypatch.setattr(ctw, name, value)
     yield
     cloudpickle.unregister_pickle_by_value(ctw)

@@ -10,9 +10,9 @@ weights that training left.  A context that training never saw has no say: the
 mixture ends at the deepest node seen.  Texts end with the byte 0xFF, which UTF-8
 does not use, so the probabilities of all texts sum to at most one.
 
-On Spark: documents are written in blocks of ``BLOCK`` bytes; a task counts the
-distinct grams (context and byte) and words of a block; Spark adds them up over the
-corpus.  Grams are dealt by their last two context bytes and sorted, so a task
+On Spark: documents are written, compressed, in blocks of ``BLOCK`` bytes; a task
+counts the distinct grams (context and byte) and words of a block; Spark adds them
+up over the corpus.  Grams are dealt by their last two context bytes and sorted, so a task
 streams over whole subtrees of three bytes (at most 2**24 grams each, whatever the
 corpus) and works on flat arrays; nodes of two bytes are a table that Spark sums
 up and sorts in before their grams; only the two topmost levels, at most 257 * 255
@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.common import written
@@ -37,11 +37,13 @@ from tributary.llm.common import written
 ORDER = 5
 #: Bits of a gram below its last two and its last three context bytes.
 TWO, THREE = 8 * (ORDER - 1), 8 * (ORDER - 2)
-#: Bytes of text that a block has at least (but for a partition's last one), and
-#: that arrays of positions are made for at once.
-BLOCK, PIECE = 16 << 20, 1 << 20
+#: Bytes of text that a block has at least (but for a partition's last one), that
+#: are compressed together, and that arrays of positions are made for at once.
+BLOCK, PACK, PIECE = 32 << 20, 4 << 20, 1 << 20
 #: Rows of sorted grams that a task works on at once, but for larger subtrees.
 CHUNK = 1 << 20
+#: Rows that are packed into arrays of one block each at once.
+ROWS = 1 << 18
 PAD, END = b"\0" * ORDER, b"\xff"
 #: The end of a text as a token; no word is empty.
 END_TOKEN = b""
@@ -161,64 +163,99 @@ def mix_down(grown: list[dict], mixed: np.ndarray, rest: np.ndarray, last: np.nd
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """(block, doc_id, held_out, text as bytes), written: rows in blocks of at
-    least ``BLOCK`` bytes.  A row is in one block only."""
+    """(block, doc_ids, held_out, sizes, texts), written: rows in blocks of at
+    least ``BLOCK`` bytes, about ``PACK`` bytes of compressed text a row.  A
+    document is in one block only."""
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    kind = rows.schema["doc_id"].dataType
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, size = TaskContext.get().partitionId() << 32, 0
+        block, size, pack, held_size = TaskContext.get().partitionId() << 32, 0, [], 0
         for batch in batches:
-            of = []
-            for length in pa.compute.binary_length(batch.column(2)).to_pylist():
-                if size >= BLOCK:
-                    block, size = block + 1, 0
-                size += length
-                of.append(block)
-            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), *batch.columns], ["block", *batch.schema.names])
+            types = [pa.list_(batch.schema.field("doc_id").type), pa.list_(pa.bool_()), pa.list_(pa.int64())]
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                pack.append(row)
+                held_size += len(row[2])
+                size += len(row[2])
+                if held_size >= PACK or size >= BLOCK:
+                    yield _packed(block, pack, types)
+                    pack, held_size = [], 0
+                    if size >= BLOCK:
+                        block, size = block + 1, 0
+        if pack:
+            yield _packed(block, pack, types)
 
-    schema = f"block long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, text binary"
-    return written(rows.mapInArrow(deal, schema), "ctw-docs")
+    schema = f"block long, doc_ids array<{kind.simpleString()}>, held_out array<boolean>, sizes array<long>, texts binary"
+    return written(rows.mapInArrow(deal, schema), "ctw-docs", compression="zstd")
+
+
+def _packed(block: int, rows: list[tuple], types: list) -> pa.RecordBatch:
+    ids, held, texts = zip(*rows)
+    data = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
+    return pa.RecordBatch.from_arrays([pa.array([block]), *(pa.array([list(x)], t) for x, t in zip((ids, held, map(len, texts)), types)), pa.array([data], pa.binary())],
+                                      ["block", "doc_ids", "held_out", "sizes", "texts"])
+
+
+def unpacked(sizes: list[int], data: bytes) -> list[bytes]:
+    """The texts of one row of ``blocks``, A-Z lower-cased."""
+    whole = pa.decompress(data, decompressed_size=sum(sizes), codec="zstd", asbytes=True).lower() if sum(sizes) else b""
+    ends = np.cumsum([0, *sizes]).tolist()
+    return [whole[lo:hi] for lo, hi in zip(ends, ends[1:])]
 
 
 COUNTS = "block long, gram long, word binary, n long"
 
 
+class _Block:
+    """Distinct grams and words of a block, with their counts in training documents."""
+
+    def __init__(self):
+        self.found, self.counts, self.words = [np.zeros(0, np.int64)], [np.zeros(0)], Counter()
+
+    def add(self, held: list[bool], texts: list[bytes]) -> None:
+        for unit in (1, 0):
+            of = [t for t, h in zip(texts, held) if h == (not unit)]
+            for _, _, grams in pieces(of):
+                at, names = pd.factorize(grams)
+                self.found.append(names)
+                self.counts.append(unit * np.bincount(at, minlength=len(names)))
+            for text in of:
+                if unit:
+                    self.words.update(text.split())
+                    self.words[END_TOKEN] += 1
+                else:
+                    for word in text.split():
+                        self.words.setdefault(word, 0)
+        self.merge()
+
+    def merge(self) -> None:
+        at, names = pd.factorize(np.concatenate(self.found))
+        self.found, self.counts = [names], [np.bincount(at, np.concatenate(self.counts), len(names))]
+
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        grams, words = np.sort(self.found[0]), list(self.words)
+        n = self.counts[0][np.argsort(self.found[0])].astype(np.int64)
+        for grams, words, of in ((grams, None, n), (None, words, list(self.words.values()))):
+            size = len(of)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, block)), pa.nulls(size, pa.int64()) if grams is None else pa.array(grams),
+                 pa.nulls(size, pa.binary()) if words is None else pa.array(words, pa.binary()), pa.array(of, pa.int64())],
+                ["block", "gram", "word", "n"])
+
+
 def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every distinct gram and word of a block, with its count in training documents."""
-    now, learn, rest = None, [], []
+    """Every distinct gram and word of a block (of a part of it, where a block's
+    rows are read by several tasks)."""
+    now, counts = None, None
     for batch in batches:
-        for block, held, text in zip(*(batch.column(c).to_pylist() for c in ("block", "held_out", "text"))):
+        for block, held, sizes, data in zip(*(batch.column(c).to_pylist() for c in ("block", "held_out", "sizes", "texts"))):
             if block != now:
                 if now is not None:
-                    yield from _counts(now, learn, rest)
-                now, learn, rest = block, [], []
-            (rest if held else learn).append(text.lower())
+                    yield from counts.rows(now)
+                now, counts = block, _Block()
+            counts.add(held, unpacked(sizes, data))
     if now is not None:
-        yield from _counts(now, learn, rest)
-
-
-def _counts(block: int, learn: list[bytes], rest: list[bytes]) -> Iterator[pa.RecordBatch]:
-    found, counts = [np.zeros(0, np.int64)], [np.zeros(0)]
-    for texts, unit in ((learn, 1), (rest, 0)):
-        for _, _, grams in pieces(texts):
-            at, names = pd.factorize(grams)
-            found.append(names)
-            counts.append(unit * np.bincount(at, minlength=len(names)))
-    at, names = pd.factorize(np.concatenate(found))
-    n = np.bincount(at, np.concatenate(counts), len(names)).astype(np.int64)
-    words = Counter()
-    for text in learn:
-        words.update(text.split())
-        words[END_TOKEN] += 1
-    for text in rest:
-        for word in text.split():
-            words.setdefault(word, 0)
-    for grams, kinds, of in ((names, None, n), (None, list(words), list(words.values()))):
-        size = len(of)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(size, block)), pa.nulls(size, pa.int64()) if grams is None else pa.array(grams),
-             pa.nulls(size, pa.binary()) if kinds is None else pa.array(kinds, pa.binary()), pa.array(of, pa.int64())],
-            ["block", "gram", "word", "n"])
+        yield from counts.rows(now)
 
 
 def above(key: np.ndarray, bit: int) -> np.ndarray:
@@ -317,28 +354,65 @@ def predict_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(total)], ["gram", "value"])
 
 
-def score_block(docs: pa.Table, values: pa.Table) -> pa.Table:
-    """Token counts and scores of a block's documents from the values of its grams and words."""
-    words, counts = values.column("word"), values.column("n")
-    is_word = words.is_valid()
-    value_of = dict(zip(words.filter(is_word).to_pylist(), zip(values.column("value").filter(is_word).to_pylist(), counts.filter(is_word).to_pylist())))
-    is_gram = pa.compute.invert(is_word)
-    grams, logs = values.column("gram").filter(is_gram).to_numpy(), values.column("value").filter(is_gram).to_numpy()
-    order = np.argsort(grams)
-    grams, logs = grams[order], logs[order]
-    texts = [t.lower() for t in docs.column("text").to_pylist()]
-    score = np.zeros(len(texts))
-    for owners, starts, codes in pieces(texts):
-        at, names = pd.factorize(codes)
-        np.add.at(score, owners, np.add.reduceat(logs[np.searchsorted(grams, names)][at], starts))
-    n_tokens, n_known, base = [], [], []
-    for text in texts:
-        of = [value_of[w] for w in text.split()]
-        n_tokens.append(len(of) + 1)
-        n_known.append(sum(c > 0 for _, c in of))
-        base.append(sum(v for v, _ in of))
-    return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()),
-                     "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score)})
+PACKS = "block long, grams binary, logs binary, words binary, counts binary"
+
+
+def pack_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, gram, value) or (block, word, n) -> packed arrays of about ``ROWS`` rows, a block each."""
+    def packs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts)
+        block = rows.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        runs = np.split(order, np.flatnonzero(np.diff(block[order])) + 1)
+        if "word" in rows.column_names:
+            word, n = rows.column("word").to_pylist(), rows.column("n").to_numpy()
+            of = [(int(block[r[0]]), None, None, b" ".join([word[i] for i in r]), n[r].tobytes()) for r in runs]
+        else:
+            gram, value = rows.column("gram").to_numpy(), rows.column("value").to_numpy()
+            of = [(int(block[r[0]]), gram[r].tobytes(), value[r].tobytes(), None, None) for r in runs]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i == 0 else pa.binary()) for i, c in enumerate(zip(*of))],
+                                          ["block", "grams", "logs", "words", "counts"])
+    parts, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            parts.append(batch)
+            size += batch.num_rows
+        if size >= ROWS:
+            yield packs(parts)
+            parts, size = [], 0
+    if parts:
+        yield packs(parts)
+
+
+def score_block(least: float):
+    """A task's function: token counts and scores of a block's documents from the
+    values of its grams and the counts of its words (``least``: log10 of the base's denominator)."""
+    def run(docs: pa.Table, values: pa.Table) -> pa.Table:
+        packs = {c: [x for x in values.column(c).to_pylist() if x is not None] for c in ("grams", "logs", "words", "counts")}
+        words = b" ".join(packs["words"]).split(b" ") if packs["words"] else []
+        counts = np.frombuffer(b"".join(packs["counts"]), np.int64)
+        value_of = dict(zip(words, zip((np.log10(counts + 0.1) - least).tolist(), counts.tolist())))
+        grams, logs = np.frombuffer(b"".join(packs["grams"]), np.int64), np.frombuffer(b"".join(packs["logs"]), float)
+        order = np.argsort(grams)
+        grams, logs = grams[order], logs[order]
+        ids, held, n_tokens, n_known, base, scores = [], [], [], [], [], []
+        for row in range(docs.num_rows):
+            texts = unpacked(docs.column("sizes")[row].as_py(), docs.column("texts")[row].as_py())
+            score = np.zeros(len(texts))
+            for owners, starts, codes in pieces(texts):
+                at, names = pd.factorize(codes)
+                np.add.at(score, owners, np.add.reduceat(logs[np.searchsorted(grams, names)][at], starts))
+            scores.append(score)
+            ids.append(docs.column("doc_ids")[row].values)
+            held.append(docs.column("held_out")[row].values)
+            for text in texts:
+                of = [value_of[w] for w in text.split()]
+                n_tokens.append(len(of) + 1)
+                n_known.append(sum(c > 0 for _, c in of))
+                base.append(sum(v for v, _ in of))
+        return pa.table({"doc_id": pa.concat_arrays(ids), "held_out": pa.concat_arrays(held), "n_tokens": pa.array(n_tokens, pa.int64()),
+                         "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(np.concatenate(scores))})
+    return run
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -355,7 +429,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = blocks(docs)
-    counts = written(rows.select("block", "held_out", "text").mapInArrow(count_blocks, COUNTS), "ctw-counts")
+    counts = written(rows.drop("doc_ids").mapInArrow(count_blocks, COUNTS), "ctw-counts", compression="zstd")
 
     grams = written(counts.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")), "ctw-grams")
     none = [F.lit(None).cast("long").alias("node"), *(F.lit(None).cast("double").alias(c) for c in ("mixed", "rest", "last"))]
@@ -372,18 +446,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
     logs = (rows_of.withColumn("pair", pair).repartition("pair").sortWithinPartitions("pair", F.col("gram").asc_nulls_first())
             .drop("pair").mapInArrow(predict_grams, "gram long, value double"))
 
-    words = written(counts.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n")), "ctw-words")
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v"),
-                      F.coalesce(F.max(F.when(F.col("word") == END_TOKEN, F.col("n"))), F.lit(0)).alias("ends")).first()
-    least = np.log10(total["n"] + 0.1 * (total["v"] + 1))
-    words = words.select("word", "n", (F.log10(F.col("n") + 0.1) - float(least)).alias("value"))
-
-    values = (counts.where("gram IS NOT NULL").select("block", "gram").join(logs, "gram")
-              .select("block", "gram", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("n"), "value")
-              .unionByName(counts.where("word IS NOT NULL").select("block", "word").join(words, "word")
-                           .select("block", F.lit(None).cast("long").alias("gram"), "word", "n", "value")))
+    # a block has a word once (or once a part), so no word has many rows
+    of_word = Window.partitionBy("word")
+    words = written(counts.where("word IS NOT NULL").select(
+        "block", "word", F.sum("n").over(of_word).alias("n"), (F.row_number().over(of_word.orderBy("block")) == 1).alias("first")), "ctw-words", compression="zstd")
+    total = words.where("first").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("v"),
+        F.coalesce(F.max(F.when(F.col("word") == END_TOKEN, F.col("n"))), F.lit(0)).alias("ends")).first()
+    least = float(np.log10(total["n"] + 0.1 * (total["v"] + 1)))
+
+    values = (counts.where("gram IS NOT NULL").select("block", "gram").join(logs, "gram").mapInArrow(pack_values, PACKS)
+              .unionByName(words.where(F.col("word") != END_TOKEN).select("block", "word", "n").mapInArrow(pack_values, PACKS)))
     end = float(np.log10(total["ends"] + 0.1) - least)
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    found = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(score_block, schema)
+    kind = rows.schema["doc_ids"].dataType.elementType.simpleString()
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    found = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(score_block(least), schema)
     return found.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + int(total["ends"] > 0)).alias("n_known"),
                         F.lit(int(total["n"])).cast("long").alias("train_tokens"), (F.col("base_score") + end).alias("base_score"), "score")
