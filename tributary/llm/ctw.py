@@ -41,7 +41,7 @@ TWO, THREE = 8 * (ORDER - 1), 8 * (ORDER - 2)
 #: are compressed together, and that arrays of positions are made for at once.
 BLOCK, PACK, PIECE = 32 << 20, 4 << 20, 1 << 20
 #: Rows of sorted grams that a task works on at once, but for larger subtrees.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Rows that are packed into arrays of one block each at once.
 ROWS = 1 << 18
 PAD, END = b"\0" * ORDER, b"\xff"
@@ -389,12 +389,14 @@ def score_block(least: float):
     values of its grams and the counts of its words (``least``: log10 of the base's denominator)."""
     def run(docs: pa.Table, values: pa.Table) -> pa.Table:
         packs = {c: [x for x in values.column(c).to_pylist() if x is not None] for c in ("grams", "logs", "words", "counts")}
-        words = b" ".join(packs["words"]).split(b" ") if packs["words"] else []
+        place = {w: i for i, w in enumerate(b" ".join(packs["words"]).split(b" "))}
         counts = np.frombuffer(b"".join(packs["counts"]), np.int64)
-        value_of = dict(zip(words, zip((np.log10(counts + 0.1) - least).tolist(), counts.tolist())))
+        # a word that came twice has its last place
+        worth = np.log10(counts + 0.1) - least
         grams, logs = np.frombuffer(b"".join(packs["grams"]), np.int64), np.frombuffer(b"".join(packs["logs"]), float)
         order = np.argsort(grams)
         grams, logs = grams[order], logs[order]
+        del packs, order
         ids, held, n_tokens, n_known, base, scores = [], [], [], [], [], []
         for row in range(docs.num_rows):
             texts = unpacked(docs.column("sizes")[row].as_py(), docs.column("texts")[row].as_py())
@@ -406,10 +408,10 @@ def score_block(least: float):
             ids.append(docs.column("doc_ids")[row].values)
             held.append(docs.column("held_out")[row].values)
             for text in texts:
-                of = [value_of[w] for w in text.split()]
+                of = np.array([place[w] for w in text.split()], np.int64)
                 n_tokens.append(len(of) + 1)
-                n_known.append(sum(c > 0 for _, c in of))
-                base.append(sum(v for v, _ in of))
+                n_known.append(np.count_nonzero(counts[of]))
+                base.append(worth[of].sum())
         return pa.table({"doc_id": pa.concat_arrays(ids), "held_out": pa.concat_arrays(held), "n_tokens": pa.array(n_tokens, pa.int64()),
                          "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(np.concatenate(scores))})
     return run
