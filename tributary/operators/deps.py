@@ -1,12 +1,9 @@
 """Step dependencies as edge tables (ops E1-E5).
 
 A step graph is an edge DataFrame ``(src, dst)``: ``dst`` depends on
-``src``.  Ordering is Kahn's algorithm done a whole level at a time: every
-node with no remaining incoming edge is peeled at level k, the counters of
-its edges' targets fall, repeat.  Levels equal longest-path depth from the roots;
-nodes never peeled sit on a cycle or downstream of one.  Each round is a
-couple of anti-joins and one checkpoint, so the cost is the graph's depth,
-not its width.
+``src``.  Levels equal longest-path depth from the roots (``graph.longest_levels``:
+rounds grow with the logarithm of a chain's length); nodes without one sit on a
+cycle or downstream of one.
 """
 
 from __future__ import annotations
@@ -15,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.errors import CycleError
+from tributary.operators import graph as G
 from tributary.operators.frontier import cut, cut_counting, in_place, union_all
 
 
@@ -73,43 +71,12 @@ def accepted_edges(requests: DataFrame, src: str = "src", dst: str = "dst") -> D
             .where(F.col("src") != F.col("dst")).distinct())
 
 
-def peel(edges: DataFrame, nodes: DataFrame | None = None,
-         max_rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(levels ``node, level``, remaining ``node``).
-
-    Kahn's algorithm a level at a time with in-degree counters: the edge set
-    is dealt by source once and read in place; each round counts the edges that
-    leave the newly peeled nodes per target (map-side combined, so a hot
-    target costs one row per task) and writes the nodes that are left -- a
-    peeled level is never written again.  A self loop
-    keeps its node unpeeled (it is a cycle).  ``max_rounds`` only bounds a
-    runaway loop and raises; it never truncates a result silently."""
-    e = in_place(cut(edges.select("src", "dst").distinct()), "src")
-    # Nodes and in-degrees in one aggregation: each edge adds 0 to its
-    # source and 1 to its target.
-    ends = e.select(F.explode(F.array(
-        F.struct(F.col("src").alias("node"), F.lit(0).alias("d")),
-        F.struct(F.col("dst").alias("node"), F.lit(1).alias("d")))).alias("x")).select("x.*")
-    if nodes is not None:
-        ends = ends.unionByName(nodes.select("node", F.lit(0).alias("d")))
-    is_ready = F.col("indeg") == 0
-    # Each cut also counts the nodes ready for the next round (same job).
-    state, n_ready = cut_counting(ends.groupBy("node").agg(
-        F.sum("d").cast("long").alias("indeg")), is_ready)
-    level, levels = 0, []
-    while n_ready > 0:
-        ready = state.where(is_ready).select("node")
-        levels.append(ready.withColumn("level", F.lit(level)))
-        dec = (e.join(ready.withColumnRenamed("node", "src"), "src", "left_semi")
-               .groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("_dec")))
-        state, n_ready = cut_counting(state.where(~is_ready).join(dec, "node", "left").select(
-            "node", (F.col("indeg") - F.coalesce("_dec", F.lit(0))).alias("indeg")), is_ready)
-        level += 1
-        if max_rounds is not None and level > max_rounds:
-            raise CycleError(f"more than {max_rounds} levels")
-    e.unpersist()
-    none = state.where(F.lit(False)).select("node", F.lit(0).alias("level"))
-    return union_all(levels, none), state.select("node")
+def peel(edges: DataFrame, nodes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(levels ``node, level``, remaining ``node``: on a cycle, also of
+    one self loop, or downstream of one)."""
+    found = cut(G.longest_levels(edges, nodes))
+    return (found.where(F.col("level") < G.NEVER).select("node", F.col("level").cast("int").alias("level")),
+            found.where(F.col("level") >= G.NEVER).select("node"))
 
 
 def topological_levels(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -122,10 +89,18 @@ def topological_levels(edges: DataFrame, nodes: DataFrame | None = None) -> Data
 
 
 def cycle_report(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """Every node with ``blocked`` = on a cycle or downstream of one."""
-    levels, remaining = peel(edges, nodes)
-    return (levels.select("node", F.lit(False).alias("blocked"))
-            .unionByName(remaining.select("node", F.lit(True).alias("blocked"))))
+    """Every node with ``blocked`` (on a cycle or downstream of one) and
+    ``on_cycle``.  What is blocked from both ends is looked at more closely: it
+    is on a cycle or between two."""
+    levels, blocked = peel(edges, nodes)
+    among = (edges.select("src", "dst").distinct().join(blocked.select(F.col("node").alias("src")), "src", "left_semi")
+             .join(blocked.select(F.col("node").alias("dst")), "dst", "left_semi"))
+    _, core = peel(among.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    core_edges = among.join(core.select(F.col("node").alias("src")), "src", "left_semi").join(
+        core.select(F.col("node").alias("dst")), "dst", "left_semi")
+    cyclic = G.on_cycles(core_edges).withColumn("on_cycle", F.lit(True))
+    return (levels.select("node", F.lit(False).alias("blocked"), F.lit(False).alias("on_cycle"))
+            .unionByName(blocked.join(cyclic, "node", "left").select("node", F.lit(True).alias("blocked"), F.coalesce("on_cycle", F.lit(False)).alias("on_cycle"))))
 
 
 def has_cycle(edges: DataFrame) -> bool:

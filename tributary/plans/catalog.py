@@ -386,7 +386,7 @@ def q_step_levels(spark, sf):
 
 
 def q_cycle_nodes(spark, sf):
-    return E.cycle_report(FX.trade_cyclic(spark, sf))
+    return E.cycle_report(FX.flows(spark, sf))
 
 
 def q_step_count(spark, sf):

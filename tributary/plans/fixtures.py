@@ -117,11 +117,18 @@ JOIN {nation} sn ON s_nationkey = sn.n_nationkey
 JOIN {nation} cn ON c_nationkey = cn.n_nationkey
 """
 
-# TRADE kept for the cycle check: flows to a higher nation key, plus every
-# flow inside region 2 (those nations depend on each other -> cycles).
-TRADE_CYCLIC_SQL = """
-SELECT src, dst FROM {trade}
-WHERE src_key < dst_key OR (src_region = 2 AND dst_region = 2)
+# FLOWS for the cycle check: every line item's trade edge between nations,
+# from its supplier into the first, and from the second to its customer.
+FLOWS_SQL = """
+SELECT 'S' || CAST(l_suppkey AS STRING) AS src, 'N' || CAST(s_nationkey AS STRING) AS dst
+FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey
+UNION ALL
+SELECT 'N' || CAST(s_nationkey AS STRING), 'N' || CAST(c_nationkey AS STRING)
+FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey
+JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
+UNION ALL
+SELECT 'N' || CAST(c_nationkey AS STRING), 'C' || CAST(c_custkey AS STRING)
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
 """
 
 # Folder paths to resolve, one request per event: region/nation; errors
@@ -180,8 +187,8 @@ def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, TRADE_SQL)
 
 
-def trade_cyclic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_sql(spark, sf_dir, TRADE_CYCLIC_SQL, trade=trade(spark, sf_dir))
+def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_sql(spark, sf_dir, FLOWS_SQL)
 
 
 def resolve_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,10 +203,6 @@ def mail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, sf_dir, MAIL_SQL)
 
 
-def duck_trade_cyclic() -> str:
-    return TRADE_CYCLIC_SQL.replace("{trade}", "(" + duck(TRADE_SQL) + ") t")
-
-
 # --------------------------------------------------------------------------
 # Inputs written to files once per application and source folder
 # --------------------------------------------------------------------------

@@ -12,7 +12,7 @@ ITEMS = FX.duck(FX.ITEMS_SQL)
 CHANGES = FX.duck(FX.CHANGES_SQL)
 ENTITY = FX.duck(FX.ENTITY_EDGES_SQL)
 TRADE = FX.duck(FX.TRADE_SQL)
-TRADE_CYCLIC = FX.duck_trade_cyclic()
+FLOWS = FX.duck(FX.FLOWS_SQL)
 MAIL = FX.duck(FX.MAIL_SQL)
 DAY_OF = "strftime(ts, '%Y-%m-%d')"
 RANGE_DAYS = (f"SELECT row_number() OVER (ORDER BY d) - 1 AS seq, strftime(d, '%Y-%m-%d') AS pv "
@@ -208,12 +208,12 @@ ORACLES: dict[str, str] = {
             SELECT e.dst, lv.lvl + 1 FROM lv JOIN e ON e.src = lv.node)
         SELECT node, CAST(max(lvl) AS INTEGER) AS level FROM lv GROUP BY node""",
     "cycle_nodes": f"""
-        WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({TRADE_CYCLIC}) x),
+        WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({FLOWS}) x),
         n AS (SELECT src AS node FROM e UNION SELECT dst FROM e),
         r(a, b) AS (SELECT src, dst FROM e UNION SELECT r.a, e.dst FROM r JOIN e ON e.src = r.b),
         cyc AS (SELECT DISTINCT a AS node FROM r WHERE a = b),
         blocked AS (SELECT node FROM cyc UNION SELECT r.b FROM r JOIN cyc ON r.a = cyc.node)
-        SELECT node, node IN (SELECT node FROM blocked) AS blocked FROM n""",
+        SELECT node, node IN (SELECT node FROM blocked) AS blocked, node IN (SELECT node FROM cyc) AS on_cycle FROM n""",
     "step_count": f"""
         SELECT count(*) AS n_steps FROM (SELECT src AS node FROM ({ENTITY}) a UNION SELECT dst FROM ({ENTITY}) b) n""",
     # ---- F
