@@ -89,3 +89,24 @@ def test_no_edges(spark):
     assert G.longest_levels(none).count() == 0 and E.cycle_report(none).count() == 0
     lone = spark.createDataFrame([(7,)], "node LONG")
     assert [tuple(r) for r in E.peel(none, lone)[0].collect()] == [(7, 0)]
+
+
+def test_deep_folders_take_few_rounds(spark):
+    from tributary.operators import items as B
+    n, trace = 3_000, []
+    deep = spark.range(n).selectExpr("concat('f', id) AS id", "if(id = 0, 'root', concat('f', id - 1)) AS parent_id", "concat('n', id % 3) AS name", "'folder' AS type")
+    circle = spark.createDataFrame([("x", "y", "x", "folder"), ("y", "x", "y", "folder"), ("z", "y", "z", "file"), ("last", f"f{n - 1}", "file", "file")],
+                                   "id STRING, parent_id STRING, name STRING, type STRING")
+    walked = B.walk_tree(deep.union(circle), "root", trace=trace)
+    assert len(trace) < 16 and walked.count() == n + 1
+    last = walked.where("id = 'last'").first()
+    assert last.level == n and last.walk_path == "/".join([f"n{i % 3}" for i in range(n)] + ["file"])
+
+
+def test_normal_paths(spark):
+    from os.path import normpath
+
+    from tributary.functions import exprs as X
+    paths = ["/a/../b", "/../a", "a/./b//c/", "../../a/..", "/", "", ".", "a/..", "/a/b/../../..", "x/../../y", "/a/...", "a/..b/.c"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p STRING").select("p", X.normal_path("p").alias("q")).collect()
+    assert [(r.p, r.q) for r in rows] == [(p, normpath(p)) for p in paths]

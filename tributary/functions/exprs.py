@@ -34,11 +34,28 @@ def subfolder(parent_path) -> Column:
     return F.when(pos > 0, F.substring(p, pos + 2, F.length(p))).otherwise(F.lit(""))
 
 
+def normal_path(path) -> Column:
+    """A path without empty, ``.`` and (as far as a folder stands before them)
+    ``..`` steps: a stack built over the steps.  At the root of an absolute path
+    ``..`` stays there; a relative path may begin with some, and is ``.`` if
+    nothing is left."""
+    p = col(path)
+    absolute = F.startswith(p, F.lit("/"))
+    steps = F.filter(F.split(p, "/"), lambda s: (s != "") & (s != "."))
+
+    def push(stack: Column, step: Column) -> Column:
+        above = F.coalesce(F.get(stack, F.size(stack) - 1), F.lit(".."))
+        return (F.when(step != "..", F.concat(stack, F.array(step)))
+                 .when(above != "..", F.slice(stack, F.lit(1), F.size(stack) - 1))
+                 .when(absolute, stack).otherwise(F.concat(stack, F.array(step))))
+
+    kept = F.array_join(F.aggregate(steps, F.array().cast("array<string>"), push), "/")
+    return F.when(absolute, F.concat(F.lit("/"), kept)).when(kept == "", F.lit(".")).otherwise(kept)
+
+
 def join_local(root, *parts) -> Column:
-    """Join folder parts and collapse repeated slashes (no trailing slash)."""
-    joined = F.concat_ws("/", col(root), *[col(p) for p in parts])
-    collapsed = F.regexp_replace(joined, "/+", "/")
-    return F.regexp_replace(collapsed, "(.)/$", "$1")
+    """Join folder parts to one normal path (no trailing slash)."""
+    return normal_path(F.concat_ws("/", col(root), *[col(p) for p in parts]))
 
 
 def ts_text(c) -> Column:

@@ -12,6 +12,7 @@ sits on the many side of a join whose other side has it once.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from math import log2
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -30,18 +31,21 @@ def _cut_counts(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict]:
     return out, {n: int(seen.get.get(n) or 0) for n in counts}
 
 
-def jump(pointers: DataFrame, trace: list | None = None) -> DataFrame:
+def jump(pointers: DataFrame, trace: list | None = None, compose: dict[str, Callable[[Column, Column], Column]] | None = None) -> DataFrame:
     """(node, to, d, done, ...) with one row a node -> the same with ``to`` moved to
-    where the pointers lead and ``d`` summed up on the way.
+    where the pointers lead and ``d`` summed up on the way; ``compose`` says how other
+    columns come from a node's own value and the next one's.
 
     ``done`` rows stay; the others must point to a node of the table.  Each
     round follows twice as many steps.  Pointers that run in a circle get ``to``
     NULL and ``d`` NEVER."""
-    extra = [c for c in pointers.columns if c not in ("node", "to", "d", "done")]
+    compose = compose or {}
+    extra = [compose[c](F.col(c), F.col(f"_{c}")).alias(c) if c in compose else c for c in pointers.columns if c not in ("node", "to", "d", "done")]
     state, n = _cut_counts(pointers, rows=F.lit(True), live=~F.col("done"))
     rounds = 0
     while n["live"] and rounds <= log2(n["rows"]) + 1:
-        nxt = state.select(F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("d").alias("_d"), F.col("done").alias("_done"))
+        nxt = state.select(F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("d").alias("_d"), F.col("done").alias("_done"),
+                           *(F.col(c).alias(f"_{c}") for c in compose))
         live = state.where("NOT done").join(nxt, F.col("to") == F.col("_n")).select(
             "node", F.col("_to").alias("to"), F.least(F.col("d") + F.col("_d"), F.lit(NEVER)).alias("d"), F.col("_done").alias("done"), *extra)
         state, more = _cut_counts(state.where("done").unionByName(live), live=~F.col("done"))

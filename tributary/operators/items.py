@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from tributary.errors import CycleError
 from tributary.functions import exprs as X
-from tributary.operators.frontier import cut, cut_counting, in_place, union_all
+from tributary.operators import graph as G
+from tributary.operators.frontier import cut, cut_counting, union_all
 
 # Field names of the remote listing format.
 DOWNLOAD_URL = "@microsoft.graph.downloadUrl"
@@ -184,48 +185,36 @@ def resolve_folder_paths(items: DataFrame, requests: DataFrame, path: str = "pat
 
 # ----------------------------------------------------------------- walk ----
 
-def walk_tree(items: DataFrame, start,
-              carry: list[str] | None = None) -> DataFrame:
+def walk_tree(items: DataFrame, start, carry: list[str] | None = None, trace: list | None = None) -> DataFrame:
     """Every item under the start folder(s), with ``level`` (0 for the
     start folder's children) and ``walk_path`` (names from the start).
 
-    ``start`` is a folder id or a DataFrame with an ``id`` column.  The item
-    table is narrowed to ``id, parent_id, name, type`` plus the ``carry``
-    columns (default: all) and dealt by parent once; then each level is one
-    join that moves only the current folders, and is checkpointed.  A folder
-    that comes up again -- a cycle in a damaged table, or a start folder inside another -- raises CycleError."""
+    ``start`` is a folder id or a DataFrame with an ``id`` column; the result has
+    ``id, parent_id, name, type`` and the ``carry`` columns (default: all).
+    Folders alone follow their parents by pointer doubling, which joins their
+    names on the way: a round per doubling of the depth, not one a level.  Then each
+    item meets its parent's path once.  Folders that no start leads to, also
+    those in a circle of their own, are left out.  A start folder under a start
+    (itself or another), or a folder that is there twice, raises CycleError."""
     base = ["id", "parent_id", "name", "type"]
-    extra = [c for c in (items.columns if carry is None else carry) if c not in base]
-    cols = base + extra
-    table = in_place(cut(items.select(*cols)), "parent_id")
+    cols = base + [c for c in (items.columns if carry is None else carry) if c not in base]
     spark = items.sparkSession
-    if isinstance(start, str):
-        starts = spark.createDataFrame([(start, "")], "_sid STRING, _spath STRING")
-    else:
-        starts = start.select(F.col("id").alias("_sid"), F.lit("").alias("_spath"))
-    first = table.join(starts, table["parent_id"] == starts["_sid"]).select(
-        *[table[c] for c in cols], F.lit(0).alias("level"),
-        F.when(F.col("_spath") == "", F.col("name"))
-         .otherwise(F.concat(F.col("_spath"), F.lit("/"), F.col("name"))).alias("walk_path"))
-    frontier, n = cut_counting(first)
-    empty = frontier.limit(0)
-    levels = []
-    visited = [starts.select(F.col("_sid").alias("id"))]
-    while n > 0:
-        levels.append(frontier)
-        entered = frontier.where(F.col("type") == "folder").select("id")
-        if not entered.join(union_all(visited, visited[0]), "id", "left_semi").isEmpty():
-            table.unpersist()
-            raise CycleError("a folder of the item tree lies inside itself")
-        visited.append(entered)
-        folders = frontier.where(F.col("type") == "folder").select(
-            F.col("id").alias("_pid"), F.col("level").alias("_plevel"), F.col("walk_path").alias("_ppath"))
-        nxt = table.join(folders, table["parent_id"] == folders["_pid"]).select(
-            *[table[c] for c in cols], (F.col("_plevel") + 1).alias("level"),
-            F.concat(F.col("_ppath"), F.lit("/"), F.col("name")).alias("walk_path"))
-        frontier, n = cut_counting(nxt)
-    table.unpersist()
-    return union_all(levels, empty)
+    starts = spark.createDataFrame([(start,)], "id STRING") if isinstance(start, str) else start.select("id").where("id IS NOT NULL").distinct()
+    starts = cut(starts.withColumnRenamed("id", "_sid"))
+    folders = cut(items.where((F.col("type") == "folder") & F.col("id").isNotNull()).select(
+        F.col("id").alias("node"), F.col("parent_id").alias("to"), F.lit(1).cast("long").alias("d"), F.col("name").alias("path")))
+    known = folders.select(F.col("node").alias("_n")).distinct()
+    pointers = (folders.join(known, F.col("to") == F.col("_n"), "left").join(starts, F.col("to") == F.col("_sid"), "left")
+                .select("node", "to", "d", "path", (F.col("_n").isNull() | F.col("_sid").isNotNull()).alias("done")))
+    ends = G.jump(pointers, trace, {"path": lambda own, above: F.concat(above, F.lit("/"), own)})
+    reached, n = cut_counting(ends.join(starts, F.col("to") == F.col("_sid"), "left_semi").select("node", "d", "path"))
+    inside = reached.join(starts, F.col("node") == F.col("_sid"), "left_semi")
+    if n and (not inside.isEmpty() or reached.select("node").distinct().count() < n):
+        raise CycleError("a folder of the item tree lies inside itself, or comes twice")
+    parents = reached.select(F.col("node").alias("_pid"), F.col("d").cast("int").alias("level"), F.concat("path", F.lit("/")).alias("_prefix")).unionByName(
+        starts.select(F.col("_sid").alias("_pid"), F.lit(0).alias("level"), F.lit("").alias("_prefix")))
+    return cut(items.select(*cols).join(parents, F.col("parent_id") == F.col("_pid")).select(
+        *cols, "level", F.concat("_prefix", "name").alias("walk_path")))
 
 
 # ---------------------------------------------------------------- fetch ----
