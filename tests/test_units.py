@@ -760,3 +760,43 @@ def test_readme_quick_start_runs(spark, tmp_base, capsys):
     exec(code, {})
     out = capsys.readouterr().out.strip().splitlines()[-1].split()
     assert out[:2] == ["SUCCESS", "1"] and out[2].endswith("/land/2023-04-31-snowflake")
+
+
+# -------------------------------------------------------- split CSV ----
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_base, small_splits):
+    from tributary.sources import csvsplit
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+    nasty = ["plain", 'say "x"', "two\nlines", '"\n"\n,"', "", None, ",", "\n\n\n", "é\n" * 60, "x" * 900, '""', "a\rb", " padded ", '"' * 7 + "\n" + '"' * 4]
+    data = [(i, nasty[i % len(nasty)]) for i in range(300)]
+    locs = {"a": {"type": "directory", "directory_path": tmp_base, "null_value": "\\N"}}
+    path = L.write_partition(spark.createDataFrame(data, schema).coalesce(1), locs, "a", "p", fmt="csv")
+    assert len([f for f in L.list_files(spark, path, "csv").collect()]) == 1
+    assert csvsplit._lines(spark, path).rdd.getNumPartitions() > 20
+    got = sorted((r.k, r.t) for r in L.read_partition(spark, locs, "a", "p", schema, fmt="csv").collect())
+    whole = dict(locs["a"], split=False)
+    assert got == data == sorted((r.k, r.t) for r in L.read_partition(spark, {"a": whole}, "a", "p", schema, fmt="csv").collect())
+
+
+def test_split_csv_edges(spark, tmp_base):
+    import os
+
+    from tributary.session import local_path
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+    folder = local_path(tmp_base) + "/partition_value=p"
+    os.makedirs(folder)
+    for name, text in (("1.csv", "k,t\n"), ("2.csv", ""), ("3.csv", "k,t\n1,a\n\n2,b"), ("4.csv", 'k,t\nbad,x\n3,"never\nclosed\n4,d\n'), ("5.csv", '"k\nk",t\n5,"e\ne"')):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    rows = L.read_csv_partition(spark, {"a": {"type": "directory", "directory_path": tmp_base}}, "a", "p", schema).collect()
+    assert {(r.k, r.t) for r in rows if r._corrupt_record is None or r.k == 3} >= {(1, "a"), (2, "b"), (5, "e\ne")}
+    assert len(rows) == 5 and [r._corrupt_record for r in rows if r.t == "x"] == ["bad,x"]

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import ClientNotFound, InvalidConfigError, InvalidSourceError
+from tributary.sources.csvsplit import read_csv
 
 PV = "partition_value"
 
@@ -153,11 +154,15 @@ def read_partition(spark: SparkSession, locations: dict, name: str, pv: str,
                    options: dict | None = None) -> DataFrame:
     """One partition of a source location (A2).  A missing partition raises
     InvalidSourceError (A3); the check happens when the relation is resolved,
-    before any job runs."""
+    before any job runs.  CSV files are read by many tasks each (``csvsplit``);
+    a location with ``"split": False`` leaves each to one, with Spark's reader."""
     path = partition_path(locations, name, pv)
     try:
         cfg = get_config(locations, name)
-        df = _reader(spark, fmt, schema, {**(csv_options(cfg) if fmt == "csv" else {}), **(options or {})}).load(path)
+        if fmt == "csv" and cfg.get("split", True):
+            df = read_csv(spark, path, schema, {**csv_options(cfg), **(options or {})})
+        else:
+            df = _reader(spark, fmt, schema, {**(csv_options(cfg) if fmt == "csv" else {}), **(options or {})}).load(path)
     except AnalysisException as e:  # PATH_NOT_FOUND
         if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
             raise InvalidSourceError(f"no folder at {path}") from e
