@@ -800,3 +800,78 @@ def test_split_csv_edges(spark, tmp_base):
     rows = L.read_csv_partition(spark, {"a": {"type": "directory", "directory_path": tmp_base}}, "a", "p", schema).collect()
     assert {(r.k, r.t) for r in rows if r._corrupt_record is None or r.k == 3} >= {(1, "a"), (2, "b"), (5, "e\ne")}
     assert len(rows) == 5 and [r._corrupt_record for r in rows if r.t == "x"] == ["bad,x"]
+
+
+# ------------------------------------------- run log: NULLs, versions ----
+
+def test_cleared_columns_become_null_and_can_be_set_again(spark, tmp_base):
+    log = D.RunLog(spark, tmp_base + "/log", job_name="j")
+    run = log.create("s", {"a": 1}, partition_value="p")
+    log.save(run, cleared=["params", "partition_value"])
+    log.save(run, partition_value="q")
+    row = log.current().first()
+    assert (row.params, row.partition_value, row.job_name) == (None, "q", "j")
+    log.compact()
+    log.save(run, cleared=["partition_value"])
+    row = log.current().first()
+    assert (row.params, row.partition_value, row.job_name) == (None, None, "j")
+
+
+def test_changes_appended_during_a_compaction_stay(spark, tmp_base, monkeypatch):
+    log = D.RunLog(spark, tmp_base + "/log", job_name="j")
+    a, b = log.create("a", {}), log.create("b", {})
+    switch = D.write_pointer
+
+    def late(path, state):  # between the fold and the switch
+        log.success(a)
+        switch(path, state)
+
+    monkeypatch.setattr(D, "write_pointer", late)
+    log.compact()
+    monkeypatch.setattr(D, "write_pointer", switch)
+    assert {r.run_id: r.status for r in log.current().collect()} == {a: "SUCCESS", b: None}
+    log.compact()
+    log.failed(b, "x")
+    assert {r.run_id: r.status for r in log.current().collect()} == {a: "SUCCESS", b: "FAILED"}
+    assert log.current().count() == 2
+
+
+def test_a_rotation_that_fails_before_its_switch_changes_nothing(spark, tmp_base, monkeypatch):
+    schema = "run_id STRING, status STRING, note STRING, seq LONG"
+    first = spark.createDataFrame([("a", "RUNNING", "x", 1), ("a", "SUCCESS", None, 2), ("b", "RUNNING", "y", 3)], schema)
+    log = D.VersionedLog(spark, tmp_base + "/rot", first.schema)
+    assert log.current().count() == log.history().count() == 0
+    state = lambda: (sorted(map(tuple, log.history().collect())), sorted(map(tuple, log.current().collect())))
+    switch = D.write_pointer
+
+    def broken(path, state):
+        raise OSError("lost")
+
+    monkeypatch.setattr(D, "write_pointer", broken)
+    with pytest.raises(OSError):
+        log.rotate(first)
+    assert state() == ([], [])
+    monkeypatch.setattr(D, "write_pointer", switch)
+    log.rotate(first)
+    once = state()
+    assert once == ([("a", "SUCCESS", "x", 2)], [("b", "RUNNING", "y", 3)])
+    log.rotate()
+    assert state() == once
+    log.rotate(spark.createDataFrame([("b", "FAILED", None, 9)], schema))
+    assert state() == ([("a", "SUCCESS", "x", 2), ("b", "FAILED", "y", 9)], [])
+
+
+def test_runs_of_a_job_over_midnight_and_gaps(spark):
+    import datetime as dt
+    t = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+    data = [("a", t(1, 23, 30), "RUNNING", None), ("a", t(2, 0, 10), "SUCCESS", None), ("a", t(2, 0, 10), "SUCCESS", None),
+            ("a", t(2, 1, 11), "FAILED", 7), ("a", t(2, 1, 12), "FAILED", None), ("a", None, "FAILED", 9), ("a", t(5, 1), "QUEUED", None), ("b", t(1, 1), None, None)]
+    df = spark.createDataFrame(data, "step_name STRING, ts TIMESTAMP_NTZ, status STRING, code INT")
+    got = rows(D.job_runs(df, "1 HOUR", code="code"), "step_name", "run_no", "n_changes", "n_failed", "exit_code", "duration")
+    assert got == [("a", 1, 3, 0, 0, "00:40:00"), ("a", 2, 2, 2, 7, "00:01:00"), ("a", 3, 1, 0, -1, "00:00:00"), ("b", 1, 1, 0, -1, "00:00:00")]
+
+
+def test_report_of_runs(spark, tmp_base):
+    log = D.RunLog(spark, tmp_base + "/log", job_name="j")
+    log.success(log.create("a", {}, start=True))
+    assert log.report(gap="1 HOUR").count() == log.report().count() == 1

@@ -1,8 +1,9 @@
 """The run log as an append-and-fold Spark table (ops D1-D11).
 
 Built-in tables have no UPDATE or MERGE, so every save appends *change rows*
-(only the columns that changed are set) and the current state of a run is a
-fold: per run id and column, the last non-NULL value by the change order.
+(only the columns that changed are set, or named in ``cleared`` where they are set
+to NULL) and the current state of a run is a fold: per run id and column, the last
+value that was set, by the change order.
 ``max_by`` is an ordinary aggregate with a map-side partial step, so a run
 id that owns a huge share of the changes never lands whole on one task.
 """
@@ -14,13 +15,13 @@ import json
 import threading
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import exit_code_table
 from tributary.functions import exprs as X
+from tributary.sources.locations import folder_names
 
 # The run statuses, in declaration order.
 CLOSED = ("SUCCESS", "FAILED", "SKIPPED", "BLOCKED")
@@ -36,7 +37,8 @@ LOG_COLUMNS = [
     ("created_at", T.TimestampNTZType()), ("last_updated_at", T.TimestampNTZType()),
 ]
 LOG_SCHEMA = T.StructType([T.StructField(n, t) for n, t in LOG_COLUMNS])
-CHANGE_SCHEMA = T.StructType(list(LOG_SCHEMA.fields) + [T.StructField("seq", T.LongType())])
+CLEARED = "cleared"
+CHANGE_SCHEMA = T.StructType(list(LOG_SCHEMA.fields) + [T.StructField("seq", T.LongType()), T.StructField(CLEARED, T.ArrayType(T.StringType()))])
 
 DDL = """CREATE TABLE IF NOT EXISTS {name} (
   run_id STRING, job_name STRING, step_name STRING, status STRING,
@@ -78,9 +80,13 @@ def run_counts(log: DataFrame, ids: DataFrame, col: str = "run_id", salt_buckets
             .select(*[ids[c] for c in ids.columns], F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
-def latest(c: str, order: Column) -> Column:
-    """Last non-NULL value of ``c`` by ``order`` (rows with NULL are skipped)."""
-    return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
+def latest(c: str, order: Column, cleared: bool = False) -> Column:
+    """Last value of ``c`` by ``order`` among the rows that set it: those where
+    it is not NULL and, with ``cleared``, those whose ``cleared`` names it."""
+    is_set = F.col(c).isNotNull()
+    if cleared:
+        is_set = is_set | F.coalesce(F.array_contains(CLEARED, F.lit(c)), F.lit(False))
+    return F.max_by(F.col(c), F.when(is_set, order)).alias(c)
 
 
 def fold_changes(changes: DataFrame, key: str = "run_id", order: Column | None = None,
@@ -88,22 +94,25 @@ def fold_changes(changes: DataFrame, key: str = "run_id", order: Column | None =
     """D3: current state per key -- sparse last-write-wins per column.
 
     ``order`` defaults to ``seq``; any orderable column or struct works (e.g.
-    ``struct(ts, event_id)``).  A value explicitly set to NULL cannot be told
-    from "not set"; the log never sets NULL."""
+    ``struct(ts, event_id)``).  A column that is NULL in a change is not set by
+    it, unless the change's ``cleared`` (an array of column names; the column may
+    be absent) names it: then it is set to NULL."""
     order = F.col("seq") if order is None else order
-    cols = columns or [c for c in changes.columns if c not in (key, "seq")]
-    return changes.groupBy(key).agg(*[latest(c, order) for c in cols])
+    cols = columns or [c for c in changes.columns if c not in (key, "seq", CLEARED)]
+    return changes.groupBy(key).agg(*[latest(c, order, CLEARED in changes.columns) for c in cols])
 
 
 def upsert(current: DataFrame, changes: DataFrame, key: str = "run_id",
            order: Column | None = None) -> DataFrame:
     """D3 as one step: the current rows first, then the new changes, folded.
-    Equals a full outer join + coalesce per column where a key has one
-    change; with several, ``order`` (a long, unique within a key) says which is last."""
+    With several changes of a key, ``order`` (a long, unique within a key) says
+    which is last.  A change may carry ``cleared`` as in ``fold_changes``."""
     cols = [c for c in current.columns if c != key]
-    base = current.select(key, *cols, F.lit(None).cast("long").alias("seq"))
+    none = F.lit(None).cast("array<string>").alias(CLEARED)
+    base = current.select(key, *cols, F.lit(None).cast("long").alias("seq"), none)
     new = changes.select(key, *[F.col(c) if c in changes.columns else F.lit(None).cast(current.schema[c].dataType).alias(c)
-                                for c in cols], (F.lit(1) if order is None else order).cast("long").alias("seq"))
+                                for c in cols], (F.lit(1) if order is None else order).cast("long").alias("seq"),
+                         F.col(CLEARED) if CLEARED in changes.columns else none)
     return fold_changes(base.unionByName(new), key, F.struct(F.col("seq").isNotNull(), "seq"), cols)
 
 
@@ -166,6 +175,44 @@ def job_summary(runs: DataFrame, group: str = "step_name", start: str = "start",
     )
 
 
+def job_runs(changes: DataFrame, gap: str, job: str = "step_name", ts: str = "ts", order: Column | None = None,
+             status: str = "status", code: str | None = None) -> DataFrame:
+    """D9, a row per run of a job: changes of a job that follow each other within
+    ``gap`` (an interval as text) belong to one run.
+
+    ``run_no`` (from 1, by time), first and last stamp, changes, failed changes, exit code
+    (of the failed ones the largest ``code`` -- D10's, 1 where there is none; else
+    -1 if the last change, by ``order``, leaves the run open, else 0), duration.  Changes
+    without a stamp belong to no run.
+
+    A job may hold most of all changes: each of its days is cut into sessions for itself,
+    and only the sessions' ends meet, in order, to be joined over midnight."""
+    s, order = F.col(status), F.struct(F.col(ts)) if order is None else order
+    step = F.expr(f"INTERVAL {gap}")
+    day = changes.where(F.col(ts).isNotNull()).withColumn("_day", F.to_date(ts))
+    in_day = Window.partitionBy(job, "_day").orderBy(F.col(ts))
+    starts = F.lag(ts).over(in_day)
+    day = day.withColumn("_new", F.when(starts.isNull() | (F.col(ts) > starts + step), 1).otherwise(0))
+    day = day.withColumn("_part", F.sum("_new").over(in_day.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = day.groupBy(job, "_day", "_part").agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("n_changes"),
+        F.sum(F.when(s == "FAILED", 1).otherwise(0)).alias("n_failed"),
+        F.max(F.when(s == "FAILED", F.lit(1) if code is None else F.coalesce(F.col(code), F.lit(1)))).alias("_code"),
+        F.max_by(s, F.when(s.isNotNull(), order)).alias("_end"))
+    of_job = Window.partitionBy(job).orderBy("_first")
+    before = F.lag("_last").over(of_job)
+    parts = parts.withColumn("_new", F.when(before.isNull() | (F.col("_first") > before + step), 1).otherwise(0))
+    parts = parts.withColumn("run_no", F.sum("_new").over(of_job.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = parts.groupBy(job, "run_no").agg(
+        F.min("_first").alias("_start"), F.max("_last").alias("_stop"), F.sum("n_changes").alias("n_changes"), F.sum("n_failed").alias("n_failed"),
+        F.max("_code").alias("_code"), F.max_by("_end", F.when(F.col("_end").isNotNull(), F.col("_first"))).alias("_end"))
+    open_ = ~F.coalesce(F.col("_end").isin(*CLOSED), F.lit(False))
+    return runs.select(
+        job, "run_no", X.ts_text("_start").alias("start_ts"), X.ts_text("_stop").alias("end_ts"), "n_changes", "n_failed",
+        F.when(F.col("n_failed") > 0, F.col("_code")).when(open_, -1).otherwise(0).cast("int").alias("exit_code"),
+        duration_text("_start", "_stop").alias("duration"))
+
+
 def exit_codes(df: DataFrame, error_name: str, out: str = "exit_code") -> DataFrame:
     """Exit code per row from its error name via the 22-row code table
     (broadcast: its size is fixed); unknown errors -> 1, no error -> 0."""
@@ -199,47 +246,47 @@ class RunLog:
         self._seq = 0
         self._lock = threading.Lock()  # jobs of one run may log from several threads
 
-    # The live change folder is named in a small pointer file, so that a
-    # compaction can write a new folder and switch to it atomically enough
-    # for a single writer, without touching the folder being read.
-    def _pointer(self):
-        from tributary.session import filesystem
-        fs, base = filesystem(self.path)
-        return fs, f"{base}/CURRENT"
-
-    def _changes_path(self) -> str:
-        fs, ptr = self._pointer()
-        try:
-            with fs.open_input_stream(ptr) as fh:
-                name = fh.read().decode("utf-8").strip()
-        except FileNotFoundError:
-            name = "changes"  # not compacted yet; any other error is raised
-        return f"{self.path}/{name}"
+    # Changes are always appended to folders under ``changes``.  A small
+    # pointer file names the folded state and the change folders it holds; all
+    # others are live, also those appended while a compaction ran.
+    def _state(self) -> dict:
+        state = read_pointer(self.path)
+        if state is None:
+            return {"base": None, "folded": []}
+        if isinstance(state, str):  # a pointer of an earlier layout: the folder that took all later changes, too
+            return {"base": state, "folded": folder_names(self.spark, f"{self.path}/changes")}
+        return state
 
     def compact(self, as_of: str | None = None) -> str:
-        """Fold the change rows into one row per run, written as a new
-        version; later saves append to it.  With ``as_of``, runs whose TTL
-        has passed are purged.  Returns the new folder."""
-        current = self._changes_path()
-        version = current.rsplit("/", 1)[-1]
-        n = int(version.split("-v")[-1]) + 1 if "-v" in version else 1
-        target = f"{self.path}/changes-v{n}"
-        folded = self.current()
+        """Fold what is logged now into one row per run, written as a new
+        version, and switch to it.  With ``as_of``, runs whose TTL has passed are
+        purged.  Exactly the change folders listed at the start are folded: a
+        change appended meanwhile stays live.  Returns the new folder.  One
+        compaction may run at a time; one that ends before the switch
+        changes nothing."""
+        state, names = self._state(), folder_names(self.spark, f"{self.path}/changes")
+        folded = fold_changes(self._read(state, names), "run_id", F.col("seq"), [n for n, _ in LOG_COLUMNS if n != "run_id"])
         if as_of is not None:
             folded = folded.where(F.col("ttl").isNull() | (F.col("ttl") > F.lit(as_of).cast("timestamp_ntz")))
-        folded = folded.withColumn("seq", F.lit(self._seq).cast("long"))
-        folded.select(*CHANGE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{target}/0-compacted")
-        fs, ptr = self._pointer()
-        fs.create_dir(ptr.rsplit("/", 1)[0], recursive=True)
-        with fs.open_output_stream(ptr) as fh:
-            fh.write(f"changes-v{n}".encode("utf-8"))
-        return target
+        # seq 0: whatever is appended is later than what was folded
+        folded = folded.withColumn("seq", F.lit(0).cast("long")).withColumn(CLEARED, F.lit(None).cast("array<string>"))
+        name = f"folded-{uuid.uuid4().hex[:12]}"
+        folded.select(*CHANGE_SCHEMA.fieldNames()).write.parquet(f"{self.path}/{name}")
+        write_pointer(self.path, {"base": name, "folded": names})
+        return f"{self.path}/{name}"
+
+    def _read(self, state: dict, names: list[str]) -> DataFrame:
+        paths = [f"{self.path}/changes/{n}" for n in names if n not in set(state["folded"])]
+        paths += [f"{self.path}/{state['base']}"] if state["base"] else []
+        if not paths:
+            return self.spark.createDataFrame([], CHANGE_SCHEMA)
+        return self.spark.read.schema(CHANGE_SCHEMA).option("recursiveFileLookup", "true").parquet(*paths)
 
     def _row(self, run_id: str, cols: dict) -> dict:
         with self._lock:
             self._seq = max(self._seq + 1, int(dt.datetime.now().timestamp() * 1e6))
             seq = self._seq
-        row = {n: None for n, _ in LOG_COLUMNS}
+        row = {n: None for n in CHANGE_SCHEMA.fieldNames()}
         row.update(cols)
         row["run_id"] = run_id
         row["seq"] = seq
@@ -248,13 +295,15 @@ class RunLog:
     def _append(self, rows: list[dict]) -> None:
         """Each append is its own folder: concurrent writers (threads of one
         run, or several drivers) never share a commit area."""
-        import pandas as pd
-        folder = f"{self._changes_path()}/{rows[0]['seq']:020d}-{uuid.uuid4().hex[:8]}"
-        pdf = pd.DataFrame(rows, columns=CHANGE_SCHEMA.fieldNames()).astype({"seq": "int64"})
-        self.spark.createDataFrame(pdf, CHANGE_SCHEMA).coalesce(1).write.mode("error").parquet(folder)
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        folder = f"{self.path}/changes/{rows[0]['seq']:020d}-{uuid.uuid4().hex[:8]}"
+        table = pa.Table.from_pylist(rows, to_arrow_schema(CHANGE_SCHEMA))
+        self.spark.createDataFrame(table, CHANGE_SCHEMA).coalesce(1).write.mode("error").parquet(folder)
 
     def save(self, run_id: str, *more: dict, **cols) -> None:
-        """Append one change (plus optional further changes) in one write."""
+        """Append one change (plus optional further changes) in one write;
+        ``cleared=[names]`` sets columns to NULL."""
         self._append([self._row(run_id, cols)] + [self._row(run_id, m) for m in more])
 
     def create(self, step: str, params: dict, partition_value: str | None = None,
@@ -285,24 +334,6 @@ class RunLog:
         self._append(rows)
         return ids
 
-    def finished_many(self, step: str, entries: list[tuple[str, dict, str | None]],
-                      status: str = "SUCCESS") -> list[str]:
-        """Runs that started and ended together (a bulk copy), one per
-        ``(partition_value, params, log_path)``, in one write."""
-        now = dt.datetime.now()
-        ids, rows = [], []
-        for pv, params, log_path in entries:
-            run_id = f"{step}{X.RUN_ID_SEPARATOR}{uuid.uuid4()}"
-            ids.append(run_id)
-            rows.append(self._row(run_id, dict(
-                job_name=self.job_name or step, step_name=step, status=status, start_ts=now,
-                end_ts=now, partition_value=pv, params=json.dumps(params, default=str, sort_keys=True),
-                log_path=log_path, ttl=_add_years(now, self.ttl_years), created_by=self.created_by,
-                created_at=now, last_updated_at=now)))
-        if rows:
-            self._append(rows)
-        return ids
-
     def start(self, run_id: str) -> None:
         now = dt.datetime.now()  # a queued run starts now, not when it was queued
         self.save(run_id, status="RUNNING", start_ts=now, last_updated_at=now)
@@ -320,18 +351,19 @@ class RunLog:
         now = dt.datetime.now()
         self.save(run_id, status="FAILED", error_message=error_message, end_ts=now, last_updated_at=now)
 
-    def report(self, group: str = "job_name") -> DataFrame:
-        """The job report (D9) from the log: per job, first start, last end,
-        run counts, exit code and duration."""
-        return job_summary(self.current(), group, start="start_ts", end="end_ts")
+    def report(self, group: str = "job_name", gap: str | None = None) -> DataFrame:
+        """The job report (D9) from the log.  With ``gap`` (an interval as text) a row
+        per run of a job, its changes following each other within that
+        (``job_runs``); else per job over all its runs: first start, last end, run
+        counts, exit code and duration."""
+        if gap is None:
+            return job_summary(self.current(), group, start="start_ts", end="end_ts")
+        jobs = self.current().select("run_id", F.col(group).alias("_job"))
+        changes = self.changes().drop(group).join(jobs, "run_id").withColumnRenamed("_job", group)
+        return job_runs(changes, gap, group, "last_updated_at", F.col("seq"))
 
     def changes(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(CHANGE_SCHEMA).parquet(f"{self._changes_path()}/*")
-        except AnalysisException as e:
-            if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-                return self.spark.createDataFrame([], CHANGE_SCHEMA)
-            raise
+        return self._read(self._state(), folder_names(self.spark, f"{self.path}/changes"))
 
     def current(self) -> DataFrame:
         return fold_changes(self.changes(), "run_id", F.col("seq"),
@@ -345,30 +377,76 @@ def _add_years(ts: dt.datetime, years: int) -> dt.datetime:
         return ts.replace(year=ts.year + years, day=28)
 
 
+# ------------------------------------------------------------------ S6 ----
 
-def rotate(spark: SparkSession, changes: DataFrame, history_path: str, current_path: str,
-           order: Column | None = None, closed=CLOSED) -> dict:
-    """Move finished runs from the current log to the history.
+def read_pointer(path: str) -> dict | str | None:
+    """What the pointer file of a log folder says (None: there is none yet; any
+    other error is raised)."""
+    from tributary.session import filesystem
+    fs, base = filesystem(path)
+    try:
+        with fs.open_input_stream(f"{base}/CURRENT") as fh:
+            text = fh.read().decode("utf-8").strip()
+    except FileNotFoundError:
+        return None
+    return json.loads(text) if text.startswith("{") else text
 
-    Finished runs (folded status in ``closed``) are appended to the history
-    table; the change rows of the still-open runs are written as a *new*
-    current version at ``current_path`` (never over the folder being read).
-    Returns the run counts moved and kept."""
-    order = F.col("seq") if order is None else order
-    status = changes.groupBy("run_id").agg(latest("status", order))
-    cur = cut_to(status, current_path + "_status")
-    done = cur.where(F.col("status").isin(*closed)).select("run_id")
-    open_ = cur.where(~F.col("status").isin(*closed) | F.col("status").isNull()).select("run_id")
-    cols = [c for c in changes.columns]
-    (fold_changes(changes.join(done, "run_id", "left_semi"), "run_id", order,
-                  [c for c in cols if c not in ("run_id", "seq")])
-     .write.mode("append").parquet(history_path))
-    changes.join(open_, "run_id", "left_semi").write.mode("overwrite").parquet(current_path)
-    return {"moved": done.count(), "kept": open_.count()}
-
-
-def cut_to(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` and read it back (a lineage cut that is also
-    a readable table)."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+def write_pointer(path: str, state: dict) -> None:
+    """The switch: a version counts from here on."""
+    from tributary.session import filesystem
+    fs, base = filesystem(path)
+    fs.create_dir(base, recursive=True)
+    with fs.open_output_stream(f"{base}/CURRENT") as fh:
+        fh.write(json.dumps(state).encode("utf-8"))
+
+
+class VersionedLog:
+    """Change rows of open runs and one row per closed run, in versions.
+
+    ``path`` holds a folder per version and the pointer, which names the version
+    that is current and the versions whose closed rows make up the history.
+    A rotation is one write, split by open and closed, and then one switch of
+    the pointer: readers see the state before or after it, and a rotation that
+    failed in between leaves a folder that nothing names, so running it again
+    never doubles the history."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+
+    def _state(self) -> dict:
+        return read_pointer(self.path) or {"current": None, "history": []}
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*(f"{self.path}/{f}" for f in folders))
+
+    def _present(self, part: str, versions: list[str]) -> list[str]:
+        return [f"{v}/part={part}" for v in versions if f"part={part}" in folder_names(self.spark, f"{self.path}/{v}")]
+
+    def current(self) -> DataFrame:
+        """The change rows of open runs."""
+        version = self._state()["current"]
+        return self._read(self._present("open", [version] if version else []))
+
+    def history(self) -> DataFrame:
+        """One folded row per closed run."""
+        return self._read(self._present("closed", self._state()["history"]))
+
+    def rotate(self, new: DataFrame | None = None, order: Column | None = None, closed=CLOSED) -> None:
+        """Move the runs whose folded status is in ``closed`` from the current log,
+        with the change rows ``new`` added, to the history.  Without
+        ``new`` or closed runs nothing changes."""
+        order = F.col("seq") if order is None else order
+        state = self._state()
+        changes = self.current() if new is None else self.current().unionByName(new.select(*self.schema.fieldNames()))
+        masked = CLEARED in changes.columns
+        done = changes.groupBy("run_id").agg(latest("status", order, masked)).where(F.col("status").isin(*closed)).select("run_id")
+        ended = fold_changes(changes.join(done, "run_id", "left_semi"), "run_id", order, [c for c in changes.columns if c not in ("run_id", CLEARED)])
+        if masked:
+            ended = ended.withColumn(CLEARED, F.lit(None).cast("array<string>"))
+        open_ = changes.join(done, "run_id", "left_anti")
+        version = f"v{len(state['history']) + 1}-{uuid.uuid4().hex[:8]}"
+        open_.withColumn("part", F.lit("open")).unionByName(ended.withColumn("part", F.lit("closed"))).write.partitionBy("part").parquet(f"{self.path}/{version}")
+        write_pointer(self.path, {"current": version, "history": [*state["history"], version]})

@@ -286,20 +286,27 @@ def q_run_log_exists(spark, sf):
 
 UPSERT_BASE_SQL = """
 SELECT 'o' || CAST(o_orderkey AS STRING) AS run_id, 'order' AS step_name,
-       CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'RUNNING' END AS status,
+       CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'P' THEN 'QUEUED' ELSE 'RUNNING' END AS status,
        o_orderdate AS start_ts, o_orderpriority AS params,
        CAST(NULL AS STRING) AS error_message
-FROM {orders} WHERE o_orderstatus <> 'P'
+FROM {orders}
 """
+# A change of every order: urgent ones failed, high ones lose their parameters, low ones
+# parameters and start, the others change nothing; and a new run of every customer.
 UPSERT_CHANGES_SQL = """
-SELECT 'o' || CAST(o_orderkey AS STRING) AS run_id, 'FAILED' AS status,
-       'escalated ' || o_orderpriority AS error_message
-FROM {orders} WHERE o_orderpriority = '1-URGENT'
+SELECT 'o' || CAST(o_orderkey AS STRING) AS run_id,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'FAILED' END AS status,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'escalated ' || o_orderpriority END AS error_message,
+       CASE o_orderpriority WHEN '2-HIGH' THEN 'params' WHEN '5-LOW' THEN 'params,start_ts' END AS unset
+FROM {orders}
+UNION ALL
+SELECT 'c' || CAST(c_custkey AS STRING), 'QUEUED', CAST(NULL AS STRING), CAST(NULL AS STRING) FROM {customer}
 """
 
 
 def q_run_log_upsert(spark, sf):
-    cur = D.upsert(FX.run_sql(spark, sf, UPSERT_BASE_SQL), FX.run_sql(spark, sf, UPSERT_CHANGES_SQL))
+    changes = FX.run_sql(spark, sf, UPSERT_CHANGES_SQL).withColumn(D.CLEARED, F.split("unset", ",")).drop("unset")
+    cur = D.upsert(FX.run_sql(spark, sf, UPSERT_BASE_SQL), changes)
     return cur.select("run_id", "step_name", "status", X.ts_text("start_ts").alias("start_ts"),
                       "params", "error_message")
 
@@ -337,11 +344,17 @@ def q_run_duration(spark, sf):
                     D.duration_text("s", "e").alias("duration"))
 
 
+RUN_GAP = "1 HOUR"
+
+
+def _error_name(event_id="event_id"):
+    return F.element_at(F.array(*[F.lit(n) for n in ERROR_NAMES]), (F.col(event_id) % len(ERROR_NAMES) + 1).cast("int"))
+
+
 def q_job_summary(spark, sf):
-    ch = FX.changes(spark, sf)
-    runs = ch.groupBy("run_id").agg(D.latest("step_name", _order()), D.latest("status", _order()),
-                                     F.min("ts").alias("start"), F.max("ts").alias("end"))
-    return D.job_summary(runs, "step_name")
+    """A row per run of each step, over all events; failed changes have D10's code."""
+    ch = FX.changes(spark, sf).withColumn("error_name", F.when(F.col("status") == "FAILED", _error_name()))
+    return D.job_runs(D.exit_codes(ch, "error_name", "code"), RUN_GAP, order=_order(), code="code")
 
 
 def q_exit_codes(spark, sf):
@@ -622,13 +635,15 @@ def q_incremental_load(spark, sf):
 
 
 def q_run_log_rotate(spark, sf):
+    """Three rotations: of the first half of the month's changes, of the rest, and of nothing."""
     ch = FX.changes(spark, sf)
-    base = work_dir(spark, "rotate")
-    out = D.rotate(spark, ch, f"{base}/history", f"{base}/current", order=_order())
-    hist = spark.read.parquet(f"{base}/history").select("run_id").distinct().count()
-    cur = spark.read.parquet(f"{base}/current").select("run_id").distinct().count()
-    return spark.createDataFrame([("history", hist, out["moved"]), ("current", cur, out["kept"])],
-                                 "log STRING, n_runs LONG, n_reported LONG")
+    log = D.VersionedLog(spark, work_dir(spark, "rotate"), ch.schema)
+    first = F.date_format("ts", "yyyy-MM-dd") <= DAY
+    for new in (ch.where(first), ch.where(~first), None):
+        log.rotate(new, _order())
+    both = log.history().withColumn("log", F.lit("history")).unionByName(log.current().withColumn("log", F.lit("current")))
+    return both.select("log", "run_id", "status", "error_message", X.ts_text("start_ts").alias("start_ts"),
+                       X.ts_text("end_ts").alias("end_ts"), X.ts_text("ts").alias("ts"), "event_id", "user_id")
 
 
 def q_blocked_steps(spark, sf):

@@ -124,8 +124,10 @@ ORACLES: dict[str, str] = {
         LEFT JOIN (SELECT run_id, count(*) AS n FROM ({CHANGES}) x GROUP BY run_id) c ON r.run_id = c.run_id""",
     "run_log_upsert": f"""
         SELECT coalesce(c.run_id, b.run_id) AS run_id, b.step_name,
-               coalesce(c.status, b.status) AS status, strftime(b.start_ts, '{TS}') AS start_ts,
-               b.params, coalesce(c.error_message, b.error_message) AS error_message
+               coalesce(c.status, b.status) AS status,
+               CASE WHEN c.unset LIKE '%start_ts%' THEN NULL ELSE strftime(b.start_ts, '{TS}') END AS start_ts,
+               CASE WHEN c.unset LIKE '%params%' THEN NULL ELSE b.params END AS params,
+               coalesce(c.error_message, b.error_message) AS error_message
         FROM ({FX.duck(Q.UPSERT_BASE_SQL)}) b
         FULL OUTER JOIN ({FX.duck(Q.UPSERT_CHANGES_SQL)}) c ON b.run_id = c.run_id""",
     "run_log_current": f"""
@@ -156,19 +158,24 @@ ORACLES: dict[str, str] = {
         FROM (SELECT user_id, min(ts) AS s, max(ts) AS e, date_sub('second', min(ts), max(ts)) AS d
               FROM events GROUP BY user_id) g""",
     "job_summary": f"""
-        WITH runs AS (
-          SELECT run_id,
-                 arg_max(step_name, (ts, event_id)) FILTER (WHERE step_name IS NOT NULL) AS step_name,
-                 arg_max(status, (ts, event_id)) FILTER (WHERE status IS NOT NULL) AS status,
-                 min(ts) AS s, max(ts) AS e
-          FROM ({CHANGES}) c GROUP BY run_id),
+        WITH codes(code, name) AS (VALUES {_values(f"({c}, '{n}')" for c, n in EXIT_CODES)}),
+        ch AS (
+          SELECT c.*, CASE WHEN status = 'FAILED' THEN coalesce(codes.code, 1) END AS code,
+                 lag(ts) OVER (PARTITION BY step_name ORDER BY ts) AS before
+          FROM ({CHANGES}) c LEFT JOIN codes
+          ON codes.name = [{", ".join(f"'{n}'" for n in Q.ERROR_NAMES)}][event_id % {len(Q.ERROR_NAMES)} + 1]
+          WHERE ts IS NOT NULL),
+        numbered AS (
+          SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL {Q.RUN_GAP} THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY step_name ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run_no
+          FROM ch),
         g AS (
-          SELECT step_name, min(s) AS s, max(e) AS e, count(*) AS n_runs,
-                 CAST(sum(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS n_failed,
-                 CAST(sum(CASE WHEN status IN ('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED') THEN 0 ELSE 1 END) AS BIGINT) AS n_open
-          FROM runs GROUP BY step_name)
-        SELECT step_name, strftime(s, '{TS}') AS start_ts, strftime(e, '{TS}') AS end_ts, n_runs, n_failed,
-               CASE WHEN n_failed > 0 THEN 1 WHEN n_open > 0 THEN -1 ELSE 0 END AS exit_code,
+          SELECT step_name, CAST(run_no AS BIGINT) AS run_no, min(ts) AS s, max(ts) AS e, count(*) AS n_changes,
+                 count(*) FILTER (status = 'FAILED') AS n_failed, max(code) AS code,
+                 arg_max(status, (ts, event_id)) FILTER (status IS NOT NULL) AS last
+          FROM numbered GROUP BY ALL)
+        SELECT step_name, run_no, strftime(s, '{TS}') AS start_ts, strftime(e, '{TS}') AS end_ts, n_changes, n_failed,
+               CAST(CASE WHEN n_failed > 0 THEN code WHEN last IN ('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED') THEN 0 ELSE -1 END AS INTEGER) AS exit_code,
                printf('%02d:%02d:%02d', date_sub('second', s, e) // 3600,
                       (date_sub('second', s, e) % 3600) // 60, date_sub('second', s, e) % 60) AS duration
         FROM g""",
@@ -289,8 +296,9 @@ def _rules_sql() -> str:
         for name, c in Q.LINEITEM_RULES)
 
 
-_FOLD_STATUS = f"""SELECT run_id, arg_max(status, (ts, event_id)) FILTER (WHERE status IS NOT NULL) AS status
-                   FROM ({CHANGES}) c GROUP BY run_id"""
+_CLOSED = "('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED')"
+_FOLDED = ", ".join(f"arg_max({c}, (ts, event_id)) FILTER ({c} IS NOT NULL) AS {c}" for c in
+                    ("status", "error_message", "start_ts", "end_ts", "ts", "event_id", "user_id"))
 
 ORACLES.update({
     "schema_contract": _contract_sql(),
@@ -306,11 +314,19 @@ ORACLES.update({
         UNION ALL
         SELECT CAST(2 AS INTEGER), count(*) FILTER (WHERE {DAY_OF} > '{Q.DAY}'), count(*) FROM events""",
     "run_log_rotate": f"""
-        SELECT 'history' AS log, count(*) AS n_runs, count(*) AS n_reported
-        FROM ({_FOLD_STATUS}) s WHERE status IN ('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED')
-        UNION ALL
-        SELECT 'current', count(*), count(*)
-        FROM ({_FOLD_STATUS}) s WHERE status IS NULL OR status NOT IN ('SUCCESS', 'FAILED', 'SKIPPED', 'BLOCKED')""",
+        WITH c AS (SELECT * FROM ({CHANGES}) x),
+        first AS (SELECT * FROM c WHERE {DAY_OF} <= '{Q.DAY}'),
+        ended1 AS (SELECT run_id, {_FOLDED} FROM first GROUP BY run_id),
+        open1 AS (SELECT * FROM first WHERE run_id NOT IN (SELECT run_id FROM ended1 WHERE status IN {_CLOSED})),
+        second AS (SELECT * FROM open1 UNION ALL SELECT * FROM c WHERE {DAY_OF} > '{Q.DAY}'),
+        ended2 AS (SELECT run_id, {_FOLDED} FROM second GROUP BY run_id),
+        open2 AS (SELECT * FROM second WHERE run_id NOT IN (SELECT run_id FROM ended2 WHERE status IN {_CLOSED})),
+        logs AS (
+            SELECT 'history' AS log, * FROM ended1 WHERE status IN {_CLOSED}
+            UNION ALL SELECT 'history', * FROM ended2 WHERE status IN {_CLOSED}
+            UNION ALL SELECT 'current', run_id, status, error_message, start_ts, end_ts, ts, event_id, user_id FROM open2)
+        SELECT log, run_id, status, error_message, strftime(start_ts, '{TS}') AS start_ts, strftime(end_ts, '{TS}') AS end_ts,
+               strftime(ts, '{TS}') AS ts, event_id, user_id FROM logs""",
     "blocked_steps": f"""
         WITH RECURSIVE e AS (SELECT DISTINCT src, dst FROM ({ENTITY}) x WHERE src <> dst),
         f AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS node FROM supplier WHERE s_acctbal < 0),
