@@ -875,3 +875,70 @@ def test_report_of_runs(spark, tmp_base):
     log = D.RunLog(spark, tmp_base + "/log", job_name="j")
     log.success(log.create("a", {}, start=True))
     assert log.report(gap="1 HOUR").count() == log.report().count() == 1
+
+
+# ------------------------------------- quarantine, ledger, publication ----
+
+def test_malformed_rows_fail_a_step_without_a_quarantine(spark, tmp_base):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+    locs = {n: {"type": "directory", "directory_path": f"{tmp_base}/{n}"} for n in "abq"}
+    L.write_partition(spark.createDataFrame([("1", "x"), ("bad7", 'oo"ps\n,'), ("2", "z")], "k STRING, t STRING"), locs, "a", "p", fmt="csv")
+    out = I.copy_partition(spark, locs, "a", "b", "p", schema, fmt="csv")
+    assert (out["status"], out["n_rejected"], out["error"].exit_code) == ("FAILED", 1, 10)
+    with pytest.raises(InvalidSourceError):
+        L.read_partition(spark, {"b": dict(locs["b"], split=False)}, "b", "p", schema, fmt="csv")
+    out = I.copy_partition(spark, locs, "a", "b", "p", schema, fmt="csv", quarantine="q")
+    assert (out["status"], out["n_rows"], out["n_rejected"]) == ("SUCCESS", 2, 1)
+    assert rows(L.read_partition(spark, locs, "b", "p", schema, fmt="csv"), "k", "t") == [(1, "x"), (2, "z")]
+    text = T.StructType([T.StructField(I.CORRUPT, T.StringType())])
+    assert rows(L.read_partition(spark, locs, "q", "p", text), I.CORRUPT) == [('bad7,"oo""ps\n,"',)]
+
+
+def test_a_landing_that_breaks_off_is_ended_later(spark, tmp_base, monkeypatch):
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    locs = {"h": {"type": "directory", "directory_path": tmp_base + "/h"}, "z": {"type": "snowflake_landing_zone", "directory_path": tmp_base + "/z"}}
+    L.write_partitions(spark.createDataFrame([(i, f"p{i % 3}") for i in range(9)], "x LONG, partition_value STRING"), locs, "h")
+    L.write_partition(spark.createDataFrame([], schema), locs, "h", "none")
+    L.write_partition(spark.createDataFrame([(77,)], schema), locs, "z", "p1")   # to be replaced
+    end, broken = L.publish_pending, []
+
+    def breaks(spark, base):
+        if not broken and "_pending" in [s.getPath().getName() for s in _list(spark, base)]:
+            broken.append(base)
+            fs, path = L._hadoop(spark, base)  # as if one folder had been moved already
+            staged = next(s.getPath() for s in _list(spark, base) if s.getPath().getName().startswith("_staging"))
+            fs.rename(path(f"{staged.toString()}/partition_value=p0"), path(f"{base}/p0-snowflake"))
+            raise OSError("lost")
+        return end(spark, base)
+
+    def _list(spark, base):
+        fs, path = L._hadoop(spark, base)
+        return list(fs.listStatus(path(base))) if fs.exists(path(base)) else []
+
+    monkeypatch.setattr(L, "publish_pending", breaks)
+    with pytest.raises(OSError):
+        I.land_all(spark, locs, "h", "z", schema)
+    monkeypatch.setattr(L, "publish_pending", end)
+    assert L.publish_pending(spark, tmp_base + "/z") == 1 and L.publish_pending(spark, tmp_base + "/z") == 0
+    want = sorted((i, f"p{i % 3}") for i in range(9))
+    assert rows(L.landed_partitions(spark, locs, "z", schema), "x", "partition_value") == want
+    assert sorted(r[0] for r in L.present_partitions(spark, locs, "z").collect()) == ["none", "p0", "p1", "p2"]
+    assert not [s for s in _list(spark, tmp_base + "/z") if s.getPath().getName().startswith("_")]
+    assert I.land_all(spark, locs, "h", "z", schema, ["p2"]) == ["p2"]
+    assert rows(L.landed_partitions(spark, locs, "z", schema), "x", "partition_value") == want
+
+
+def test_a_strict_run_is_resumed_where_it_failed(spark, tmp_base):
+    src = FX.days_location(spark, SF_SMALL)
+    locs = dict(src, out={"type": "directory", "directory_path": tmp_base + "/out"})
+    vals, ledger = ["2024-01-04", "2024-01-05", "2024-01-06"], tmp_base + "/ledger"
+
+    def bad_on_5(df):
+        return df.where(F.when(F.col("partition_value") == "2024-01-05", F.raise_error(F.lit("bad day")).cast("boolean")).otherwise(F.lit(True)))
+
+    run = lambda **o: rows(I.ingest_partitions(spark, locs, "days", "out", vals, FX.DAYS_SCHEMA, "fail", ledger=ledger, **o), "partition_value", "status")
+    assert run(transform=bad_on_5) == [("2024-01-04", "SUCCESS"), ("2024-01-05", "FAILED")]
+    assert run() == [("2024-01-05", "SUCCESS"), ("2024-01-06", "SUCCESS")]
+    assert run() == []
+    assert rows(I.ledger_rows(spark, ledger), "partition_value", "attempt", "status") == [
+        ("2024-01-04", 1, "SUCCESS"), ("2024-01-05", 1, "FAILED"), ("2024-01-05", 2, "SUCCESS"), ("2024-01-06", 1, "SUCCESS")]

@@ -26,6 +26,11 @@ class InvalidSourceError(TributaryError):
     critical = True
 
 
+class MalformedRowsError(TributaryError):
+    """Rows of a source do not fit its schema and there is no place for them."""
+    exit_code = 10
+
+
 class ActionNotFound(TributaryError):
     exit_code = 4
 

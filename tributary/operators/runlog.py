@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tributary.errors import exit_code_table
 from tributary.functions import exprs as X
-from tributary.sources.locations import folder_names
+from tributary.sources.locations import committed_folders, folder_names
 
 # The run statuses, in declaration order.
 CLOSED = ("SUCCESS", "FAILED", "SKIPPED", "BLOCKED")
@@ -249,12 +249,15 @@ class RunLog:
     # Changes are always appended to folders under ``changes``.  A small
     # pointer file names the folded state and the change folders it holds; all
     # others are live, also those appended while a compaction ran.
+    def _pointer(self):
+        return pointer_of(self.path)
+
     def _state(self) -> dict:
-        state = read_pointer(self.path)
+        state = read_pointer(*self._pointer())
         if state is None:
             return {"base": None, "folded": []}
         if isinstance(state, str):  # a pointer of an earlier layout: the folder that took all later changes, too
-            return {"base": state, "folded": folder_names(self.spark, f"{self.path}/changes")}
+            return {"base": state, "folded": committed_folders(self.spark, f"{self.path}/changes")}
         return state
 
     def compact(self, as_of: str | None = None) -> str:
@@ -264,7 +267,7 @@ class RunLog:
         change appended meanwhile stays live.  Returns the new folder.  One
         compaction may run at a time; one that ends before the switch
         changes nothing."""
-        state, names = self._state(), folder_names(self.spark, f"{self.path}/changes")
+        state, names = self._state(), committed_folders(self.spark, f"{self.path}/changes")
         folded = fold_changes(self._read(state, names), "run_id", F.col("seq"), [n for n, _ in LOG_COLUMNS if n != "run_id"])
         if as_of is not None:
             folded = folded.where(F.col("ttl").isNull() | (F.col("ttl") > F.lit(as_of).cast("timestamp_ntz")))
@@ -363,7 +366,7 @@ class RunLog:
         return job_runs(changes, gap, group, "last_updated_at", F.col("seq"))
 
     def changes(self) -> DataFrame:
-        return self._read(self._state(), folder_names(self.spark, f"{self.path}/changes"))
+        return self._read(self._state(), committed_folders(self.spark, f"{self.path}/changes"))
 
     def current(self) -> DataFrame:
         return fold_changes(self.changes(), "run_id", F.col("seq"),
@@ -379,13 +382,17 @@ def _add_years(ts: dt.datetime, years: int) -> dt.datetime:
 
 # ------------------------------------------------------------------ S6 ----
 
-def read_pointer(path: str) -> dict | str | None:
-    """What the pointer file of a log folder says (None: there is none yet; any
-    other error is raised)."""
+def pointer_of(path: str):
+    """(file system, file) of the pointer of a log folder."""
     from tributary.session import filesystem
     fs, base = filesystem(path)
+    return fs, f"{base}/CURRENT"
+
+
+def read_pointer(fs, file: str) -> dict | str | None:
+    """What a pointer says (None: there is none yet; any other error is raised)."""
     try:
-        with fs.open_input_stream(f"{base}/CURRENT") as fh:
+        with fs.open_input_stream(file) as fh:
             text = fh.read().decode("utf-8").strip()
     except FileNotFoundError:
         return None
@@ -394,10 +401,9 @@ def read_pointer(path: str) -> dict | str | None:
 
 def write_pointer(path: str, state: dict) -> None:
     """The switch: a version counts from here on."""
-    from tributary.session import filesystem
-    fs, base = filesystem(path)
-    fs.create_dir(base, recursive=True)
-    with fs.open_output_stream(f"{base}/CURRENT") as fh:
+    fs, file = pointer_of(path)
+    fs.create_dir(file.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(file) as fh:
         fh.write(json.dumps(state).encode("utf-8"))
 
 
@@ -415,7 +421,7 @@ class VersionedLog:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _state(self) -> dict:
-        return read_pointer(self.path) or {"current": None, "history": []}
+        return read_pointer(*pointer_of(self.path)) or {"current": None, "history": []}
 
     def _read(self, folders: list[str]) -> DataFrame:
         if not folders:

@@ -99,8 +99,8 @@ def q_landing_write(spark, sf):
     locs = dict(src, landing={"type": "snowflake_landing_zone",
                               "directory_path": work_dir(spark, "landing")})
     I.land_all(spark, locs, "days", "landing", FX.DAYS_SCHEMA)
-    return (L.landed_partitions(spark, locs, "landing", FX.DAYS_SCHEMA)
-            .groupBy("landing_dir").agg(F.count(F.lit(1)).alias("n")))
+    landed = L.landed_partitions(spark, locs, "landing", FX.DAYS_SCHEMA)
+    return landed.select("landing_dir", "event_id", F.date_format("ts", TS_US).alias("ts"), "user_id", "event_type", "value", "props")
 
 
 def q_list_files(spark, sf):
@@ -155,6 +155,25 @@ def q_csv_partition_read(spark, sf):
                      F.col("_corrupt_record").isNotNull().alias("is_corrupt"))
 
 
+def q_csv_quarantine(spark, sf):
+    """A CSV step over all customers: those with a key that is no number go to
+    the quarantine, both sides as they were written."""
+    folder = lambda n: {"type": "directory", "directory_path": work_dir(spark, n)}
+    locs = {"raw": folder("q-raw"), "clean": folder("q-clean"), "rejected": folder("q-rejected")}
+    key = F.concat(F.when(F.col("c_acctbal") < 0, "bad").otherwise(""), F.col("c_custkey").cast("string"))
+    L.write_partition(FX.table(spark, sf, "customer").select(key.alias("c_custkey"), "c_name", "c_nationkey"), locs, "raw", OPAQUE_PV, fmt="csv")
+    schema = T.StructType([*CUSTOMER_KEYS.fields, T.StructField("c_nationkey", T.IntegerType())])
+    out = I.copy_partition(spark, locs, "raw", "clean", OPAQUE_PV, schema, fmt="csv", target_fmt="parquet", quarantine="rejected")
+    if out["error"] is not None:
+        raise out["error"]
+    text = T.StructType([T.StructField(I.CORRUPT, T.StringType())])
+    clean = L.read_partition(spark, locs, "clean", OPAQUE_PV, schema)
+    rejected = L.read_partition(spark, locs, "rejected", OPAQUE_PV, text)
+    return clean.select("partition_value", "c_custkey", "c_name", "c_nationkey", F.lit(None).cast("string").alias("rejected")).unionByName(
+        rejected.select("partition_value", F.col(I.CORRUPT).alias("rejected")), allowMissingColumns=True).withColumn(
+        "n_rows", F.lit(out["n_rows"]).cast("long")).withColumn("n_rejected", F.lit(out["n_rejected"]).cast("long"))
+
+
 def transport_step(spark, sf, run_log_dir: str | None = None) -> DataFrame:
     src = FX.days_location(spark, sf)
     locs = dict(src, working_folder={"type": "snowflake_landing_zone",
@@ -448,17 +467,41 @@ def q_observed_write(spark, sf):
                                  "n_rows LONG, max_value DOUBLE")
 
 
+# All days of the events and five that are missing.
+INGEST_RANGE = ("2024-01-01", "2024-02-05")
+
+
 def q_ingest_outcomes(spark, sf):
     src = FX.days_location(spark, sf)
     locs = dict(src, landing={"type": "snowflake_landing_zone",
                               "directory_path": work_dir(spark, "ingest")})
-    values = [r[0] for r in L.date_range_values(spark, *RANGE).collect()]
+    values = [r[0] for r in L.date_range_values(spark, *INGEST_RANGE).collect()]
     log = D.RunLog(spark, work_dir(spark, "ingest-log"), job_name="ingest")
     out = I.ingest_partitions(spark, locs, "days", "landing", values, FX.DAYS_SCHEMA,
                               policy="continue", run_log=log, concurrent_jobs=4)
     return out.select("seq", "partition_value", "status", "n_rows", "exit_code")
 
 
+def q_ingest_continue(spark, sf):
+    """All days twice with one ledger: a day in the middle fails in the first run,
+    which goes on; the second run, under the strict policy, attempts that day alone."""
+    src = FX.days_location(spark, sf)
+    locs = dict(src, landing={"type": "snowflake_landing_zone", "directory_path": work_dir(spark, "resume")})
+    ledger = work_dir(spark, "resume-ledger")
+    values = sorted(r[0] for r in L.present_partitions(spark, locs, "days").collect())
+
+    def fails(df):
+        return df.where(F.when(F.col(L.PV) == DAY, F.raise_error(F.lit("not today")).cast("boolean")).otherwise(F.lit(True)))
+
+    I.ingest_partitions(spark, locs, "days", "landing", values, FX.DAYS_SCHEMA, policy="continue", transform=fails, concurrent_jobs=4, ledger=ledger)
+    I.ingest_partitions(spark, locs, "days", "landing", values, FX.DAYS_SCHEMA, policy="fail", ledger=ledger)
+    landed = L.landed_partitions(spark, locs, "landing", FX.DAYS_SCHEMA).groupBy("partition_value").agg(
+        F.count(F.lit(1)).alias("n_landed"), F.sum(F.xxhash64(*FX.DAYS_SCHEMA.fieldNames()).cast("decimal(38,0)")).cast("string").alias("hash"))
+    same = F.col("content_hash") == F.col("hash")
+    return I.ledger_rows(spark, ledger).join(landed, "partition_value", "left").select(
+        "partition_value", "attempt", "status", "n_rows", "exit_code", "n_landed", same.alias("same_content"))
+
+
 # ========================================================== registry ====
 
 QUERIES = {
@@ -507,6 +550,8 @@ QUERIES = {
     "retrying_map": q_retrying_map,
     "observed_write": q_observed_write,
     "ingest_outcomes": q_ingest_outcomes,
+    "ingest_continue": q_ingest_continue,
+    "csv_quarantine": q_csv_quarantine,
 }
 
 

@@ -15,8 +15,14 @@ TRADE = FX.duck(FX.TRADE_SQL)
 FLOWS = FX.duck(FX.FLOWS_SQL)
 MAIL = FX.duck(FX.MAIL_SQL)
 DAY_OF = "strftime(ts, '%Y-%m-%d')"
-RANGE_DAYS = (f"SELECT row_number() OVER (ORDER BY d) - 1 AS seq, strftime(d, '%Y-%m-%d') AS pv "
-              f"FROM range(DATE '{Q.RANGE[0]}', DATE '{Q.RANGE[1]}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)")
+
+
+def _range_days(first: str, last: str) -> str:
+    return (f"SELECT row_number() OVER (ORDER BY d) - 1 AS seq, strftime(d, '%Y-%m-%d') AS pv "
+            f"FROM range(DATE '{first}', DATE '{last}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)")
+
+
+RANGE_DAYS = _range_days(*Q.RANGE)
 PATH = "split_part(pp, 'root:', 2)"
 FULLPATH = f"CASE WHEN {PATH} <> '' THEN {PATH} || '/' || name ELSE name END"
 
@@ -36,7 +42,22 @@ ORACLES: dict[str, str] = {
         SELECT {DAY_OF} AS partition_value,
                CAST(SUM(CASE WHEN {DAY_OF} <> '{Q.DAY}' OR event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS n
         FROM events GROUP BY 1""",
-    "landing_write": f"SELECT {DAY_OF} || '-snowflake' AS landing_dir, count(*) AS n FROM events GROUP BY 1",
+    "landing_write": f"""
+        SELECT {DAY_OF} || '-snowflake' AS landing_dir, event_id, strftime(ts, '{TS_US}') AS ts, user_id, event_type, value, props
+        FROM events""",
+    "csv_quarantine": f"""
+        SELECT '{Q.OPAQUE_PV}' AS partition_value, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey END AS c_custkey,
+               CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END AS c_name, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_nationkey END AS c_nationkey,
+               CASE WHEN c_acctbal < 0 THEN 'bad' || c_custkey || ',' || c_name || ',' || c_nationkey END AS rejected,
+               count(*) FILTER (c_acctbal >= 0) OVER () AS n_rows, count(*) FILTER (c_acctbal < 0) OVER () AS n_rejected
+        FROM customer""",
+    "ingest_continue": f"""
+        WITH d AS (SELECT {DAY_OF} AS partition_value, count(*) AS n FROM events GROUP BY 1)
+        SELECT partition_value, CAST(1 AS INTEGER) AS attempt, CASE WHEN partition_value = '{Q.DAY}' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+               CASE WHEN partition_value <> '{Q.DAY}' THEN n END AS n_rows,
+               CAST(CASE WHEN partition_value = '{Q.DAY}' THEN 1 ELSE 0 END AS INTEGER) AS exit_code, n AS n_landed,
+               CASE WHEN partition_value <> '{Q.DAY}' THEN true END AS same_content FROM d
+        UNION ALL SELECT partition_value, 2, 'SUCCESS', n, 0, n, true FROM d WHERE partition_value = '{Q.DAY}'""",
     "list_files": "SELECT doc_id || '.txt' AS name, CAST(strlen(text) AS BIGINT) AS length FROM documents",
     "count_files": "SELECT count(*) AS n_files FROM documents",
     "partition_names": """
@@ -235,7 +256,7 @@ ORACLES: dict[str, str] = {
         FROM documents""",
     "observed_write": "SELECT count(*) AS n_rows, max(value) AS max_value FROM events",
     "ingest_outcomes": f"""
-        WITH req AS ({RANGE_DAYS}),
+        WITH req AS ({_range_days(*Q.INGEST_RANGE)}),
         cnt AS (SELECT {DAY_OF} AS pv, count(*) AS n FROM events GROUP BY 1),
         j AS (SELECT req.seq, req.pv, cnt.n FROM req LEFT JOIN cnt ON req.pv = cnt.pv),
         stop AS (SELECT min(seq) AS s FROM j WHERE n IS NULL)

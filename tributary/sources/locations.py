@@ -17,8 +17,10 @@ Built-in types:
 
 from __future__ import annotations
 
+import json
 import logging
 import re
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
@@ -251,6 +253,66 @@ def folder_names(spark: SparkSession, base: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def _hadoop(spark: SparkSession, base: str):
+    """(file system, path maker) of a folder on any store Spark reads."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(base).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), make
+
+
+def committed_folders(spark: SparkSession, base: str) -> list[str]:
+    """Those of ``folder_names`` whose write has ended (its success mark is there)."""
+    names = folder_names(spark, base)
+    fs, path = _hadoop(spark, base)
+    return [n for n in names if fs.exists(path(f"{base}/{n}/_SUCCESS"))]
+
+
+def publish(spark: SparkSession, base: str, staged: str, moves: list[tuple[str | None, str]]) -> None:
+    """Make staged folders the folders they are to replace: ``moves`` are (name
+    under ``staged``, or None for an empty folder; name under ``base``), all on one
+    store.
+
+    What is to be moved is written down first, so that ``publish_pending`` can
+    end a publication that broke off."""
+    from tributary.session import filesystem
+    fs, root = filesystem(base)
+    fs.create_dir(f"{root}/_pending", recursive=True)
+    with fs.open_output_stream(f"{root}/_pending/{uuid.uuid4().hex}.json") as fh:
+        fh.write(json.dumps({"staged": staged, "moves": moves}).encode("utf-8"))
+    publish_pending(spark, base)
+
+
+def publish_pending(spark: SparkSession, base: str) -> int:
+    """End all publications under ``base`` that are written down; how many.
+    A move that was made before is not made again."""
+    import pyarrow.fs as pafs
+
+    from tributary.session import filesystem
+    files, root = filesystem(base)
+    fs, path = _hadoop(spark, base)
+    notes = sorted(f.path for f in files.get_file_info(pafs.FileSelector(f"{root}/_pending", allow_not_found=True)) if f.is_file)
+    for note in notes:
+        with files.open_input_stream(note) as fh:
+            todo = json.loads(fh.read().decode("utf-8"))
+        for name, to in todo["moves"]:
+            target = path(f"{base}/{to}")
+            if name is None:
+                fs.delete(target, True)
+                fs.mkdirs(target)
+                continue
+            source = path(f"{todo['staged']}/{name}")
+            if not fs.exists(source):
+                continue  # moved before
+            fs.delete(target, True)
+            if not fs.rename(source, target):
+                raise OSError(f"could not move {source.toString()} to {target.toString()}")
+        files.delete_file(note)
+        fs.delete(path(todo["staged"]), True)
+    pending = path(f"{base}/_pending")
+    if fs.exists(pending) and not any(not s.getPath().getName().startswith(".") for s in fs.listStatus(pending)):
+        fs.delete(pending, True)
+    return len(notes)
+
+
 def present_partitions(spark: SparkSession, locations: dict, name: str,
                        fmt: str = "parquet") -> DataFrame:
     """Partition values present in a location of any type with a folder rule
