@@ -1,3 +1,5 @@
+import time
+
 from tributary.llm import html
 
 
@@ -46,6 +48,18 @@ def test_broken_markup():
     assert html.render('<a title="x>y">k</a>') == "k"
 
 
+def test_deep_and_unclosed_markup_takes_linear_time():
+    start = time.perf_counter()
+    assert html.render("<div>" * 100_000 + "deep") == "deep"
+    assert html.render("<select><option>a" * 5000) == "a " * 4999 + "a"
+    assert html.render("<b>" * 50_000 + "</i>" * 50_000 + "x") == "x"
+    assert html.render("x" + "<a " * 50_000).startswith("x<a")
+    assert html.render("<p><table><tr><td>" + "<div>" * 50_000 + "x") == "x"
+    assert html.render("x>" + "<!-- " * 20_000) == "x>"
+    assert html.render("<select><option>a<select><option>b<option selected>c</select>d") == "a c d"
+    assert time.perf_counter() - start < 30
+
+
 def test_extract_edge_rows(spark):
     rows = [(1, None, "t"), (2, "", "u"), (None, "<p>x", None), (4, "<p>" + "word " * 100_000, "v"), (2, "", "u")]
     pages = spark.createDataFrame(rows, "page_id long, html string, text string")

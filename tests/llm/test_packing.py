@@ -12,6 +12,7 @@ from tributary.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SF = "/root/testdata/sf0.001"
+WORDS, REFERENCE = packing.WordIds(PATH), Tokenizer.from_file(PATH)
 
 
 def placed(counts, capacity):
@@ -59,13 +60,20 @@ def test_plan_is_small_whatever_the_counts():
 
 def test_ids_are_the_tokenizers_own():
     odd = ["", " ", "a", "Word. word! İx ÀB", "<|endoftext|>", "a<|startoftext|>b <|endoftext|>", "it's 12 ٣٤ 你好 x\x1cy \x85z　w", "é é é ́x",
-           "ΣΑΣ", "\0 a\0b", "x" * 3000, "ﬁ ǅ ŉ", "a.b,c;d"]
+           "YENİ. İYİ, HAYDİ! SERGİ:", "ΣΑΣ", "\0 a\0b", "x" * 3000, "ﬁ ǅ ŉ", "a.b,c;d"]
     ref = Tokenizer.from_file(PATH)
     for _ in range(2):
         got = [np.frombuffer(b, dtype="<u4").tolist() for b in packing.WordIds(PATH).packed(odd)]
         assert got == [e.ids for e in ref.encode_batch(odd, add_special_tokens=False)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.text(alphabet="abİıßſÀéÉ.,!:;'ŉǅΣσ1 \u0307\u0301", max_size=9), st.text(max_size=6)), max_size=6).map(" ".join), max_size=20))
+def test_any_text_has_the_tokenizers_ids(texts):
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in WORDS.packed(texts)]
+    assert got == [e.ids for e in REFERENCE.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("capacity", [2048, 50])
 def test_documents(spark, capacity):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(

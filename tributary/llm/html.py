@@ -5,6 +5,11 @@ ignored), what a browser would not show is left out, and the rest is rendered:
 blocks on lines of their own with their spacing, lists with bullets or numbers,
 table cells in aligned columns, preformatted text as it is.  Formulas (MathML) and the
 text elements of SVG show their text, a select its chosen option, a list box all of its options.
+
+Limits: style sheets are not applied, only ``hidden`` and ``style`` attributes;
+an element with ``visibility: hidden`` hides all that is in it; cells of more than
+``WIDEST_COLUMN`` characters do not widen their column, and tables nested deeper
+than ``DEEPEST_TABLE`` are laid out as blocks.
 """
 
 from __future__ import annotations
@@ -20,6 +25,8 @@ from pyspark.sql import types as T
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>
     |<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>""", re.S | re.X)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: Matches what ``TOKEN`` can match where no ">" follows.
+UNCLOSED = re.compile(r"<!--.*", re.S)
 SPACE = re.compile(r"[ \t\r\n\f]+")
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
@@ -101,24 +108,30 @@ def shown(node: Node) -> list:
 
 def build_tree(html: str) -> Node:
     root = Node("html")
-    stack, at = [root], 0
+    stack, at, last = [root], 0, html.rfind(">")
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of a tag are
+
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            places[stack.pop().tag].pop()
+
+    def nearest(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def close(tags, barriers) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in barriers:
-                return
+        depth = nearest(tags)
+        if depth and depth >= nearest(barriers):
+            cut(depth)
 
     while at < len(html):
-        m = TOKEN.search(html, at)
+        # after the last ">" only an unclosed comment can be a token
+        m = TOKEN.search(html, at) if at <= last else UNCLOSED.search(html, at)
         text = html[at:m.start() if m else len(html)]
         if text:
             if stack[-1].tag == "head" and text.strip():
-                stack.pop()  # text ends the head
+                cut(len(stack) - 1)  # text ends the head
             stack[-1].children.append(unescape(text) if "&" in text else text)
-        if m is None:
+        if m is None or at > last:
             break
         at = m.end()
         if m[1]:
@@ -133,9 +146,11 @@ def build_tree(html: str) -> Node:
                 continue
             if tag in BREAKS_OUT:
                 while within(stack[-1]):
-                    stack.pop()
+                    cut(len(stack) - 1)
             if stack[-1].tag == "head" and tag in BLOCK:
-                stack.pop()
+                cut(len(stack) - 1)
+            if tag == "select":  # ends an open one
+                close({"select"}, ())
             if tag in ENDS:
                 close(*ENDS[tag])
             if tag in ENDS_PARAGRAPH:
@@ -149,6 +164,7 @@ def build_tree(html: str) -> Node:
                 node.children.append(html[at:end.start() if end else len(html)])
                 at = end.end() if end else len(html)
             elif not (m[3] or "").endswith("/") or tag not in ("svg", "math"):
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(node)
     return root
 

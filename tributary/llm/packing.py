@@ -87,11 +87,12 @@ class WordIds:
     def learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of new chunks.  A word, or a word and a mark, of letters below
         U+0250 is its lower-cased word (already composed, so the normalizer
-        would leave it as it is) and the mark; others go as they are."""
+        would leave it as it is) and the mark, if that is of letters, too;
+        others go as they are."""
         out, split, other = {}, [], []
         for c in chunks:
             word, mark = (c[:-1], c[-1]) if c[-1:] in self.marks else (c, "")
-            if word.isalpha() and max(word) < "\u0250":
+            if word.isalpha() and max(word) < "\u0250" and word.lower().isalpha():
                 split.append((c, word.lower(), mark))
             elif MARK in c:
                 out[c] = np.array(self.whole.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
