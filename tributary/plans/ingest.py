@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import InvalidSourceError, MalformedRowsError, exit_code_of
-from tributary.operators.frontier import cut_counting
 from tributary.operators.runlog import RunLog
+from tributary.session import work_dir
 from tributary.sources import locations as L
 
 CORRUPT = "_corrupt_record"
@@ -88,7 +88,10 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
         if fmt == "csv":
             parsed = L.read_csv_partition(spark, locations, source, pv, schema, CORRUPT)
             bad = F.col(CORRUPT).isNotNull()
-            parsed, n_rejected = cut_counting(parsed, bad)
+            # parsed once, into a table of the work folder, and counted by that job
+            path, seen = work_dir(spark, "parsed"), Observation(f"parsed-{uuid.uuid4().hex[:8]}")
+            parsed.observe(seen, F.sum(F.when(bad, 1).otherwise(0)).alias("n")).write.parquet(path)
+            parsed, n_rejected = spark.read.schema(parsed.schema).parquet(path), int(seen.get.get("n") or 0)
             if n_rejected and quarantine is None:
                 raise MalformedRowsError(f"{n_rejected} rows do not fit the schema")
             df = parsed.where(~bad).drop(CORRUPT)

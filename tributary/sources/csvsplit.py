@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.operators.frontier import cut
+from tributary.operators.frontier import cut_counting
 
+#: So many ranges (32 bytes each) go to every task; more are joined by a shuffle.
+SMALL = 50_000
 RANGES = "file long, start long, odd int, ends_even long, ends_odd long"
 LINES = "file long, start long, seq long, line string, odd_before int, odd_after int, nth_even long, nth_odd long"
 
@@ -75,7 +77,9 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("first", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
     ranges = ranges.withColumn("base", F.coalesce(F.sum(F.when(F.col("first") == 0, F.col("ends_even")).otherwise(F.col("ends_odd"))).over(before), F.lit(0)))
-    ranges = cut(ranges.select("file", "start", "first", "base"))
+    ranges, n = cut_counting(ranges.select("file", "start", "first", "base"))
+    if n <= SMALL:
+        ranges = F.broadcast(ranges)
     lines = _lines(spark, path).mapInArrow(lambda b: _walk(b, False), LINES).join(ranges, ["file", "start"])
     lines = lines.withColumn("record", F.col("base") + F.when(F.col("first") == 0, F.col("nth_even")).otherwise(F.col("nth_odd")))
     whole = (F.col("odd_before") == F.col("first")) & (F.col("odd_after") == F.col("first"))
