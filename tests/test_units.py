@@ -783,6 +783,8 @@ def test_one_csv_file_is_read_by_many_tasks(spark, tmp_base, small_splits):
     assert len([f for f in L.list_files(spark, path, "csv").collect()]) == 1
     assert csvsplit._lines(spark, path).rdd.getNumPartitions() > 20
     got = sorted((r.k, r.t) for r in L.read_partition(spark, locs, "a", "p", schema, fmt="csv").collect())
+    few, many = (sorted(map(tuple, csvsplit.records(spark, path, small).collect())) for small in (10_000, 0))
+    assert few == many and len(few) == len(data) + 1   # both ways to put records together
     whole = dict(locs["a"], split=False)
     assert got == data == sorted((r.k, r.t) for r in L.read_partition(spark, {"a": whole}, "a", "p", schema, fmt="csv").collect())
 

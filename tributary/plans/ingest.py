@@ -90,7 +90,7 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
             bad = F.col(CORRUPT).isNotNull()
             # parsed once, into a table of the work folder, and counted by that job
             path, seen = work_dir(spark, "parsed"), Observation(f"parsed-{uuid.uuid4().hex[:8]}")
-            parsed.observe(seen, F.sum(F.when(bad, 1).otherwise(0)).alias("n")).write.parquet(path)
+            parsed.observe(seen, F.sum(F.when(bad, 1).otherwise(0)).alias("n")).write.option("compression", "zstd").parquet(path)
             parsed, n_rejected = spark.read.schema(parsed.schema).parquet(path), int(seen.get.get("n") or 0)
             if n_rejected and quarantine is None:
                 raise MalformedRowsError(f"{n_rejected} rows do not fit the schema")
