@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 
 from tributary.errors import InvalidSourceError, MalformedRowsError, exit_code_of
 from tributary.operators.runlog import RunLog
-from tributary.session import work_dir
 from tributary.sources import locations as L
 
 CORRUPT = "_corrupt_record"
@@ -72,10 +71,11 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
     Returns ``{status, n_rows, n_rejected, target_path, error, run_id}``; raises
     nothing except through the caller's policy (the error object is in ``error``).
 
-    CSV rows that do not fit the schema are told apart while the source is
-    parsed, once, and counted by that job: with ``quarantine`` (a location) their
-    text goes to its partition of the same value, without it any such row
-    fails the step and nothing is written.  ``content`` adds ``content_hash``,
+    CSV rows that do not fit the schema are counted by the job that writes the
+    others to a staging folder beside the target: with ``quarantine`` (a location)
+    their text goes to its partition of the same value (the source is parsed
+    again if there are any), without it any such row fails the step and the target
+    stays as it was.  ``content`` adds ``content_hash``,
     of what was written, in any order."""
     if run_log is not None and run_id is not None:
         run_log.start(run_id)
@@ -83,42 +83,45 @@ def copy_partition(spark: SparkSession, locations: dict, source: str, target: st
         run_id = run_log.create(step, dict(params or {}, source=source, target=target,
                                            partition_value=pv), partition_value=pv,
                                 run_suffix=run_suffix, start=True)
-    n_rejected = 0
+    n_rejected, staged = 0, None
     try:
+        path = L.partition_path(locations, target, pv)
         if fmt == "csv":
             parsed = L.read_csv_partition(spark, locations, source, pv, schema, CORRUPT)
-            bad = F.col(CORRUPT).isNotNull()
-            # parsed once, into a table of the work folder, and counted by that job
-            path, seen = work_dir(spark, "parsed"), Observation(f"parsed-{uuid.uuid4().hex[:8]}")
-            parsed.observe(seen, F.sum(F.when(bad, 1).otherwise(0)).alias("n")).write.option("compression", "zstd").parquet(path)
-            parsed, n_rejected = spark.read.schema(parsed.schema).parquet(path), int(seen.get.get("n") or 0)
-            if n_rejected and quarantine is None:
-                raise MalformedRowsError(f"{n_rejected} rows do not fit the schema")
-            df = parsed.where(~bad).drop(CORRUPT)
+            bad, seen = F.col(CORRUPT).isNotNull(), Observation(f"bad-{uuid.uuid4().hex[:8]}")
+            df = parsed.observe(seen, F.sum(F.when(bad, 1).otherwise(0)).alias("n")).where(~bad).drop(CORRUPT)
+            staged = f"{path.rsplit('/', 1)[0]}/_staging-{uuid.uuid4().hex[:12]}"
         else:
-            df = L.read_partition(spark, locations, source, pv, schema, fmt)
-        if skip_empty and not n_rejected and df.isEmpty():  # reads at most one row
+            parsed = df = L.read_partition(spark, locations, source, pv, schema, fmt)
+        if skip_empty and parsed.isEmpty():  # reads at most one row
             if run_log is not None:
                 run_log.closed(run_id, "SKIPPED", "empty source partition")
             return {"status": "SKIPPED", "n_rows": 0, "n_rejected": 0, "target_path": None, "error": None,
                     "run_id": run_id, "content_hash": None}
         if transform is not None:
             df = df.transform(transform)
-        path = L.partition_path(locations, target, pv)
         df = df.drop(L.PV)
         metrics = {"n_rows": F.count(F.lit(1))}
         if content:
             metrics["content"] = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
-        stats = observed_write(df, path, fmt=target_fmt or fmt, metrics=metrics,
+        stats = observed_write(df, staged or path, fmt=target_fmt or fmt, metrics=metrics,
                                options=L.csv_options(L.get_config(locations, target)))
+        if staged is not None:
+            n_rejected = int(seen.get.get("n") or 0)
+            if n_rejected and quarantine is None:
+                raise MalformedRowsError(f"{n_rejected} rows do not fit the schema")
+            L.replace_folder(spark, staged, path)
+            staged = None
         if quarantine is not None:  # also when it is empty: an earlier attempt's rows go
-            rejected = parsed.where(bad).select(CORRUPT) if fmt == "csv" else spark.createDataFrame([], f"{CORRUPT} STRING")
+            rejected = parsed.where(bad).select(CORRUPT) if n_rejected else spark.createDataFrame([], f"{CORRUPT} STRING")
             L.write_partition(rejected, locations, quarantine, pv)
         if run_log is not None:
             run_log.success(run_id, log_path=path)   # where this run's output went
         return {"status": "SUCCESS", "n_rows": int(stats["n_rows"]), "n_rejected": n_rejected, "target_path": path,
                 "error": None, "run_id": run_id, "content_hash": str(stats["content"] or 0) if content else None}
     except Exception as e:  # recorded, then handed to the policy
+        if staged is not None:
+            L.delete_folder(spark, staged)
         if run_log is not None:
             run_log.failed(run_id, str(e))
         return {"status": "FAILED", "n_rows": None, "n_rejected": n_rejected, "target_path": None, "error": e,

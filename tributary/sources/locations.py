@@ -266,13 +266,26 @@ def committed_folders(spark: SparkSession, base: str) -> list[str]:
     return [n for n in names if fs.exists(path(f"{base}/{n}/_SUCCESS"))]
 
 
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put one folder in another's place, on the same store."""
+    fs, path = _hadoop(spark, target)
+    fs.delete(path(target), True)
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _hadoop(spark, folder)
+    fs.delete(path(folder), True)
+
+
 def publish(spark: SparkSession, base: str, staged: str, moves: list[tuple[str | None, str]]) -> None:
     """Make staged folders the folders they are to replace: ``moves`` are (name
     under ``staged``, or None for an empty folder; name under ``base``), all on one
     store.
 
     What is to be moved is written down first, so that ``publish_pending`` can
-    end a publication that broke off."""
+    end a publication that broke off.  One may run under a base at a time."""
     from tributary.session import filesystem
     fs, root = filesystem(base)
     fs.create_dir(f"{root}/_pending", recursive=True)
@@ -299,12 +312,9 @@ def publish_pending(spark: SparkSession, base: str) -> int:
                 fs.delete(target, True)
                 fs.mkdirs(target)
                 continue
-            source = path(f"{todo['staged']}/{name}")
-            if not fs.exists(source):
-                continue  # moved before
-            fs.delete(target, True)
-            if not fs.rename(source, target):
-                raise OSError(f"could not move {source.toString()} to {target.toString()}")
+            source = f"{todo['staged']}/{name}"
+            if fs.exists(path(source)):  # else it was moved before
+                replace_folder(spark, source, f"{base}/{to}")
         files.delete_file(note)
         fs.delete(path(todo["staged"]), True)
     pending = path(f"{base}/_pending")
