@@ -386,6 +386,21 @@ def test_messages_malformed_and_no_recipients(spark, tmp_base):
     assert long == [(1, None, None)]
 
 
+def test_messages_dealt_over_folders(spark, tmp_base, monkeypatch):
+    monkeypatch.setattr(C, "FILES_PER_FOLDER", 7)
+    monkeypatch.setattr(C, "FILES_PER_TASK", 10)
+    files = spark.createDataFrame(
+        [(f"{i}.eml", f"From: a{i}@x.org\r\nTo: b@x.org\r\n\r\nbody {i}\r\n".encode()) for i in range(60)]
+        + [("7.eml", b"From: a7@x.org\r\nTo: b@x.org\r\n\r\nbody 7\r\n"), ("no.txt", b"-"), ("_8.eml", b"-")], "n STRING, c BINARY")
+    assert C.write_files(files, tmp_base, "n", "c", in_folders=True)[0] == 63
+    assert len(os.listdir(local_path(tmp_base))) > 4
+    C.write_files(spark.createDataFrame([("60.eml", b"From: a60@x.org\r\n\r\nbody 60\r\n")], "n STRING, c BINARY"), tmp_base, "n", "c")
+    m = C.read_messages(spark, tmp_base, recursive=True)
+    assert m.rdd.getNumPartitions() == 7                 # 61 files, 10 a task
+    assert rows(m, "id", "sender", "email") == [(i, f"a{i}@x.org", f"body {i}") for i in range(61)]
+    assert m.where(F.expr("path NOT LIKE concat('%/', id, '.eml')")).count() == 0
+
+
 def test_normalize_matches_try_cast(spark):
     from tributary.operators.quality import normalize
     vals = ["1.0", " 7 ", "+3", "-4", "1e3", "0x10", "１２", "12.5", "\t8\n", "99999999999",

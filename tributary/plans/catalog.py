@@ -260,7 +260,7 @@ def q_remote_walk(spark, sf):
 # ========================================================= C: messages ====
 
 def _messages(spark, sf):
-    return C.read_messages(spark, FX.mail_folder(spark, sf))
+    return C.read_messages(spark, FX.mail_folder(spark, sf), recursive=True)
 
 
 def q_message_table(spark, sf):

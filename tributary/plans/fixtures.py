@@ -244,12 +244,13 @@ def days_location(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def mail_folder(spark: SparkSession, sf_dir: str) -> str:
-    """One ``<id>.eml`` file per customer message."""
+    """One ``<id>.eml`` file per customer message, dealt over folders."""
     from tributary.sources.messages import render_messages, write_files
 
     def build():
         out = work_dir(spark, "mail")
-        write_files(render_messages(mail_rows(spark, sf_dir)), out, "file_name", "content")
+        write_files(render_messages(mail_rows(spark, sf_dir)), out, "file_name", "content",
+                    in_folders=True)
         return out
 
     return _cached(spark, sf_dir, "mail", build)

@@ -17,6 +17,7 @@ Built-in types:
 
 from __future__ import annotations
 
+import fnmatch
 import json
 import logging
 import re
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import ClientNotFound, InvalidConfigError, InvalidSourceError
+from tributary.session import filesystem
 from tributary.sources.csvsplit import read_csv
 
 PV = "partition_value"
@@ -348,6 +350,54 @@ def date_range_values(spark: SparkSession, start: str, end: str) -> DataFrame:
     ).select(F.date_format("d", "yyyy-MM-dd").alias(PV))
 
 
+#: Folders that one task of ``files_below`` lists.
+FOLDERS_PER_TASK = 8
+
+FILE_ROW = "path STRING, below STRING, name STRING, length LONG, modificationTime TIMESTAMP"
+
+
+def _skipped(name: str) -> bool:
+    """Names that Spark's file sources skip."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def files_below(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Files whose names match ``pattern`` in a folder and all folders below it:
+    ``path, below`` (the path after the folder's)``, name, length, modificationTime``.
+
+    Only the names of the folders directly under ``path`` come to the driver;
+    tasks list these, FOLDERS_PER_TASK each, with all that is below them, through any
+    filesystem pyarrow can open.  Spark's own file sources hold every file's
+    status on the driver, too much for millions of files."""
+    from pyarrow.fs import FileType
+
+    fs, base = filesystem(path)
+    if fs.get_file_info(base).type != FileType.Directory:
+        raise InvalidSourceError(f"no folder at {path}")
+    folders = [None, *folder_names(spark, path)]  # None: the files of ``path`` itself
+    root = path.rstrip("/")
+
+    def run(batches):
+        import pandas as pd
+        from pyarrow.fs import FileSelector, FileType
+
+        fs, base = filesystem(root)
+        for pdf in batches:
+            for i in pdf["id"]:
+                at = base if folders[i] is None else f"{base}/{folders[i]}"
+                rows = []
+                for f in fs.get_file_info(FileSelector(at, recursive=folders[i] is not None)):
+                    below = f.path[len(base):].lstrip("/")
+                    if f.type == FileType.File and fnmatch.fnmatchcase(f.base_name, pattern) and not any(map(_skipped, below.split("/"))):
+                        rows.append((f"{root}/{below}", below, f.base_name, f.size, f.mtime))
+                if rows:
+                    out = pd.DataFrame(rows, columns=["path", "below", "name", "length", "modificationTime"])
+                    out["modificationTime"] = pd.to_datetime(out["modificationTime"], utc=True)
+                    yield out
+
+    return spark.range(0, len(folders), 1, -(-len(folders) // FOLDERS_PER_TASK)).mapInPandas(run, FILE_ROW)
+
+
 def list_files(spark: SparkSession, path: str, file_extension: str) -> DataFrame:
     """Files of one extension in a folder (A6): ``path, name, length,
     modificationTime``.  The file bodies are pruned from the scan.  Spark
