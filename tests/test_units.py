@@ -305,6 +305,21 @@ def test_count_files_zero_when_no_match(spark):
     assert L.list_partition_files(spark, locs, "days", "2024-01-15", "csv").count() == 0
 
 
+def test_files_below_many_folders_are_listed_by_tasks(spark, tmp_base, monkeypatch):
+    monkeypatch.setattr(C, "FILES_PER_FOLDER", 2)
+    files = spark.createDataFrame([(f"{i}.txt", b"x" * i) for i in range(50)] + [("1.csv", b"-"), (".2.txt", b"-")], "n STRING, c BINARY")
+    C.write_files(files, tmp_base, "n", "c", in_folders=True)
+    found = L.list_files(spark, tmp_base, "txt", recursive=True)
+    assert found.rdd.getNumPartitions() > 1
+    assert rows(found, "name", "length") == sorted((f"{i}.txt", i) for i in range(50))
+    assert found.where("modificationTime > current_timestamp() - INTERVAL 1 HOUR").count() == 50
+    assert L.count_files(spark, tmp_base, "txt", recursive=True).first()[0] == 50
+    assert L.count_files(spark, tmp_base, "txt").first()[0] == 0           # the folder alone
+    assert L.count_files(spark, tmp_base, "pdf", recursive=True).first()[0] == 0
+    with pytest.raises(InvalidSourceError):
+        L.list_files(spark, tmp_base + "/none", "txt", recursive=True)
+
+
 # ------------------------------------------------ policy and steps ----
 
 def test_policy_fail_continue_and_missing_source(spark, tmp_base):

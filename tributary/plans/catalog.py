@@ -104,11 +104,11 @@ def q_landing_write(spark, sf):
 
 
 def q_list_files(spark, sf):
-    return L.list_files(spark, FX.text_folder(spark, sf), "txt").select("name", "length")
+    return L.list_files(spark, FX.text_folder(spark, sf), "txt", recursive=True).select("name", "length")
 
 
 def q_count_files(spark, sf):
-    return L.count_files(spark, FX.text_folder(spark, sf), "txt")
+    return L.count_files(spark, FX.text_folder(spark, sf), "txt", recursive=True)
 
 
 def _odd_orders(spark, sf):

@@ -257,14 +257,15 @@ def mail_folder(spark: SparkSession, sf_dir: str) -> str:
 
 
 def text_folder(spark: SparkSession, sf_dir: str) -> str:
-    """One ``<doc_id>.txt`` file per document."""
+    """One ``<doc_id>.txt`` file per document, dealt over folders."""
     from tributary.sources.messages import write_files
 
     def build():
         out = work_dir(spark, "texts")
         docs = table(spark, sf_dir, "documents")
         write_files(docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("file_name"),
-                                F.encode("text", "UTF-8").alias("content")), out, "file_name", "content")
+                                F.encode("text", "UTF-8").alias("content")), out, "file_name", "content",
+                    in_folders=True)
         return out
 
     return _cached(spark, sf_dir, "texts", build)

@@ -398,10 +398,14 @@ def files_below(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return spark.range(0, len(folders), 1, -(-len(folders) // FOLDERS_PER_TASK)).mapInPandas(run, FILE_ROW)
 
 
-def list_files(spark: SparkSession, path: str, file_extension: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str, file_extension: str, recursive: bool = False) -> DataFrame:
     """Files of one extension in a folder (A6): ``path, name, length,
     modificationTime``.  The file bodies are pruned from the scan.  Spark
-    skips names starting with ``.`` or ``_`` and lists only files."""
+    skips names starting with ``.`` or ``_`` and lists only files.
+    ``recursive`` takes the folders below it, too, which tasks list
+    (``files_below``)."""
+    if recursive:
+        return files_below(spark, path, f"*.{file_extension}").drop("below")
     try:
         df = (spark.read.format("binaryFile")
               .option("pathGlobFilter", f"*.{file_extension}")
@@ -419,9 +423,9 @@ def list_files(spark: SparkSession, path: str, file_extension: str) -> DataFrame
     )
 
 
-def count_files(spark: SparkSession, path: str, file_extension: str) -> DataFrame:
+def count_files(spark: SparkSession, path: str, file_extension: str, recursive: bool = False) -> DataFrame:
     """Number of files of one extension (A7); 0 when none match."""
-    return list_files(spark, path, file_extension).agg(F.count(F.lit(1)).alias("n_files"))
+    return list_files(spark, path, file_extension, recursive).agg(F.count(F.lit(1)).alias("n_files"))
 
 
 def landed_partitions(spark: SparkSession, locations: dict, name: str,
