@@ -110,3 +110,18 @@ def test_normal_paths(spark):
     paths = ["/a/../b", "/../a", "a/./b//c/", "../../a/..", "/", "", ".", "a/..", "/a/b/../../..", "x/../../y", "/a/...", "a/..b/.c"]
     rows = spark.createDataFrame([(p,) for p in paths], "p STRING").select("p", X.normal_path("p").alias("q")).collect()
     assert [(r.p, r.q) for r in rows] == [(p, normpath(p)) for p in paths]
+
+
+def test_cycle_report_makes_its_edges_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    pairs = [(0, 1), (1, 2), (2, 1), (2, 3), (3, 4), (4, 5), (5, 3), (5, 6), (1, 2)]
+    edges = spark.createDataFrame(pairs, "src LONG, dst LONG").mapInPandas(counted, "src LONG, dst LONG")
+    got = {r.node: (r.blocked, r.on_cycle) for r in E.cycle_report(edges).collect()}
+    assert got == {0: (False, False), **{i: (True, True) for i in range(1, 6)}, 6: (True, False)}
+    assert read.value == len(pairs)

@@ -91,10 +91,11 @@ def topological_levels(edges: DataFrame, nodes: DataFrame | None = None) -> Data
 def cycle_report(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """Every node with ``blocked`` (on a cycle or downstream of one) and
     ``on_cycle``.  What is blocked from both ends is looked at more closely: it
-    is on a cycle or between two."""
+    is on a cycle or between two.  What makes the edges runs once."""
+    edges = cut(edges.select("src", "dst").distinct())
     levels, blocked = peel(edges, nodes)
-    among = (edges.select("src", "dst").distinct().join(blocked.select(F.col("node").alias("src")), "src", "left_semi")
-             .join(blocked.select(F.col("node").alias("dst")), "dst", "left_semi"))
+    among = cut(edges.join(blocked.select(F.col("node").alias("src")), "src", "left_semi")
+                .join(blocked.select(F.col("node").alias("dst")), "dst", "left_semi"))
     _, core = peel(among.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     core_edges = among.join(core.select(F.col("node").alias("src")), "src", "left_semi").join(
         core.select(F.col("node").alias("dst")), "dst", "left_semi")
