@@ -125,3 +125,20 @@ def test_cycle_report_makes_its_edges_once(spark):
     got = {r.node: (r.blocked, r.on_cycle) for r in E.cycle_report(edges).collect()}
     assert got == {0: (False, False), **{i: (True, True) for i in range(1, 6)}, 6: (True, False)}
     assert read.value == len(pairs)
+
+
+def test_degrees_are_counted_in_hash_tables(spark, monkeypatch):
+    plans, cut = [], G.cut
+    monkeypatch.setattr(G, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    edges = spark.createDataFrame([(f"n{a}", f"n{b}") for a, b in [(0, 1), (1, 2), (0, 2), (2, 3), (3, 4), (1, 4)]], "src STRING, dst STRING")
+    got = {r.node: r.level for r in G.longest_levels(edges).collect()}
+    assert got == {f"n{i}": i for i in range(5)}
+    assert any("HashAggregate" in p for p in plans) and not any("SortAggregate" in p for p in plans)
+
+
+def test_a_shared_number_is_settled_by_the_edges(spark):
+    kinds = "node LONG, n LONG, of LONG, d LONG"
+    of = spark.range(1, 2).selectExpr("xxhash64(id) AS h").first().h
+    degree = spark.createDataFrame([(1, 0, None, 0), (1, 0, None, 0), (2, 1, of, 1)], kinds)  # as if two nodes had one number
+    single, n = G._with_names(degree.where("node = 2"), degree, spark.createDataFrame([(1, 2, 1)], "src LONG, dst LONG, w LONG"))
+    assert [tuple(r) for r in single.collect()] == [(2, 1, 1)] and n == {"rows": 1, "inner": 1}

@@ -56,6 +56,29 @@ def jump(pointers: DataFrame, trace: list | None = None, compose: dict[str, Call
     return state.withColumn("to", F.when(~stuck, F.col("to"))).withColumn("d", F.when(stuck, NEVER).otherwise(F.col("d"))).withColumn("done", F.lit(True))
 
 
+def _arrivals(e: DataFrame) -> DataFrame:
+    """(node, w, one, of): a row per edge for the node it ends at; ``of`` is a
+    number for the node it comes from, NULL for the one source."""
+    return e.select(F.col("dst").alias("node"), "w", F.lit(1).alias("one"), F.when(F.col("src").isNotNull(), F.xxhash64("src")).alias("of"))
+
+
+def _with_names(few: DataFrame, degree: DataFrame, e: DataFrame) -> tuple[DataFrame, dict]:
+    """Nodes with at most one edge as (node, to, d), and how many there are and have one.
+
+    ``to`` is the node of the number ``of``: every source is a node of ``degree``, so
+    each gets one at least.  Should two nodes share a number, ``to`` comes from the edges."""
+    inner = few.where("of IS NOT NULL")
+    outer = few.where("of IS NULL").select("node", F.lit(None).cast(e.schema["src"].dataType).alias("to"), "d")
+    names = degree.where("node IS NOT NULL").select(F.col("node").alias("to"), F.xxhash64("node").alias("of"))
+    found = outer.unionByName(inner.join(names, "of").select("node", "to", "d"))
+    single, n = _cut_counts(found, rows=F.lit(True), inner=F.col("to").isNotNull())
+    n_inner = inner.count()
+    if n["inner"] != n_inner:
+        found = outer.unionByName(inner.join(e.select(F.col("src").alias("to"), F.col("dst").alias("node")), "node").select("node", "to", "d"))
+        single, n = _cut_counts(found, rows=F.lit(True), inner=F.col("to").isNotNull())
+    return single, n
+
+
 def longest_levels(edges: DataFrame, nodes: DataFrame | None = None, trace: list | None = None) -> DataFrame:
     """(node, level) of every node: edges on the longest path that ends there, or
     NEVER on a cycle and downstream of one.
@@ -70,16 +93,16 @@ def longest_levels(edges: DataFrame, nodes: DataFrame | None = None, trace: list
     ``trace`` collects a number per Spark round.  No edges and nodes give no
     rows; self loops and their downstream are NEVER."""
     e, _ = cut_counting(edges.select("src", "dst", F.lit(1).cast("long").alias("w")).distinct())
-    ends = e.select(F.explode(F.array(
-        F.struct(F.col("src").alias("node"), F.lit(None).cast(e.schema["src"].dataType).alias("src"), F.lit(0).cast("long").alias("w"), F.lit(0).alias("one")),
-        F.struct(F.col("dst").alias("node"), "src", "w", F.lit(1).alias("one")))).alias("x")).select("x.*")
+    alone = [F.lit(0).cast("long").alias("w"), F.lit(0).alias("one"), F.lit(None).cast("long").alias("of")]
+    ends = _arrivals(e).unionByName(e.select(F.col("src").alias("node"), *alone))
     if nodes is not None:
-        ends = ends.unionByName(nodes.select("node", F.lit(None).cast(e.schema["src"].dataType).alias("src"), F.lit(0).cast("long").alias("w"), F.lit(0).alias("one")))
+        ends = ends.unionByName(nodes.select("node", *alone))
     settled = []  # per phase: (node, to, d); to is settled in a later phase
     while True:
-        degree = ends.groupBy("node").agg(F.sum("one").alias("n"), F.max("src").alias("to"), F.max("w").alias("d"))
-        single = degree.where("n <= 1").select("node", "to", "d")
-        single, n = _cut_counts(single, rows=F.lit(True), inner=F.col("to").isNotNull())
+        # numbers only, which Spark adds up in hash tables; a node's name as a maximum would have every edge sorted
+        degree = cut(ends.groupBy("node").agg(F.sum("one").alias("n"), F.max("of").alias("of"), F.max("w").alias("d")))
+        few = degree.where("n <= 1")
+        single, n = _with_names(few, degree, e)
         if not n["rows"]:
             break
         known = single.select(F.col("node").alias("_n"))
@@ -87,16 +110,17 @@ def longest_levels(edges: DataFrame, nodes: DataFrame | None = None, trace: list
         state = jump(state, trace) if n["inner"] else single.withColumn("done", F.lit(True))
         settled.append((state.select("node", "to", "d"), n["inner"]))
         moved = state.select(F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("d").alias("_d"))
-        left = (e.join(state.select(F.col("node").alias("dst")), "dst", "left_anti")
-                .join(moved, F.col("src") == F.col("_n"), "left")
+        left = (e.join(moved, F.col("src") == F.col("_n"), "left")
                 .select(F.when(F.col("_n").isNull(), F.col("src")).otherwise(F.col("_to")).alias("src"), "dst",
                         (F.col("w") + F.coalesce("_d", F.lit(0))).alias("w")))
         circle = F.col("src") == F.col("dst")
         left = left.select(F.when(~circle, F.col("src")).alias("src"), "dst", F.when(circle, NEVER).otherwise(F.least("w", F.lit(NEVER))).alias("w"))
-        e, n_edges = cut_counting(left.groupBy("src", "dst").agg(F.max("w").alias("w")))
+        # edges into settled nodes go last: parallel ones are one by then
+        e, n_edges = cut_counting(left.groupBy("src", "dst").agg(F.max("w").alias("w"))
+                                  .join(state.select(F.col("node").alias("dst")), "dst", "left_anti").select("src", "dst", "w"))
         if trace is not None:
             trace.append(n_edges)
-        ends = e.select(F.col("dst").alias("node"), "src", "w", F.lit(1).alias("one"))
+        ends = _arrivals(e)
         if not n_edges:
             break
     levels = cut(ends.select("node").distinct().withColumn("level", F.lit(NEVER)) if n["rows"] == 0 else ends.select("node", F.col("w").alias("level")).limit(0))
