@@ -74,3 +74,68 @@ def test_rounds_go_on_until_lists_are_good(spark, monkeypatch):
     want = np.argsort(-sims, axis=1)[:, :10]
     recall = np.mean([len({*np.frombuffer(r["ids"], dtype=np.int64)} & {*want[r["node"]]}) / 10 for r in lists])
     assert len(lists) == len(x) and recall >= 0.9
+
+
+def test_local_join_meets_all_but_old_pairs(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(120, 6)).astype(np.float32)
+    rows, shown_at, all_at = [], {}, {}
+    for node in range(30):
+        others = rng.choice(120, size=100 if node == 3 else 12, replace=False)  # one is known by many
+        for n, o in enumerate(others):
+            shown, fresh = bool(n < 10), bool(rng.random() < 0.3)
+            rows.append((node, int(o), shown, fresh))
+            all_at.setdefault(node, {})[int(o)] = fresh
+            if shown:
+                shown_at.setdefault(node, {})[int(o)] = fresh
+    least = {i: float(v) for i, v in enumerate(rng.normal(size=120).astype(np.float32))}
+    book = ann.codebook(x)
+    vecs = ann.shrunk(spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(x)], "node long, vec binary"), book)
+    low = spark.createDataFrame(list(least.items()), "other long, least float")
+    around = spark.createDataFrame(rows + rows[:5], "node long, other long, shown boolean, fresh boolean").join(vecs.join(low, "other"), "other")
+    got = [(r["node"], r["other"], r["sim"]) for r in ann.local_join(around.select("node", "other", "shown", "fresh", "least", "code", "scale", "small"), book).collect()]
+    want = [(a, b) for node in all_at for a, new in all_at[node].items() for b, new_too in shown_at[node].items()
+            if a != b and (new or new_too) and x[a] @ x[b] > least[a]]
+    assert sorted(want) == sorted((a, b) for a, b, _ in got)
+    assert all(abs(s - x[a] @ x[b]) < 0.05 for a, b, s in got)
+
+
+def test_kept_lists_are_the_best_of_distinct_others(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    sims = rng.normal(size=(40, 300)).astype(np.float32)
+    rows = [(int(n), int(o), float(sims[n, o]), bool(f)) for n in range(40) for o, f in zip(rng.integers(0, 300, 50 if n else 2000), rng.random(2000) < 0.5)]
+    got = sorted((r["node"], -r["sim"], r["other"], r["fresh"]) for r in ann.kept(spark.createDataFrame(rows, "node long, other long, sim float, fresh boolean"), 7).collect())
+    want = []
+    for n in range(40):
+        seen = {}
+        for m, o, s, f in rows:
+            if m == n:
+                seen[o] = seen.get(o, True) and f
+        want += sorted((n, -float(sims[n, o]), o, f) for o, f in seen.items())[:7]
+    assert got == want
+
+
+def test_groups_are_never_split_between_chunks():
+    import pyarrow as pa
+
+    key = np.sort(np.random.default_rng(10).integers(0, 40, 5000))
+    key[2000:4000] = key[2000]
+    key = np.sort(key)
+    batches = pa.Table.from_arrays([pa.array(key), pa.array(np.arange(5000))], ["k", "v"]).to_batches(max_chunksize=90)
+    chunks = [t.column(0).to_numpy() for t in ann.whole([batches[0].slice(0, 0), *batches], 200)]
+    assert (np.concatenate(chunks) == key).all() and len(chunks) > 5
+    assert all(a[-1] < b[0] for a, b in zip(chunks, chunks[1:]))
+
+
+def test_lists_end_where_a_whole_round_finds_no_more(spark):
+    x = np.random.default_rng(12).normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    vecs = ann.packed(spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "node long, embedding array<double>"), None).persist()
+    sample = ann.sampled(vecs)
+    book = ann.codebook(sample)
+    lists = ann.descend(vecs, len(x), sample, book)
+    out = ann.flat(lists).withColumn("fresh", F.lit(False)).persist()
+    around = ann.edges(out.withColumn("fresh", F.lit(True))).join(ann.shrunk(vecs, book), "other").withColumn("least", F.lit(-2.0).cast("float"))
+    met = ann.local_join(around.select("node", "other", "shown", "fresh", "least", "code", "scale", "small"), book).withColumn("fresh", F.lit(True))
+    again = ann.kept(out.unionByName(met), ann.NEIGHBOURS)
+    assert again.where("fresh").count() <= 2 * ann.CHANGED * out.count()

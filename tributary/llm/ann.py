@@ -2,8 +2,8 @@
 
 Equal vectors are one node.  A first neighbour list for each node comes from
 random-hyperplane leaves that are compared exhaustively; NN-descent then improves
-the lists in rounds of Spark joins, until hardly any neighbour is new: every node visits its neighbours, meets their
-neighbours there, and keeps the best it has seen.  Queries search the finished
+the lists in rounds of Spark joins, until hardly any neighbour is new: all neighbours of a
+node meet there, but for those that have met before, and keep the best they have seen.  Queries search the finished
 graph greedily: a beam of the best nodes so far, of which those not yet visited
 are visited in the next round -- again a join -- until none is left.
 
@@ -34,6 +34,12 @@ from tributary.llm.topk import usable
 NEIGHBOURS, KNOWN_BY, LEAF, DEALS = 32, 16, 2048, 4
 #: Rounds of NN-descent end when no more than this share of all neighbours is new.
 CHANGED = 0.001
+#: Below this share of new neighbours, nodes without a new one are sorted out before vectors are fetched.
+QUIET = 0.05
+#: Rows that a worker takes at once.
+ROWS = 1 << 15
+#: Nodes of a block that meets who is shown at their node.
+BLOCK = 32
 #: Size of the random groups that fill up first lists.
 CHANCE = 256
 #: Nodes in a beam, and those of them that are scored exactly.
@@ -84,6 +90,43 @@ def grouped(df: DataFrame, fn, schema: str, *order: str) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, *order).mapInArrow(run, schema)
 
 
+def whole(batches, rows: int = ROWS):
+    """Tables of about so many consecutive rows, sorted by the first column, whose
+    values are never split between two of them."""
+    import pyarrow as pa
+
+    held, n = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        n += len(batch)
+        last = batch.column(0)[-1].as_py()
+        if n < rows or held[0].column(0)[0].as_py() == last:
+            continue
+        table = pa.Table.from_batches(held)
+        cut = int(np.searchsorted(table.column(0).to_numpy(), last))
+        yield table.slice(0, cut)
+        held = table.slice(cut).to_batches()
+        n = sum(map(len, held))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def arrays(table) -> list[np.ndarray]:
+    """Columns as arrays; values of binary ones, all of one length, as rows of bytes."""
+    import pyarrow as pa
+
+    return [np.frombuffer(b"".join(c.to_pylist()), dtype=np.int8).reshape(len(c), -1) if pa.types.is_binary(c.type) else c.to_numpy() for c in table.columns]
+
+
+def firsts(*keys: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted keys differs from the one before it."""
+    new = np.ones(len(keys[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new
+
+
 def packed(vectors: DataFrame, longest: float | None) -> DataFrame:
     """(node, embedding) -> (node, vec): floats and one more component, which
     evens the length out to ``longest`` (squared) or, without it, is 0."""
@@ -174,9 +217,8 @@ def merged(rows):
     yield rows[0][0], ids.tobytes(), sims.tobytes()
 
 
-def edges(lists: DataFrame) -> DataFrame:
-    """(node, ids, sims) -> (node, other, sim) both ways; of those a node is
-    known by, its KNOWN_BY best."""
+def flat(lists: DataFrame) -> DataFrame:
+    """(node, ids, sims) -> (node, other, sim)."""
     def run(batches):
         import pyarrow as pa
 
@@ -186,15 +228,20 @@ def edges(lists: DataFrame) -> DataFrame:
             own = np.repeat(node.to_numpy(zero_copy_only=False), [len(i) for i in ids])
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.concatenate(ids)), pa.array(np.concatenate(sims))], ["node", "other", "sim"])
 
-    out = lists.mapInArrow(run, "node long, other long, sim float")
-    back = out.select(F.col("other").alias("node"), F.col("node").alias("other"), "sim")
-    known = back.withColumn("nth", F.row_number().over(Window.partitionBy("node").orderBy(F.col("sim").desc(), "other"))).where(F.col("nth") <= KNOWN_BY)
-    return out.unionByName(known.drop("nth"))
+    return lists.mapInArrow(run, "node long, other long, sim float")
 
 
-def visits(nodes: DataFrame, lists: DataFrame, book: np.ndarray) -> DataFrame:
-    """The graph as visits read it: (node, ids, codes, scales, small): a row for
-    each node with its neighbours' vectors, as centers and differences in bytes."""
+def edges(out: DataFrame) -> DataFrame:
+    """(node, other, sim, ...) -> the same both ways and ``shown``: whether the
+    other is the node's neighbour or one of the KNOWN_BY best that it is known by."""
+    back = out.select(F.col("other").alias("node"), F.col("node").alias("other"), *out.columns[2:])
+    nth = F.row_number().over(Window.partitionBy("node").orderBy(F.col("sim").desc(), "other"))
+    return out.withColumn("shown", F.lit(True)).unionByName(back.withColumn("shown", nth <= KNOWN_BY))
+
+
+def shrunk(nodes: DataFrame, book: np.ndarray) -> DataFrame:
+    """(node, vec) -> (other, code, scale, small): vectors as centers and
+    differences in bytes."""
     def shrink(batches):
         import pyarrow as pa
 
@@ -208,13 +255,18 @@ def visits(nodes: DataFrame, lists: DataFrame, book: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(code.astype(np.int32)), pa.array(scale.astype(np.float32)), pa.array([v.tobytes() for v in small], pa.binary())],
                                              ["other", "code", "scale", "small"])
 
+    return nodes.mapInArrow(shrink, "other long, code int, scale float, small binary")
+
+
+def visits(vecs: DataFrame, lists: DataFrame) -> DataFrame:
+    """The graph as visits read it: (node, ids, codes, scales, small): a row for
+    each node with its neighbours' shrunk vectors."""
     def collect(rows):
         seen = {r[1]: r for r in rows}
         yield (rows[0][0], np.array(list(seen), dtype=np.int64).tobytes(), np.array([r[2] for r in seen.values()], dtype=np.int32).tobytes(),
                np.array([r[3] for r in seen.values()], dtype=np.float32).tobytes(), b"".join(r[4] for r in seen.values()))
 
-    vecs = nodes.mapInArrow(shrink, "other long, code int, scale float, small binary")
-    return grouped(edges(lists).select("node", "other").join(vecs, "other").select("node", "other", "code", "scale", "small"), collect,
+    return grouped(edges(flat(lists)).where("shown").select("node", "other").join(vecs, "other").select("node", "other", "code", "scale", "small"), collect,
                    "node long, ids binary, codes binary, scales binary, small binary")
 
 
@@ -241,15 +293,19 @@ def visit(state: DataFrame, graph: DataFrame, width: int, book: np.ndarray) -> D
         import pyarrow as pa
 
         for batch in batches:
-            out = []
-            for query, vec, least, ids, codes, scales, small in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, v = np.frombuffer(ids, dtype=np.int64), np.frombuffer(vec, dtype=np.float32)
-                sims = (np.frombuffer(small, dtype=np.int8).reshape(len(ids), -1).astype(np.float32) @ v) * np.frombuffer(scales, dtype=np.float32)
-                sims += book[np.frombuffer(codes, dtype=np.int32)] @ v
-                near = (sims > least) & (ids != query)
-                if near.any():
-                    out.append((query, ids[near].tobytes(), sims[near].tobytes()))
-            if out:
+            for i in range(0, len(batch), 500):
+                query, vec, least, ids, codes, scales, small = (c.to_pylist() for c in batch.slice(i, 500).columns)
+                row = np.repeat(np.arange(len(query)), [len(b) // 8 for b in ids])
+                ids, v = np.frombuffer(b"".join(ids), dtype=np.int64), np.frombuffer(b"".join(vec), dtype=np.float32).reshape(len(query), -1)
+                rest = np.frombuffer(b"".join(small), dtype=np.int8).reshape(len(ids), -1).astype(np.float32)
+                sims = np.einsum("ij,ij->i", rest, v[row]) * np.frombuffer(b"".join(scales), dtype=np.float32)
+                sims += (v @ book.T)[row, np.frombuffer(b"".join(codes), dtype=np.int32)]
+                near = np.flatnonzero((sims > np.array(least)[row]) & (ids != np.array(query)[row]))
+                if not len(near):
+                    continue
+                ids, sims, row = ids[near], sims[near].astype(np.float32), row[near]
+                begin = np.flatnonzero(firsts(row))
+                out = [(query[row[a]], ids[a:b].tobytes(), sims[a:b].tobytes()) for a, b in zip(begin, [*begin[1:], len(row)])]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], ["query", "ids", "sims"])
 
     def keep(rows):
@@ -274,29 +330,92 @@ def unvisited() -> Column:
     return F.hex("done").rlike("^(01)*00")
 
 
+def local_join(around: DataFrame, book: np.ndarray) -> DataFrame:
+    """(node, other, shown, fresh, least, code, scale, small), the neighbours of each
+    node and who it is known by -> (node, other, sim): each of these with each that
+    is shown, unless neither is fresh, where the similarity is above its ``least``."""
+    def run(batches):
+        import pyarrow as pa
+
+        for table in whole(batches):
+            node, other, shown, fresh, least, code, scale, small = arrays(table)
+            order = np.lexsort((fresh, ~shown, other, node))  # a neighbour both ways counts once
+            order = order[firsts(node[order], other[order])]
+            node, other, shown, fresh, least = node[order], other[order], shown[order], fresh[order], least[order]
+            x = book[code[order]] + small[order] * scale[order, None]
+            begin = firsts(node)
+            group = np.cumsum(begin) - 1
+            nth = np.arange(len(node)) - np.flatnonzero(begin)[group]
+
+            def padded(values, row, at, shape):
+                out = np.zeros((*shape, *values.shape[1:]), dtype=values.dtype)
+                out[row, at] = values
+                return out
+
+            # who is shown, a row for each node; all of a node in blocks
+            g, place = group[shown], (np.cumsum(shown) - 1)[shown]
+            place -= np.flatnonzero(firsts(g))[np.cumsum(firsts(g)) - 1]
+            shape = (int(group[-1]) + 1, int(place.max()) + 1)
+            t_ids, t_fresh, t_vecs, t_there = (padded(c[shown], g, place, shape) for c in (other, fresh, x, np.ones(len(node), dtype=bool)))
+            block, at = np.cumsum(nth % BLOCK == 0) - 1, nth % BLOCK
+            of = group[nth % BLOCK == 0]
+            ids, new, low, vecs, there = (padded(c, block, at, (len(of), BLOCK)) for c in (other, fresh, least, x, np.ones(len(node), dtype=bool)))
+            sims = vecs @ t_vecs[of].transpose(0, 2, 1)
+            met = (sims > low[:, :, None]) & (new[:, :, None] | t_fresh[of][:, None, :]) & there[:, :, None] & t_there[of][:, None, :] & (ids[:, :, None] != t_ids[of][:, None, :])
+            b, i, j = np.nonzero(met)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[b, i]), pa.array(t_ids[of[b], j]), pa.array(sims[b, i, j].astype(np.float32))], ["node", "other", "sim"])
+
+    return around.repartition("node").sortWithinPartitions("node").mapInArrow(run, "node long, other long, sim float")
+
+
+def kept(rows: DataFrame, k: int) -> DataFrame:
+    """(node, other, sim, fresh) -> of each node the k best of distinct others;
+    one that was there before is not fresh."""
+    def run(batches):
+        import pyarrow as pa
+
+        for table in whole(batches):
+            node, other, sim, fresh = arrays(table)
+            order = np.lexsort((fresh, other, node))
+            order = order[firsts(node[order], other[order])]
+            order = order[np.lexsort((other[order], -sim[order], node[order]))]
+            begin = firsts(node[order])
+            nth = np.arange(len(order)) - np.flatnonzero(begin)[np.cumsum(begin) - 1]
+            order = order[nth < k]
+            yield pa.RecordBatch.from_arrays([pa.array(c[order]) for c in (node, other, sim, fresh)], ["node", "other", "sim", "fresh"])
+
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, "node long, other long, sim float, fresh boolean")
+
+
 def descend(nodes: DataFrame, count: int, sample: np.ndarray, book: np.ndarray) -> DataFrame:
     """The neighbour lists (node, ids, sims) after NN-descent.  Each round
     tells the driver how many neighbours there are and how many are new; lists
-    only get better, so the rounds end."""
-    lists, share = written(first_lists(nodes, count, sample), "ann-lists"), 1.0
-    while share > CHANGED:
+    only get better, so the rounds end.  Neighbours that are not new have met at
+    their node before, most of them; the last round is one in which all meet."""
+    vecs = written(shrunk(nodes, book), "ann-small")
+    lists, share, every = written(flat(first_lists(nodes, count, sample)).withColumn("fresh", F.lit(True)), "ann-lists"), 1.0, True
+    while share > CHANGED or not every:
+        every = every and share == 1.0 or share <= CHANGED
         seen = Observation(uuid.uuid4().hex)
-        graph = visits(nodes, lists, book)
-        state = nodes.join(lists, "node").select(F.col("node").alias("query"), "vec", "ids", "sims", none_done())
-        better = visit(state, graph, NEIGHBOURS, book).observe(seen, F.sum(F.length("done")).alias("n"), F.sum(new_ones()).alias("new"))
-        lists = written(better.select(F.col("query").alias("node"), "ids", "sims"), "ann-lists")
+        # a list that is not full takes whoever comes
+        worst = lists.groupBy("node").agg(F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.min("sim")).otherwise(F.lit(float("-inf")).cast("float")).alias("least"))
+        known = vecs.join(worst.withColumnRenamed("node", "other"), "other")
+        around = edges(lists.withColumn("fresh", F.lit(True)) if every else lists).select("node", "other", "shown", "fresh")
+        if share < QUIET and not every:
+            around = around.withColumn("any", F.max("fresh").over(Window.partitionBy("node"))).where("any").drop("any")
+        met = local_join(around.join(known, "other").select("node", "other", "shown", "fresh", "least", "code", "scale", "small"), book)
+        better = kept(lists.withColumn("fresh", F.lit(False)).unionByName(met.withColumn("fresh", F.lit(True))), NEIGHBOURS)
+        lists = written(better.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.col("fresh").cast("long")).alias("new")), "ann-lists")
         share = (seen.get["new"] or 0) / (seen.get["n"] or 1)
-    return lists
-
+    return written(bound(lists), "ann-lists")
 
-def new_ones() -> Column:
-    """How many of a beam's nodes came in this round: its zero bytes."""
-    return F.length("done") - F.length(F.replace(F.hex("done"), F.lit("00"), F.lit(""))) / 2
 
+def bound(lists: DataFrame) -> DataFrame:
+    """(node, other, sim, ...) -> (node, ids, sims), the best first."""
+    def run(rows):
+        yield rows[0][0], np.array([r[1] for r in rows], dtype=np.int64).tobytes(), np.array([r[2] for r in rows], dtype=np.float32).tobytes()
 
-def none_done() -> Column:
-    """As many zero bytes as there are ids."""
-    return F.unhex(F.repeat(F.lit("00"), (F.length("ids") / 8).cast("int"))).alias("done")
+    return grouped(lists.select("node", "other", "sim", (-F.col("sim")).alias("order")), run, "node long, ids binary, sims binary", "order", "other")
 
 
 def first_beams(queries: DataFrame, lists: DataFrame, vecs: DataFrame) -> DataFrame:
@@ -380,7 +499,7 @@ def _search(rows: DataFrame, k: int) -> DataFrame:
     sample = sampled(vecs)
     book = codebook(sample)
     lists = descend(vecs, stats["n"], sample, book)
-    graph = written(visits(vecs, lists, book), "ann-graph")
+    graph = written(visits(shrunk(vecs, book), lists), "ann-graph")
     asking = rows.where("asks").select(F.col("vec_id").alias("query_id"), "same")
     ask_nodes = nodes.join(asking.select("same").distinct(), "same", "left_semi").select(F.col("node").alias("query"), "embedding")
     asked = packed(ask_nodes.withColumnRenamed("query", "node"), None).withColumnRenamed("node", "query")
